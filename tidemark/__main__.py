@@ -6,11 +6,12 @@ import argparse
 
 from tidemark.config import TABLE_NAMES, LakeConfig, build_session
 from tidemark.operators import sinks
+from tidemark.operators.aggregates import layer_counts
 from tidemark.plans import bronze, features, gold, silver, training, validation
 from tidemark.sources.messages import read_folder, read_topic
 from tidemark.sources.tables import read_if_present, read_table
 
-STEPS = ("bronze", "stream", "silver", "gold", "features", "train", "validate", "register")
+STEPS = ("bronze", "stream", "silver", "gold", "features", "train", "validate", "register", "counts")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -54,7 +55,15 @@ def main(argv: list[str] | None = None) -> None:
             validation.gold(daily, current)
     elif args.step == "register":
         plain = {n: lake.table(n) for n in TABLE_NAMES if n != "silver_weather_clean"}
-        print(sinks.register(spark, plain))
+        done = sinks.register(spark, plain)
+        done["silver_weather_clean"] = silver.table(spark, lake).register("silver_weather_clean")
+        print(done)
+    elif args.step == "counts":
+        plain = [n for n in TABLE_NAMES if n != "silver_weather_clean"]
+        layers = {n: read_if_present(spark, lake.table(n)) for n in plain}
+        layers["silver_weather_clean"] = silver.table(spark, lake).read()
+        if any(df is not None for df in layers.values()):
+            layer_counts(layers).show(truncate=False)
 
 
 if __name__ == "__main__":

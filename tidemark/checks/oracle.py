@@ -557,8 +557,10 @@ ORACLE: dict[str, str] = {
         SELECT CAST(city AS VARCHAR) AS city, source AS country, temperature, humidity, pressure, wind_speed,
                weather_condition, to_timestamp(recorded_dt)::TIMESTAMP AS recorded_at, recorded_dt FROM obs
         UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM events""",
-    "stream_silver": f"""WITH {_PLAIN} SELECT CAST(city AS VARCHAR) AS city, recorded_dt,
-        CAST(recorded_date AS VARCHAR) AS recorded_date, temperature, humidity FROM plain""",
+    # Messages of one second carry no finer order, so the lower reading stays.
+    "stream_silver": f"""WITH {_CLEAN} SELECT CAST(city AS VARCHAR) AS city, recorded_dt,
+        CAST(recorded_date AS VARCHAR) AS recorded_date, temperature, humidity FROM clean
+        QUALIFY row_number() OVER (PARTITION BY city, recorded_dt ORDER BY temperature, humidity) = 1""",
     "stream_hourly": f"""WITH {_CLEAN} SELECT CAST(city AS VARCHAR) AS city,
         date_trunc('hour', recorded_at) AS recorded_at, count(*) AS readings,
         max(temperature) AS max_temperature, CAST(sum(humidity) AS BIGINT) AS sum_humidity

@@ -190,7 +190,7 @@ def monthly_fact(spark, d):
 
 @query
 def city_summary(spark, d):
-    return gold.city_summary(obs.cube(spark, d), obs.DIGITS)
+    return gold.city_summary(obs.stored_cube(spark, d), obs.DIGITS)
 
 
 @query
@@ -395,7 +395,7 @@ def seasonal_pattern(spark, d):
 
 @query
 def star_year_month(spark, d):
-    c = obs.cube(spark, d)
+    c = obs.stored_cube(spark, d)
     dates = gold.dim_date(c)
     daily = attach(gold.daily_stats(c, obs.DIGITS), dates, "recorded_date", ["date_id"])
     return reports.by_year_month(daily, dates, digits=obs.MEAN_DIGITS)

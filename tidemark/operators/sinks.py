@@ -56,15 +56,12 @@ def register(spark: SparkSession, tables: Mapping[str, str]) -> dict[str, bool]:
         if done[name]:
             location = path.replace("\\", "\\\\").replace("'", "\\'")
             spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
-            spark.catalog.recoverPartitions(name) if _partitioned(spark, name) else None
+            if any(c.isPartition for c in spark.catalog.listColumns(name)):
+                spark.catalog.recoverPartitions(name)
             spark.catalog.refreshTable(name)
     return done
 
 
-def _partitioned(spark: SparkSession, name: str) -> bool:
-    return any(c.isPartition for c in spark.catalog.listColumns(name))
-
-
 def online_rows(
     latest: DataFrame, entity: str, instant: str, exclude: Sequence[str], prefix: str
 ) -> DataFrame:

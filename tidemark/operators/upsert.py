@@ -44,6 +44,10 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def _literal(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 class VersionedTable:
     """A Parquet table that is replaced partition by partition.
 
@@ -110,6 +114,32 @@ class VersionedTable:
         self._commit(number, entries, json.dumps(merged.schema.jsonValue()))
         return number
 
+    def register(self, name: str) -> bool:
+        """(Re)register the current state as table ``name``; False when there is none.
+
+        The catalog keeps one location per partition, so readers of the table
+        never see files of replaced commits. Run it again after a merge.
+        """
+        entries = self._entries(self.version())
+        if not entries:
+            return False
+        columns = T.StructType.fromJson(json.loads(next(iter(entries.values()))[1]))
+        listed = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields
+        )
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(
+            f"CREATE TABLE {name} ({listed}) USING parquet "
+            f"PARTITIONED BY (`{self.partition}`) LOCATION '{_literal(self.root)}/data'"
+        )
+        places = " ".join(
+            f"PARTITION (`{self.partition}`='{value}') LOCATION "
+            f"'{_literal(self.root)}/data/commit={commit}/{self.partition}={value}'"
+            for value, (commit, _) in sorted(entries.items())
+        )
+        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {places}")
+        return True
+
     def _commit(self, number: int, entries: dict[str, str], columns: str) -> None:
         rows = [(v, c, columns) for v, c in sorted(entries.items())]
         path, fs = self._path(f"{self.root}/pointer/{number}")

@@ -22,6 +22,7 @@ from tidemark.operators.ranking import dense_key, dense_key_small, most_frequent
 from tidemark.operators.shape import calendar, stamp
 
 MEASURES = ("temperature", "humidity", "pressure", "wind_speed")
+CUBE_KEYS = ("city", "country", "recorded_date", "weather_condition")
 Digits = Mapping[str, int] | None
 
 
@@ -30,9 +31,13 @@ def day_cube(silver: DataFrame, digits: Digits = None) -> DataFrame:
 
     Only numbers are kept per group, so Spark runs it as a hash aggregate with a
     small partial result per task; (city, recorded_dt) is unique in silver, so
-    the newest and oldest row of an entity are well defined.
+    the newest and oldest row of an entity are well defined. A table without
+    country and position is grouped without them; see ``place``.
     """
-    return silver.groupBy("city", "country", "recorded_date", "weather_condition").agg(
+    present = set(silver.columns)
+    keys = [k for k in CUBE_KEYS if k in present]
+    first = [c for c in ("latitude", "longitude") if c in present]
+    return silver.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         *partial_stats(MEASURES, digits),
         F.max("recorded_dt").alias("last_dt"),
@@ -40,8 +45,18 @@ def day_cube(silver: DataFrame, digits: Digits = None) -> DataFrame:
         F.max_by("temperature", "recorded_dt").alias("last_temperature"),
         F.max_by("humidity", "recorded_dt").alias("last_humidity"),
         F.min("recorded_dt").alias("first_dt"),
-        F.min_by("latitude", "recorded_dt").alias("first_latitude"),
-        F.min_by("longitude", "recorded_dt").alias("first_longitude"),
+        *[F.min_by(c, "recorded_dt").alias(f"first_{c}") for c in first],
+    )
+
+
+def place(cube: DataFrame, attributes: DataFrame) -> DataFrame:
+    """Add country and position per city after grouping.
+
+    The join then shuffles the cube, not the observations, so a hot city costs
+    no more than another.
+    """
+    return attach(cube, attributes, "city").withColumnsRenamed(
+        {"latitude": "first_latitude", "longitude": "first_longitude"}
     )
 
 

@@ -103,8 +103,13 @@ def clean(df: DataFrame, entity: str | None = None) -> DataFrame:
 
 
 def unique(df: DataFrame) -> DataFrame:
-    """The most recently ingested row per entity and second."""
-    return keep_first(df, KEYS, [*newest_first("ingested_at"), F.asc_nulls_last("source")])
+    """The most recently ingested row per entity and second.
+
+    The values themselves break the last ties, so that a replayed batch keeps the
+    same row again.
+    """
+    ties = [F.asc_nulls_last(c) for c in ("source", "temperature", "humidity")]
+    return keep_first(df, KEYS, [*newest_first("ingested_at"), *ties])
 
 
 def silver(df: DataFrame, entity: str | None = None) -> DataFrame:
