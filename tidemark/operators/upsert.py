@@ -167,12 +167,13 @@ class VersionedTable:
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def _require_unique_keys(self, source: DataFrame) -> None:
-        bad = F.count(F.lit(1)) > 1
-        null = F.col(self.partition).isNull()
+        missing = F.col(self.partition).isNull()
         for key in self.keys:
-            null = null | F.col(key).isNull()
-        wrong = source.groupBy(*self.keys).agg(bad.alias("repeated"), F.bool_or(null).alias("null"))
-        first = wrong.filter("repeated or null").first()
+            missing = missing | F.col(key).isNull()
+        grouped = source.groupBy(*self.keys).agg(
+            (F.count(F.lit(1)) > 1).alias("_repeated"), F.bool_or(missing).alias("_missing")
+        )
+        first = grouped.filter(F.col("_repeated") | F.col("_missing")).first()
         if first is not None:
-            problem = "null" if first["null"] else "repeated"
+            problem = "null" if first["_missing"] else "repeated"
             raise ValueError(f"upsert source has {problem} keys {self.keys}: {first}")
