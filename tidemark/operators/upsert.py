@@ -40,7 +40,7 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     The source must be unique on the keys and have no null key: null never
     matches, so a repeated run would insert the row again.
     """
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    kept = target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(source, allowMissingColumns=True)
 
 
