@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.checks import observations as obs
-from tidemark.config import scratch_path
+from tidemark.config import materialise, scratch_path
 from tidemark.functions.scalar import violates_range
 from tidemark.ml import prepare, scoring, training
 from tidemark.operators import aggregates, quality, sinks
@@ -510,7 +510,7 @@ def best_model(spark, d):
 @query
 def ridge_fit(spark, d):
     """One-feature ridge: the closed form is the oracle."""
-    frame = obs.training(spark, d).select("temperature", "label_24h")
+    frame = materialise(obs.training(spark, d).select("temperature", "label_24h"), "ridge")
     vectors = VectorAssembler(inputCols=["temperature"], outputCol="features").transform(frame)
     model = training.ridge(vectors)
     return vectors.agg(F.count(F.lit(1)).alias("n")).select(
@@ -523,9 +523,9 @@ def ridge_fit(spark, d):
 @query
 def tree_scores(spark, d):
     """All three regressors on the training frame, compared on held-out rows."""
-    frame = obs.training(spark, d)
+    frame = materialise(obs.training(spark, d), "training")
     encoder = prepare.fit_encoder(prepare.usable(frame))
-    ready = prepare.engineer(frame, encoder, features.ORDER, hot=None)
+    ready = materialise(prepare.engineer(frame, encoder, features.ORDER), "ready")
     keys = ["city", "recorded_at"]
     results = training.train_all(ready, prepare.input_columns(ready), keys)
     held_out = ready.filter(~prepare.in_training(keys))

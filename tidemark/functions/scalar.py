@@ -27,7 +27,7 @@ def from_epoch(seconds: str | Column) -> Column:
 
 def epoch_seconds(instant: str | Column) -> Column:
     """Whole seconds since 1970, floored."""
-    return F.unix_timestamp(instant)
+    return F.unix_seconds(instant)
 
 
 def month_key(day: str | Column) -> Column:

@@ -1,11 +1,11 @@
 """Keyed upsert into Parquet with atomic, partition-wise commits.
 
 A table has two folders. ``data/commit=<id>/<partition>=…`` holds files that are
-never changed once written; ``pointer/<N>`` lists, for every partition value, the
-commit that currently holds it. A merge writes new copies of the touched
-partitions only, then one pointer; readers use the highest finished pointer. A
-job that dies before its pointer is complete leaves the table as it was, and the
-cost of a merge follows the touched partitions, not the table.
+never changed once written; the small file ``pointer/<N>.json`` names, for every
+partition value, the commit that currently holds it. A merge writes new copies of
+the touched partitions only, then one pointer, put in place by a rename; readers
+use the highest pointer. A job that dies before the rename leaves the table as it
+was, and the cost of a merge follows the touched partitions, not the table.
 
 One writer at a time; a second one is refused when it tries to commit.
 """
@@ -17,20 +17,13 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import materialise
 
-_POINTER = T.StructType(
-    [
-        T.StructField("value", T.StringType(), False),
-        T.StructField("commit", T.StringType(), False),
-        T.StructField("columns", T.StringType(), False),
-    ]
-)
+_POINTER = re.compile(r"(\d+)\.json")
 _PLAIN = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -63,26 +56,30 @@ class VersionedTable:
         self.partition = partition
 
     def version(self) -> int:
-        """Number of the newest finished pointer, 0 for a new table."""
+        """Number of the newest pointer, 0 for a new table."""
         path, fs = self._path(f"{self.root}/pointer")
         if not fs.exists(path):
             return 0
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        finished = [int(n) for n in names if n.isdigit() and self._finished(int(n))]
-        return max(finished, default=0)
+        names = (_POINTER.fullmatch(s.getPath().getName()) for s in fs.listStatus(path))
+        return max((int(n[1]) for n in names if n), default=0)
 
     def read(self, values: Sequence[str] | None = None) -> DataFrame | None:
         """Current rows, or those of some partitions; None when there are none.
 
         Only the directories named by the pointer are listed and scanned.
         """
-        entries = self._entries(self.version())
-        chosen = [v for v in entries if values is None or v in set(values)]
-        if not chosen:
+        return self._rows(self._pointer(self.version()), values)
+
+    def _rows(self, pointer: dict, values: Sequence[str] | None) -> DataFrame | None:
+        wanted = None if values is None else set(values)
+        entries = {
+            v: c for v, c in pointer["partitions"].items() if wanted is None or v in wanted
+        }
+        if not entries:
             return None
-        columns = T.StructType.fromJson(json.loads(next(iter(entries.values()))[1]))
+        columns = T.StructType.fromJson(pointer["columns"])
         base = f"{self.root}/data"
-        paths = [f"{base}/commit={entries[v][0]}/{self.partition}={v}" for v in chosen]
+        paths = [f"{base}/commit={c}/{self.partition}={v}" for v, c in entries.items()]
         return (
             self.spark.read.schema(columns)
             .option("basePath", base)
@@ -92,16 +89,14 @@ class VersionedTable:
 
     def merge(self, source: DataFrame) -> int:
         """Upsert ``source`` and return the committed version."""
-        number = self.version() + 1
+        base = self.version()
         # Written once: it is read for the checks, the join and the union.
         source = materialise(source, "upsert")
-        self._require_unique_keys(source)
-        touched = [str(r[0]) for r in source.select(self.partition).distinct().collect()]
+        touched = self._touched(source)
         if not touched:
-            return number - 1
-        if odd := [v for v in touched if not _PLAIN.fullmatch(v)]:
-            raise ValueError(f"partition values must be plain text, got {odd[:3]}")
-        affected = self.read(touched)
+            return base
+        pointer = self._pointer(base)
+        affected = self._rows(pointer, touched)
         merged = source if affected is None else merge_rows(affected, source, self.keys)
         commit = uuid.uuid4().hex
         (
@@ -109,10 +104,9 @@ class VersionedTable:
             .write.partitionBy(self.partition)
             .parquet(f"{self.root}/data/commit={commit}")
         )
-        entries = {v: c for v, (c, _) in self._entries(number - 1).items()}
-        entries.update({v: commit for v in touched})
-        self._commit(number, entries, json.dumps(merged.schema.jsonValue()))
-        return number
+        partitions = pointer["partitions"] | dict.fromkeys(touched, commit)
+        self._commit(base + 1, {"columns": merged.schema.jsonValue(), "partitions": partitions})
+        return base + 1
 
     def register(self, name: str) -> bool:
         """(Re)register the current state as table ``name``; False when there is none.
@@ -120,10 +114,10 @@ class VersionedTable:
         The catalog keeps one location per partition, so readers of the table
         never see files of replaced commits. Run it again after a merge.
         """
-        entries = self._entries(self.version())
-        if not entries:
+        pointer = self._pointer(self.version())
+        if not pointer["partitions"]:
             return False
-        columns = T.StructType.fromJson(json.loads(next(iter(entries.values()))[1]))
+        columns = T.StructType.fromJson(pointer["columns"])
         listed = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields
         )
@@ -135,45 +129,61 @@ class VersionedTable:
         places = " ".join(
             f"PARTITION (`{self.partition}`='{value}') LOCATION "
             f"'{_literal(self.root)}/data/commit={commit}/{self.partition}={value}'"
-            for value, (commit, _) in sorted(entries.items())
+            for value, commit in sorted(pointer["partitions"].items())
         )
         self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {places}")
         return True
 
-    def _commit(self, number: int, entries: dict[str, str], columns: str) -> None:
-        rows = [(v, c, columns) for v, c in sorted(entries.items())]
-        path, fs = self._path(f"{self.root}/pointer/{number}")
-        if fs.exists(path) and not self._finished(number):
-            fs.delete(path, True)  # left by a writer that died
+    def _commit(self, number: int, pointer: dict) -> None:
+        """Write the pointer aside, then rename it; the rename fails if the name is taken."""
+        final, fs = self._path(f"{self.root}/pointer/{number}.json")
+        aside, _ = self._path(f"{self.root}/pointer/.{uuid.uuid4().hex}")
+        stream = fs.create(aside, False)
         try:
-            self.spark.createDataFrame(rows, _POINTER).coalesce(1).write.parquet(
-                f"{self.root}/pointer/{number}"
-            )
-        except AnalysisException as error:
-            raise RuntimeError(f"{self.root}: version {number} has another writer") from error
-
-    def _entries(self, number: int) -> dict[str, tuple[str, str]]:
+            stream.write(bytearray(json.dumps(pointer).encode()))
+        finally:
+            stream.close()
+        if fs.exists(final) or not fs.rename(aside, final):
+            fs.delete(aside, False)
+            raise RuntimeError(f"{self.root}: version {number} has another writer")
+
+    def _pointer(self, number: int) -> dict:
         if number == 0:
-            return {}
-        rows = self.spark.read.schema(_POINTER).parquet(f"{self.root}/pointer/{number}").collect()
-        return {r["value"]: (r["commit"], r["columns"]) for r in rows}
-
-    def _finished(self, number: int) -> bool:
-        path, fs = self._path(f"{self.root}/pointer/{number}/_SUCCESS")
-        return fs.exists(path)
+            return {"columns": None, "partitions": {}}
+        path, fs = self._path(f"{self.root}/pointer/{number}.json")
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _path(self, text: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(text)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _require_unique_keys(self, source: DataFrame) -> None:
-        missing = F.col(self.partition).isNull()
+    def _touched(self, source: DataFrame) -> list[str]:
+        """Partition values of the source, after checking its keys in the same job.
+
+        A null or repeated key would break repeatability, so both are errors.
+        """
+        part = F.col(self.partition)
+        missing = part.isNull()
         for key in self.keys:
             missing = missing | F.col(key).isNull()
-        grouped = source.groupBy(*self.keys).agg(
-            (F.count(F.lit(1)) > 1).alias("_repeated"), F.bool_or(missing).alias("_missing")
+        rows = (
+            source.groupBy(*self.keys)
+            .agg(
+                F.min(part).alias("_part"),
+                (F.count(F.lit(1)) > 1).alias("_repeated"),
+                F.bool_or(missing).alias("_missing"),
+            )
+            .groupBy(F.col("_part").cast("string").alias("_part"))
+            .agg(F.bool_or("_repeated").alias("_repeated"), F.bool_or("_missing").alias("_missing"))
+            .collect()
         )
-        first = grouped.filter(F.col("_repeated") | F.col("_missing")).first()
-        if first is not None:
-            problem = "null" if first["_missing"] else "repeated"
-            raise ValueError(f"upsert source has {problem} keys {self.keys}: {first}")
+        for problem in ("missing", "repeated"):
+            if bad := [r["_part"] for r in rows if r[f"_{problem}"]]:
+                raise ValueError(f"upsert source has {problem} keys {self.keys} in {bad[:3]}")
+        if odd := [r["_part"] for r in rows if not _PLAIN.fullmatch(r["_part"])]:
+            raise ValueError(f"partition values must be plain text, got {odd[:3]}")
+        return [r["_part"] for r in rows]
