@@ -93,6 +93,16 @@ def test_running_again_changes_nothing(spark, lake):
     assert sorted(map(repr, after.collect())) == rows
 
 
+def test_month_partitions_hold_the_same_rows(spark, lake, tmp_path):
+    by_month = LakeConfig(str(tmp_path), silver_partition="recorded_month")
+    for name in ("bronze_weather_batch", "bronze_weather_streaming"):
+        sinks.append(table(spark, lake, name), by_month.table(name))
+    silver.run(spark, by_month)
+    stored = silver.table(spark, by_month)
+    assert list(stored._pointer(1)["partitions"]) == ["2017-01"]
+    assert stored.read().count() == silver.table(spark, lake).read().count()
+
+
 def test_single_entity(spark, lake):
     one = LakeConfig(lake.root + "/one", entity="New York")
     current = silver.table(spark, lake).read()

@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A table of many day partitions is listed by this many tasks, not one per directory.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
 # The table names users query by.
@@ -39,19 +41,29 @@ TABLE_NAMES = (
 
 @dataclass(frozen=True)
 class LakeConfig:
-    """Where each layer lives. Every path derives from ``root``."""
+    """Where each layer lives. Every path derives from ``root``.
+
+    ``silver_partition`` is the unit an upsert rewrites: ``recorded_date`` for large
+    tables, ``recorded_month`` where a day would make tiny files.
+    """
 
     root: str
     entity: str | None = None
     horizon: int = 24
+    silver_partition: str = "recorded_date"
+
+    def __post_init__(self) -> None:
+        if self.silver_partition not in ("recorded_date", "recorded_month"):
+            raise ValueError(f"unknown silver partition {self.silver_partition!r}")
 
     @classmethod
     def from_env(cls, default_root: str = "lake") -> "LakeConfig":
-        """Read LAKE_ROOT, ANALYSIS_CITY and FORECAST_HORIZON_HOURS."""
+        """Read LAKE_ROOT, ANALYSIS_CITY, FORECAST_HORIZON_HOURS and SILVER_PARTITION."""
         return cls(
             root=os.environ.get("LAKE_ROOT", default_root).rstrip("/"),
             entity=os.environ.get("ANALYSIS_CITY") or None,
             horizon=int(os.environ.get("FORECAST_HORIZON_HOURS", "24")),
+            silver_partition=os.environ.get("SILVER_PARTITION", "recorded_date"),
         )
 
     @property

@@ -13,7 +13,9 @@ from tidemark.functions.scalar import (
     first_item,
     from_epoch,
     kelvin_to_celsius,
+    month_key,
     normalise,
+    violates_range,
 )
 from tidemark.operators import quality
 from tidemark.operators.filters import only, require, within
@@ -117,12 +119,10 @@ def silver(df: DataFrame, entity: str | None = None) -> DataFrame:
 
 
 def table(spark: SparkSession, lake: LakeConfig) -> VersionedTable:
-    return VersionedTable(spark, lake.table("silver_weather_clean"), KEYS, "recorded_date")
+    return VersionedTable(spark, lake.table("silver_weather_clean"), KEYS, lake.silver_partition)
 
 
 def rules() -> list[quality.Rule]:
-    from tidemark.functions.scalar import violates_range
-
     return [
         *quality.null_rules(["city", "temperature"]),
         quality.Rule("temperature out of range", violates_range("temperature", *TEMPERATURE_RANGE)),
@@ -139,7 +139,10 @@ def run(spark: SparkSession, lake: LakeConfig) -> int | None:
     if both is None:
         return None
     target = table(spark, lake)
-    version = target.merge(silver(both, lake.entity))
+    rows = silver(both, lake.entity)
+    if lake.silver_partition == "recorded_month":
+        rows = rows.withColumn("recorded_month", month_key("recorded_date"))
+    version = target.merge(rows)
     current = target.read()
     if current is not None:
         quality.enforce(quality.check(current, rules()))
