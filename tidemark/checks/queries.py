@@ -283,12 +283,12 @@ def split_series_lags(spark, d):
 
     def columns(window):
         frame = window.rowsBetween(-24, 0)
-        return {
+        return [{
             "previous": F.lag("temperature", 1).over(window),
             "next": F.lead("temperature", 2).over(window),
             "frame_rows": F.count(F.lit(1)).over(frame),
             "frame_max": F.max("temperature").over(frame),
-        }
+        }]
 
     return over_series(
         rows, ["city"], ["recorded_at"], columns, back=24, ahead=2, rows_per_task=30

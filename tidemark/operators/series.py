@@ -75,7 +75,7 @@ def over_series(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    columns: Callable[[WindowSpec], Mapping[str, Column]],
+    columns: Callable[[WindowSpec], Sequence[Mapping[str, Column]]],
     back: int,
     ahead: int = 0,
     rows_per_task: int = ROWS_PER_TASK,
@@ -84,19 +84,26 @@ def over_series(
     """Add window columns over each series.
 
     ``columns`` receives the window (partitioned and ordered) and returns the
-    columns to add; their lags, leads and ROWS frames must reach no further than
-    ``back`` rows before and ``ahead`` rows after the current row.
+    columns to add, in stages: a stage may use the columns of the one before.
+    Values must depend on no more than ``back`` rows before and ``ahead`` rows
+    after the current row.
     """
     plain = Window.partitionBy(*keys).orderBy(*order)
     if isinstance(hot, str):
         hot = hot_entities(df, keys, rows_per_task)
     if hot is None:
-        return df.withColumns(dict(columns(plain)))
-    cold = df.join(hot, list(keys), "left_anti").withColumns(dict(columns(plain)))
+        return _add(df, columns(plain))
+    cold = _add(df.join(hot, list(keys), "left_anti"), columns(plain))
     warm = df.join(hot, list(keys), "left_semi")
     return cold.unionByName(_in_blocks(warm, keys, order, columns, back, ahead, rows_per_task))
 
 
+def _add(df: DataFrame, stages: Sequence[Mapping[str, Column]]) -> DataFrame:
+    for stage in stages:
+        df = df.withColumns(dict(stage)) if stage else df
+    return df
+
+
 def _in_blocks(df, keys, order, columns, back, ahead, rows_per_task) -> DataFrame:
     size = max(rows_per_task, back, ahead, 1)
     at = F.col("_position") - 1
@@ -113,7 +120,7 @@ def _in_blocks(df, keys, order, columns, back, ahead, rows_per_task) -> DataFram
     spread = number_rows(df, [*keys, *order]).withColumn("_copy", F.explode(copies))
     window = Window.partitionBy(*keys, F.col("_copy.block")).orderBy("_position")
     return (
-        spread.withColumns(dict(columns(window)))
+        _add(spread, columns(window))
         .filter(F.col("_copy.home"))
         .drop("_copy", "_position")
     )
@@ -145,9 +152,8 @@ def forward_fill(
     cold = _filled(df.join(hot, list(keys), "left_anti"), names, latest, default)
 
     block = F.floor((F.col("_position") - 1) / rows_per_task).cast("bigint")
-    placed = materialise(
-        number_rows(df.join(hot, list(keys), "left_semi"), [*keys, *order]).withColumn("_block", block),
-        "blocks",
+    placed = number_rows(df.join(hot, list(keys), "left_semi"), [*keys, *order]).withColumn(
+        "_block", block
     )
     last_in_block = placed.groupBy(*keys, "_block").agg(
         *[

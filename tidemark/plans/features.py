@@ -49,6 +49,22 @@ def hourly_series(
 ORDER = ["recorded_at", "temperature", "humidity", "pressure"]
 
 
+def _running(digits: int | None, window: WindowSpec) -> dict[str, Column]:
+    return fixed_point.running("temperature", digits, window, squares=True) | fixed_point.running(
+        "humidity", digits, window
+    )
+
+
+def _trailing(digits: int | None, day: int, week: int, window: WindowSpec):
+    """Trailing statistics: name, value, and the column standing in for a missing value."""
+    return (
+        ("temp_24h_ma", fixed_point.trailing_mean("temperature", digits, day, window), "temperature"),
+        ("temp_168h_ma", fixed_point.trailing_mean("temperature", digits, week, window), "temperature"),
+        ("humid_24h_ma", fixed_point.trailing_mean("humidity", digits, day, window), "humidity"),
+        ("temp_24h_std", fixed_point.trailing_stddev("temperature", digits, day, window), None),
+    )
+
+
 def hourly_features(
     hourly: DataFrame,
     digits: int | None = None,
@@ -66,30 +82,23 @@ def hourly_features(
     def lag(name: str, hours: int, window: WindowSpec) -> Column:
         return F.coalesce(F.lag(name, hours * rows_per_hour).over(window), F.col(name))
 
-    def columns(window: WindowSpec) -> Mapping[str, Column]:
-        last_day = window.rowsBetween(-day, 0)
-        last_week = window.rowsBetween(-week, 0)
-        return {
-            **{f"temp_lag_{h}h": lag("temperature", h, window) for h in TEMPERATURE_LAGS},
-            "humid_lag_1h": lag("humidity", 1, window),
-            "pres_lag_1h": lag("pressure", 1, window),
-            "temp_24h_ma": F.coalesce(
-                fixed_point.mean("temperature", digits, last_day), F.col("temperature")
-            ),
-            "temp_168h_ma": F.coalesce(
-                fixed_point.mean("temperature", digits, last_week), F.col("temperature")
-            ),
-            "humid_24h_ma": F.coalesce(
-                fixed_point.mean("humidity", digits, last_day), F.col("humidity")
-            ),
-            "temp_24h_std": F.coalesce(
-                fixed_point.sample_stddev("temperature", digits, last_day), F.lit(0.0)
-            ),
-        }
+    def columns(window: WindowSpec) -> list[Mapping[str, Column]]:
+        return [
+            _running(digits, window),
+            {
+                **{f"temp_lag_{h}h": lag("temperature", h, window) for h in TEMPERATURE_LAGS},
+                "humid_lag_1h": lag("humidity", 1, window),
+                "pres_lag_1h": lag("pressure", 1, window),
+            }
+            | {
+                name: F.coalesce(value, F.col(instead) if instead else F.lit(0.0))
+                for name, value, instead in _trailing(digits, day, week, window)
+            },
+        ]
 
     rows = hourly.filter(F.col("recorded_at").isNotNull())
     featured = over_series(
-        rows, ["city"], ORDER, columns, back=week, rows_per_task=rows_per_task, hot=hot
+        rows, ["city"], ORDER, columns, back=week + 1, rows_per_task=rows_per_task, hot=hot
     )
     return featured.select(
         "city",
@@ -153,21 +162,19 @@ def training_frame(
     Rows without the main label are dropped before the lags are taken.
     """
 
-    def labels(window: WindowSpec) -> Mapping[str, Column]:
+    def labels(window: WindowSpec) -> list[Mapping[str, Column]]:
         main = {"label_24h": F.lead("temperature", horizon).over(window)}
-        return main | {f"label_{h}h": F.lead("temperature", h).over(window) for h in LABEL_HOURS}
-
-    def columns(window: WindowSpec) -> Mapping[str, Column]:
-        last_day = window.rowsBetween(-DAY_FRAME, 0)
-        last_week = window.rowsBetween(-WEEK_FRAME, 0)
-        return {
-            **{f"temp_lag_{h}h": F.lag("temperature", h).over(window) for h in TRAINING_LAGS},
-            "humid_lag_1h": F.lag("humidity", 1).over(window),
-            "temp_24h_ma": fixed_point.mean("temperature", digits, last_day),
-            "temp_168h_ma": fixed_point.mean("temperature", digits, last_week),
-            "humid_24h_ma": fixed_point.mean("humidity", digits, last_day),
-            "temp_24h_std": fixed_point.sample_stddev("temperature", digits, last_day),
-        }
+        return [main | {f"label_{h}h": F.lead("temperature", h).over(window) for h in LABEL_HOURS}]
+
+    def columns(window: WindowSpec) -> list[Mapping[str, Column]]:
+        return [
+            _running(digits, window),
+            {
+                **{f"temp_lag_{h}h": F.lag("temperature", h).over(window) for h in TRAINING_LAGS},
+                "humid_lag_1h": F.lag("humidity", 1).over(window),
+            }
+            | {n: value for n, value, _ in _trailing(digits, DAY_FRAME, WEEK_FRAME, window)},
+        ]
 
     if isinstance(hot, str):
         hot = hot_entities(hourly, ["city"], rows_per_task)
@@ -175,7 +182,7 @@ def training_frame(
     ahead = max(horizon, *LABEL_HOURS)
     labelled = over_series(hourly, ["city"], ORDER, labels, back=0, ahead=ahead, **split)
     labelled = labelled.filter(F.col("label_24h").isNotNull())
-    featured = over_series(labelled, ["city"], ORDER, columns, back=WEEK_FRAME, **split)
+    featured = over_series(labelled, ["city"], ORDER, columns, back=WEEK_FRAME + 1, **split)
     return featured.select(
         "city",
         "recorded_at",
