@@ -53,7 +53,7 @@ def lake(spark, tmp_path_factory):
     bronze.run_stream(read_folder(spark, f"{root}/in"), lake, available_now=True).awaitTermination()
     assert silver.run(spark, lake) == 1
     current = silver.table(spark, lake).read()
-    gold.run(spark, lake, current)
+    gold.run(spark, lake, silver.table(spark, lake))
     features.run(spark, lake, current)
     return lake
 
@@ -197,3 +197,27 @@ def test_training_and_forecast(spark, lake):
     assert row.confidence_lower <= row.predicted_temperature_24h <= row.confidence_upper
     training.run(spark, lake, algorithms)
     assert training.production_model(spark, lake)[1] == "2"
+
+
+def test_incremental_runs_touch_only_what_is_new(spark, lake, tmp_path):
+    """New bronze rows reach silver once; only their days are grouped again."""
+    step = LakeConfig(str(tmp_path))
+    batch, target = table(spark, lake, "bronze_weather_batch"), silver.table(spark, step)
+    early = batch.filter("datetime < '2017-01-12'")
+    sinks.append(early, step.table("bronze_weather_batch"))
+    assert silver.run_new(spark, step) == 1
+    gold.run(spark, step, target)
+    first = gold.cube_table(spark, step)._pointer(1)["partitions"]
+    assert silver.run_new(spark, step) == 1  # nothing new
+
+    sinks.append(batch.filter("datetime >= '2017-01-12'"), step.table("bronze_weather_batch"))
+    sinks.append(table(spark, lake, "bronze_weather_streaming"), step.table("bronze_weather_streaming"))
+    assert silver.run_new(spark, step) == 3
+    assert target.changed_since(1) == ["2017-01-12", "2017-01-13"]
+    gold.run(spark, step, target)
+    second = gold.cube_table(spark, step)._pointer(2)["partitions"]
+    assert {d for d in second if first.get(d) != second[d]} == {"2017-01-12", "2017-01-13"}
+
+    columns = ["city", "recorded_date", F.round("avg_temperature", 9), "measurement_count", "city_id", "date_id"]
+    key = lambda at: sorted(map(repr, table(spark, at, "fact_weather_daily_stats").select(*columns).collect()))
+    assert key(step) == key(lake)

@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--servers", help="stream: broker addresses")
     parser.add_argument("--folder", help="stream: folder of message files instead of a topic")
     parser.add_argument("--once", action="store_true", help="stream: stop when all is read")
+    parser.add_argument("--full", action="store_true", help="silver: read all of bronze again")
     args = parser.parse_args(argv)
 
     lake = LakeConfig(args.root) if args.root else LakeConfig.from_env()
@@ -36,9 +37,10 @@ def main(argv: list[str] | None = None) -> None:
         )
         bronze.run_stream(messages, lake, args.once).awaitTermination()
     elif args.step == "silver":
-        print("silver version", silver.run(spark, lake))
+        refresh = silver.run if args.full else silver.run_new
+        print("silver version", refresh(spark, lake))
     elif args.step == "gold":
-        gold.run(spark, lake, silver.table(spark, lake).read())
+        gold.run(spark, lake, silver.table(spark, lake))
     elif args.step == "features":
         features.run(spark, lake, silver.table(spark, lake).read())
     elif args.step == "train":

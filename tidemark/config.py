@@ -44,13 +44,15 @@ class LakeConfig:
     """Where each layer lives. Every path derives from ``root``.
 
     ``silver_partition`` is the unit an upsert rewrites: ``recorded_date`` for large
-    tables, ``recorded_month`` where a day would make tiny files.
+    tables, ``recorded_month`` where a day would make tiny files. ``feature_digits``
+    computes trailing statistics in fixed point (see ``functions.fixed_point``).
     """
 
     root: str
     entity: str | None = None
     horizon: int = 24
     silver_partition: str = "recorded_date"
+    feature_digits: int | None = None
 
     def __post_init__(self) -> None:
         if self.silver_partition not in ("recorded_date", "recorded_month"):
@@ -58,12 +60,15 @@ class LakeConfig:
 
     @classmethod
     def from_env(cls, default_root: str = "lake") -> "LakeConfig":
-        """Read LAKE_ROOT, ANALYSIS_CITY, FORECAST_HORIZON_HOURS and SILVER_PARTITION."""
+        """Read LAKE_ROOT, ANALYSIS_CITY, FORECAST_HORIZON_HOURS, SILVER_PARTITION
+        and FEATURE_DIGITS."""
+        digits = os.environ.get("FEATURE_DIGITS")
         return cls(
             root=os.environ.get("LAKE_ROOT", default_root).rstrip("/"),
             entity=os.environ.get("ANALYSIS_CITY") or None,
             horizon=int(os.environ.get("FORECAST_HORIZON_HOURS", "24")),
             silver_partition=os.environ.get("SILVER_PARTITION", "recorded_date"),
+            feature_digits=int(digits) if digits else None,
         )
 
     @property
@@ -82,6 +87,13 @@ class LakeConfig:
     def bronze_checkpoint(self) -> str:
         return f"{self.root}/checkpoints/bronze"
 
+    def silver_checkpoint(self, source: str) -> str:
+        return f"{self.root}/checkpoints/silver_{source}"
+
+    @property
+    def cube(self) -> str:
+        return f"{self.root}/cube"
+
     @property
     def registry(self) -> str:
         return f"{self.root}/models/registry"

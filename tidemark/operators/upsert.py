@@ -78,11 +78,10 @@ class VersionedTable:
         if not entries:
             return None
         columns = T.StructType.fromJson(pointer["columns"])
-        base = f"{self.root}/data"
-        paths = [f"{base}/commit={c}/{self.partition}={v}" for v, c in entries.items()]
+        paths = [self._folder(c, v) for v, c in entries.items()]
         return (
             self.spark.read.schema(columns)
-            .option("basePath", base)
+            .option("basePath", f"{self.root}/data")
             .parquet(*paths)
             .select(*columns.names)
         )
@@ -98,15 +97,55 @@ class VersionedTable:
         pointer = self._pointer(base)
         affected = self._rows(pointer, touched)
         merged = source if affected is None else merge_rows(affected, source, self.keys)
+        partitions = pointer["partitions"] | dict.fromkeys(touched, self._write(merged))
+        self._commit(base + 1, pointer | {"columns": merged.schema.jsonValue(), "partitions": partitions})
+        return base + 1
+
+    def replace(self, source: DataFrame, values: Sequence[str], **notes: int) -> int:
+        """Put ``source`` in place of the partitions ``values``, keeping all others.
+
+        For derived tables, whose partitions are computed again from scratch.
+        ``notes`` are kept with the version.
+        """
+        base = self.version()
+        pointer = self._pointer(base)
+        commit = self._write(source)
+        written = {v for v in values if self._exists(f"{self._folder(commit, v)}")}
+        kept = {v: c for v, c in pointer["partitions"].items() if v not in set(values)}
+        self._commit(
+            base + 1,
+            {
+                "columns": source.schema.jsonValue(),
+                "partitions": kept | dict.fromkeys(sorted(written), commit),
+                "notes": notes,
+            },
+        )
+        return base + 1
+
+    def notes(self) -> dict[str, int]:
+        return self._pointer(self.version()).get("notes", {})
+
+    def changed_since(self, version: int) -> list[str]:
+        """Partition values written after ``version``, from the two pointers alone."""
+        before = self._pointer(version)["partitions"]
+        now = self._pointer(self.version())["partitions"]
+        return sorted(v for v, c in now.items() if before.get(v) != c)
+
+    def _write(self, rows: DataFrame) -> str:
         commit = uuid.uuid4().hex
         (
-            merged.hint("rebalance", self.partition)
+            rows.hint("rebalance", self.partition)
             .write.partitionBy(self.partition)
             .parquet(f"{self.root}/data/commit={commit}")
         )
-        partitions = pointer["partitions"] | dict.fromkeys(touched, commit)
-        self._commit(base + 1, {"columns": merged.schema.jsonValue(), "partitions": partitions})
-        return base + 1
+        return commit
+
+    def _folder(self, commit: str, value: str) -> str:
+        return f"{self.root}/data/commit={commit}/{self.partition}={value}"
+
+    def _exists(self, text: str) -> bool:
+        path, fs = self._path(text)
+        return fs.exists(path)
 
     def register(self, name: str) -> bool:
         """(Re)register the current state as table ``name``; False when there is none.
@@ -128,7 +167,7 @@ class VersionedTable:
         )
         places = " ".join(
             f"PARTITION (`{self.partition}`='{value}') LOCATION "
-            f"'{_literal(self.root)}/data/commit={commit}/{self.partition}={value}'"
+            f"'{_literal(self._folder(commit, value))}'"
             for value, commit in sorted(pointer["partitions"].items())
         )
         self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {places}")

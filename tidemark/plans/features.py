@@ -206,11 +206,12 @@ def training_frame(
 
 def run(spark: SparkSession, lake: LakeConfig, silver: DataFrame) -> None:
     """Write the three feature sets."""
+    digits = lake.feature_digits
     hot = hot_entities(only(silver, "city", lake.entity), ["city"])
-    hourly = materialise(hourly_series(silver, lake.entity), "hourly")
+    hourly = materialise(hourly_series(silver, lake.entity, digits), "hourly")
     daily = spark.read.parquet(lake.table("fact_weather_daily_stats"))
-    sinks.overwrite(hourly_features(hourly, hot=hot), lake.table("hourly_weather"))
+    sinks.overwrite(hourly_features(hourly, digits, hot=hot), lake.table("hourly_weather"))
     sinks.overwrite(daily_features(daily, lake.entity), lake.table("daily_weather"))
     sinks.overwrite(
-        training_frame(hourly, lake.horizon, hot=hot), lake.table("training_data")
+        training_frame(hourly, lake.horizon, digits, hot=hot), lake.table("training_data")
     )

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import LakeConfig, materialise
+from tidemark.config import LakeConfig
 from tidemark.functions import fixed_point
 from tidemark.functions.scalar import mentions, month_key
 from tidemark.operators import sinks
@@ -20,6 +20,7 @@ from tidemark.operators.aggregates import mean_of, merge_stats, partial_stats
 from tidemark.operators.joins import attach
 from tidemark.operators.ranking import dense_key, dense_key_small, most_frequent
 from tidemark.operators.shape import calendar, stamp
+from tidemark.operators.upsert import VersionedTable
 
 MEASURES = ("temperature", "humidity", "pressure", "wind_speed")
 CUBE_KEYS = ("city", "country", "recorded_date", "weather_condition")
@@ -202,17 +203,39 @@ def city_summary(cube: DataFrame, digits: Digits = None) -> DataFrame:
     return attach(attach(overall, latest, "city"), dominant, "city")
 
 
-def run(spark: SparkSession, lake: LakeConfig, silver: DataFrame) -> None:
-    """Write dimensions and facts. Silver is scanned once."""
-    cube = materialise(day_cube(silver), "cube")
+def cube_table(spark: SparkSession, lake: LakeConfig) -> VersionedTable:
+    return VersionedTable(spark, lake.cube, list(CUBE_KEYS), lake.silver_partition)
+
+
+def refresh_cube(spark: SparkSession, lake: LakeConfig, silver: VersionedTable) -> DataFrame | None:
+    """Group again only the partitions of silver that changed since the last refresh."""
+    cube = cube_table(spark, lake)
+    version = silver.version()
+    changed = silver.changed_since(cube.notes().get("silver_version", 0))
+    rows = silver.read(changed) if changed else None
+    if rows is not None:
+        fresh = day_cube(rows)
+        if lake.silver_partition == "recorded_month":
+            fresh = fresh.withColumn("recorded_month", month_key("recorded_date"))
+        cube.replace(fresh, changed, silver_version=version)
+    return cube.read()
+
+
+def run(spark: SparkSession, lake: LakeConfig, silver: VersionedTable) -> None:
+    """Write dimensions and facts from the refreshed cube."""
+    cube = refresh_cube(spark, lake, silver)
+    if cube is None:
+        return
     sinks.overwrite(dim_city(cube), lake.table("dim_city"))
     sinks.overwrite(dim_date(cube), lake.table("dim_date"))
     cities = spark.read.parquet(lake.table("dim_city"))
     dates = spark.read.parquet(lake.table("dim_date"))
     daily = stamp(daily_fact(cube, cities, dates), "aggregated_at")
-    clustered = daily.hint("rebalance", "year", "month").sortWithinPartitions("city_id", "date_id")
-    clustered.write.mode("overwrite").partitionBy("year", "month").parquet(
-        lake.table("fact_weather_daily_stats")
+    sinks.overwrite_partitions(
+        daily,
+        lake.table("fact_weather_daily_stats"),
+        ["year", "month"],
+        cluster_by=["city_id", "date_id"],
     )
     sinks.overwrite(
         stamp(monthly_fact(cube), "aggregated_at"), lake.table("fact_weather_monthly_stats")
