@@ -103,3 +103,27 @@ def test_registered_table_follows_versions(spark, table):
     assert spark.sql("SELECT sum(v) FROM versioned_rows").first()[0] == 6
     spark.sql("DROP TABLE versioned_rows")
     assert content(table.read()) == {("a", 0): 1, ("a", 1): 5}
+
+
+def test_expired_commits_are_deleted(spark, table):
+    for v in (1, 2, 3):
+        table.merge(frame(spark, {("a", 0): v, ("b", v): v}))
+    commits = lambda: {d for d in os.listdir(f"{table.root}/data") if d.startswith("commit=")}
+    assert table.expire() == 0 and len(commits()) == 3  # all are younger than the retention
+    before = content(table.read())
+    assert table.expire(hours=-1) == 0  # every commit still holds a partition
+    table.merge(frame(spark, {("a", 0): 9, ("b", 1): 9, ("b", 2): 9}))
+    assert table.expire(hours=-1) == 3
+    assert len(commits()) == 1 and os.listdir(f"{table.root}/pointer") != []
+    assert content(table.read()) == before | {("a", 0): 9, ("b", 1): 9, ("b", 2): 9}
+    assert table.merge(frame(spark, {("a", 0): 10})) == 5
+
+
+def test_merge_leaves_no_scratch(spark, table):
+    from tidemark.config import shared_folder
+
+    folder = f"{shared_folder(spark)}/tidemark"
+    os.makedirs(folder, exist_ok=True)
+    before = set(os.listdir(folder))
+    table.merge(frame(spark, {("a", 0): 1}))
+    assert set(os.listdir(folder)) == before

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from tidemark.config import TABLE_NAMES, LakeConfig, build_session
+from tidemark.config import TABLE_NAMES, LakeConfig, build_session, size_shuffles
 from tidemark.operators import sinks
 from tidemark.operators.aggregates import layer_counts
 from tidemark.plans import bronze, features, gold, silver, training, validation
@@ -27,6 +27,14 @@ def main(argv: list[str] | None = None) -> None:
 
     lake = LakeConfig(args.root) if args.root else LakeConfig.from_env()
     spark = build_session(f"tidemark {args.step}")
+    inputs = {
+        "silver": [lake.table("bronze_weather_batch"), lake.table("bronze_weather_streaming")],
+        "gold": [lake.table("silver_weather_clean")],
+        "features": [lake.table("silver_weather_clean")],
+        "train": [lake.table("training_data")],
+    }
+    if args.step in inputs:
+        size_shuffles(spark, *inputs[args.step])
     if args.step == "bronze":
         print(bronze.run_batch(spark, lake), "rows ingested")
     elif args.step == "stream":
@@ -39,8 +47,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "silver":
         refresh = silver.run if args.full else silver.run_new
         print("silver version", refresh(spark, lake))
+        silver.table(spark, lake).expire()
     elif args.step == "gold":
         gold.run(spark, lake, silver.table(spark, lake))
+        gold.cube_table(spark, lake).expire()
     elif args.step == "features":
         features.run(spark, lake, silver.table(spark, lake).read())
     elif args.step == "train":

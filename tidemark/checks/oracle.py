@@ -439,7 +439,7 @@ ORACLE: dict[str, str] = {
     "training_frame": f"""WITH {_TRAINING} SELECT * EXCLUDE (recorded_date),
         CAST(recorded_date AS VARCHAR) AS recorded_date FROM training""",
     **dict.fromkeys(
-        ("forward_filled", "forward_filled_split"),
+        ("forward_fill", "forward_fill_split"),
         f"""WITH {_OBS}
         SELECT event_id, city, recorded_at, coalesce(last_value(t IGNORE NULLS) OVER (
             PARTITION BY city ORDER BY recorded_at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)

@@ -35,7 +35,7 @@ def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return obs.presented(build(spark, sf_dir))
 
-    QUERIES[build.__name__] = run
+    QUERIES[build.__name__.removesuffix("_query")] = run
     return run
 
 
@@ -312,12 +312,12 @@ def _gaps(spark, d) -> DataFrame:
 
 
 @query
-def forward_filled(spark, d):
+def forward_fill_query(spark, d):
     return forward_fill(_gaps(spark, d), ["city"], ["recorded_at"], ["temperature"])
 
 
 @query
-def forward_filled_split(spark, d):
+def forward_fill_split(spark, d):
     return forward_fill(
         _gaps(spark, d), ["city"], ["recorded_at"], ["temperature"], rows_per_task=30
     )

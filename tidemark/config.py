@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -145,7 +148,56 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    if scopes := getattr(_scopes, "open", None):
+        scopes[-1].append(path)
+    return path
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside the block when it ends.
+
+    Jobs that write their results run in such a block. A query that returns a lazy
+    DataFrame cannot: its intermediate tables are read later.
+    """
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    made: list[str] = []
+    _scopes.open.append(made)
+    try:
+        yield
+    finally:
+        _scopes.open.pop()
+        for path in made:
+            folder, fs = hadoop_path(spark, path)
+            fs.delete(folder, True)
+
+
+def hadoop_path(spark: SparkSession, text: str):
+    """A path and the file system it lives on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def size_shuffles(spark: SparkSession, *paths: str, bytes_per_task: int = 128 << 20) -> int:
+    """Start shuffles with enough partitions for the stored size of the inputs.
+
+    Decoded rows take several times their Parquet size, hence the factor. AQE merges
+    what turns out small, so only too few partitions would hurt: they spill.
+    """
+    stored = 0
+    for text in paths:
+        path, fs = hadoop_path(spark, text)
+        if fs.exists(path):
+            stored += fs.getContentSummary(path).getLength()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(max(least, 4 * stored // bytes_per_task), 100_000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

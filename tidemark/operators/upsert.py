@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -21,9 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import materialise
+from tidemark.config import hadoop_path, materialise, scratch
 
 _POINTER = re.compile(r"(\d+)\.json")
+# Fixed value: how long replaced files stay.
+RETENTION_HOURS = 168
+
 _PLAIN = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -88,6 +92,10 @@ class VersionedTable:
 
     def merge(self, source: DataFrame) -> int:
         """Upsert ``source`` and return the committed version."""
+        with scratch(self.spark):
+            return self._merge(source)
+
+    def _merge(self, source: DataFrame) -> int:
         base = self.version()
         # Written once: it is read for the checks, the join and the union.
         source = materialise(source, "upsert")
@@ -147,6 +155,37 @@ class VersionedTable:
         path, fs = self._path(text)
         return fs.exists(path)
 
+    def expire(self, hours: float = RETENTION_HOURS) -> int:
+        """Delete commits that no version of the last ``hours`` uses; returns how many.
+
+        Files younger than that are kept as well: they may belong to a running merge.
+        """
+        newest = self.version()
+        if newest == 0:
+            return 0
+        oldest_ms = (time.time() - hours * 3600) * 1000
+        folder, fs = self._path(f"{self.root}/pointer")
+        used: set[str] = set()
+        old = []
+        for status in fs.listStatus(folder):
+            name = _POINTER.fullmatch(status.getPath().getName())
+            if not name:
+                continue
+            if int(name[1]) == newest or status.getModificationTime() >= oldest_ms:
+                used |= set(self._pointer(int(name[1]))["partitions"].values())
+            else:
+                old.append(status.getPath())
+        folder, _ = self._path(f"{self.root}/data")
+        unused = [
+            s.getPath()
+            for s in fs.listStatus(folder)
+            if s.getPath().getName().removeprefix("commit=") not in used
+            and s.getModificationTime() < oldest_ms
+        ]
+        for path in [*old, *unused]:
+            fs.delete(path, True)
+        return len(unused)
+
     def register(self, name: str) -> bool:
         """(Re)register the current state as table ``name``; False when there is none.
 
@@ -197,8 +236,7 @@ class VersionedTable:
             stream.close()
 
     def _path(self, text: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(text)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return hadoop_path(self.spark, text)
 
     def _touched(self, source: DataFrame) -> list[str]:
         """Partition values of the source, after checking its keys in the same job.

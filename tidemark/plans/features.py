@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.config import LakeConfig, materialise
+from tidemark.config import LakeConfig, materialise, scratch
 from tidemark.functions import fixed_point
 from tidemark.operators import sinks
 from tidemark.operators.aggregates import hourly_bucket
@@ -206,12 +206,13 @@ def training_frame(
 
 def run(spark: SparkSession, lake: LakeConfig, silver: DataFrame) -> None:
     """Write the three feature sets."""
-    digits = lake.feature_digits
-    hot = hot_entities(only(silver, "city", lake.entity), ["city"])
-    hourly = materialise(hourly_series(silver, lake.entity, digits), "hourly")
-    daily = spark.read.parquet(lake.table("fact_weather_daily_stats"))
-    sinks.overwrite(hourly_features(hourly, digits, hot=hot), lake.table("hourly_weather"))
-    sinks.overwrite(daily_features(daily, lake.entity), lake.table("daily_weather"))
-    sinks.overwrite(
-        training_frame(hourly, lake.horizon, digits, hot=hot), lake.table("training_data")
-    )
+    with scratch(spark):
+        digits = lake.feature_digits
+        hot = hot_entities(only(silver, "city", lake.entity), ["city"])
+        hourly = materialise(hourly_series(silver, lake.entity, digits), "hourly")
+        daily = spark.read.parquet(lake.table("fact_weather_daily_stats"))
+        sinks.overwrite(hourly_features(hourly, digits, hot=hot), lake.table("hourly_weather"))
+        sinks.overwrite(daily_features(daily, lake.entity), lake.table("daily_weather"))
+        sinks.overwrite(
+            training_frame(hourly, lake.horizon, digits, hot=hot), lake.table("training_data")
+        )

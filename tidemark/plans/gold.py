@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import LakeConfig
+from tidemark.config import LakeConfig, scratch
 from tidemark.functions import fixed_point
 from tidemark.functions.scalar import mentions, month_key
 from tidemark.operators import sinks
@@ -223,9 +223,13 @@ def refresh_cube(spark: SparkSession, lake: LakeConfig, silver: VersionedTable)
 
 def run(spark: SparkSession, lake: LakeConfig, silver: VersionedTable) -> None:
     """Write dimensions and facts from the refreshed cube."""
-    cube = refresh_cube(spark, lake, silver)
-    if cube is None:
-        return
+    with scratch(spark):
+        cube = refresh_cube(spark, lake, silver)
+        if cube is not None:
+            _write(spark, lake, cube)
+
+
+def _write(spark: SparkSession, lake: LakeConfig, cube: DataFrame) -> None:
     sinks.overwrite(dim_city(cube), lake.table("dim_city"))
     sinks.overwrite(dim_date(cube), lake.table("dim_date"))
     cities = spark.read.parquet(lake.table("dim_city"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.config import LakeConfig, materialise
+from tidemark.config import LakeConfig, materialise, scratch
 from tidemark.ml import prepare, training
 from tidemark.ml.registry import ModelRegistry
 from tidemark.plans.features import ORDER
@@ -19,8 +19,9 @@ def run(spark: SparkSession, lake: LakeConfig, algorithms=None) -> training.Trai
     if frame is None:
         return None
     encoder = prepare.fit_encoder(prepare.usable(frame))
-    ready = materialise(prepare.engineer(frame, encoder, ORDER), "training")
-    results = training.train_all(ready, prepare.input_columns(ready), KEYS, algorithms)
+    with scratch(spark):
+        ready = materialise(prepare.engineer(frame, encoder, ORDER), "training")
+        results = training.train_all(ready, prepare.input_columns(ready), KEYS, algorithms)
     winner = training.best(results)
     registry = ModelRegistry(spark, lake.registry)
     number = registry.versions().count() + 1
