@@ -321,6 +321,15 @@ def _scaled_features() -> str:
     return f"WITH {_PLAIN}, params AS (SELECT {sums} FROM plain) SELECT event_id, {columns} FROM plain, params"
 
 
+def _filled(key: str, order: str) -> str:
+    return f"""WITH {_OBS}
+        SELECT event_id, city, weather_condition, recorded_at,
+               coalesce(last_value(t IGNORE NULLS) OVER (
+                 PARTITION BY {key} ORDER BY {order}
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS temperature
+        FROM (SELECT *, CASE WHEN temperature BETWEEN -80 AND 60 THEN temperature END AS t FROM obs)"""
+
+
 ORACLE: dict[str, str] = {
     "silver_clean": f"""WITH {_CLEAN}
         SELECT * EXCLUDE (source, ingested_at, recorded_date),
@@ -407,11 +416,12 @@ ORACLE: dict[str, str] = {
     "fine_grain_lags": f"""WITH {_features(12)} SELECT city, recorded_at, temp, temp_lag_1h, temp_lag_3h,
         temp_24h_ma, temp_168h_ma FROM features""",
     "split_series_lags": f"""WITH {_OBS}
-        SELECT city, recorded_at, temperature, lag(temperature, 1) OVER w AS previous,
-               lead(temperature, 2) OVER w AS next, count(*) OVER d AS frame_rows,
-               max(temperature) OVER d AS frame_max
-        FROM obs WINDOW w AS (PARTITION BY city ORDER BY recorded_at),
-          d AS (PARTITION BY city ORDER BY recorded_at ROWS BETWEEN 24 PRECEDING AND CURRENT ROW)""",
+        SELECT weather_condition, recorded_at, event_id, temperature,
+               lag(temperature, 1) OVER w AS previous, lead(temperature, 2) OVER w AS next,
+               count(*) OVER d AS frame_rows, max(temperature) OVER d AS frame_max
+        FROM obs WINDOW w AS (PARTITION BY weather_condition ORDER BY recorded_at, event_id),
+          d AS (PARTITION BY weather_condition ORDER BY recorded_at, event_id
+                ROWS BETWEEN 24 PRECEDING AND CURRENT ROW)""",
     "daily_features": f"""WITH {_DAILY},
         scaled AS (SELECT *, CAST(round(avg_temperature * 10000) AS BIGINT) AS u FROM named),
         windowed AS (
@@ -438,14 +448,8 @@ ORACLE: dict[str, str] = {
         FROM windowed""",
     "training_frame": f"""WITH {_TRAINING} SELECT * EXCLUDE (recorded_date),
         CAST(recorded_date AS VARCHAR) AS recorded_date FROM training""",
-    **dict.fromkeys(
-        ("forward_fill", "forward_fill_split"),
-        f"""WITH {_OBS}
-        SELECT event_id, city, recorded_at, coalesce(last_value(t IGNORE NULLS) OVER (
-            PARTITION BY city ORDER BY recorded_at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)
-            AS temperature
-        FROM (SELECT *, CASE WHEN temperature BETWEEN -80 AND 60 THEN temperature END AS t FROM obs)""",
-    ),
+    "forward_fill": _filled("city", "recorded_at"),
+    "forward_fill_split": _filled("weather_condition", "recorded_at, event_id"),
     "quality_rules": f"WITH {_OBS} "
     + _rules("obs", _NULL_CITY, _NULL_TEMPERATURE, _BAD_TEMPERATURE, _BAD_HUMIDITY),
     "quality_bronze": f"""WITH {_OBS} SELECT count(*) AS records,
@@ -555,7 +559,7 @@ ORACLE: dict[str, str] = {
     "row_standardise": _row_scaled(),
     "stream_parse": f"""WITH {_OBS}
         SELECT CAST(city AS VARCHAR) AS city, source AS country, temperature, humidity, pressure, wind_speed,
-               weather_condition, to_timestamp(recorded_dt)::TIMESTAMP AS recorded_at, recorded_dt FROM obs
+               weather_condition, make_timestamp(recorded_dt * 1000000) AS recorded_at, recorded_dt FROM obs
         UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM events""",
     # Messages of one second carry no finer order, so the lower reading stays.
     "stream_silver": f"""WITH {_CLEAN} SELECT CAST(city AS VARCHAR) AS city, recorded_dt,
@@ -566,11 +570,11 @@ ORACLE: dict[str, str] = {
         max(temperature) AS max_temperature, CAST(sum(humidity) AS BIGINT) AS sum_humidity
         FROM clean GROUP BY city, date_trunc('hour', recorded_at)""",
     "newest_messages": f"""WITH {_OBS} SELECT CAST(city AS VARCHAR) AS city, temperature, humidity, wind_speed,
-        to_timestamp(recorded_dt)::TIMESTAMP AS recorded_at,
-        to_timestamp(recorded_dt)::TIMESTAMP AS ingested_at
+        make_timestamp(recorded_dt * 1000000) AS recorded_at,
+        make_timestamp(recorded_dt * 1000000) AS ingested_at
         FROM obs ORDER BY recorded_dt DESC, CAST(city AS VARCHAR) LIMIT 10""",
     "stream_profile": f"""WITH {_OBS} SELECT count(*) AS total_records,
-        to_timestamp(min(recorded_dt))::TIMESTAMP AS earliest_record,
-        to_timestamp(max(recorded_dt))::TIMESTAMP AS latest_record,
-        to_timestamp(max(recorded_dt))::TIMESTAMP AS last_ingested FROM obs""",
+        make_timestamp(min(recorded_dt) * 1000000) AS earliest_record,
+        make_timestamp(max(recorded_dt) * 1000000) AS latest_record,
+        make_timestamp(max(recorded_dt) * 1000000) AS last_ingested FROM obs""",
 }

@@ -17,7 +17,7 @@ from tidemark.ml import prepare, scoring, training
 from tidemark.operators import aggregates, quality, sinks
 from tidemark.operators.joins import align_outer, align_outer_by_join, attach
 from tidemark.operators.ranking import dense_key, keep_first
-from tidemark.operators.series import forward_fill, over_series
+from tidemark.operators.series import ROWS_PER_TASK, forward_fill, over_series
 from tidemark.operators.shape import conform, expand, tag, union_sources, unpivot
 from tidemark.operators.upsert import VersionedTable, merge_rows
 from tidemark.plans import bronze, features, gold, online, reports, silver, validation
@@ -276,10 +276,17 @@ def fine_grain_lags(spark, d):
     ).select("city", "recorded_at", "temp", "temp_lag_1h", "temp_lag_3h", "temp_24h_ma", "temp_168h_ma")
 
 
+def _block_rows(spark, d) -> int:
+    """Rows per block that split every condition, which all hold about a fifth of the rows."""
+    return min(ROWS_PER_TASK, max(100, obs.table(spark, d, "events").count() // 40))
+
+
 @query
 def split_series_lags(spark, d):
-    """The hot-series path on every entity: same rows as the plain window."""
-    rows = obs.observations(spark, d).select("city", "recorded_at", "temperature")
+    """A few very long series: each is cut into blocks and must read like one."""
+    rows = obs.observations(spark, d).select(
+        "weather_condition", "recorded_at", "event_id", "temperature"
+    )
 
     def columns(window):
         frame = window.rowsBetween(-24, 0)
@@ -291,7 +298,13 @@ def split_series_lags(spark, d):
         }]
 
     return over_series(
-        rows, ["city"], ["recorded_at"], columns, back=24, ahead=2, rows_per_task=30
+        rows,
+        ["weather_condition"],
+        ["recorded_at", "event_id"],
+        columns,
+        back=24,
+        ahead=2,
+        rows_per_task=_block_rows(spark, d),
     )
 
 
@@ -308,7 +321,9 @@ def training_frame(spark, d):
 def _gaps(spark, d) -> DataFrame:
     rows = obs.observations(spark, d)
     valid = F.when(F.col("temperature").between(*TEMPERATURE_RANGE), F.col("temperature"))
-    return rows.select("event_id", "city", "recorded_at", valid.alias("temperature"))
+    return rows.select(
+        "event_id", "city", "weather_condition", "recorded_at", valid.alias("temperature")
+    )
 
 
 @query
@@ -318,8 +333,13 @@ def forward_fill_query(spark, d):
 
 @query
 def forward_fill_split(spark, d):
+    """Filling very long series block by block."""
     return forward_fill(
-        _gaps(spark, d), ["city"], ["recorded_at"], ["temperature"], rows_per_task=30
+        _gaps(spark, d),
+        ["weather_condition"],
+        ["recorded_at", "event_id"],
+        ["temperature"],
+        rows_per_task=_block_rows(spark, d),
     )
 
 
