@@ -3,12 +3,13 @@ import os
 
 import pytest
 from conftest import message
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.config import LakeConfig
 from tidemark.operators.upsert import VersionedTable
 from tidemark.plans import bronze, silver
-from tidemark.sources.messages import read_folder
+from tidemark.sources.messages import read_folder, read_topic
 from tidemark.streaming.ingest import (
     drop_repeats,
     hourly_stream,
@@ -62,6 +63,12 @@ def test_stream_equals_batch(spark, lake):
     assert key(streamed) == key(batch)
 
 
+def test_topic_needs_the_connector(spark):
+    """The connector is a package of the cluster; without it Spark says so."""
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        read_topic(spark, "localhost:9092", "observations", maxOffsetsPerTrigger="1000")
+
+
 def test_finished_files_are_archived(spark, lake):
     put(lake, "1", message("Hanoi", START))
     archive = f"{lake.root}/done"

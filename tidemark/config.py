@@ -22,6 +22,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Shuffle bytes a rebalanced partition aims at, which sets the size of written files.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # Streaming state beyond the heap of an executor.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # A table of many day partitions is listed by this many tasks, not one per directory.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
