@@ -10,7 +10,7 @@ from tidemark.checks import observations as obs
 from tidemark.operators.filters import since
 from tidemark.operators.joins import align_outer, align_outer_by_join, attach
 from tidemark.operators.sinks import overwrite_partitions
-from tidemark.plans import gold, silver
+from tidemark.plans import features, gold, silver
 
 SF = "/root/testdata/sf0.001"
 
@@ -129,3 +129,14 @@ def test_silver_of_one_hot_copy_group(spark):
     )
     out = silver.unique(rows)
     assert [r.temperature for r in out.collect()] == [19999.0]
+
+
+def test_training_windows_share_one_shuffle_and_sort(spark):
+    """Labels, running sums and lags use one partitioning and order."""
+    rows = spark.range(10).select(
+        F.lit("a").alias("city"), F.timestamp_seconds("id").alias("recorded_at"),
+        F.current_date().alias("recorded_date"), F.lit("x").alias("weather_condition"),
+        *[F.col("id").cast("double").alias(m) for m in features.MEASURES],
+    )
+    text = plan(features.training_frame(rows, digits=2, hot=None))
+    assert text.count("Exchange") == 1 and text.count("Sort ") == 1

@@ -109,13 +109,17 @@ def _in_blocks(df, keys, order, columns, back, ahead, rows_per_task) -> DataFram
     at = F.col("_position") - 1
     block = F.floor(at / size).cast("bigint")
     offset = at % size
-    copies = F.filter(
-        F.array(
-            F.struct(block.alias("block"), F.lit(True).alias("home")),
-            F.when(offset >= size - back, F.struct((block + 1).alias("block"), F.lit(False).alias("home"))),
-            F.when(offset < ahead, F.struct((block - 1).alias("block"), F.lit(False).alias("home"))),
-        ),
-        lambda copy: copy.isNotNull(),
+
+    def copy(shift: int) -> Column:
+        return F.struct((block + shift).alias("block"), F.lit(shift == 0).alias("home"))
+
+    # A row goes to its own block, and to a neighbour whose frames reach it.
+    late, early = offset >= size - back, offset < ahead
+    copies = (
+        F.when(late & early, F.array(copy(0), copy(1), copy(-1)))
+        .when(late, F.array(copy(0), copy(1)))
+        .when(early, F.array(copy(0), copy(-1)))
+        .otherwise(F.array(copy(0)))
     )
     spread = number_rows(df, [*keys, *order]).withColumn("_copy", F.explode(copies))
     window = Window.partitionBy(*keys, F.col("_copy.block")).orderBy("_position")
