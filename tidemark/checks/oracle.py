@@ -317,8 +317,11 @@ def _scaled_features() -> str:
         f" / (count({c}) * count({c}))) / {k} AS d_{c}"
         for c, k in scales.items()
     )
-    columns = ", ".join(f"round(({c} - m_{c}) / d_{c}, 6) AS scaled_{c}" for c in scales)
-    return f"WITH {_PLAIN}, params AS (SELECT {sums} FROM plain) SELECT event_id, {columns} FROM plain, params"
+    columns = ", ".join(
+        f"round(({c} - (SELECT m_{c} FROM params)) / (SELECT d_{c} FROM params), 6) AS scaled_{c}"
+        for c in scales
+    )
+    return f"WITH {_PLAIN}, params AS (SELECT {sums} FROM plain) SELECT event_id, {columns} FROM plain"
 
 
 def _filled(key: str, order: str) -> str:
