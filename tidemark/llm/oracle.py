@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm.quality import BASE_FAILED, RULES, QualityRules
+
 ORACLE: dict[str, str] = {}
 
 _WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -30,3 +32,69 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
   coalesce(m.least, d.doc_id) AS component_id, coalesce(m.least, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.node = d.doc_id
 """
+
+
+def _quality() -> str:
+    q = QualityRules()
+    start = ", ".join(f"{q.bad_if_good} AS g_{r}, {q.bad_if_bad} AS b_{r}" for r in RULES)
+    score = "ln(prior / (1 - prior))" + "".join(
+        f" + CASE {r} WHEN 1 THEN ln((1 - g_{r}) / (1 - b_{r})) WHEN 0 THEN ln(g_{r} / b_{r}) ELSE 0 END"
+        for r in RULES
+    )
+    good = f"(1 / (1 + exp(-({score}))))"
+    if_good = "least(greatest((bg_{r} + 0.5) / (vg_{r} + 1), 0.001), 0.4)"
+    if_bad = "least(greatest((b_{r} - bg_{r} + 0.5) / (v_{r} - vg_{r} + 1), {good}, 0.05), 0.95)"
+    rounds = []
+    for k in range(q.rounds):
+        sums = ", ".join(
+            f"sum(CASE WHEN {r} IS NOT NULL THEN good ELSE 0 END) AS vg_{r},"
+            f" sum(CASE WHEN {r} IS NOT NULL THEN n ELSE 0 END) AS v_{r},"
+            f" sum(CASE WHEN {r} = 0 THEN good ELSE 0 END) AS bg_{r},"
+            f" sum(CASE WHEN {r} = 0 THEN n ELSE 0 END) AS b_{r}"
+            for r in RULES
+        )
+        rates = ", ".join(
+            f"{if_good.format(r=r)} AS g_{r}, {if_bad.format(r=r, good=if_good.format(r=r))} AS b_{r}" for r in RULES
+        )
+        rounds.append(
+            f"e{k} AS (SELECT sum(n) AS n, sum(good) AS good, {sums} FROM"
+            f" (SELECT patterns.*, n * {good} AS good FROM patterns, p{k})),\n"
+            f"p{k + 1} AS MATERIALIZED (SELECT"
+            f" least(greatest((good + 0.5) / (n + 1), 0.02), 0.98) AS prior, {rates} FROM e{k})"
+        )
+    votes = ", ".join(f"{rule} AS {name}" for name, rule in RULES.items())
+    return f"""
+WITH w AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t, {_WORDS.format(text="coalesce(text, '')")} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+  FROM documents
+), g AS (
+  SELECT id, p, count(*) OVER (PARTITION BY id, g) AS n FROM (
+    SELECT id, unnest(range(1, len(w) - 1)) AS p,
+      unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS g
+    FROM w WHERE len(w) >= 3)
+), r AS (
+  SELECT id, count(DISTINCT p + k) AS n FROM g, range(3) AS t(k) WHERE g.n > 1 GROUP BY id
+), m AS MATERIALIZED (
+  SELECT doc_id, len(w)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+    coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+    len(l)::BIGINT AS n_lines,
+    length(regexp_replace(t, '[^\\p{{L}}]+', '', 'g')) AS n_letters,
+    length(regexp_replace(t, '[^\\p{{Lu}}]+', '', 'g')) AS n_upper,
+    len(list_filter(w, lambda x: NOT regexp_matches(x, '[\\p{{L}}\\p{{N}}]'))) AS n_bare_words,
+    len(list_filter(w, lambda x: right(x, 1) IN ('.', '!', '?'))) AS n_ends
+  FROM w LEFT JOIN r USING (id)
+), v AS MATERIALIZED (SELECT *, {votes} FROM m),
+patterns AS MATERIALIZED (SELECT {", ".join(RULES)}, count(*) AS n FROM v GROUP BY ALL),
+p0 AS (SELECT {q.prior} AS prior, {start}),
+{",\n".join(rounds)}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND {good} >= {q.threshold} AS kept
+FROM (SELECT *, {BASE_FAILED} AS base_failed FROM v), p{q.rounds}
+"""
+
+
+ORACLE["op1_quality_rules"] = _quality()

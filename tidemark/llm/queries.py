@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import near_dedup
+from tidemark.llm import decontaminate, near_dedup, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,3 +45,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
