@@ -98,3 +98,48 @@ FROM (SELECT *, {BASE_FAILED} AS base_failed FROM v), p{q.rounds}
 
 
 ORACLE["op1_quality_rules"] = _quality()
+
+ORACLE["op5_mixing"] = f"""
+WITH d AS (
+  SELECT doc_id, source, len({_WORDS.format(text="coalesce(text, '')")})::BIGINT AS size,
+    md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS place
+  FROM documents
+), s AS (SELECT source, sum(size)::BIGINT AS size FROM d GROUP BY source
+), r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS n FROM s
+), w AS (SELECT *, 3 * size AS lim, 1 + (n - 1) % 3 AS weight, sum(size) OVER () AS total FROM r
+), c AS (
+  SELECT *, coalesce(sum(lim) OVER (ORDER BY lim / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+    sum(weight) OVER (ORDER BY lim / weight, n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM w
+), f AS (
+  SELECT *, bool_and(lim * rest <= (total - used) * weight) OVER (ORDER BY lim / weight, n) AS full_up FROM c
+), t AS (
+  SELECT source, size, n, CASE WHEN full_up THEN lim::DOUBLE ELSE
+    ((total - sum(lim) FILTER (full_up) OVER ()) * weight)::DOUBLE / sum(weight) FILTER (NOT full_up) OVER () END AS target
+  FROM (SELECT * REPLACE (total::BIGINT AS total, lim::BIGINT AS lim) FROM f)
+), t2 AS (
+  SELECT source, size, n, coalesce(target, (SELECT sum(size) FROM t)::BIGINT * (1 + (n - 1) % 3)
+    / (SELECT sum(1 + (n - 1) % 3) FROM t)::DOUBLE) AS target FROM t
+), b AS (SELECT ceil(sum(size) / 64)::BIGINT AS n FROM s
+), seats AS (
+  SELECT source, k, rank FROM (
+    SELECT source, k, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, t2.n) AS rank
+    FROM t2, b, range(b.n) AS g(k) WHERE target > 0)
+  , b WHERE rank <= b.n
+), q AS (
+  SELECT t2.source, t2.size AS source_size, t2.target,
+    least(64 * (SELECT count(*) FROM seats WHERE seats.source IS NOT DISTINCT FROM t2.source), 3 * t2.size) AS quota
+  FROM t2
+), l AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS first FROM d
+), o AS (
+  SELECT l.doc_id, l.source, l.size, q.source_size, q.target, first, CASE WHEN source_size > 0 THEN
+    l.size * (quota // source_size) + greatest(0, least(l.size, quota - (quota // source_size) * source_size - first))
+    ELSE 0 END AS taken
+  FROM l JOIN q ON l.source IS NOT DISTINCT FROM q.source
+)
+SELECT o.doc_id, o.size, o.source_size, o.target, o.taken::BIGINT AS taken,
+  CASE WHEN taken > 0 THEN (rank - 1) // (SELECT greatest(1, ceil(n / 64)::BIGINT) FROM b) ELSE -1 END AS shard
+FROM o LEFT JOIN seats ON seats.source IS NOT DISTINCT FROM o.source AND seats.k = (o.first // 64)::BIGINT
+"""
