@@ -296,6 +296,7 @@ def clean(
     schema = docs.schema
     out = docs
     for index in _blocks(spark, benchmark, p):
-        bytes_too = out.select("*", F.col("text").cast("binary"))
+        # Under a name of its own, should the table have a column like it.
+        bytes_too = out.select("*", F.col("text").cast("binary").alias("text as bytes"))
         out = bytes_too.mapInArrow(keep(spark.sparkContext.broadcast(index), len(schema)), schema)
     return out

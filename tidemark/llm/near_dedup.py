@@ -1,7 +1,7 @@
 """Near-duplicate documents: MinHash bands, signature check, exact check, components.
 
-1. ``sketch`` computes, in one pass over the texts, a fingerprint of the shingle set, many
-   universal hash minima, their bands and a one-byte-a-minimum signature.
+1. ``sketch`` computes, in one pass over the texts, a fingerprint of the shingle set and
+   the bands of many universal hash minima.
 2. Documents with equal sets are one class, represented by the smallest id.
 3. Representatives that share a band are candidates. Within a bucket they are compared
    with *centres*, the smallest ids, eight times as many in each round, never all at once: a
@@ -9,7 +9,10 @@
    its members that have not been centres are all in one component. So no group is
    gathered or expanded into pairs as long as its members are linked, and no candidate is
    given up either.
-4. Signatures reject candidates far below the threshold; full shingle sets decide.
+4. Documents that share a bucket get a longer signature, one bit of each of 2048 minima.
+   It is compared as a condition of the join that makes the candidates, so pairs below the
+   threshold by more than the signature's error never become rows; nor does a pair in any
+   bucket but the least it shares. Full sets decide.
 5. Links become components by alternating large-star and small-star.
 """
 
@@ -17,11 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -34,30 +38,26 @@ from tidemark.llm.components import components
 class NearDedup:
     """Parameters. A pair at the threshold is missed with probability
     (1 - threshold^rows)^bands, 5e-8 for the defaults. ``slack`` is how many standard
-    deviations below the threshold a signature's estimate may lie."""
+    deviations below the threshold the estimate of a signature of ``longs`` times 64 bits
+    may lie: one such pair in 3 million is lost, if nothing else links it.
+    ``quick_longs`` of them are looked at first."""
 
     words: int = 4
     percent: int = 80
     bands: int = 32
     rows: int = 4
     slack: float = 5.0
+    longs: int = 32
+    quick_longs: int = 8
 
-    @property
-    def minima(self) -> int:
-        return self.bands * self.rows
+    def most_different(self, longs: int) -> int:
+        """Differing signature bits above which a pair is rejected."""
+        bits = 64 * longs
+        differ = (1 - self.percent / 100) / 2
+        return int(bits * differ + self.slack * (bits * differ * (1 - differ)) ** 0.5)
 
-    @property
-    def least_matches(self) -> int:
-        """Matching signature bytes below which a pair is rejected."""
-        p = self.percent / 100
-        expected = p + (1 - p) / 256
-        spread = (expected * (1 - expected) / self.minima) ** 0.5
-        return max(0, int(self.minima * (expected - self.slack * spread)))
 
-
-SKETCH = (
-    "doc_id long, n_shingles long, print binary, signature binary, bands array<long>"
-)
+SKETCH = "doc_id long, n_shingles long, print binary, bands array<long>"
 
 
 def shingle_sets(step, n: int) -> Iterator[np.ndarray]:
@@ -74,22 +74,34 @@ def shingle_sets(step, n: int) -> Iterator[np.ndarray]:
             yield np.unique(grams[bounds[k] : bounds[k + 1]])
 
 
+def _factors(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and summands of ``n`` hash functions."""
+    seeded = np.random.Generator(np.random.PCG64(seed))
+    a = seeded.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return a, seeded.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+
+
 def _minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Minima of a * x + b modulo 2^64 over a set; the high halves are universal hashes."""
     least = np.full(len(a), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for k in range(0, len(values), 1024):
-        hashed = np.multiply.outer(a, values[k : k + 1024])
-        hashed += b[:, None]
-        np.minimum(least, hashed.min(axis=1), out=least)
+    for h in range(0, len(a), 128):
+        for k in range(0, len(values), 1024):
+            hashed = np.multiply.outer(a[h : h + 128], values[k : k + 1024])
+            hashed += b[h : h + 128, None]
+            np.minimum(least[h : h + 128], hashed.min(axis=1), out=least[h : h + 128])
     return least >> np.uint64(32)
 
 
+def _bands(values: np.ndarray, p: NearDedup, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One hash for each band of minima, no two bands alike."""
+    salt = mix(np.arange(1, p.bands + 1, dtype=np.uint64))
+    least = _minima(values, a, b).reshape(p.bands, p.rows)
+    return mix((least * GRAM[: p.rows]).sum(axis=1, dtype=np.uint64) + salt)
+
+
 def sketch(docs: DataFrame, p: NearDedup) -> DataFrame:
     """One row of ``SKETCH`` for each document that has a word."""
-    seeded = np.random.Generator(np.random.PCG64(71))
-    a = seeded.integers(0, 1 << 63, p.minima, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    b = seeded.integers(0, 1 << 63, p.minima, dtype=np.uint64) * np.uint64(2)
-    salt = mix(np.arange(1, p.bands + 1, dtype=np.uint64))
+    a, b = _factors(p.bands * p.rows, 71)
 
     def run(batches):
         for batch in batches:
@@ -99,15 +111,12 @@ def sketch(docs: DataFrame, p: NearDedup) -> DataFrame:
                 for doc_id, values in zip(ids[step.first : step.last], shingle_sets(step, p.words)):
                     if not len(values) or doc_id is None:
                         continue
-                    least = _minima(values, a, b)
-                    bands = mix((least.reshape(p.bands, p.rows) * GRAM[: p.rows]).sum(axis=1, dtype=np.uint64) + salt)
                     rows.append(
                         (
                             doc_id,
                             len(values),
                             xxhash.xxh3_128_digest(values.tobytes()),
-                            (least & np.uint64(255)).astype(np.uint8).tobytes(),
-                            bands.view(np.int64),
+                            _bands(values, p, a, b).view(np.int64),
                         )
                     )
             if rows:
@@ -116,50 +125,47 @@ def sketch(docs: DataFrame, p: NearDedup) -> DataFrame:
                         pa.array([r[0] for r in rows], pa.int64()),
                         pa.array([r[1] for r in rows], pa.int64()),
                         pa.array([r[2] for r in rows], pa.binary()),
-                        pa.array([r[3] for r in rows], pa.binary()),
-                        pa.array([r[4] for r in rows], pa.list_(pa.int64())),
+                        pa.array([r[3] for r in rows], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "print", "signature", "bands"],
+                    names=["doc_id", "n_shingles", "print", "bands"],
                 )
 
     return texts(docs, "doc_id").mapInArrow(run, SKETCH)
 
 
+def _signature(p: NearDedup) -> list[str]:
+    """Columns of a signature: the first longs, then the rest as an array."""
+    return [*[f"s{k}" for k in range(p.quick_longs)], "more"]
+
+
 def _sets(docs: DataFrame, p: NearDedup) -> DataFrame:
-    """(doc_id, shingles) of documents."""
+    """(doc_id, shingles, bands, s0, s1 ..., more) of documents; bands have 31 bits here."""
+    a, b = _factors(64 * p.longs, 72)
+    of_bands = _factors(p.bands * p.rows, 71)
 
     def run(batches):
         for batch in batches:
             for step in steps(batch.column(1)):
-                values = [v.view(np.int64) for v in shingle_sets(step, p.words)]
+                values = list(shingle_sets(step, p.words))
+                bits = [(_minima(v, a, b) & np.uint64(1)).astype(np.uint8) for v in values]
+                longs = np.packbits(np.array(bits, np.uint8), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(step.first, len(values)).cast(pa.int64()),
-                        pa.array(values, pa.list_(pa.int64())),
+                        pa.array([v.view(np.int64) for v in values], pa.list_(pa.int64())),
+                        pa.array(
+                            [(_bands(v, p, *of_bands) >> np.uint64(33)).astype(np.int32) for v in values],
+                            pa.list_(pa.int32()),
+                        ),
+                        *[pa.array(np.ascontiguousarray(x)) for x in longs.T[: p.quick_longs]],
+                        pa.array(list(longs[:, p.quick_longs :]), pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "shingles"],
+                    names=["doc_id", "shingles", "bands", *_signature(p)],
                 )
 
-    return texts(docs, "doc_id").mapInArrow(run, "doc_id long, shingles array<long>")
-
-
-def _similar(pairs: DataFrame, signatures: DataFrame, least: int) -> DataFrame:
-    """Pairs whose signatures agree in at least ``least`` bytes."""
-
-    def run(batches):
-        for batch in batches:
-            left, right = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                for k in (2, 3)
-            )
-            yield pa.RecordBatch.from_arrays(
-                batch.columns[:2], names=["lo", "hi"]
-            ).filter(pa.array((left == right).sum(axis=1) >= least))
-
-    lo = signatures.select(F.col("doc_id").alias("lo"), F.col("signature").alias("left"))
-    hi = signatures.select(F.col("doc_id").alias("hi"), F.col("signature").alias("right"))
-    joined = pairs.join(lo, "lo").join(hi, "hi").select("lo", "hi", "left", "right")
-    return joined.mapInArrow(run, "lo long, hi long")
+    quick = "".join(f"s{k} long, " for k in range(p.quick_longs))
+    schema = f"doc_id long, shingles array<long>, bands array<int>, {quick}more array<long>"
+    return texts(docs, "doc_id").mapInArrow(run, schema)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -176,6 +182,11 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _differ(a: Column, b: Column) -> Column:
+    """Number of bits in which two longs differ."""
+    return F.bit_count(a.bitwiseXOR(b))
+
+
 def _open_buckets(members: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one component."""
     mixed = (
@@ -204,26 +215,36 @@ def link(docs: DataFrame, tables: Tables, p: NearDedup) -> tuple[DataFrame, Data
     live = tables.keep(_open_buckets(banded), "live")
 
     candidates = live.select("doc_id").distinct()
-    sets = tables.keep(_sets(docs.join(candidates, "doc_id", "left_semi"), p), "sets")
-    signatures = tables.keep(
-        sketches.select("doc_id", "signature").join(candidates, "doc_id", "left_semi"), "signatures"
-    )
-    found, centres = components(copies, tables), 1
+    sets = tables.keep(_sets(docs.join(candidates, "doc_id", "left_semi"), p).dropDuplicates(["doc_id"]), "sets")
+    live = tables.keep(live.join(sets.select("doc_id", "bands", *_signature(p)), "doc_id"), "live0")
+    tables.drop("live")
+    columns = live.columns
+    quick = reduce(Column.__add__, [_differ(F.col(s), F.col(f"c_{s}")) for s in _signature(p)[:-1]])
+    whole = F.aggregate(F.zip_with("more", "c_more", _differ), quick, lambda a, x: a + x)
+    found, centres, turn = components(copies, tables), 1, 0
     while not live.isEmpty():
         order = Window.partitionBy("key").orderBy("doc_id")
         chosen = (
             live.withColumn("rank", F.row_number().over(order))
             .where(F.col("rank") <= centres)
-            .select("key", F.col("doc_id").alias("lo"), F.col("component_id").alias("of"))
+            .select("key", F.col("doc_id").alias("lo"), F.col("component_id").alias("of"), F.col("bands").alias("c_bands"),
+                    *[F.col(s).alias(f"c_{s}") for s in _signature(p)])
         )
-        chosen = tables.keep(chosen, "centres")
-        pairs = (
-            live.join(chosen, "key")
-            .where("doc_id > lo and component_id <> of")
+        chosen = tables.keep(chosen, f"centres{turn}")
+        similar = (
+            live.join(
+                chosen.withColumnRenamed("key", "k"),
+                (F.col("key") == F.col("k"))
+                & (F.col("doc_id") > F.col("lo"))
+                & (F.col("component_id") != F.col("of"))
+                & (quick <= p.most_different(p.quick_longs))
+                & (whole <= p.most_different(p.longs))
+                & (F.array_min(F.array_intersect("bands", "c_bands")) == F.shiftrightunsigned("key", 33).cast("int")),
+            )
             .select("lo", F.col("doc_id").alias("hi"))
             .distinct()
         )
-        similar = tables.keep(_similar(pairs, signatures, p.least_matches), "similar")
+        similar = tables.keep(similar, "similar")
         links = tables.keep(_linked(similar, sets, p.percent), "links")
         if not links.isEmpty():
             known = found.select(F.col("doc_id").alias("hi"), F.col("component_id").alias("lo"))
@@ -237,10 +258,12 @@ def link(docs: DataFrame, tables: Tables, p: NearDedup) -> tuple[DataFrame, Data
             .join(found, "doc_id", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
         )
-        live = tables.keep(_open_buckets(rest).select("key", "doc_id", "component_id"), "live")
+        turn += 1
+        live = tables.keep(_open_buckets(rest).select(columns), f"live{turn}")
+        tables.drop(f"live{turn - 1}", f"centres{turn - 1}")
         centres *= 8
     found = tables.keep(found, "found")
-    tables.drop("live", "sets", "signatures", "centres", "similar", "links", "edges", "copies")
+    tables.drop(f"live{turn}", "sets", "similar", "links", "edges", "copies")
     return sketches.select("doc_id", "n_shingles"), found
 
 
@@ -270,3 +293,16 @@ def near_duplicates(
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def unique(spark: SparkSession, docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
+    """The documents kept, with the columns given. Of rows that share an id one stays;
+    rows with a null id, and documents without words, all stay."""
+    tables = Tables(spark, "near")
+    _, found = link(docs, tables, p)
+    gone = found.select(F.col("doc_id").alias("gone"))
+    rows = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        return rows
+    return rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionAll(rows.where("doc_id IS NULL"))
