@@ -143,3 +143,23 @@ SELECT o.doc_id, o.size, o.source_size, o.target, o.taken::BIGINT AS taken,
   CASE WHEN taken > 0 THEN (rank - 1) // (SELECT greatest(1, ceil(n / 64)::BIGINT) FROM b) ELSE -1 END AS shard
 FROM o LEFT JOIN seats ON seats.source IS NOT DISTINCT FROM o.source AND seats.k = (o.first // 64)::BIGINT
 """
+
+ORACLE["op7_substring_dedup"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents
+), g AS (
+  SELECT id, doc_id, unnest(range(1, len(w) - 11)) AS p,
+    unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS g
+  FROM d WHERE len(w) >= 13
+), o AS (SELECT g, min(doc_id) AS least FROM g GROUP BY g HAVING min(doc_id) < max(doc_id)
+), c AS (
+  SELECT id, list(DISTINCT p + k) AS gone FROM g JOIN o USING (g), range(13) AS t(k)
+  WHERE g.doc_id > o.least GROUP BY id
+), k AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+    array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+      list_transform(list_sort(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i))), lambda i: w[i]) END, ' ') AS t
+  FROM d LEFT JOIN c USING (id)
+)
+SELECT doc_id, n_words, n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM k
+"""

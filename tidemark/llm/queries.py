@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import decontaminate, mixing, near_dedup, quality, token_files
+from tidemark.llm import decontaminate, mixing, near_dedup, quality, substring_dedup, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     p = token_files.TokenFiles(public_tokenizers.path("word_bpe_49k.json"))
     return token_files.encoded(spark, table(spark, sf_dir, "documents"), p)
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(spark, table(spark, sf_dir, "documents"))
