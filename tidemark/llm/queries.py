@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import decontaminate, mixing, near_dedup, quality, substring_dedup, token_files
+from tidemark.llm import decontaminate, mixing, near_dedup, pii, quality, substring_dedup, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +75,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.without_repeats(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(spark, table(spark, sf_dir, "documents"))
