@@ -21,6 +21,9 @@ STEP_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# White space and ASCII punctuation.
+MARKS = _SPACE.copy()
+MARKS[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _SEEDED = np.random.Generator(np.random.PCG64(20240917))
@@ -62,9 +65,10 @@ class Step:
     def __init__(self, first: int, last: int, data: np.ndarray, offsets: np.ndarray):
         self.first, self.last, self.data, self.offsets = first, last, data, offsets
 
-    def words(self) -> None:
-        """Find the words: ``starts`` and ``ends`` in bytes, ``bounds`` of each document's words."""
-        space = _SPACE[self.data]
+    def words(self, between: np.ndarray = _SPACE) -> None:
+        """Find the words: ``starts`` and ``ends`` in bytes, ``bounds`` of each document's words.
+        ``between`` tells which bytes are none of a word."""
+        space = between[self.data]
         edge = np.ones(len(space) + 1, bool)
         edge[1:] = space
         edge[self.offsets] = True

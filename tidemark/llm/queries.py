@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import decontaminate, mixing, near_dedup, pii, quality, substring_dedup, token_files
+from tidemark.llm import decontaminate, mixing, near_dedup, pii, quality, substring_dedup, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +80,8 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
