@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import decontaminate, mixing, near_dedup, pii, quality, substring_dedup, token_files, toxicity
+from tidemark.llm import decontaminate, language_model, mixing, near_dedup, pii, quality, substring_dedup, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,3 +85,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(spark, table(spark, sf_dir, "documents"))
