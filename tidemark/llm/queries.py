@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import decontaminate, language_model, mixing, near_dedup, pii, quality, substring_dedup, token_files, toxicity
+from tidemark.llm import decontaminate, language_model, mixing, near_dedup, pii, quality, substring_dedup, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivative_records(spark, table(spark, sf_dir, "pages")).drop("path")
