@@ -36,31 +36,27 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.node = d.doc_id
 
 def _quality() -> str:
     q = QualityRules()
-    start = ", ".join(f"{q.bad_if_good} AS g_{r}, {q.bad_if_bad} AS b_{r}" for r in RULES)
+    start = ", ".join(f"{q.accuracy} AS a_{r}" for r in RULES)
     score = "ln(prior / (1 - prior))" + "".join(
-        f" + CASE {r} WHEN 1 THEN ln((1 - g_{r}) / (1 - b_{r})) WHEN 0 THEN ln(g_{r} / b_{r}) ELSE 0 END"
-        for r in RULES
+        f" + CASE {r} WHEN 1 THEN ln(a_{r} / (1 - a_{r})) WHEN 0 THEN -ln(a_{r} / (1 - a_{r})) ELSE 0 END" for r in RULES
     )
     good = f"(1 / (1 + exp(-({score}))))"
-    if_good = "least(greatest((bg_{r} + 0.5) / (vg_{r} + 1), 0.001), 0.4)"
-    if_bad = "least(greatest((b_{r} - bg_{r} + 0.5) / (v_{r} - vg_{r} + 1), {good}, 0.05), 0.95)"
     rounds = []
     for k in range(q.rounds):
         sums = ", ".join(
-            f"sum(CASE WHEN {r} IS NOT NULL THEN good ELSE 0 END) AS vg_{r},"
-            f" sum(CASE WHEN {r} IS NOT NULL THEN n ELSE 0 END) AS v_{r},"
-            f" sum(CASE WHEN {r} = 0 THEN good ELSE 0 END) AS bg_{r},"
-            f" sum(CASE WHEN {r} = 0 THEN n ELSE 0 END) AS b_{r}"
+            f"sum(CASE WHEN {r} IS NOT NULL THEN n ELSE 0 END) AS v_{r},"
+            f" sum(CASE {r} WHEN 1 THEN good WHEN 0 THEN n - good ELSE 0 END) AS r_{r}"
             for r in RULES
         )
         rates = ", ".join(
-            f"{if_good.format(r=r)} AS g_{r}, {if_bad.format(r=r, good=if_good.format(r=r))} AS b_{r}" for r in RULES
+            f"least(greatest((r_{r} + {q.accuracy}) / (v_{r} + 1), {q.least_accuracy}), {q.most_accuracy}) AS a_{r}"
+            for r in RULES
         )
         rounds.append(
             f"e{k} AS (SELECT sum(n) AS n, sum(good) AS good, {sums} FROM"
             f" (SELECT patterns.*, n * {good} AS good FROM patterns, p{k})),\n"
             f"p{k + 1} AS MATERIALIZED (SELECT"
-            f" least(greatest((good + 0.5) / (n + 1), 0.02), 0.98) AS prior, {rates} FROM e{k})"
+            f" least(greatest((good + {q.prior}) / (n + 1), {q.least_prior}), {q.most_prior}) AS prior, {rates} FROM e{k})"
         )
     votes = ", ".join(f"{rule} AS {name}" for name, rule in RULES.items())
     return f"""

@@ -31,22 +31,19 @@ MEASURES = (
     "n_ends",
 )
 
-# Votes: 1 good, 0 bad, null abstains. The text is valid in Spark SQL and in DuckDB.
+# Votes: 1 good, 0 bad, null abstains. The text is valid in Spark SQL and in DuckDB. A
+# rule for one kind of junk has nothing to say of a text without it, so it abstains there:
+# junk of one kind is not outvoted by rules for other kinds.
 RULES = {
-    "length": "CASE WHEN n_words < 50 THEN 0 WHEN n_words >= 100 THEN 1 END",
-    "word_length": "CASE WHEN 2 * word_chars < 5 * n_words OR word_chars > 12 * n_words THEN 0"
-    " WHEN word_chars >= 3 * n_words AND word_chars <= 9 * n_words THEN 1 END",
-    "symbols": "CASE WHEN 10 * n_symbols > n_words THEN 0 WHEN 100 * n_symbols <= n_words THEN 1 END",
-    "lines": "CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 0"
-    " WHEN n_lines >= 3 AND 20 * n_dup_lines <= n_lines THEN 1 END",
-    "repeats": "CASE WHEN 100 * n_repeat_words > 35 * n_words THEN 0"
-    " WHEN 100 * n_repeat_words <= 20 * n_words THEN 1 END",
-    "capitals": "CASE WHEN 10 * n_upper > 3 * n_letters THEN 0"
-    " WHEN n_letters > 0 AND 8 * n_upper <= n_letters THEN 1 END",
-    "bare_words": "CASE WHEN 10 * n_bare_words > n_words THEN 0"
-    " WHEN n_words > 0 AND 50 * n_bare_words <= n_words THEN 1 END",
-    "sentences": "CASE WHEN 2 * n_ends > n_words OR (n_words >= 100 AND 200 * n_ends < n_words) THEN 0"
-    " WHEN 4 * n_ends <= n_words AND 50 * n_ends >= n_words THEN 1 END",
+    "word_length": "CASE WHEN 2 * word_chars < 5 * n_words OR word_chars > 12 * n_words THEN 0 END",
+    "symbols": "CASE WHEN 10 * n_symbols > n_words THEN 0 END",
+    "lines": "CASE WHEN 2 * n_dup_lines > n_lines THEN 0 END",
+    "repeats": "CASE WHEN 100 * n_repeat_words > 35 * n_words THEN 0 END",
+    "capitals": "CASE WHEN 10 * n_upper > 3 * n_letters THEN 0 END",
+    "bare_words": "CASE WHEN 10 * n_bare_words > n_words THEN 0 END",
+    "sentences": "CASE WHEN 2 * n_ends > n_words OR (n_words >= 200 AND n_ends = 0) THEN 0 END",
+    "prose": "CASE WHEN 50 * n_ends >= n_words AND 4 * n_ends <= n_words AND 100 * n_symbols <= n_words"
+    " AND 100 * n_bare_words <= n_words AND 8 * n_upper <= n_letters AND 10 * n_repeat_words <= n_words THEN 1 END",
 }
 
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
@@ -54,22 +51,27 @@ BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Start and end of the estimation. ``threshold`` is the least posterior kept."""
+    """Start and end of the estimation. ``threshold`` is the least posterior kept;
+    ``least_accuracy`` and ``most_accuracy`` bound what may be estimated of a rule: one
+    that seldom votes is not found worthless, nor certain, by chance."""
 
     rules: dict[str, str] = field(default_factory=lambda: dict(RULES))
     prior: float = 0.85
-    bad_if_good: float = 0.02
-    bad_if_bad: float = 0.4
+    accuracy: float = 0.95
+    least_accuracy: float = 0.92
+    most_accuracy: float = 0.995
+    least_prior: float = 0.5
+    most_prior: float = 0.9
     rounds: int = 15
     threshold: float = 0.5
 
 
 @dataclass(frozen=True)
 class Fitted:
-    """``rates``: for each rule, how often it votes bad on good and on bad documents."""
+    """The share of good documents, and how often each rule's votes are right."""
 
     prior: float
-    rates: dict[str, tuple[float, float]]
+    accuracy: dict[str, float]
 
 
 def measure(docs: DataFrame, carry: list[str]) -> DataFrame:
@@ -120,10 +122,11 @@ def measure(docs: DataFrame, carry: list[str]) -> DataFrame:
 def _score(p: Fitted) -> Column:
     """Log odds that a document is good."""
     score = F.lit(math.log(p.prior / (1 - p.prior)))
-    for name, (if_good, if_bad) in p.rates.items():
-        score = score + F.when(F.col(name) == 1, F.lit(math.log((1 - if_good) / (1 - if_bad)))).when(
-            F.col(name) == 0, F.lit(math.log(if_good / if_bad))
-        ).otherwise(F.lit(0.0))
+    for name, accuracy in p.accuracy.items():
+        weight = math.log(accuracy / (1 - accuracy))
+        score = score + F.when(F.col(name) == 1, F.lit(weight)).when(F.col(name) == 0, F.lit(-weight)).otherwise(
+            F.lit(0.0)
+        )
     return score
 
 
@@ -134,34 +137,27 @@ def posterior(p: Fitted) -> Column:
 def fit(patterns: DataFrame, q: QualityRules) -> Fitted:
     """EM over vote patterns with columns of ``q.rules`` and their count ``n``.
 
-    A rule must vote bad more often on bad documents than on good ones; that bound keeps
-    the classes from changing places. Counts are smoothed by one half.
+    The bounds keep the two classes from changing places. Counts are smoothed by one vote.
     """
-    now = Fitted(q.prior, {name: (q.bad_if_good, q.bad_if_bad) for name in q.rules})
+    now = Fitted(q.prior, {name: q.accuracy for name in q.rules})
     for _ in range(q.rounds):
         weighed = patterns.withColumn("good", F.col("n") * posterior(now))
         sums = [F.sum("n").alias("n"), F.sum("good").alias("good")]
         for name in q.rules:
-            votes, bad = F.col(name).isNotNull(), F.col(name) == 0
+            right = F.when(F.col(name) == 1, F.col("good")).when(F.col(name) == 0, F.col("n") - F.col("good"))
             sums += [
-                F.sum(F.when(votes, F.col("good")).otherwise(0.0)).alias(f"{name}_votes_good"),
-                F.sum(F.when(votes, F.col("n")).otherwise(0)).alias(f"{name}_votes"),
-                F.sum(F.when(bad, F.col("good")).otherwise(0.0)).alias(f"{name}_bad_good"),
-                F.sum(F.when(bad, F.col("n")).otherwise(0)).alias(f"{name}_bad"),
+                F.sum(F.when(F.col(name).isNotNull(), F.col("n")).otherwise(0)).alias(f"{name}_votes"),
+                F.sum(right.otherwise(0.0)).alias(f"{name}_right"),
             ]
         r = weighed.agg(*sums).first()
         if not r["n"]:
             return now
-        rates = {}
-        for name in q.rules:
-            if_good = (r[f"{name}_bad_good"] + 0.5) / (r[f"{name}_votes_good"] + 1.0)
-            if_bad = (r[f"{name}_bad"] - r[f"{name}_bad_good"] + 0.5) / (
-                r[f"{name}_votes"] - r[f"{name}_votes_good"] + 1.0
-            )
-            if_good = min(max(if_good, 0.001), 0.4)
-            rates[name] = (if_good, min(max(if_bad, if_good, 0.05), 0.95))
-        prior = min(max((r["good"] + 0.5) / (r["n"] + 1.0), 0.02), 0.98)
-        now = Fitted(prior, rates)
+        accuracy = {
+            name: min(max((r[f"{name}_right"] + q.accuracy) / (r[f"{name}_votes"] + 1), q.least_accuracy), q.most_accuracy)
+            for name in q.rules
+        }
+        prior = min(max((r["good"] + q.prior) / (r["n"] + 1), q.least_prior), q.most_prior)
+        now = Fitted(prior, accuracy)
     return now
 
 

@@ -214,7 +214,8 @@ def derive(files: DataFrame, p: WarcFiles) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 system, base = _system(path)
-                stem, base_stem = (x.removesuffix(".warc.gz") + "-" + uuid.uuid4().hex for x in (path, base))
+                own = uuid.uuid4().hex
+                stem, base_stem = (f"{x.removesuffix('.warc.gz')}-{own}" for x in (path, base))
                 ends = {"metadata": ".wat.gz", "conversion": ".wet.gz"}
                 outs = {k: system.open_output_stream(base_stem + e, compression=None) for k, e in ends.items()}
                 rows, held = [], 0
