@@ -111,7 +111,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, p: Toxicity) -> DataFrame:
                 )
 
     # At most ``sample`` ids with their labels.
-    joined = docs.join(F.broadcast(chosen), "doc_id").select("label", "h", F.col("text").cast("binary").alias("text"))
+    joined = texts(docs, "doc_id").join(F.broadcast(chosen), "doc_id").select("label", "h", "text")
     return joined.mapInArrow(run, "label int, h long, slots array<int>")
 
 
