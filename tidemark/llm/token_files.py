@@ -16,10 +16,12 @@ shards is an ordinary table, so files of lost or repeated attempts are never rea
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,7 +54,7 @@ class TokenFiles:
     vocabulary: str
     end_id: int = 1
     id_bytes: int = 2
-    level: int = 6
+    level: int = 3
     dictionary_bytes: int = 1 << 16
     sample_docs: int = 2000
     sample_ids: int = 2048
@@ -63,41 +65,62 @@ class TokenFiles:
         return np.dtype(f"<u{self.id_bytes}")
 
 
+# ASCII marks that the pre-tokenizer always parts from a letter before them.
+_MARKS = b".,!?;:*%$&#"
+# Letters of ASCII and Latin-1, which are already composed and have one small form each.
+_SIMPLE = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+")
+
+
 class WordEncoder:
     """Ids of texts, word by word.
 
-    The vocabulary's pre-tokenizer drops white space and never joins letters across it,
-    so a text's ids are those of its words in turn, and words repeat. A cache maps words
-    to their ids; all words of a batch are then put together by array operations.
+    The vocabulary's normalizer makes all letters small, and its pre-tokenizer drops white
+    space and never joins letters across it. So a text's ids are those of its words in
+    turn, A-Z may be made small first, and marks after a word stand for themselves. A word
+    of small letters only, with or without accents, is left alone by both steps and goes
+    straight to the merges. A cache maps words to their ids; all words of a batch are then
+    put together by array operations.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        # Letters as the model writes their bytes.
+        written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {c: written(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 16, np.int64)
-        self.used = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in words], add_special_tokens=False
-        )
-        for word, encoding in zip(words, found):
-            ids = encoding.ids
-            at, number = self.used, len(self.known)
-            while at + len(ids) > len(self.ids):
-                self.ids = np.append(self.ids, np.empty_like(self.ids))
-            if number + 2 > len(self.first):
-                self.first = np.append(self.first, np.zeros_like(self.first))
-            self.ids[at : at + len(ids)] = ids
-            self.used = at + len(ids)
-            self.first[number + 1] = self.used
+        self.ids, self.first = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.stored = 0
+
+    def _ids(self, word: bytes) -> list[int]:
+        number = self.known.get(word, self.stored)
+        if number < self.stored:
+            return self.ids[self.first[number] : self.first[number + 1]].tolist()
+        text = word.decode("utf-8", "replace")
+        if _SIMPLE.fullmatch(text):
+            small = text.lower()
+            return [t.id for t in self.model.tokenize(small if small.isascii() else small.translate(self.letters))]
+        core = word.rstrip(_MARKS)
+        if core and len(core) < len(word) and _SIMPLE.fullmatch(core.decode("utf-8", "replace")):
+            return self._ids(core) + self._ids(word[len(core) :])
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        ids, ends = [], []
+        for number, word in enumerate(words, len(self.known)):
+            ids += self._ids(word)
+            ends.append(len(ids))
             self.known[word] = number
+        ends = np.array(ends, np.int64) + len(self.ids)
+        self.ids = np.concatenate((self.ids, np.array(ids, np.uint32)))
+        self.first = np.concatenate((self.first, ends))
+        self.stored = len(self.known)
 
     def encode(self, documents: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -113,7 +136,8 @@ class WordEncoder:
         return out
 
     def _some(self, documents: list[bytes]) -> list[np.ndarray]:
-        split = [d.split() for d in documents]
+        # Capitals could spell a special token once they are small.
+        split = [(d if b"<|" in d else d.translate(_SMALL)).split() for d in documents]
         words = [w for s in split for w in s]
         if not words:
             return [np.empty(0, np.uint32)] * len(documents)
@@ -121,7 +145,7 @@ class WordEncoder:
             self._clear()
         new = set(words).difference(self.known)
         if new:
-            self._learn(list(new))
+            self._learn(new)
         which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         first, counts = self.first[which], self.first[which + 1] - self.first[which]
         total = np.concatenate(([0], np.cumsum(counts)))
@@ -130,6 +154,17 @@ class WordEncoder:
         return np.split(ids, ends[1:-1])
 
 
+_SMALL = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+_encoders: dict[str, WordEncoder] = {}
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a vocabulary; a worker keeps it, with its cache, from task to task."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def train_dictionary(docs: DataFrame, p: TokenFiles) -> bytes:
     """A dictionary trained on the serialized ids of a sample; empty if there is too little.
 
@@ -137,18 +172,18 @@ def train_dictionary(docs: DataFrame, p: TokenFiles) -> bytes:
     depend on how the table is stored. ``sample_ids`` cuts what of a document is learned
     from, as a dictionary is for short documents; nothing else is cut.
     """
-    letters = 16 * p.sample_ids
-    chosen = (
-        docs.where("text <> ''")
-        .select(F.xxhash64("text").alias("h"), F.substring("text", 1, letters).cast("binary").alias("text"))
-        .dropDuplicates(["h"])
-        .orderBy("h")
-        .limit(p.sample_docs)
-        .collect()
-    )
-    encoder = WordEncoder(p.vocabulary)
+    hashed = docs.where("text <> ''").select(F.xxhash64("text").alias("h"))
+    least = [r["h"] for r in hashed.distinct().orderBy("h").limit(p.sample_docs).collect()]
+    if not least:
+        return b""
+    beginning = F.substring("text", 1, 16 * p.sample_ids).cast("binary").alias("text")
+    chosen = docs.where("text <> ''").where(F.xxhash64("text") <= least[-1]).select(F.xxhash64("text").alias("h"), beginning)
+    # Equal texts have one hash and count once; copies are combined before the shuffle.
+    texts_of = dict(chosen.groupBy("h").agg(F.max("text").alias("text")).collect())
+    encoder = word_encoder(p.vocabulary)
+    found = encoder.encode([bytes(texts_of[h]) for h in sorted(texts_of)])
     samples = [
-        x[: p.sample_ids].astype(p.kind).tobytes() for x in encoder.encode([bytes(r["text"]) for r in chosen])
+        x[: p.sample_ids].astype(p.kind).tobytes() for x in found
     ]
     samples = [s for s in samples if s]
     try:
@@ -161,7 +196,7 @@ def _pack(dictionary, p: TokenFiles) -> Callable:
     """Arrow batches of (doc_id, text) to (doc_id, n, frame)."""
 
     def run(batches):
-        encoder = WordEncoder(p.vocabulary)
+        encoder = word_encoder(p.vocabulary)
         words = dictionary.value
         learned = zstandard.ZstdCompressionDict(words) if words else None
         compressor = zstandard.ZstdCompressor(level=p.level, dict_data=learned)
