@@ -14,40 +14,42 @@ def clean(readings):
 
 def test_one_row_per_city_and_day(clean):
     daily = gold.daily_stats(gold.day_cube(clean))
-    rows = {r.city: r for r in daily.collect()}
-    assert len(rows) == 3
-    hanoi = rows["Hanoi"]
-    assert hanoi.measurement_count == 2
-    assert hanoi.avg_temperature == pytest.approx(31.3)
-    assert (hanoi.min_temperature, hanoi.max_temperature) == (30.1, 32.5)
+    rows = {(r.city, r.recorded_date.day): r for r in daily.collect()}
+    assert set(rows) == {("Aldermoor", 5), ("Aldermoor", 6), ("Brinkum", 5), ("Corvalho", 6)}
+    first = rows["Aldermoor", 5]
+    assert first.measurement_count == 2
+    assert first.avg_temperature == pytest.approx(6.0)
+    assert (first.min_temperature, first.max_temperature) == (4.25, 7.75)
     assert sum(r.measurement_count for r in rows.values()) == clean.count()
     assert all(r.min_temperature <= r.avg_temperature <= r.max_temperature for r in rows.values())
 
 
 def test_exact_means_match_plain_means(clean):
-    cube = gold.day_cube(clean, {"temperature": 2})
-    exact = {r.city: r.avg_temperature for r in gold.daily_stats(cube, {"temperature": 2}).collect()}
-    plain = {r.city: r.avg_temperature for r in gold.daily_stats(gold.day_cube(clean)).collect()}
-    assert exact == pytest.approx(plain)
+    def means(cube, digits=None):
+        return {(r.city, r.recorded_date): r.avg_temperature for r in gold.daily_stats(cube, digits).collect()}
+
+    exact = means(gold.day_cube(clean, {"temperature": 2}), {"temperature": 2})
+    assert exact == pytest.approx(means(gold.day_cube(clean)))
 
 
 def test_daily_fact_columns_and_keys(clean):
     cube = gold.day_cube(clean)
     fact = gold.daily_fact(cube, gold.dim_city(cube), gold.dim_date(cube))
-    rows = {r.city: r for r in fact.collect()}
-    assert [rows[c].city_id for c in ("Da Nang", "Hanoi", "Ho Chi Minh City")] == [1, 2, 3]
-    assert {r.date_id for r in rows.values()} == {1}
-    assert rows["Hanoi"].dominant_weather_condition == "Clear"  # a tie goes to the first name
-    assert rows["Hanoi"].temp_volatility is None  # one day has no deviation
-    assert (rows["Hanoi"].year, rows["Hanoi"].month) == (2024, 3)
+    rows = {(r.city, r.date_id): r for r in fact.collect()}
+    assert {k: r.city_id for k, r in rows.items()} == {
+        ("Aldermoor", 1): 1, ("Aldermoor", 2): 1, ("Brinkum", 1): 2, ("Corvalho", 2): 3,
+    }
+    assert rows["Aldermoor", 1].dominant_weather_condition == "Mist"  # a tie goes to the first name
+    assert rows["Brinkum", 1].temp_volatility is None  # one day has no deviation
+    assert (rows["Corvalho", 2].year, rows["Corvalho", 2].month) == (2022, 11)
 
 
 def test_monthly_counts_days_not_rows(clean):
     month = {r.city: r for r in gold.monthly_fact(gold.day_cube(clean)).collect()}
-    assert month["Da Nang"].rainy_day_count == 1
-    assert month["Hanoi"].clear_day_count == 1
-    assert month["Hanoi"].total_measurements == 2
-    assert month["Hanoi"].year_month == "2024-03"
+    assert month["Aldermoor"].rainy_day_count == 2
+    assert month["Aldermoor"].total_measurements == 3
+    assert month["Corvalho"].clear_day_count == 1
+    assert month["Corvalho"].year_month == "2022-11"
 
 
 def test_missing_condition_is_no_rain(clean):
@@ -58,20 +60,20 @@ def test_missing_condition_is_no_rain(clean):
 
 def test_summary_takes_latest_and_first(clean):
     summary = {r.city: r for r in gold.city_summary(gold.day_cube(clean)).collect()}
-    assert summary["Hanoi"].latest_temperature == 30.1
-    assert summary["Hanoi"].latest_humidity == 70.0
-    assert summary["Hanoi"].latitude == 21.02
-    assert summary["Hanoi"].total_days_tracked == 1
+    assert summary["Aldermoor"].latest_temperature == 3.5
+    assert summary["Aldermoor"].latest_humidity == 88.0
+    assert summary["Aldermoor"].latitude == 53.5
+    assert summary["Aldermoor"].total_days_tracked == 2
 
 
 def test_two_spellings_keep_one_latest_row(clean):
     """Grouping by country splits the city; the latest reading stays per city."""
-    other = clean.filter("city = 'Hanoi'").withColumns(
-        {"country": F.lit("Vietnam"), "recorded_dt": F.col("recorded_dt") + 1}
+    other = clean.filter("city = 'Aldermoor'").withColumns(
+        {"country": F.lit("Britain"), "recorded_dt": F.col("recorded_dt") + 1}
     )
-    rows = gold.city_summary(gold.day_cube(clean.union(other))).filter("city = 'Hanoi'").collect()
-    assert {r.country for r in rows} == {"VN", "Vietnam"}
-    assert {r.latest_temperature for r in rows} == {30.1}
+    rows = gold.city_summary(gold.day_cube(clean.union(other))).filter("city = 'Aldermoor'").collect()
+    assert {r.country for r in rows} == {"GB", "Britain"}
+    assert {r.latest_temperature for r in rows} == {3.5}
 
 
 def test_place_after_grouping_equals_before(clean):

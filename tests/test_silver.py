@@ -22,7 +22,7 @@ def mapped(readings):
 def messages(spark, *items):
     text = [(i if isinstance(i, str) else json.dumps(i),) for i in items]
     return spark.createDataFrame(text, "value string").withColumn(
-        "timestamp", F.lit("2024-03-27 12:00:00").cast("timestamp")
+        "timestamp", F.lit("2022-11-05 06:00:00").cast("timestamp")
     )
 
 
@@ -38,48 +38,48 @@ def messages(spark, *items):
 )
 def test_bad_rows_are_removed(mapped, change):
     bad = mapped.limit(1).withColumns({c: F.expr(e) for c, e in change.items()})
-    assert silver.clean(mapped.union(bad)).count() == 4
+    assert silver.clean(mapped.union(bad)).count() == 6
 
 
 def test_boundaries_are_kept(mapped):
     edge = mapped.limit(1).withColumns({"temperature": F.lit(-80.0), "humidity": F.lit(100)})
-    assert silver.clean(mapped.union(edge)).count() == 5
+    assert silver.clean(mapped.union(edge)).count() == 7
 
 
 def test_date_and_entity(mapped):
-    out = silver.silver(mapped, "Hanoi")
-    assert out.count() == 2
+    out = silver.silver(mapped, "Aldermoor")
+    assert out.count() == 3
     days = {r.recorded_date for r in out.collect()}
-    assert days == {datetime.date(2024, 3, 27)}
-    assert silver.clean(mapped, ["Hanoi", "Da Nang"]).count() == 3
+    assert days == {datetime.date(2022, 11, 5), datetime.date(2022, 11, 6)}
+    assert silver.clean(mapped, ["Aldermoor", "Brinkum"]).count() == 4
 
 
 def test_stream_mapping(spark):
     rows = messages(
         spark,
-        message("Hanoi", 1711540800, 32.5, main="Clear", country="US"),
-        message("Da Nang", 1711540800, 28.3, weather=[]),
-        {**message("Hue", 1711540800), "unknown": {"x": 1}},
+        message("Aldermoor", 1667628000, 4.25, main="Rain", country="US"),
+        message("Brinkum", 1667628000, -1.5, weather=[]),
+        {**message("Corvalho", 1667628000), "unknown": {"x": 1}},
         "{not json",
     )
     bronze = parse_messages(rows)
     assert bronze.schema == schemas.STREAM_BRONZE or [f.name for f in bronze.schema] == schemas.STREAM_BRONZE.names
     assert bronze.count() == 4
     out = {r.city: r for r in silver.union_bronze(bronze, None).collect()}
-    assert out["Hanoi"].country == "United States"
-    assert out["Hanoi"].weather_condition == "Clear"
-    assert out["Hanoi"].source == "openweather_api"
-    assert out["Hanoi"].recorded_at == datetime.datetime(2024, 3, 27, 12, 0)
-    assert out["Da Nang"].weather_condition is None
-    assert out["Hue"].temperature == 20.0
+    assert out["Aldermoor"].country == "United States"
+    assert out["Aldermoor"].weather_condition == "Rain"
+    assert out["Aldermoor"].source == "openweather_api"
+    assert out["Aldermoor"].recorded_at == datetime.datetime(2022, 11, 5, 6, 0)
+    assert out["Brinkum"].weather_condition is None
+    assert out["Corvalho"].temperature == 11.5
     assert out[None].temperature is None
 
 
 def test_bad_leaf_keeps_siblings(spark):
-    bad = message("Hanoi", 1)
+    bad = message("Aldermoor", 1)
     bad["main"]["pressure"] = 1010.5
     row = silver.map_stream(parse_messages(messages(spark, bad))).first()
-    assert row.pressure is None and row.temperature == 20.0
+    assert row.pressure is None and row.temperature == 11.5
 
 
 def test_batch_mapping_fills_missing_columns(spark):
@@ -96,9 +96,9 @@ def test_batch_mapping_fills_missing_columns(spark):
 
 def test_both_feeds_share_one_schema(spark, mapped):
     batch = mapped.select("city", "temperature", F.col("recorded_at").alias("datetime"))
-    both = silver.union_bronze(parse_messages(messages(spark, message("Hanoi", 1))), batch)
+    both = silver.union_bronze(parse_messages(messages(spark, message("Aldermoor", 1))), batch)
     assert both.schema["recorded_at"].dataType.typeName() == "timestamp"
-    assert both.count() == 5
+    assert both.count() == 7
     assert silver.union_bronze(None, None) is None
 
 
@@ -107,8 +107,8 @@ def test_newest_ingest_wins(mapped):
         {"temperature": F.col("temperature") + 1, "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")}
     )
     out = silver.unique(mapped.union(newer))
-    assert out.count() == 4
-    assert out.filter("city = 'Da Nang'").first().temperature == pytest.approx(29.3)
+    assert out.count() == 6
+    assert out.filter("city = 'Brinkum'").first().temperature == pytest.approx(-0.5)
 
 
 def test_validation(mapped):
@@ -129,4 +129,4 @@ def test_bronze_validation_only_warns(spark, mapped):
         F.lit(None).cast("string").alias("city"), F.col("recorded_at").alias("datetime"), "ingested_at"
     )
     total, warnings = validation.bronze(None, holes)
-    assert total == 4 and any("without city" in w for w in warnings)
+    assert total == 6 and any("without city" in w for w in warnings)
