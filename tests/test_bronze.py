@@ -57,6 +57,18 @@ def test_ingest_is_repeatable(spark, lake):
     assert files.new_files(spark, lake.landing, lake.manifest).count() == 0
 
 
+def test_later_files_add_only_their_own_rows(spark, lake):
+    bronze.run_batch(spark, lake)
+    with open(f"{lake.landing}/notes.csv", "w") as f:
+        f.write("a,b\n1,2\n")
+    assert bronze.run_batch(spark, lake) == 0
+    with open(f"{lake.landing}/pressure.csv", "w") as f:
+        f.write("datetime,Chicago\n2012-10-01 12:00:00,1010\n")
+    assert bronze.run_batch(spark, lake) == 1
+    assert bronze.run_batch(spark, lake) == 0
+    assert tables.read_table(spark, lake.table("bronze_weather_batch")).count() == 9
+
+
 def test_manifest_sees_only_new_files(spark, lake):
     found = files.new_files(spark, lake.landing, lake.manifest)
     assert found.count() == 4

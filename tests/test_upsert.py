@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -119,6 +120,20 @@ def test_expired_commits_are_deleted(spark, table):
     assert table.merge(frame(spark, {("a", 0): 10})) == 5
 
 
+def test_age_counts_from_the_next_version(spark, table):
+    """A version replaced just now keeps its files, however old it is."""
+    table.merge(frame(spark, {("a", 0): 1}))
+    reader = table.read()
+    week = time.time() - 8 * 86400
+    for folder, _, names in os.walk(table.root):
+        for path in [folder, *(os.path.join(folder, n) for n in names)]:
+            os.utime(path, (week, week))
+    table.merge(frame(spark, {("a", 0): 2}))
+    assert table.expire() == 0
+    assert content(reader) == {("a", 0): 1}
+    assert table.changed_since(1) == table.changed_since(0) == table.changed_since(99) != []
+
+
 def test_merge_leaves_no_scratch(spark, table):
     from tidemark.config import shared_folder
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from tidemark.config import TABLE_NAMES, LakeConfig, build_session, size_shuffles
 from tidemark.operators import sinks
@@ -25,7 +26,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--full", action="store_true", help="silver: read all of bronze again")
     args = parser.parse_args(argv)
 
-    lake = LakeConfig(args.root) if args.root else LakeConfig.from_env()
+    lake = LakeConfig.from_env()
+    if args.root:
+        lake = replace(lake, root=args.root.rstrip("/"))
     spark = build_session(f"tidemark {args.step}")
     inputs = {
         "silver": [lake.table("bronze_weather_batch"), lake.table("bronze_weather_streaming")],

@@ -38,9 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    # props holds the one field {"k": n}. Matching it costs a fraction of a JSON parse,
-    # which a filter on the derived humidity would even repeat.
-    k = F.regexp_extract("props", r'"k":\s*(\d+)', 1)
+    k = F.get_json_object("props", "$.k")
     parsed = events.withColumn("k", k.try_cast("int"))
     k, instant = F.col("k"), F.col("ts").cast("timestamp")
     return parsed.select(

@@ -17,7 +17,7 @@ from tidemark.ml import prepare, scoring, training
 from tidemark.operators import aggregates, quality, sinks
 from tidemark.operators.joins import align_outer, align_outer_by_join, attach
 from tidemark.operators.ranking import dense_key, keep_first
-from tidemark.operators.series import ROWS_PER_TASK, forward_fill, over_series
+from tidemark.operators.series import forward_fill, over_series
 from tidemark.operators.shape import conform, expand, tag, union_sources, unpivot
 from tidemark.operators.upsert import VersionedTable, merge_rows
 from tidemark.plans import bronze, features, gold, online, reports, silver, validation
@@ -276,9 +276,8 @@ def fine_grain_lags(spark, d):
     ).select("city", "recorded_at", "temp", "temp_lag_1h", "temp_lag_3h", "temp_24h_ma", "temp_168h_ma")
 
 
-def _block_rows(spark, d) -> int:
-    """Rows per block that split every condition, which all hold about a fifth of the rows."""
-    return min(ROWS_PER_TASK, max(100, obs.table(spark, d, "events").count() // 40))
+# Rows per block: few enough that the conditions are split at every scale.
+BLOCK_ROWS = 100
 
 
 @query
@@ -304,7 +303,7 @@ def split_series_lags(spark, d):
         columns,
         back=24,
         ahead=2,
-        rows_per_task=_block_rows(spark, d),
+        rows_per_task=BLOCK_ROWS,
     )
 
 
@@ -339,7 +338,7 @@ def forward_fill_split(spark, d):
         ["weather_condition"],
         ["recorded_at", "event_id"],
         ["temperature"],
-        rows_per_task=_block_rows(spark, d),
+        rows_per_task=BLOCK_ROWS,
     )
 
 
@@ -634,7 +633,7 @@ def _message_folder(spark, d) -> str:
 @query
 def stream_parse(spark, d):
     target, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-ck")
-    parsed = ingest.parse_messages(read_folder(spark, _message_folder(spark, d), files_per_batch=4))
+    parsed = ingest.parse_messages(read_folder(spark, _message_folder(spark, d)))
     ingest.append_stream(parsed, target, checkpoint, available_now=True).awaitTermination()
     return silver.map_stream(spark.read.parquet(target)).select(
         "city", "country", "temperature", "humidity", "pressure", "wind_speed",
@@ -650,7 +649,7 @@ def _stream_silver(batch: DataFrame) -> DataFrame:
 def stream_silver(spark, d):
     """Micro-batches cleaned and upserted into a keyed table."""
     table = VersionedTable(spark, scratch_path(spark, "silver"), silver.KEYS, "recorded_date")
-    parsed = ingest.parse_messages(read_folder(spark, _message_folder(spark, d), files_per_batch=4))
+    parsed = ingest.parse_messages(read_folder(spark, _message_folder(spark, d)))
     ingest.upsert_stream(
         parsed, table, scratch_path(spark, "silver-ck"), _stream_silver, available_now=True
     ).awaitTermination()
@@ -660,7 +659,7 @@ def stream_silver(spark, d):
 @query
 def stream_hourly(spark, d):
     """Hourly roll-up in update mode; changed windows are upserted by key."""
-    parsed = ingest.parse_messages(read_folder(spark, _message_folder(spark, d), files_per_batch=4))
+    parsed = ingest.parse_messages(read_folder(spark, _message_folder(spark, d)))
     rows = silver.clean(silver.map_stream(parsed))
     hourly = ingest.hourly_stream(
         rows,
@@ -668,7 +667,6 @@ def stream_hourly(spark, d):
         "recorded_at",
         [F.count(F.lit(1)).alias("readings"), F.max("temperature").alias("max_temperature"),
          F.sum("humidity").alias("sum_humidity")],
-        delay="60 days",
     ).withColumn("recorded_date", F.to_date("recorded_at"))
     table = VersionedTable(
         spark, scratch_path(spark, "hourly"), ["city", "recorded_at"], "recorded_date"

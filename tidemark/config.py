@@ -61,7 +61,7 @@ class LakeConfig:
     entity: str | None = None
     horizon: int = 24
     silver_partition: str = "recorded_date"
-    feature_digits: int | None = None
+    feature_digits: int | None = 4
 
     def __post_init__(self) -> None:
         if self.silver_partition not in ("recorded_date", "recorded_month"):
@@ -71,7 +71,7 @@ class LakeConfig:
     def from_env(cls, default_root: str = "lake") -> "LakeConfig":
         """Read LAKE_ROOT, ANALYSIS_CITY, FORECAST_HORIZON_HOURS, SILVER_PARTITION
         and FEATURE_DIGITS."""
-        digits = os.environ.get("FEATURE_DIGITS")
+        digits = os.environ.get("FEATURE_DIGITS", "4")
         return cls(
             root=os.environ.get("LAKE_ROOT", default_root).rstrip("/"),
             entity=os.environ.get("ANALYSIS_CITY") or None,
@@ -84,10 +84,6 @@ class LakeConfig:
     def landing(self) -> str:
         return f"{self.root}/landing"
 
-    @property
-    def landing_archive(self) -> str:
-        return f"{self.root}/landing_processed"
-
     @property
     def manifest(self) -> str:
         return f"{self.root}/manifest"
@@ -146,7 +142,7 @@ def shared_folder(spark: SparkSession) -> str:
         "spark.checkpoint.dir"
     )
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all nodes share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -201,7 +197,7 @@ def size_shuffles(spark: SparkSession, *paths: str, bytes_per_task: int = 128 <<
         if fs.exists(path):
             stored += fs.getContentSummary(path).getLength()
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(max(least, 4 * stored // bytes_per_task), 100_000)
+    partitions = max(least, 4 * stored // bytes_per_task)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return partitions
 

@@ -28,13 +28,6 @@ def mean(value: str | Column, digits: int | None = None, over: WindowSpec | None
     return total / _over(F.count(value), over) / F.lit(10**digits)
 
 
-def grid_mean(value: str | Column, digits: int | None = None) -> Column:
-    """Group mean rounded back to the unit grid, so that it can be summed exactly again."""
-    if digits is None:
-        return F.avg(value)
-    return F.round(F.sum(units(value, digits)) / F.count(value)) / F.lit(10**digits)
-
-
 def sample_stddev(
     value: str | Column, digits: int | None = None, over: WindowSpec | None = None
 ) -> Column:

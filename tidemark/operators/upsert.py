@@ -134,9 +134,14 @@ class VersionedTable:
         return self._pointer(self.version()).get("notes", {})
 
     def changed_since(self, version: int) -> list[str]:
-        """Partition values written after ``version``, from the two pointers alone."""
-        before = self._pointer(version)["partitions"]
+        """Partition values written after ``version``, from the two pointers alone.
+
+        All of them if there is no such version.
+        """
         now = self._pointer(self.version())["partitions"]
+        if version and not self._exists(f"{self.root}/pointer/{version}.json"):
+            return sorted(now)
+        before = self._pointer(version)["partitions"]
         return sorted(v for v, c in now.items() if before.get(v) != c)
 
     def _write(self, rows: DataFrame) -> str:
@@ -158,23 +163,23 @@ class VersionedTable:
     def expire(self, hours: float = RETENTION_HOURS) -> int:
         """Delete commits that no version of the last ``hours`` uses; returns how many.
 
-        Files younger than that are kept as well: they may belong to a running merge.
+        A version was in use until the next one was written, so its age counts from
+        there. Files younger than ``hours`` are kept as well: they may belong to a running
+        merge. Pointers stay, so that a reader of changes finds any version it noted.
         """
         newest = self.version()
         if newest == 0:
             return 0
         oldest_ms = (time.time() - hours * 3600) * 1000
         folder, fs = self._path(f"{self.root}/pointer")
-        used: set[str] = set()
-        old = []
+        written = {}
         for status in fs.listStatus(folder):
-            name = _POINTER.fullmatch(status.getPath().getName())
-            if not name:
-                continue
-            if int(name[1]) == newest or status.getModificationTime() >= oldest_ms:
-                used |= set(self._pointer(int(name[1]))["partitions"].values())
-            else:
-                old.append(status.getPath())
+            if name := _POINTER.fullmatch(status.getPath().getName()):
+                written[int(name[1])] = status.getModificationTime()
+        used: set[str] = set()
+        for number in written:
+            if number == newest or written.get(number + 1, oldest_ms) >= oldest_ms:
+                used |= set(self._pointer(number)["partitions"].values())
         folder, _ = self._path(f"{self.root}/data")
         unused = [
             s.getPath()
@@ -182,7 +187,7 @@ class VersionedTable:
             if s.getPath().getName().removeprefix("commit=") not in used
             and s.getModificationTime() < oldest_ms
         ]
-        for path in [*old, *unused]:
+        for path in unused:
             fs.delete(path, True)
         return len(unused)
 

@@ -29,17 +29,29 @@ def batch_bronze(frames: Mapping[str, DataFrame], cities: DataFrame | None) -> D
 
 
 def run_batch(spark: SparkSession, lake: LakeConfig) -> int:
-    """Ingest landing files the manifest does not know yet; returns rows written."""
+    """Ingest landing files the manifest does not know yet; returns rows written.
+
+    Only those files are read, by their names; a file that holds no attribute is noted and
+    passed over. A run that dies between the rows and the manifest is repeated as a whole:
+    silver keeps one row of a key.
+    """
     fresh = files.new_files(spark, lake.landing, lake.manifest).persist()
     try:
-        if fresh.isEmpty():
+        # Names of files, one for each attribute and delivery.
+        paths = sorted(r["path"] for r in fresh.select("path").collect())
+        if not paths:
             return 0
-        frames = {}
+        frames: dict[str, DataFrame] = {}
         for attribute, dtype in ATTRIBUTES.items():
-            frame = files.read_attribute(spark, f"{lake.landing}/{attribute}.csv", attribute, dtype)
-            if frame is not None:
-                frames[attribute] = frame
+            for path in paths:
+                if path.rsplit("/", 1)[-1] != f"{attribute}.csv":
+                    continue
+                frame = files.read_attribute(spark, path, attribute, dtype)
+                if frame is not None:
+                    known = frames.get(attribute)
+                    frames[attribute] = frame if known is None else known.unionByName(frame)
         if not frames:
+            files.record_files(fresh, lake.manifest)
             return 0
         cities = tables.read_cities(spark, f"{lake.landing}/city_attributes.csv")
         bronze, rows = _observed(batch_bronze(frames, cities))
