@@ -121,15 +121,20 @@ def train(docs: DataFrame, labels: DataFrame, tables: Tables, p: Toxicity) -> np
     shards = max(1, -(-rows.count() // p.shard_rows))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        own = [(h, label, slot) for b in batches for label, h, slot in zip(*[c.to_pylist() for c in b.columns])]
+        own = []
+        for batch in batches:
+            # Slots stay in arrays: as Python numbers a shard's rows would take ten times the memory.
+            ends = batch.column(2).offsets.to_numpy()
+            slot = batch.column(2).values.to_numpy()
+            for k, (label, h) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                own.append((h, label, slot[ends[k] : ends[k + 1]].copy()))
         if not own:
             return
-        own.sort()
+        own.sort(key=lambda r: r[:2])
         model = Ftrl(p)
-        made = [(np.append(np.array(slot, np.int64), model.size), label) for _, label, slot in own]
         for _ in range(p.epochs):
-            for at, label in made:
-                model.learn(at, label)
+            for _, label, slot in own:
+                model.learn(np.append(slot, model.size), label)
         at = np.flatnonzero(model.n)
         w = model.weights(at)
         at, w = at[w != 0], w[w != 0]
