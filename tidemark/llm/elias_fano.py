@@ -94,16 +94,19 @@ class EliasFano:
         high = (x[some] >> np.uint64(self.width)).astype(np.int64)
         low = x[some] & np.uint64((1 << self.width) - 1)
         at, end = self._before(high), self._before(high + 1)
-        while True:
-            open_ = np.flatnonzero(at < end)
-            if not len(open_):
-                return out
-            some, low, at, end = some[open_], low[open_], at[open_], end[open_]
-            here = self._low(at)
-            hit = here == low
-            out[some[hit]] = at[hit]
-            end = np.where(here >= low, at, end)
-            at = at + 1
+        last = end.copy()
+        # Halving: a context with very many successors has long runs of one high part.
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            middle = (at[open_] + end[open_]) >> 1
+            below = self._low(middle) < low[open_]
+            at[open_] = np.where(below, middle + 1, at[open_])
+            end[open_] = np.where(below, end[open_], middle)
+            open_ = open_[at[open_] < end[open_]]
+        there = np.flatnonzero(at < last)
+        there = there[self._low(at[there]) == low[there]]
+        out[some[there]] = at[there]
+        return out
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
         return {f"{name}.{f}": getattr(self, f) for f in self.FIELDS}

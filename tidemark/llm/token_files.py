@@ -42,7 +42,7 @@ _TAIL = "<QQ8s"
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<u8")])
 
 #: Of a tokenizer's word cache, in words; a full cache starts anew.
-_CACHE_WORDS = 1 << 19
+_CACHE_WORDS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -200,7 +200,7 @@ def _pack(dictionary, p: TokenFiles) -> Callable:
         words = dictionary.value
         learned = zstandard.ZstdCompressionDict(words) if words else None
         compressor = zstandard.ZstdCompressor(level=p.level, dict_data=learned)
-        for batch in batches:
+        for batch in (b.slice(k, 512) for b in batches for k in range(0, b.num_rows, 512)):
             found = encoder.encode([x or b"" for x in batch.column(1).to_pylist()])
             frames = [compressor.compress(np.append(x, p.end_id).astype(p.kind).tobytes()) for x in found]
             yield pa.RecordBatch.from_arrays(
