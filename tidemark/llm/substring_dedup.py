@@ -114,6 +114,12 @@ def _anchor_rows(docs: DataFrame, p: SubstringDedup) -> DataFrame:
                 whole, starts, where = anchors(step, step.hashes(), p)
                 at = np.unique(where)
                 doc = np.searchsorted(step.bounds, at, "right") - 1
+                # A word said over and over gives one seed many times.
+                order = np.lexsort((whole[at], doc))
+                at, doc = at[order], doc[order]
+                new = np.ones(len(at), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (whole[at[1:]] != whole[at[:-1]])
+                at, doc = at[new], doc[new]
                 yield pa.RecordBatch.from_arrays(
                     [_long(whole[at]), pa.array(ids[step.first + doc].astype(np.int64))], names=["seed", "doc_id"]
                 )
@@ -122,8 +128,8 @@ def _anchor_rows(docs: DataFrame, p: SubstringDedup) -> DataFrame:
 
 
 def _passage_rows(docs: DataFrame, p: SubstringDedup) -> DataFrame:
-    """(a, b, doc_id, place) of the passages around anchors; ``docs`` has the text and the
-    sorted array ``seeds`` of a document's anchor hashes that others have too."""
+    """(a, b, doc_id, places) of the passages around anchors; ``docs`` has the text and the
+    array ``seeds`` of a document's anchor hashes that others have too."""
 
     def run(batches):
         for batch in batches:
@@ -145,18 +151,28 @@ def _passage_rows(docs: DataFrame, p: SubstringDedup) -> DataFrame:
                 for k in range(p.length):
                     a += words[starts + k] * GRAM[k]
                     b += mix(words[starts + k] + GRAM[p.length + k]) * GRAM[k + 1]
+                # One row for a passage of a document, with all its places.
+                order = np.lexsort((starts, b, a, doc))
+                a, b, doc, starts = a[order], b[order], doc[order], starts[order]
+                new = np.ones(len(a), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                first = np.flatnonzero(new)
+                places = pa.ListArray.from_arrays(
+                    pa.array(np.append(first, len(a)).astype(np.int32)),
+                    pa.array((starts - step.bounds[doc]).astype(np.int32)),
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        _long(mix(a)),
-                        _long(mix(b)),
-                        pa.array(ids[step.first + doc].astype(np.int64)),
-                        pa.array((starts - step.bounds[doc]).astype(np.int32)),
+                        _long(mix(a[first])),
+                        _long(mix(b[first])),
+                        pa.array(ids[step.first + doc[first]].astype(np.int64)),
+                        places,
                     ],
-                    names=["a", "b", "doc_id", "place"],
+                    names=["a", "b", "doc_id", "places"],
                 )
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text"), "seeds").mapInArrow(
-        run, "a long, b long, doc_id long, place int"
+        run, "a long, b long, doc_id long, places array<int>"
     )
 
 
@@ -191,7 +207,7 @@ def repeats(docs: DataFrame, tables: Tables, p: SubstringDedup) -> tuple[DataFra
         .drop("most")
     )
     later = rows.join(owners, ["a", "b"]).where("doc_id > least")
-    places = later.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    places = later.groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places"))
     return copies, tables.keep(places, "places")
 
 
