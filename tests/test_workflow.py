@@ -46,7 +46,7 @@ def lake(spark, tmp_path_factory):
     (root / "in").mkdir()
     with open(root / "in" / "1.json", "w") as f:
         for i in range(36):
-            item = message("New York", first + 300 * i, 10.0 + i % 12, country="US")
+            item = message("New York", first + 300 * i, 10.0 + i % 12, main="Clear", country="US")
             f.write(json.dumps(item) + "\n")
 
     assert bronze.run_batch(spark, lake) == HOURS * 2
