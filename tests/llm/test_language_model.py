@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -97,3 +98,29 @@ def test_hashes_of_a_step():
     data = np.frombuffer(b"One twoone", np.uint8)
     words, bounds = hashes(Step(0, 3, data, np.array([0, 7, 7, 10])))
     assert bounds.tolist() == [0, 3, 4, 6] and words[0] == words[4] and words[2] == words[3] == words[5]
+
+
+def test_every_word_pair_and_triple_is_in_a_shard(spark, make_docs, rows):
+    """However small the shards, all that is seen twice is found, and rows score the same."""
+    from tidemark.llm.common import Tables
+    from tidemark.llm.language_model import train
+
+    rows = [(i, t.replace(" ", " the ", 40)) for i, t in rows]  # a word that fills several shards
+    learned = [tokens(t) for i, t in rows if not held(i)]
+    count = lambda n: sum(v > 1 for v in Counter(g for w in learned for g in zip(*[w[k:] for k in range(n)])).values())
+    words = {t for w in learned for t in w}
+    small = LanguageModel(words=400, pairs=900, triples=700)
+    uri, shards, _ = train(spark, make_docs(rows), Tables(spark, "test"), small)
+    assert shards.ranges > 5 and len(shards.hot)
+    tries = [Trie.load(shards.folder(k)) for k in range(shards.total) if os.path.isdir(shards.folder(k))]
+    pairs, found = set(), set()
+    for trie in tries:
+        keys = trie.levels[0].access(np.arange(trie.levels[0].n)).astype(np.int64)
+        pairs |= {(int(trie.hashes[k // trie.stride]), int(trie.hashes[k % trie.stride])) for k in keys}
+        found |= set(map(int, trie.hashes))
+    assert len(found) == len(words) and len(pairs) == count(2)
+    assert sum(trie.levels[1].n for trie in tries) == count(3)
+    one = {r.doc_id: r.score for r in score(spark, make_docs(rows)).collect()}
+    many = {r.doc_id: r.score for r in score(spark, make_docs(rows), small).collect()}
+    assert one.keys() == many.keys()
+    assert all(many[k] == pytest.approx(one[k], rel=0.02) for k in one)

@@ -1,20 +1,24 @@
-"""Log probabilities of texts by an n-gram model in an Elias-Fano trie.
-
-Counting and scoring are Spark jobs; the trie is small by construction.
-
-1. All words of the training rows are counted; every count is exact and stays a table.
-2. The most frequent ``words`` are the trie's first level. Rows become arrays of word
-   numbers, stored once; rarer words keep their hash.
-3. Pairs and, where both pairs of it are in the trie, triples are counted over all
-   training rows. The trie keeps those seen at least ``least`` times, and of them the most
-   frequent up to ``pairs`` and ``triples``, so its size is bounded whatever the corpus.
-4. A level is one Elias-Fano sequence: number of the context times a stride plus the
+"""Log probabilities of texts by an n-gram model in shards of an Elias-Fano trie.
+
+Every word of the training rows, and every pair and triple seen at least ``least`` times, is
+in the model; how many shards it has follows from the counts.
+
+1. All words of the training rows are counted.
+2. Each word of a row goes with its neighbours, as a window, to the shard of its context:
+   the range the word's hash lies in. A word that alone would fill a shard has several,
+   by the word before it. Windows lie in files of the shared folder, one a task; only where
+   they lie is shuffled.
+3. A shard sees all windows around its words, so it counts its words, the pairs that end
+   with them and the triples around them by itself. Pairs are needed where they begin,
+   too; they are sent there with the count of their second word.
+4. A task builds the trie of its shard, stores it, maps it and scores the shard's windows.
+   The sums of a row's windows are the row's score. They go back by the task's step that
+   dealt them.
+5. A level is one Elias-Fano sequence: number of the context times a stride plus the
    successor, with monotone pointers to where each context's successors start. A triple's
    last word is stored relative to its shorter context: as its rank among the successors
    of the middle word. Probabilities and back-off weights have one byte, an entry of a
    table of quantiles.
-5. A row's score is its score under the counts alone, which needs a join only for words
-   outside the first level, plus what the trie knows better.
 
 Probabilities are interpolated by absolute discounting down to the smoothed counts, so
 they sum to one over the known words and one unknown.
@@ -23,28 +27,37 @@ they sum to one over the known words and one unknown.
 from __future__ import annotations
 
 import os
+import pickle
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import scratch_path
+from tidemark.config import hadoop_path, scratch_path
 from tidemark.llm.common import Step, Tables, mix, steps, texts
 from tidemark.llm.elias_fano import EliasFano
 
 # Stands for the end of a text, as the hash of a word does for the word.
 END = np.int64(-0x123456789ABCDEF)
+# Stand for what is before a text's first word and after its end.
+START, NONE = np.int64(0x0F1E2D3C4B5A6978), np.int64(0x1032547698BADCFE)
+# Windows a task gathers before it deals them to the shards.
+_DEALT = 1 << 20
+# Keys looked up at a time, so that what numpy makes of them stays in the cache.
+_LOOKED_UP = 1 << 14
 # Distinct keys a task gathers before it passes them on.
 _HELD = 1 << 21
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Bounds of the trie's levels and the discount; a row whose id's crc32 leaves ``out``
-    by ``folds`` is not learned from."""
+    """About how many words, pairs and triples one shard has at most, and the discount; a row
+    whose id's crc32 leaves ``out`` by ``folds`` is not learned from."""
 
     words: int = 1 << 18
     pairs: int = 1 << 20
@@ -102,7 +115,8 @@ def _words_of(batch):
 
 
 class Trie:
-    """Word numbers of the first level are ranks of their hashes in ascending order."""
+    """The model, or a shard of it, which knows what follows its own words. Word numbers of
+    the first level are ranks of their hashes in ascending order."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.arrays = arrays
@@ -130,23 +144,23 @@ class Trie:
         """Smoothed log probability of words with these counts."""
         return np.log10((counts + 1) / (self.tokens + self.distinct + 1))
 
-    def pairs(self, numbers: np.ndarray) -> np.ndarray:
-        """Place of each pair of neighbours in level 2, -1 where there is none."""
-        one, two = numbers[:-1], numbers[1:]
+    def places(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Place of each pair in level 2, -1 where there is none."""
         known = np.flatnonzero((one >= 0) & (two >= 0))
         out = np.full(len(one), -1, np.int64)
-        out[known] = self.levels[0].find(one[known] * self.stride + two[known])
+        out[known] = _find(self.levels[0], one[known] * self.stride + two[known])
         return out
 
-    def triple_keys(self, numbers: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First word and key in level 3 of the triples whose pairs are both in the trie."""
-        at = np.flatnonzero((pairs[:-1] >= 0) & (pairs[1:] >= 0))
-        pointers = EliasFano.load(self.arrays, "pointers")
-        rank = pairs[at + 1] - pointers.access(numbers[at + 1]).astype(np.int64)
-        return at, pairs[at] * self.stride + rank
+    def triple_keys(self, ab: np.ndarray, b: np.ndarray, bc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which triples have both pairs, by their places ``ab`` and ``bc``, in the trie, and
+        their keys in level 3."""
+        at = np.flatnonzero((ab >= 0) & (bc >= 0))
+        rank = bc[at] - EliasFano.load(self.arrays, "pointers").access(b[at]).astype(np.int64)
+        return at, ab[at] * self.stride + rank
 
-    def with_pairs(self, keys: np.ndarray, n: np.ndarray, p: LanguageModel) -> "Trie":
-        """Add level 2 from ascending keys and their counts."""
+    def with_pairs(self, keys: np.ndarray, n: np.ndarray, p: LanguageModel, own: np.ndarray) -> "Trie":
+        """Add level 2 from ascending keys and their counts. Pairs that do not begin with one
+        of the shard's ``own`` words are contexts only; their probabilities are not asked for."""
         one, two = keys // self.stride, keys % self.stride
         level = EliasFano.of(keys, self.stride * self.stride)
         starts = np.searchsorted(one, np.arange(len(self.hashes) + 1))
@@ -156,7 +170,7 @@ class Trie:
         prob = (n - p.discount) / self.counts[one] + rest[one] * low
         arrays = self.arrays | level.arrays("level2")
         arrays |= EliasFano.of(starts, len(keys) + 1).arrays("pointers") | {"pair_counts": n}
-        arrays |= _quantised("prob2", np.log10(prob)) | _quantised("rest1", np.log10(rest))
+        arrays |= _quantised("prob2", np.log10(prob), own[one]) | _quantised("rest1", np.log10(rest), own)
         return Trie(arrays)
 
     def with_triples(self, keys: np.ndarray, n: np.ndarray, p: LanguageModel) -> "Trie":
@@ -181,26 +195,29 @@ class Trie:
     def gains(self, numbers: np.ndarray) -> np.ndarray:
         """What each word's log probability gains over ``base``; the first has no context.
         A number below 0 is a word outside the trie, or, at -2, no context at all."""
-        out = np.zeros(len(numbers))
-        if len(numbers) < 2 or not self.levels or not self.levels[0].n:
+        before = np.concatenate(([-2], numbers[:-2])) if len(numbers) > 1 else numbers[:0]
+        return np.concatenate((np.zeros(min(len(numbers), 1)), self.after(before, numbers[:-1], numbers[1:])))
+
+    def after(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """What the log probability of words ``c`` gains over ``base`` after ``a`` and ``b``."""
+        out = np.zeros(len(c))
+        if not self.levels or not self.levels[0].n:
             return out
-        pairs = self.pairs(numbers)
-        one, two = numbers[:-1], numbers[1:]
+        bc = self.places(b, c)
         # Back off: the rest a known context leaves, times the shorter context's.
-        known = np.flatnonzero((pairs < 0) & (one >= 0) & (two > -2))
-        out[1:][known] = self.value("rest1", one[known])
-        found = np.flatnonzero(pairs >= 0)
-        out[1:][found] = self.value("prob2", pairs[found]) - self.base(self.counts[two[found]])
-        if len(self.levels) > 1 and len(pairs) > 1 and self.levels[1].n:
-            at, keys = self.triple_keys(numbers, pairs)
-            place = self.levels[1].find(keys.astype(np.uint64))
-            backed = np.flatnonzero((pairs[:-1] >= 0) & (numbers[2:] > -2))
-            is_found = np.zeros(len(pairs) - 1, bool)
-            is_found[at[place >= 0]] = True
-            backed = backed[~is_found[backed]]
-            out[2:][backed] += self.value("rest2", pairs[backed])
+        known = np.flatnonzero((bc < 0) & (b >= 0) & (c > -2))
+        out[known] = self.value("rest1", b[known])
+        found = np.flatnonzero(bc >= 0)
+        out[found] = self.value("prob2", bc[found]) - self.base(self.counts[c[found]])
+        if len(self.levels) > 1 and self.levels[1].n:
+            ab = self.places(a, b)
+            at, keys = self.triple_keys(ab, b, bc)
+            place = _find(self.levels[1], keys)
             at, place = at[place >= 0], place[place >= 0]
-            out[2:][at] = self.value("prob3", place) - self.base(self.counts[numbers[at + 2]])
+            backed = (ab >= 0) & (c > -2)
+            backed[at] = False
+            out[backed] += self.value("rest2", ab[backed])
+            out[at] = self.value("prob3", place) - self.base(self.counts[c[at]])
         return out
 
     def save(self, uri: str) -> None:
@@ -230,154 +247,346 @@ class Trie:
         return cls(arrays)
 
 
+def _find(level: EliasFano, keys: np.ndarray) -> np.ndarray:
+    """Places of keys, each looked up once, some thousands at a time."""
+    keys, inverse = np.unique(keys, return_inverse=True)
+    parts = [level.find(keys[k : k + _LOOKED_UP]) for k in range(0, len(keys), _LOOKED_UP)]
+    return np.concatenate([*parts, np.empty(0, np.int64)])[inverse]
+
+
 def _system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if ":/" in uri else (pafs.LocalFileSystem(), uri)
 
 
-def _quantised(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
-    """One byte a value: the quantile it lies in, which stands for the mean of its values."""
-    if not len(values):
-        return {f"{name}.codes": np.empty(0, np.uint8), f"{name}.table": np.zeros(1, np.float32)}
-    cuts = np.unique(np.quantile(values, np.linspace(0, 1, 257)[1:-1]))
-    codes = np.searchsorted(cuts, values, "left")
-    total = np.bincount(codes, minlength=256)
-    table = np.bincount(codes, values, 256) / np.maximum(total, 1)
+def _quantised(name: str, values: np.ndarray, asked: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """One byte a value: the quantile it lies in, which stands for the mean of its values.
+    Where ``asked`` is given, the other values have no part in that."""
+    own = values if asked is None else values[asked]
+    if not len(own):
+        return {f"{name}.codes": np.zeros(len(values), np.uint8), f"{name}.table": np.zeros(1, np.float32)}
+    cuts = np.unique(np.quantile(own, np.linspace(0, 1, 257)[1:-1]))
+    codes, of = np.searchsorted(cuts, values, "left"), np.searchsorted(cuts, own, "left")
+    table = np.bincount(of, own, 256) / np.maximum(np.bincount(of, minlength=256), 1)
     return {f"{name}.codes": codes.astype(np.uint8), f"{name}.table": table.astype(np.float32)}
 
 
-def _top(counted: DataFrame, bound: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the ``bound`` largest counts, ascending, and the counts."""
-    chosen = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "key").limit(bound).toArrow()
-    keys, n = (chosen.column(k).to_numpy() for k in (0, 1))
-    order = np.argsort(keys)
-    return keys[order], n[order]
+def held_out(p: LanguageModel) -> Column:
+    """A row without an id is not learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % p.folds == p.out, F.lit(True))
 
 
-def _number_rows(docs: DataFrame, uri: str, p: LanguageModel) -> DataFrame:
-    """row, doc_id, held_out, numbers (4-byte, of the words and the end; -1 outside the
-    first level) and the hashes of the words outside."""
+@dataclass(frozen=True)
+class Shards:
+    """Where windows go. ``hot`` words ascend; each has ``parts`` shards of its own, from
+    ``first`` on, and ``n`` occurrences."""
+
+    uri: str
+    windows: str
+    ranges: int
+    hot: np.ndarray
+    n: np.ndarray
+    tokens: int
+    distinct: int
 
-    def run(batches):
-        trie = Trie.load(uri)
-        for batch in batches:
-            for step in steps(batch.column(3)):
-                words, bounds = hashes(step)
-                numbers = trie.numbers(words)
-                rows = [slice(a, b) for a, b in zip(bounds[:-1], bounds[1:])]
-                size = step.last - step.first
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[batch.column(k).slice(step.first, size) for k in range(3)],
-                        pa.array([numbers[r].astype(np.int32).tobytes() for r in rows], pa.binary()),
-                        pa.array([words[r][numbers[r] < 0] for r in rows], pa.list_(pa.int64())),
-                    ],
-                    names=["row", "doc_id", "held_out", "numbers", "rare"],
-                )
+    @classmethod
+    def plan(cls, spark: SparkSession, words: DataFrame, p: LanguageModel) -> "Shards":
+        tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        ranges = max(1, -(-tokens // min(p.pairs, p.triples)), -(-distinct // p.words))
+        # Fewer than there are ranges, as each has more than a range's share.
+        hot = words.where(F.col("n") > max(1, tokens // ranges)).toArrow() if ranges > 1 else None
+        keys, n = (hot.column(k).to_numpy() for k in (0, 1)) if hot else (np.empty(0, np.int64),) * 2
+        order = np.argsort(keys)
+        uri, windows = scratch_path(spark, "trie"), scratch_path(spark, "windows")
+        # Words with a millionth of all occurrences have short codes in the windows.
+        common = words.where(F.col("n") >= max(p.least, tokens >> 20)).toArrow()
+        Trie.words(*(common.column(k).to_numpy() for k in (0, 1)), tokens, distinct).save(f"{windows}/common")
+        return cls(uri, windows, ranges, keys[order], n[order], tokens, distinct)
 
-    source = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col("doc_id").cast("long"),
-        held_out(p).alias("held_out"),
-        F.col("text").cast("binary").alias("text"),
-    )
-    return source.mapInArrow(run, "row long, doc_id long, held_out boolean, numbers binary, rare array<long>")
+    @property
+    def total(self) -> int:
+        return self.ranges + int(self.parts.sum())
 
+    @property
+    def parts(self) -> np.ndarray:
+        return -(-self.n // max(1, self.tokens // self.ranges))
+
+    @property
+    def first(self) -> np.ndarray:
+        return self.ranges + np.cumsum(self.parts) - self.parts
+
+    def is_hot(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are hot, and their places among the hot ones."""
+        if not len(self.hot):
+            return np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)
+        return self.hot[at] == words, at
+
+    def of(self, before: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Shards of the windows around ``words`` with these words before them."""
+        out = _range(words.view(np.uint64), np.uint64(self.ranges))
+        hot, at = self.is_hot(words)
+        at = at[hot]
+        out[hot] = self.first[at] + _range(mix(before[hot].view(np.uint64)), self.parts[at].astype(np.uint64))
+        return out
+
+    def all_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All shards of each word: places in ``words``, and shards."""
+        hot, at = self.is_hot(words)
+        times = np.ones(len(words), np.int64)
+        first = _range(words.view(np.uint64), np.uint64(self.ranges))
+        times[hot], first[hot] = self.parts[at[hot]], self.first[at[hot]]
+        place = np.repeat(np.arange(len(words)), times)
+        return place, first[place] + np.arange(len(place)) - (np.cumsum(times) - times)[place]
+
+    def folder(self, shard: int) -> str:
+        return self.uri if self.ranges == 1 else f"{self.uri}/{shard}"
 
-def held_out(p: LanguageModel) -> Column:
-    """A row without an id is not learned from."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % p.folds == p.out, F.lit(True))
 
+def _range(x: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    """Which of equal ranges of 64 bits each ``x`` lies in."""
+    return ((x >> np.uint64(32)) * ranges >> np.uint64(32)).astype(np.int64)
 
-def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of a batch's rows with a gap of two between rows, and where each row starts."""
-    gap = np.full(2, -2, np.int32)
-    parts, starts, at = [], [], 0
-    for data in column.to_pylist():
-        own = np.frombuffer(data, np.int32)
-        parts += [own, gap]
-        starts.append(at)
-        at += len(own) + 2
-    return (np.concatenate(parts) if parts else np.empty(0)).astype(np.int64), np.array(starts, np.int64)
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Bytes of the same weight side by side, which compresses better."""
+    planes = [(x.dtype.str, np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()) for x in arrays]
+    data = pickle.dumps(planes, 5)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
-def _chunks(batch, size: int = 64):
-    for k in range(0, batch.num_rows, size):
-        yield batch.slice(k, size)
 
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    planes = pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True))
+    out = []
+    for kind, x in planes:
+        width = np.dtype(kind).itemsize
+        out.append(np.frombuffer(np.frombuffer(x, np.uint8).reshape(width, len(x) // width).T.tobytes(), kind))
+    return out
 
-def _count_pairs(stride: int):
-    def count(batch):
-        for part in _chunks(batch):
-            numbers, _ = _joined(part.column(0))
-            one, two = numbers[:-1], numbers[1:]
-            known = (one >= 0) & (two >= 0)
-            yield one[known] * stride + two[known]
 
-    return _counter(count)
+def _common(shards: Shards) -> tuple[Trie, np.ndarray]:
+    """Common words, and their numbers by descending count."""
+    common = Trie.load(f"{shards.windows}/common")
+    return common, np.argsort(-common.counts, kind="stable")
 
 
-def _count_triples(uri: str):
-    def count(batch):
-        trie = Trie.load(uri)
-        for part in _chunks(batch):
-            numbers, _ = _joined(part.column(0))
-            if len(numbers) > 2:
-                yield trie.triple_keys(numbers, trie.pairs(numbers))[1]
+INDEX = "part long, shard long, file string, first long, size long, body binary"
 
-    return _counter(count)
 
+def _windows(shards: Shards):
+    """Where a shard's windows of many rows lie; at shard -1, what is known of the rows."""
 
-def _gains(uri: str):
-    """(row, doc_id, held_out, n_tokens, n_known, base, gain, rare) of the words in the trie."""
+    def deal(held, common, code):
+        words, inverse = np.unique(np.concatenate([w for w, *_ in held] + [[START, NONE]]), return_inverse=True)
+        inverse, (start, none) = inverse[:-2], inverse[-2:]
+        sizes = np.concatenate([np.diff(b) for _, b, *_ in held])
+        row, out = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes), np.concatenate([x[-1] for x in held])
+        ends = np.cumsum(sizes)
+        before, behind = np.roll(inverse, 1), np.roll(inverse, -1)
+        before[ends - sizes], behind[ends - 1] = start, none
+        number = common.numbers(words)
+        codes = np.where(number >= 0, code[number] if len(code) else 0, -1)
+        shard = shards.of(words[before], words[inverse])
+        order = np.argsort(shard, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+            three = np.concatenate((before[own], inverse[own], behind[own]))
+            coded = codes[three]
+            used, at = np.unique(three[coded < 0], return_inverse=True)
+            coded[coded < 0] = len(code) + at
+            abc = coded.astype(np.uint32).reshape(3, -1)
+            yield int(shard[own[0]]), _packed(words[used], *abc, row[own], out[row[own]])
 
     def run(batches):
-        trie = Trie.load(uri)
-        for batch in batches:
-            for part in _chunks(batch):
-                numbers, starts = _joined(part.column(3))
-                known = numbers >= 0
-                base = np.zeros(len(numbers))
-                base[known] = trie.base(trie.counts[numbers[known]])
-                ends = np.append(starts[1:], len(numbers)) - 2
-                gain = trie.gains(numbers)
-                total = lambda x: np.add.reduceat(x, starts)  # noqa: E731  gaps add nothing
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[part.column(k) for k in range(3)],
-                        pa.array(ends - starts),
-                        pa.array(total(known.astype(np.int64))),
-                        pa.array(total(base)),
-                        pa.array(total(gain)),
-                        part.column(4),
-                    ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "gain", "rare"],
-                )
+        common, order = _common(shards)
+        code = np.empty(len(order), np.int64)
+        code[order] = np.arange(len(order))
+        system, base = _system(shards.windows)
+        name, part = uuid.uuid4().hex, TaskContext.get().partitionId() << 32
+        with system.open_output_stream(f"{base}/{name}") as file:
+
+            def dealt(held):
+                ids = _packed(*[np.concatenate([x[k] for x in held]) for k in (2, 3, 4)])
+                found = [(part, -1, None, None, None, ids)]
+                for shard, body in deal(held, common, code):
+                    found.append((part, shard, name, file.tell(), len(body), None))
+                    file.write(body)
+                return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*found), _INDEX)], names=_names(INDEX))
+
+            held, n = [], 0
+            for batch in batches:
+                doc_id, out = batch.column(0), batch.column(1).to_numpy(False)
+                ids = doc_id.fill_null(0).to_numpy(), doc_id.is_null().to_numpy(False), out
+                for step in steps(batch.column(2)):
+                    words, bounds = hashes(step)
+                    held.append((words, bounds, *[x[step.first : step.last] for x in ids]))
+                    n += len(words)
+                    if n >= _DEALT:
+                        yield dealt(held)
+                        held, n, part = [], 0, part + 1
+            if held:
+                yield dealt(held)
 
     return run
 
 
+_INDEX = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def _joined(shards: Shards, index: pa.Table):
+    """The words before, in and after all windows of a shard, whether they are learned, their
+    rows' numbers within their parts, and how many windows each part has."""
+    common, order = _common(shards)
+    system, base = _system(shards.windows)
+    names, three, rows, learned = common.hashes[order], [], [], []
+    # In the order of parts, whatever order they came in.
+    for found in sorted(index.select(["part", "file", "first", "size"]).to_pylist(), key=lambda x: x["part"]):
+        with system.open_input_file(f"{base}/{found['file']}") as file:
+            used, *abc, row, out = _unpacked(file.read_at(found["size"], found["first"]))
+        three.append(np.concatenate((names, used))[np.stack(abc)])
+        rows.append(row.astype(np.int64))
+        learned.append(~out)
+    a, b, c = np.concatenate(three, axis=1)
+    return a, b, c, np.concatenate(learned), rows
+
+
+def _counted(one: np.ndarray, two: np.ndarray, least: int):
+    """Distinct pairs seen ``least`` times, and how often."""
+    words, inverse = np.unique(np.concatenate((one, two)), return_inverse=True)
+    keys, n = np.unique(inverse[: len(one)] * max(len(words), 1) + inverse[len(one) :], return_counts=True)
+    keys, n = keys[n >= least], n[n >= least]
+    return words[keys // max(len(words), 1)], words[keys % max(len(words), 1)], n
+
+
+def _own(shards: Shards, b: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shard's words that were learned, ascending, and their counts."""
+    own, n = np.unique(b, return_counts=True)
+    words = np.union1d(own, more)
+    counts = np.zeros(len(words), np.int64)
+    counts[np.searchsorted(words, own)] = n
+    hot, at = shards.is_hot(words)
+    counts[hot] = shards.n[at[hot]]
+    return words, counts
+
+
+def _ending_pairs(shards: Shards, p: LanguageModel):
+    """(shard, b, c, n, total): pairs that end in a shard, for all shards of their first
+    word, with the count of the second."""
+
+    def run(table):
+        a, b, _, learned, _ = _joined(shards, table)
+        words, counts = _own(shards, b[learned], b[:0])
+        inner = learned & (a != START)
+        one, two, n = _counted(a[inner], b[inner], p.least)
+        place, shard = shards.all_of(one)
+        total = counts[np.searchsorted(words, two)]
+        return pa.table({"shard": shard, "b": one[place], "c": two[place], "n": n[place], "total": total[place]})
+
+    return run
+
+
+def _shard_trie(shards: Shards, p: LanguageModel, a, b, c, learned, pairs: pa.Table):
+    """The trie of a shard, which of its words are the shard's own, and the windows' numbers."""
+    first, second, n, total = (pairs.column(k).to_numpy() for k in ("b", "c", "n", "total"))
+    hot, _ = shards.is_hot(b)
+    own, own_n = _own(shards, b[learned], np.union1d(first, b[hot]))
+    inner = learned & (a != START)
+    one, two, m = _counted(a[inner], b[inner], p.least)
+    words = np.unique(np.concatenate((own, second, one)))
+    number = lambda x: np.searchsorted(words, x)
+    counts = np.zeros(len(words), np.int64)
+    np.maximum.at(counts, number(one), m)
+    counts[number(second)] = total
+    counts[number(own)] = own_n
+    is_own = np.zeros(len(words), bool)
+    is_own[number(own)] = True
+    trie = Trie.words(words, counts, shards.tokens, shards.distinct)
+    keys = np.concatenate((number(first) * trie.stride + number(second), number(one) * trie.stride + number(two)))
+    keys, at = np.unique(keys, return_index=True)
+    trie = trie.with_pairs(keys, np.concatenate((n, m))[at], p, is_own)
+    numbers = [trie.numbers(x) for x in (a, b, c)]
+    numbers[2][c == NONE] = -2
+    x, y, z = (k[learned & np.logical_and.reduce([k >= 0 for k in numbers])] for k in numbers)
+    xy, at = np.unique(x * trie.stride + y, return_inverse=True)
+    xyz, n = np.unique(at * trie.stride + z, return_counts=True)
+    xyz, n = xyz[n >= p.least], n[n >= p.least]
+    # A triple seen ``least`` times has pairs that are, too.
+    (x, y), z = np.divmod(xy[xyz // trie.stride], trie.stride), xyz % trie.stride
+    _, keys = trie.triple_keys(trie.places(x, y), y, trie.places(y, z))
+    order = np.argsort(keys)
+    return trie.with_triples(keys[order], n[order], p), is_own, numbers
+
+
+def _build_and_score(shards: Shards, p: LanguageModel):
+    """(part, body): the sums of each row's windows in a shard, against the shard's trie."""
+
+    def run(key, index, pairs):
+        if not index.num_rows:
+            return pa.table({"part": pa.array([], pa.int64()), "body": pa.array([], pa.binary())})
+        a, b, c, learned, rows = _joined(shards, index)
+        trie, is_own, (before, middle, behind) = _shard_trie(shards, p, a, b, c, learned, pairs)
+        folder = shards.folder(key[0].as_py())
+        trie.save(folder)
+        trie = Trie.load(folder)
+        known = np.zeros(len(b), bool)
+        known[middle >= 0] = is_own[middle[middle >= 0]]
+        counts = np.zeros(len(b), np.int64)
+        counts[known] = trie.counts[middle[known]]
+        base, gain = trie.base(counts), trie.after(before, middle, behind)
+        bodies, first = [], 0
+        for row in rows:
+            here = slice(first, first + len(row))
+            first += len(row)
+            own, at, n = np.unique(row, return_inverse=True, return_counts=True)
+            total = lambda x: np.bincount(at, x[here], len(own))
+            sums = n, total(known).astype(np.int64), total(base), total(gain)
+            bodies.append(_packed(own.astype(np.uint32), *[x.astype(np.uint32) for x in sums[:2]], *sums[2:]))
+        return pa.table({"part": sorted(index.column("part").to_pylist()), "body": pa.array(bodies, pa.binary())})
+
+    return run
+
+
+SUMS = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double"
+
+
+def _summed(found, scored):
+    """The rows of a part, with their sums over all shards."""
+    doc_id, null, out = _unpacked(found.column("body")[0].as_py())
+    sums = [np.zeros(len(out), kind) for kind in (np.int64, np.int64, float, float)]
+    for body in scored.column("body"):
+        at, *own = _unpacked(body.as_py())
+        for x, y in zip(sums, own):
+            x[at] += y
+    return pa.table([pa.array(doc_id, mask=null), pa.array(out), *map(pa.array, sums)], _names(SUMS))
+
+
 def train(spark: SparkSession, docs: DataFrame, tables: Tables, p: LanguageModel):
-    """The trie's folder, the table of all word counts, the numbered rows, and the totals."""
+    """The folder of the model, its shards, and the sums of each row."""
     learned = docs.where(~held_out(p))
     words = texts(learned).mapInArrow(_counter(_words_of), "key long, n long")
     words = tables.keep(words.groupBy("key").agg(F.sum("n").alias("n")), "words")
-    tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    trie = Trie.words(*_top(words, p.words, 1), tokens, distinct)
-    uri = scratch_path(spark, "trie-1")
-    trie.save(uri)
-
-    rows = tables.keep(_number_rows(docs, uri, p), "rows")
-    own = rows.where("NOT held_out").select("numbers")
-    pairs = own.mapInArrow(_count_pairs(trie.stride), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    trie = trie.with_pairs(*_top(pairs, p.pairs, p.least), p)
-    uri = scratch_path(spark, "trie-2")
-    trie.save(uri)
-
-    triples = own.mapInArrow(_count_triples(uri), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    trie = trie.with_triples(*_top(triples, p.triples, p.least), p)
-    uri = scratch_path(spark, "trie-3")
-    trie.save(uri)
-    return uri, words, rows, tokens, distinct
+    shards = Shards.plan(spark, words, p)
+    tables.drop("words")
+    source = docs.select(
+        F.col("doc_id").cast("long"),
+        held_out(p).alias("held_out"),
+        F.col("text").cast("binary").alias("text"),
+    )
+    index = tables.keep(source.mapInArrow(_windows(shards), INDEX), "index")
+    # By number: rows that say where windows lie are small, the work behind them is not.
+    of_shard = index.where("shard >= 0").drop("body").repartition(shards.total, "shard")
+    pairs = of_shard.groupBy("shard").applyInArrow(
+        _ending_pairs(shards, p), "shard long, b long, c long, n long, total long"
+    )
+    pairs = pairs.repartition(shards.total, "shard")
+    scored = of_shard.groupBy("shard").cogroup(pairs.groupBy("shard"))
+    scored = tables.keep(scored.applyInArrow(_build_and_score(shards, p), "part long, body binary"), "scored")
+    path, fs = hadoop_path(spark, shards.windows)
+    fs.delete(path, True)
+    rows = index.where("shard < 0").select("part", "body")
+    return shards.uri, shards, rows.groupBy("part").cogroup(scored.groupBy("part")).applyInArrow(_summed, SUMS)
 
 
 def score(spark: SparkSession, docs: DataFrame, p: LanguageModel = LanguageModel()) -> DataFrame:
@@ -385,41 +594,15 @@ def score(spark: SparkSession, docs: DataFrame, p: LanguageModel = LanguageModel
 
     A null or empty text is its end alone. Rows that share an id or repeat are scored each
     for itself; a null id counts as held out. Without training rows every word is unknown.
-    Equal counts at a level's bound go to the smaller key. An empty table gives an empty
-    result; other columns are ignored.
+    An empty table gives an empty result; other columns are ignored.
     """
-    tables = Tables(spark, "model")
-    uri, words, rows, tokens, distinct = train(spark, docs, tables, p)
-    schema = (
-        "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double,"
-        "rare array<long>"
-    )
-    scored = tables.keep(rows.mapInArrow(_gains(uri), schema), "scored")
-    tables.drop("rows")
-    # Words outside the first level, with their exact counts.
-    prob = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(tokens + distinct + 1)))
-    rare = (
-        scored.select("row", F.explode("rare").alias("key"))
-        .groupBy("row", "key")
-        .agg(F.count("*").alias("times"))
-        .join(words, "key", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-            F.sum(F.col("times") * prob).alias("rare_base"),
-        )
-    )
-    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
-    return (
-        scored.drop("rare")
-        .join(rare, "row", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(int(tokens)).cast("long").alias("train_tokens"),
-            base.alias("base_score"),
-            (base + F.col("gain")).alias("score"),
-        )
+    _, shards, sums = train(spark, docs, Tables(spark, "model"), p)
+    return sums.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(int(shards.tokens)).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"),
+        (F.col("base") + F.col("gain")).alias("score"),
     )
