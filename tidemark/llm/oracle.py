@@ -159,3 +159,58 @@ WITH d AS (
 )
 SELECT doc_id, n_words, n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM k
 """
+
+
+def _crc32(text: str) -> str:
+    """The unsigned checksum of an ASCII string, bit by bit."""
+    bit = "CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END"
+    byte = f"list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, i: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {byte}), 4294967295::BIGINT)"
+
+
+def _leaf(text: str) -> str:
+    fields = [f"{f}::VARCHAR" for f in ("doc_id", "source", "lang", "n_chars")] + [text]
+    framed = [f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields]
+    return f"sha256({' || '.join(framed)})"
+
+
+ORACLE["op13_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+    CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS other
+  FROM documents
+), r AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, leaf, other, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, other) - 1 AS place,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM d
+), nodes AS (
+  SELECT tree, 0 AS level, place, leaf AS digest, n FROM r
+  UNION ALL
+  SELECT tree, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), max((n + 2) // 3)
+  FROM nodes WHERE n > 1 GROUP BY tree, level, place // 3
+), upper AS (
+  SELECT 0 AS level, tree AS place, digest, count(*) OVER () AS n FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), max((n + 2) // 3)
+  FROM upper WHERE n > 1 GROUP BY level, place // 3
+), steps AS (
+  SELECT r.id, 0 AS part, x.level, string_agg(x.digest, '' ORDER BY x.place) FILTER (x.place < r.place // (3 ** x.level)::BIGINT) AS before,
+    string_agg(x.digest, '' ORDER BY x.place) FILTER (x.place > r.place // (3 ** x.level)::BIGINT) AS after
+  FROM r JOIN nodes x ON x.tree = r.tree AND x.n > 1 AND x.place // 3 = r.place // (3 ** (x.level + 1))::BIGINT GROUP BY ALL
+  UNION ALL
+  SELECT r.id, 1, x.level, string_agg(x.digest, '' ORDER BY x.place) FILTER (x.place < r.tree // (3 ** x.level)::BIGINT),
+    string_agg(x.digest, '' ORDER BY x.place) FILTER (x.place > r.tree // (3 ** x.level)::BIGINT)
+  FROM r JOIN upper x ON x.n > 1 AND x.place // 3 = r.tree // (3 ** (x.level + 1))::BIGINT GROUP BY ALL
+), paths AS (
+  SELECT id, list(coalesce(before, '') || '|' || coalesce(after, '') ORDER BY part, level) AS path FROM steps GROUP BY id
+), o AS (
+  SELECT r.doc_id, r.leaf, s.digest AS subroot, (SELECT digest FROM upper WHERE n = 1) AS root,
+    sha256(replace(array_to_string(coalesce(path, []), ''), '|', '')) AS proof_sha256,
+    list_reduce(list_concat([other], coalesce(path, [])),
+      lambda a, s: sha256(split_part(s, '|', 1) || a || split_part(s, '|', 2))) AS folded_root
+  FROM r JOIN nodes s ON s.tree = r.tree AND s.n = 1 LEFT JOIN paths USING (id)
+)
+SELECT *, folded_root = root AS verified FROM o
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import decontaminate, language_model, mixing, near_dedup, pii, quality, substring_dedup, token_files, toxicity, warc
+from tidemark.llm import decontaminate, language_model, merkle, mixing, near_dedup, pii, quality, substring_dedup, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,3 +95,8 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivative_records(spark, table(spark, sf_dir, "pages")).drop("path")
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(spark, table(spark, sf_dir, "documents"))
