@@ -142,3 +142,19 @@ class Tables:
             for text in self.paths.pop(name, ()):
                 path, fs = hadoop_path(self.spark, text)
                 fs.delete(path, True)
+
+
+# Rows of one key above which ``attach`` does not send them to one task.
+HOT_ROWS = 100_000
+
+
+def attach(rows: DataFrame, facts: DataFrame, keys: list[str], count: str = "n") -> DataFrame:
+    """Join ``facts``, one row for each key with the ``count`` of its rows, to ``rows``.
+
+    Keys with very many rows are broadcast: there is at most one for every ``HOT_ROWS``
+    rows. All others meet in an ordinary join.
+    """
+    hot = F.broadcast(facts.where(F.col(count) > HOT_ROWS).drop(count))
+    cold = facts.where(F.col(count) <= HOT_ROWS).drop(count)
+    few = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return rows.join(hot, keys).unionByName(few)

@@ -214,3 +214,38 @@ WITH RECURSIVE d AS (
 )
 SELECT *, folded_root = root AS verified FROM o
 """
+
+ORACLE["op11_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM t GROUP BY conv_id
+), k AS (
+  SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.n, 0)) AS k FROM c LEFT JOIN c b ON b.conv_id = c.base
+), r AS (
+  SELECT k.conv_id, place + 1 AS d, role, text FROM k JOIN t ON t.conv_id = k.base AND place < k.k
+  UNION ALL
+  SELECT k.conv_id, place - h + k + 1, role, text FROM k JOIN t ON t.conv_id = k.conv_id AND place >= h
+), s AS (
+  SELECT k.conv_id, list(sha256(strlen(role) || ':' || role || text) ORDER BY d) FILTER (d IS NOT NULL) AS w,
+    list(strlen(text) ORDER BY d) AS b
+  FROM k LEFT JOIN r USING (conv_id) GROUP BY k.conv_id
+), p AS MATERIALIZED (
+  SELECT conv_id, d, len(w) AS n, CASE WHEN d = 0 THEN '' ELSE array_to_string(w[1:d], ' ') END AS key,
+    CASE WHEN d = 0 THEN NULL WHEN d = 1 THEN '' ELSE array_to_string(w[1:d - 1], ' ') END AS up, CASE WHEN d > 0 THEN b[d] ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(range(0, len(w) + 1)) AS d FROM (SELECT conv_id, coalesce(w, []) AS w, b FROM s))
+), nodes AS MATERIALIZED (
+  SELECT key, min(conv_id) AS conv_id, min(d) AS d, min(up) AS up, count(*) AS n, (count(*) - 1) * min(bytes) AS saved,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = p.n) AS ends
+  FROM p GROUP BY key
+), kids AS (SELECT up AS key, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up
+), below AS (
+  SELECT p.key, sum(x.saved) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+  FROM nodes x LEFT JOIN kids USING (key) JOIN p ON p.conv_id = x.conv_id AND p.d <= x.d GROUP BY p.key
+)
+SELECT x.conv_id, x.d::BIGINT AS depth, up.conv_id AS parent_conv_id, x.n::BIGINT AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM nodes x JOIN below USING (key) LEFT JOIN kids USING (key) LEFT JOIN nodes up ON up.key = x.up
+"""

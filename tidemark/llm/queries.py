@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import decontaminate, language_model, merkle, mixing, near_dedup, pii, quality, substring_dedup, token_files, toxicity, warc
+from tidemark.llm import conversation_trie, decontaminate, language_model, merkle, mixing, near_dedup, pii, quality, simhash, substring_dedup, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,3 +100,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.branched_trie(spark, table(spark, sf_dir, "conversations"))
