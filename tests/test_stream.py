@@ -2,9 +2,9 @@ import json
 import os
 
 import pytest
-from conftest import message
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from samples import message
 
 from tidemark.config import LakeConfig
 from tidemark.operators.upsert import VersionedTable
@@ -125,11 +125,11 @@ def test_hourly_windows_close_behind_the_watermark(spark, lake):
         return {r.recorded_at.hour: (r.temperature, r.n) for r in spark.read.parquet(f"{lake.root}/hourly").collect()}
 
     got = once()
-    assert got[12] == (2.0, 2)
-    assert 20 not in got  # still open
+    assert got[6] == (2.0, 2)
+    assert 14 not in got  # still open
     put(lake, "4", message("Aldermoor", START + 48 * 3600, 0.0))
     got = once()
-    assert got[12] == (2.0, 2) and got[16] == (9.0, 1) and got[20] == (9.0, 1)
+    assert got[6] == (2.0, 2) and got[10] == (9.0, 1) and got[14] == (9.0, 1)
 
 
 def test_repeats_within_the_watermark(spark, lake):
