@@ -1,3 +1,7 @@
+import datetime
+import os
+
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -5,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import scalar
-from tidemark.operators import filters, quality, shape
+from tidemark.operators import aggregates, filters, quality, shape, sinks
 
 RELAXED = settings(
     max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -90,9 +94,9 @@ def test_rules_count_nulls_only_when_asked(spark):
 
 def test_accounting_during_the_write(spark, tmp_path):
     df = spark.range(10)
-    kept, seen = quality.observe_filter(df, F.col("id") > 6, "kept")
+    kept, seen = quality.observe_filter(df, F.col("id") > 6)
     kept.write.parquet(str(tmp_path / "t"))
-    assert seen.get == {"rows_in": 10, "rows_kept": 3}
+    assert quality.filter_counts(seen) == {"rows_in": 10, "rows_kept": 3, "rows_dropped": 7}
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
     row = quality.accounting(df, F.col("id") > 6).first()
     assert tuple(row) == (10, 3, 7)
@@ -101,3 +105,48 @@ def test_accounting_during_the_write(spark, tmp_path):
 def test_reconcile_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "n long")
     assert quality.reconcile(empty, "n", empty).first().matches
+
+
+def test_curve_clustering_skips_files_on_every_column(spark, tmp_path):
+    """Same rows as before; a value of either column lies in a few of the files only."""
+    n = 64
+    grid = spark.range(n * n).select((F.col("id") % n).alias("a"), F.floor(F.col("id") / n).alias("b"), "id")
+    grid = grid.orderBy(F.xxhash64("id"))
+    sinks.cluster(grid, str(tmp_path / "curve"), ["a", "b"], files=16)
+    stored = spark.read.parquet(str(tmp_path / "curve"))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, grid.collect()))
+    parts = [f"{tmp_path}/curve/{f}" for f in os.listdir(tmp_path / "curve") if f.endswith(".parquet")]
+    assert len(parts) >= 12
+
+    def opened(column, value):
+        """Files whose statistics admit the value."""
+        count = 0
+        for part in parts:
+            meta = pq.ParquetFile(part).metadata
+            at = [meta.schema.column(k).name for k in range(meta.num_columns)].index(column)
+            stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+            count += any(s.min <= value <= s.max for s in stats)
+        return count
+
+    for column in ("a", "b"):
+        assert sum(opened(column, v) for v in range(n)) / n <= len(parts) / 2
+        found = stored.where(F.col(column) == 17)
+        assert found.select(F.input_file_name()).distinct().count() <= len(parts) / 2
+        assert found.count() == n
+
+
+def test_curve_takes_nulls_dates_and_constants(spark, tmp_path):
+    rows = [(None, datetime.date(2024, 1, d), 1.5) for d in range(1, 20)] + [(7, None, 1.5)]
+    df = spark.createDataFrame(rows, "x int, day date, same double").withColumn("none", F.lit(None).cast("int"))
+    sinks.cluster(df, str(tmp_path / "odd"), ["x", "day", "same", "none"])
+    stored = spark.read.parquet(str(tmp_path / "odd"))
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, df.collect()))
+    with pytest.raises(ValueError, match="fit"):
+        sinks.on_curve(df, ["x"] * 8, "at")
+
+
+def test_sketches_roll_up(spark):
+    rows = spark.range(30_000).select((F.col("id") % 10).alias("day"), (F.col("id") % 7001).alias("who"))
+    days = aggregates.distinct_sketches(rows, ["day"], "who")
+    whole = aggregates.merge_sketches(days.withColumn("all", F.lit(1)), ["all"]).first()
+    assert whole.n == 30_000 and abs(whole.estimate - 7001) < 7001 * 0.03

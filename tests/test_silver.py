@@ -2,11 +2,14 @@ import datetime
 import json
 
 import pytest
-from conftest import message
 from pyspark.sql import functions as F
+from samples import message
 
 from tidemark import schemas
+from tidemark.config import LakeConfig
+from tidemark.operators import quality, sinks
 from tidemark.operators.quality import QualityError
+from tidemark.operators.shape import conform
 from tidemark.plans import silver, validation
 from tidemark.streaming.ingest import parse_messages
 
@@ -130,3 +133,74 @@ def test_bronze_validation_only_warns(spark, mapped):
     )
     total, warnings = validation.bronze(None, holes)
     assert total == 6 and any("without city" in w for w in warnings)
+
+
+def deliveries(spark):
+    """Three deliveries of file rows that repeat keys; the second was taken in first, by its clock."""
+    rows = [
+        [("Boston", 0, 300.0, 5), ("Boston", 1, 301.0, 5), ("Denver", 0, 280.0, 5), ("Denver", 0, 279.0, 5)],
+        [("Boston", 0, 290.0, 3), ("Boston", 2, 302.0, 3), ("Boston", 2, 302.0, 3), (None, 1, 290.0, 3)],
+        [("Boston", 1, 310.0, 9), ("Denver", 30, 281.0, 9), ("Denver", 0, 999.0, 9)],
+    ]
+    for some in rows:
+        made = spark.createDataFrame(some, "city string, hour int, temperature double, taken int").select(
+            "city",
+            "temperature",
+            F.lit(50.0).alias("humidity"),
+            F.expr("timestamp '2022-11-05 00:00:00' + make_interval(0, 0, 0, 0, hour)").alias("datetime"),
+            F.expr("timestamp '2022-11-07 00:00:00' + make_interval(0, 0, 0, 0, taken)").alias("ingested_at"),
+        )
+        yield conform(made, schemas.BATCH_BRONZE)
+
+
+def kept(spark, lake):
+    rows = silver.table(spark, lake).read().drop("transformed_at")
+    return sorted(map(repr, rows.select(sorted(rows.columns)).collect()))
+
+
+def test_incremental_equals_full(spark, tmp_path):
+    """Whatever the order of deliveries, the same rows win as in one run over all of them."""
+    whole = LakeConfig(str(tmp_path / "whole"))
+    for part in deliveries(spark):
+        sinks.append(part, whole.table("bronze_weather_batch"))
+    assert silver.run(spark, whole) == 1
+    expected = kept(spark, whole)
+    temperatures = {(r.city, r.recorded_at.hour): r.temperature for r in silver.table(spark, whole).read().collect()}
+    assert temperatures[("Boston", 0)] == pytest.approx(26.85)
+    assert temperatures[("Boston", 1)] == pytest.approx(36.85)
+    assert temperatures[("Denver", 0)] == pytest.approx(5.85)
+    for name, order in (("forth", (0, 1, 2)), ("back", (2, 1, 0))):
+        lake, parts = LakeConfig(str(tmp_path / name)), list(deliveries(spark))
+        for k in order:
+            sinks.append(parts[k], lake.table("bronze_weather_batch"))
+            silver.run_new(spark, lake)
+        assert kept(spark, lake) == expected
+        silver.run(spark, lake)
+        assert kept(spark, lake) == expected
+
+
+def test_rows_are_counted_by_the_write(spark, tmp_path):
+    lake = LakeConfig(str(tmp_path))
+    for part in deliveries(spark):
+        sinks.append(part, lake.table("bronze_weather_batch"))
+    bronze = silver.union_bronze(None, spark.read.parquet(lake.table("bronze_weather_batch")))
+    _, counts = silver.upsert(silver.table(spark, lake), bronze, lake)
+    assert counts == {"rows_in": 11, "rows_kept": 9, "rows_dropped": 2}
+
+
+def test_bad_silver_is_not_published(spark, tmp_path, monkeypatch):
+    lake, parts = LakeConfig(str(tmp_path)), list(deliveries(spark))
+    sinks.append(parts[0], lake.table("bronze_weather_batch"))
+    silver.run_new(spark, lake)
+    before = kept(spark, lake)
+    strict = [quality.Rule("warm", F.col("temperature") > 30)]
+    monkeypatch.setattr(silver, "rules", lambda: strict)
+    sinks.append(parts[2], lake.table("bronze_weather_batch"))
+    with pytest.raises(Exception, match="warm: 1"):
+        silver.run_new(spark, lake)
+    with pytest.raises(QualityError, match="warm: 1"):
+        silver.run(spark, lake)
+    assert silver.table(spark, lake).version() == 1 and kept(spark, lake) == before
+    monkeypatch.undo()
+    silver.run_new(spark, lake)
+    assert silver.table(spark, lake).version() == 2

@@ -4,8 +4,10 @@ import time
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from tidemark.operators.upsert import VersionedTable, merge_rows
+from tidemark.operators.quality import QualityError, Rule
+from tidemark.operators.upsert import VersionedTable, merge_in_order, merge_rows
 
 SCHEMA = "k string, t long, v long, d string"
 ROWS = st.dictionaries(
@@ -31,6 +33,28 @@ def test_merge_is_an_update_and_repeatable(spark, old, new):
     assert content(once) == content(twice) == {**old, **new}
 
 
+ARRIVALS = st.lists(
+    st.tuples(st.sampled_from("ab"), st.integers(0, 3), st.integers(0, 4), st.integers(0, 99)), max_size=14
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(arrivals=ARRIVALS, cut=st.integers(0, 14))
+def test_the_order_of_batches_does_not_matter(spark, arrivals, cut):
+    """Latest version first, then the smaller value, whatever came when."""
+    rows = [(k, t, n, v, f"d{t}") for k, t, n, v in arrivals]
+    make = lambda some: spark.createDataFrame(some, "k string, t long, n long, v long, d string")
+    order = [F.desc_nulls_last("n"), F.asc_nulls_last("v")]
+    expected = {}
+    for k, t, n, v, _ in rows:
+        expected[k, t] = max(expected.get((k, t), (-1, 0)), (n, -v))
+    for first, second in ((rows[:cut], rows[cut:]), (rows[cut:], rows[:cut]), (rows, rows)):
+        once = merge_in_order(make([]), make(first), ["k", "t"], order)
+        both = merge_in_order(once, make(second), ["k", "t"], order)
+        assert {(r.k, r.t): (r.n, -r.v) for r in both.collect()} == expected
+        assert both.count() == len(expected)
+
+
 @pytest.fixture
 def table(spark, tmp_path):
     return VersionedTable(spark, str(tmp_path / "t"), ["k", "t"], "d")
@@ -142,3 +166,33 @@ def test_merge_leaves_no_scratch(spark, table):
     before = set(os.listdir(folder))
     table.merge(frame(spark, {("a", 0): 1}))
     assert set(os.listdir(folder)) == before
+
+
+def test_bad_batch_stays_unseen(spark, table):
+    """Rules are counted on the staged files; readers never see what breaks them."""
+    small = Rule("v is large", F.col("v") > 50)
+    warning = Rule("v is odd", F.col("v") % 2 == 1, "warning")
+    table.merge(frame(spark, {("a", 0): 1, ("a", 1): 2}), [small, warning])
+    with pytest.raises(QualityError, match="v is large: 1"):
+        table.merge(frame(spark, {("a", 0): 70, ("b", 1): 3}), [small, warning])
+    assert table.version() == 1 and content(table.read()) == {("a", 0): 1, ("a", 1): 2}
+    assert table.changed_since(1) == []
+    table.merge(frame(spark, {("a", 0): 7}), [small])
+    assert content(table.read()) == {("a", 0): 7, ("a", 1): 2}
+
+
+def test_rules_see_the_whole_touched_partition(spark, table):
+    table.merge(frame(spark, {("a", 0): 60}))
+    with pytest.raises(QualityError, match="large"):
+        table.merge(frame(spark, {("b", 3): 1}), [Rule("v is large", F.col("v") > 50)])
+
+
+def test_ordered_table_takes_repeated_keys(spark, tmp_path):
+    order = [F.desc_nulls_last("v")]
+    table = VersionedTable(spark, str(tmp_path / "o"), ["k", "t"], "d", order)
+    rows = [("a", 0, 5, "d0"), ("a", 0, 9, "d0"), ("a", 1, 1, "d1")]
+    table.merge(spark.createDataFrame(rows, SCHEMA))
+    table.merge(spark.createDataFrame([("a", 0, 7, "d0"), ("a", 1, 2, "d1"), ("a", 1, 2, "d1")], SCHEMA))
+    assert content(table.read()) == {("a", 0): 9, ("a", 1): 2} and table.read().count() == 2
+    with pytest.raises(ValueError, match="missing"):
+        table.merge(spark.createDataFrame([("a", None, 7, "d0")], SCHEMA))

@@ -52,6 +52,26 @@ def enforce(report: DataFrame) -> list[str]:
     return [r.rule for r in failed]
 
 
+def observe_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation]:
+    """Count violations as a side effect of writing ``df``; see ``enforce_observed``.
+
+    Observe what the last stage of a write produces: its tasks count once however often they
+    run, while those of an earlier stage count again when a lost executor repeats them.
+    """
+    seen = Observation()
+    counts = [F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules)]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+def enforce_observed(seen: Observation, rules: Sequence[Rule]) -> list[str]:
+    """``enforce`` for rules counted during a write."""
+    counts = seen.get
+    failed = [(r, counts[f"r{i}"]) for i, r in enumerate(rules) if counts[f"r{i}"]]
+    if errors := [f"{r.name}: {n}" for r, n in failed if r.severity == "error"]:
+        raise QualityError("; ".join(errors))
+    return [r.name for r, _ in failed]
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     """Contract check on the schema alone."""
     return sorted(set(required) - set(df.columns))
@@ -80,10 +100,16 @@ def accounting(df: DataFrame, keep: Column) -> DataFrame:
     ).withColumn("rows_dropped", F.col("rows_in") - F.col("rows_kept"))
 
 
-def observe_filter(df: DataFrame, keep: Column, name: str) -> tuple[DataFrame, Observation]:
+def observe_filter(df: DataFrame, keep: Column) -> tuple[DataFrame, Observation]:
     """The same accounting as a side effect of the write, with no extra pass."""
-    seen = Observation(name)
+    seen = Observation()
     observed = df.observe(
         seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(keep).alias("rows_kept")
     )
     return observed.filter(keep), seen
+
+
+def filter_counts(seen: Observation) -> dict[str, int]:
+    """Rows in, kept and dropped, once the observed plan has run."""
+    counts = dict(seen.get)
+    return counts | {"rows_dropped": counts["rows_in"] - counts["rows_kept"]}

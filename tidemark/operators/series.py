@@ -58,6 +58,27 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "_position") ->
     )
 
 
+def running_totals(df: DataFrame, order: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Add ``<name>_until``, the sum of each column up to and including a row in global order.
+
+    ``order`` must be unique. The ranges of a distributed sort are summed first; each then
+    adds what lies before it, one small row a range.
+    """
+    placed = materialise(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges"
+    )
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("_range").agg(*[F.sum(c).alias(c) for c in sums]).select(
+        "_range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}_before") for c in sums]
+    )
+    so_far = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        placed.join(F.broadcast(before), "_range")
+        .withColumns({f"{c}_until": F.sum(c).over(so_far) + F.col(f"_{c}_before") for c in sums})
+        .drop("_range", *[f"_{c}_before" for c in sums])
+    )
+
+
 def hot_entities(
     df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame | None:

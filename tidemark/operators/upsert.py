@@ -8,6 +8,9 @@ use the highest pointer. A job that dies before the rename leaves the table as i
 was, and the cost of a merge follows the touched partitions, not the table.
 
 One writer at a time; a second one is refused when it tries to commit.
+
+What a merge writes is counted while it is written. A merge that breaks a rule is never
+published: its files stay aside, and readers keep the version before.
 """
 
 from __future__ import annotations
@@ -18,11 +21,13 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import hadoop_path, materialise, scratch
+from tidemark.operators.quality import Rule, enforce_observed, observe_rules
+from tidemark.operators.ranking import keep_first
 
 _POINTER = re.compile(r"(\d+)\.json")
 # Fixed value: how long replaced files stay.
@@ -41,6 +46,17 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def merge_in_order(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column]
+) -> DataFrame:
+    """The first row per key, in ``order``, of target and source together.
+
+    Which row wins does not depend on which arrived first, so batches may come late, twice
+    or in any order, and the source may repeat keys. One shuffle on the keys does it all.
+    """
+    return keep_first(target.unionByName(source, allowMissingColumns=True), keys, order)
+
+
 def _literal(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -51,13 +67,24 @@ class VersionedTable:
     ``partition`` must be a function of ``keys`` (the date of a key timestamp,
     say), so that equal keys always meet in the same partition. Its values are
     few: they are listed on the driver, like the partitions of any table.
+
+    With ``order``, the first row of a key in that order wins, stored or new. Without,
+    the last writer wins and a source must not repeat a key.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], partition: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        keys: Sequence[str],
+        partition: str,
+        order: Sequence[Column] = (),
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.partition = partition
+        self.order = list(order)
 
     def version(self) -> int:
         """Number of the newest pointer, 0 for a new table."""
@@ -90,22 +117,30 @@ class VersionedTable:
             .select(*columns.names)
         )
 
-    def merge(self, source: DataFrame) -> int:
-        """Upsert ``source`` and return the committed version."""
+    def merge(self, source: DataFrame, rules: Sequence[Rule] = ()) -> int:
+        """Upsert ``source`` and return the committed version.
+
+        ``rules`` are counted on the rows of the touched partitions as they are written; if
+        an error rule is broken, ``QualityError`` is raised and nothing becomes visible.
+        """
         with scratch(self.spark):
-            return self._merge(source)
+            return self._merge(source, rules)
 
-    def _merge(self, source: DataFrame) -> int:
+    def _merge(self, source: DataFrame, rules: Sequence[Rule]) -> int:
         base = self.version()
-        # Written once: it is read for the checks, the join and the union.
+        # Written once: it is read for the partitions it touches and for the merge.
         source = materialise(source, "upsert")
         touched = self._touched(source)
         if not touched:
             return base
         pointer = self._pointer(base)
         affected = self._rows(pointer, touched)
-        merged = source if affected is None else merge_rows(affected, source, self.keys)
-        partitions = pointer["partitions"] | dict.fromkeys(touched, self._write(merged))
+        if self.order:
+            known = source.limit(0) if affected is None else affected
+            merged = merge_in_order(known, source, self.keys, self.order)
+        else:
+            merged = source if affected is None else merge_rows(affected, source, self.keys)
+        partitions = pointer["partitions"] | dict.fromkeys(touched, self._write(merged, rules))
         self._commit(base + 1, pointer | {"columns": merged.schema.jsonValue(), "partitions": partitions})
         return base + 1
 
@@ -144,13 +179,12 @@ class VersionedTable:
         before = self._pointer(version)["partitions"]
         return sorted(v for v, c in now.items() if before.get(v) != c)
 
-    def _write(self, rows: DataFrame) -> str:
+    def _write(self, rows: DataFrame, rules: Sequence[Rule] = ()) -> str:
+        """Write a commit that no pointer names yet, and check the rules on it."""
         commit = uuid.uuid4().hex
-        (
-            rows.hint("rebalance", self.partition)
-            .write.partitionBy(self.partition)
-            .parquet(f"{self.root}/data/commit={commit}")
-        )
+        staged, seen = observe_rules(rows.hint("rebalance", self.partition), rules)
+        staged.write.partitionBy(self.partition).parquet(f"{self.root}/data/commit={commit}")
+        enforce_observed(seen, rules)
         return commit
 
     def _folder(self, commit: str, value: str) -> str:
@@ -246,26 +280,29 @@ class VersionedTable:
     def _touched(self, source: DataFrame) -> list[str]:
         """Partition values of the source, after checking its keys in the same job.
 
-        A null or repeated key would break repeatability, so both are errors.
+        A null key would break repeatability, so it is an error, and so is a repeated key
+        unless an order tells which row wins. With an order only one small row per task and
+        partition value is shuffled.
         """
         part = F.col(self.partition)
         missing = part.isNull()
         for key in self.keys:
             missing = missing | F.col(key).isNull()
-        rows = (
-            source.groupBy(*self.keys)
-            .agg(
-                F.min(part).alias("_part"),
-                (F.count(F.lit(1)) > 1).alias("_repeated"),
+        rows = source.select(part.cast("string").alias("_part"), missing.alias("_missing"), F.lit(False).alias("_repeated"))
+        if not self.order:
+            rows = source.groupBy(*self.keys).agg(
+                F.min(part).cast("string").alias("_part"),
                 F.bool_or(missing).alias("_missing"),
+                (F.count(F.lit(1)) > 1).alias("_repeated"),
             )
-            .groupBy(F.col("_part").cast("string").alias("_part"))
+        found = (
+            rows.groupBy("_part")
             .agg(F.bool_or("_repeated").alias("_repeated"), F.bool_or("_missing").alias("_missing"))
             .collect()
         )
         for problem in ("missing", "repeated"):
-            if bad := [r["_part"] for r in rows if r[f"_{problem}"]]:
+            if bad := [r["_part"] for r in found if r[f"_{problem}"]]:
                 raise ValueError(f"upsert source has {problem} keys {self.keys} in {bad[:3]}")
-        if odd := [r["_part"] for r in rows if not _PLAIN.fullmatch(r["_part"])]:
+        if odd := [r["_part"] for r in found if not _PLAIN.fullmatch(r["_part"])]:
             raise ValueError(f"partition values must be plain text, got {odd[:3]}")
-        return [r["_part"] for r in rows]
+        return [r["_part"] for r in found]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import logging
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import LakeConfig
@@ -33,7 +34,9 @@ from tidemark.schemas import (
     TEMPERATURE_RANGE,
 )
 from tidemark.sources.tables import exists, read_if_present
-from tidemark.streaming.ingest import upsert_stream
+from tidemark.streaming.ingest import each_batch
+
+_log = logging.getLogger(__name__)
 
 KEYS = ["city", "recorded_dt"]
 CLEAN_RANGES = {"temperature": TEMPERATURE_RANGE, "humidity": HUMIDITY_RANGE}
@@ -98,23 +101,47 @@ def union_bronze(
     return union_sources(mapped).withColumn("country", normalise("country", spellings))
 
 
+def _cleaned(df: DataFrame, entity: str | None) -> DataFrame:
+    """Known entity and record time; a row without either has no upsert key."""
+    return only(require(df, KEYS), "city", entity)
+
+
 def clean(df: DataFrame, entity: str | None = None) -> DataFrame:
-    """Known entity, values in range, calendar date added.
+    """Known entity, values in range, calendar date added."""
+    kept = _cleaned(df, entity).filter(within(CLEAN_RANGES))
+    return kept.withColumn("recorded_date", F.to_date("recorded_at"))
+
+
+def clean_counted(df: DataFrame, entity: str | None = None) -> tuple[DataFrame, Observation]:
+    """``clean`` that counts rows in and rows kept while its result is written.
 
-    Rows without a record time are dropped too: it is part of the upsert key.
+    The plan has no shuffle, so a write of it counts every row once.
     """
-    kept = only(require(df, KEYS), "city", entity).filter(within(CLEAN_RANGES))
-    return kept.withColumn("recorded_date", F.to_date("recorded_at"))
+    known = F.lit(True)
+    for key in KEYS:
+        known = known & F.col(key).isNotNull()
+    kept, seen = quality.observe_filter(only(df, "city", entity), known & within(CLEAN_RANGES))
+    return kept.withColumn("recorded_date", F.to_date("recorded_at")), seen
 
 
-def unique(df: DataFrame) -> DataFrame:
-    """The most recently ingested row per entity and second.
+# Values that break the last ties; any other column follows in order of name.
+TIES = ("source", "temperature", "humidity")
+
 
-    The values themselves break the last ties, so that a replayed batch keeps the
-    same row again.
+def newest_wins(columns: Sequence[str] = SILVER_MAPPED.names) -> list[Column]:
+    """The order in which rows of one key win: latest ingest, then source and values.
+
+    It is total on the values, so that neither the order of batches nor a replay changes
+    which row is kept.
     """
-    ties = [F.asc_nulls_last(c) for c in ("source", "temperature", "humidity")]
-    return keep_first(df, KEYS, [*newest_first("ingested_at"), *ties])
+    present = [c for c in TIES if c in columns]
+    rest = sorted(set(columns) - {*KEYS, *present, "ingested_at"})
+    return [*newest_first("ingested_at"), *[F.asc_nulls_last(c) for c in (*present, *rest)]]
+
+
+def unique(df: DataFrame) -> DataFrame:
+    """The most recently ingested row per entity and second."""
+    return keep_first(df, KEYS, newest_wins(TIES))
 
 
 def silver(df: DataFrame, entity: str | None = None) -> DataFrame:
@@ -122,7 +149,9 @@ def silver(df: DataFrame, entity: str | None = None) -> DataFrame:
 
 
 def table(spark: SparkSession, lake: LakeConfig) -> VersionedTable:
-    return VersionedTable(spark, lake.table("silver_weather_clean"), KEYS, lake.silver_partition)
+    return VersionedTable(
+        spark, lake.table("silver_weather_clean"), KEYS, lake.silver_partition, newest_wins()
+    )
 
 
 def rules() -> list[quality.Rule]:
@@ -139,6 +168,17 @@ def _partitioned(rows: DataFrame, lake: LakeConfig) -> DataFrame:
     return rows
 
 
+def upsert(target: VersionedTable, rows: DataFrame, lake: LakeConfig) -> tuple[int, dict[str, int]]:
+    """Clean, merge, check, publish; returns the version and the rows in, kept and dropped.
+
+    Cleaning is written without a shuffle, and the merge keeps the winner of new and stored
+    rows in one. The rules are checked on what was written before it can be read.
+    """
+    cleaned, seen = clean_counted(rows, lake.entity)
+    version = target.merge(_partitioned(stamp(cleaned, "transformed_at"), lake), rules())
+    return version, quality.filter_counts(seen)
+
+
 def run(spark: SparkSession, lake: LakeConfig) -> int | None:
     """Clean both bronze tables as a whole and upsert them; returns the committed version."""
     both = union_bronze(
@@ -147,10 +187,8 @@ def run(spark: SparkSession, lake: LakeConfig) -> int | None:
     )
     if both is None:
         return None
-    target = table(spark, lake)
-    before = target.version()
-    version = target.merge(_partitioned(silver(both, lake.entity), lake))
-    _enforce(target, before)
+    version, counts = upsert(table(spark, lake), both, lake)
+    _log.info("silver version %d: %s", version, counts)
     return version
 
 
@@ -159,10 +197,10 @@ def run_new(spark: SparkSession, lake: LakeConfig) -> int:
 
     Each bronze table is read as a file stream until it is drained. The checkpoint
     remembers the files, so the cost follows the new rows, and a batch that is
-    replayed after a failure merges to the same table.
+    replayed after a failure merges to the same table, which is also the table that
+    ``run`` would make of all rows. A batch that breaks a rule stops the stream unpublished.
     """
     target = table(spark, lake)
-    before = target.version()
     for source, schema in (
         ("bronze_weather_batch", BATCH_BRONZE),
         ("bronze_weather_streaming", STREAM_BRONZE),
@@ -171,20 +209,10 @@ def run_new(spark: SparkSession, lake: LakeConfig) -> int:
             continue
         rows = spark.readStream.schema(schema).parquet(lake.table(source))
 
-        def prepare(part: DataFrame, batch: bool = source.endswith("batch")) -> DataFrame:
+        def merge(part: DataFrame, batch: bool = source.endswith("batch")) -> None:
             both = union_bronze(None, part) if batch else union_bronze(part, None)
-            return _partitioned(silver(both, lake.entity), lake)
+            version, counts = upsert(target, both, lake)
+            _log.info("silver version %d: %s", version, counts)
 
-        upsert_stream(
-            rows, target, lake.silver_checkpoint(source), prepare, available_now=True
-        ).awaitTermination()
-    _enforce(target, before)
+        each_batch(rows, merge, lake.silver_checkpoint(source), available_now=True).awaitTermination()
     return target.version()
-
-
-def _enforce(target: VersionedTable, before: int) -> None:
-    """Check the rules on the partitions this run wrote."""
-    changed = target.changed_since(before)
-    written = target.read(changed) if changed else None
-    if written is not None:
-        quality.enforce(quality.check(written, rules()))

@@ -43,33 +43,40 @@ def append_stream(
     return writer.start(path)
 
 
-def upsert_stream(
+def each_batch(
     rows: DataFrame,
-    table: VersionedTable,
+    handle: Callable[[DataFrame], None],
     checkpoint: str,
-    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     mode: str = "append",
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Upsert every micro-batch. A replayed batch merges to the same table.
-
-    ``prepare`` must leave one row per key. ``mode="update"`` feeds changed
-    aggregates, so windows still open when a bounded run ends are kept as well.
-    """
-
-    def merge(batch: DataFrame, _: int) -> None:
-        table.merge(prepare(batch))
-
+    """Hand every micro-batch to ``handle``, which must bear to see a batch again."""
     writer = (
         rows.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(merge)
+        .foreachBatch(lambda batch, _: handle(batch))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
+def upsert_stream(
+    rows: DataFrame,
+    table: VersionedTable,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    mode: str = "append",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Upsert every micro-batch. A replayed batch merges to the same table.
+
+    ``prepare`` must leave one row per key unless the table has an order. ``mode="update"``
+    feeds changed aggregates, so windows still open when a bounded run ends are kept as well.
+    """
+    return each_batch(rows, lambda batch: table.merge(prepare(batch)), checkpoint, mode, available_now)
+
+
 def drop_repeats(rows: DataFrame, keys: list[str], instant: str, delay: str) -> DataFrame:
     """Drop repeated messages that arrive within ``delay``; the upsert stays authoritative."""
     return rows.withWatermark(instant, delay).dropDuplicatesWithinWatermark(keys)
