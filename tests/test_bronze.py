@@ -115,3 +115,34 @@ def test_repeated_key_is_an_error(spark):
     both["a"] = both["a"].union(both["a"])
     with pytest.raises(Exception, match="repeats a key"):
         align_outer(both, ["k", "c"]).collect()
+
+
+def test_dead_run_is_repeated_with_its_own_files(spark, lake):
+    """Rows are written, the manifest is not; more files land before the next run."""
+    claimed = files.next_batch(spark, lake.landing, lake.manifest, lake.claims)
+    assert bronze.ingest(spark, lake, claimed) == 8
+    with open(f"{lake.landing}/pressure.csv", "w") as f:
+        f.write("datetime,Chicago\n2012-10-01 12:00:00,1010\n")
+    again = files.next_batch(spark, lake.landing, lake.manifest, lake.claims)
+    assert {r.path for r in again.collect()} == {r.path for r in claimed.collect()}
+    assert bronze.run_batch(spark, lake) == 8  # the same files, into the same partition
+    stored = lambda: tables.read_table(spark, lake.table("bronze_weather_batch"))
+    assert stored().count() == 8 and stored().select("batch").distinct().count() == 1
+    assert bronze.run_batch(spark, lake) == 1  # then the file that came later
+    assert bronze.run_batch(spark, lake) == 0
+    assert stored().count() == 9 and stored().select("batch").distinct().count() == 2
+
+
+def test_dead_claim_holds_nothing(spark, lake):
+    """A run that dies right after its claim, before any row."""
+    files.next_batch(spark, lake.landing, lake.manifest, lake.claims)
+    assert not tables.exists(spark, lake.table("bronze_weather_batch"))
+    assert bronze.run_batch(spark, lake) == 8
+    assert bronze.run_batch(spark, lake) == 0
+
+
+def test_changed_file_is_a_new_one(spark, lake):
+    assert bronze.run_batch(spark, lake) == 8
+    os.utime(f"{lake.landing}/humidity.csv", (2_000_000_000, 2_000_000_000))
+    assert bronze.run_batch(spark, lake) == 4
+    assert bronze.run_batch(spark, lake) == 0

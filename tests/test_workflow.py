@@ -4,8 +4,8 @@ import datetime
 import json
 
 import pytest
-from conftest import message
 from pyspark.sql import functions as F
+from samples import message
 
 from tidemark.config import TABLE_NAMES, LakeConfig
 from tidemark.ml import training as models
@@ -54,11 +54,13 @@ def lake(spark, tmp_path_factory):
     assert silver.run(spark, lake) == 1
     current = silver.table(spark, lake).read()
     gold.run(spark, lake, silver.table(spark, lake))
-    features.run(spark, lake, current)
+    features.run(spark, lake, silver.table(spark, lake))
     return lake
 
 
 def table(spark, lake, name):
+    if name in ("hourly_weather", "daily_weather", "training_data"):
+        return features.table(spark, lake, name).read()
     return spark.read.parquet(lake.table(name))
 
 
@@ -119,7 +121,10 @@ def test_lags_cross_the_source_border(spark, lake):
 
 
 def test_registered_tables_answer_sql(spark, lake):
-    plain = {n: lake.table(n) for n in TABLE_NAMES if n != "silver_weather_clean"}
+    versioned = ("silver_weather_clean", "hourly_weather", "daily_weather", "training_data")
+    plain = {n: lake.table(n) for n in TABLE_NAMES if n not in versioned}
+    for name in versioned[1:]:
+        assert features.table(spark, lake, name).register(name)
     done = sinks.register(spark, plain | {"absent": lake.root + "/absent"})
     assert not done.pop("absent") and all(done.values())
     assert all(sinks.register(spark, plain).values())  # again: nothing changes
@@ -187,13 +192,22 @@ def test_training_and_forecast(spark, lake):
         "city string, temperature double, humidity double, pressure double, wind_speed double,"
         "hour int, day_of_week int, month int",
     )
-    assert training.forecast(spark, lake, requests).first().model_version == "fallback"
+    made, rejected = training.forecast(spark, lake, requests.union(requests.withColumn("hour", F.lit(24))))
+    assert [r.model_version for r in made.collect()] == ["fallback"]
+    assert [r.rejected_by for r in rejected.collect()] == [["hour out of range"]]
     assert training.run(spark, LakeConfig(lake.root + "/empty")) is None
     algorithms = {"RandomForest": small_forest, "Ridge": models.ridge}
     winner = training.run(spark, lake, algorithms)
     assert winner.r2 > 0.5
-    row = training.forecast(spark, lake, requests).first()
+    row = training.forecast(spark, lake, requests)[0].first()
     assert row.model_version == "1"
+    # The stored category of the city is encoded by the saved pipeline.
+    newest = online.latest_features(table(spark, lake, "hourly_weather")).where("city = 'New York'").first()
+    known = table(spark, lake, "training_data").select("weather_condition").distinct().collect()
+    codes = sorted(r[0] or "Unknown" for r in known)
+    assert row.condition_encoded == (codes.index(newest.condition) if newest.condition in codes else len(codes))
+    given = training.forecast(spark, lake, requests.withColumn("condition_encoded", F.lit(1)))[0].first()
+    assert given.condition_encoded == 1.0
     assert row.confidence_lower <= row.predicted_temperature_24h <= row.confidence_upper
     training.run(spark, lake, algorithms)
     assert training.production_model(spark, lake)[1] == "2"
@@ -221,3 +235,35 @@ def test_incremental_runs_touch_only_what_is_new(spark, lake, tmp_path):
     columns = ["city", "recorded_date", F.round("avg_temperature", 9), "measurement_count", "city_id", "date_id"]
     key = lambda at: sorted(map(repr, table(spark, at, "fact_weather_daily_stats").select(*columns).collect()))
     assert key(step) == key(lake)
+
+
+def test_features_follow_what_changed(spark, lake, tmp_path):
+    """A late day is computed again with the rows it reaches, the rest is kept; same as a rebuild."""
+    step = LakeConfig(str(tmp_path))
+    batch = table(spark, lake, "bronze_weather_batch")
+    late = F.to_date("datetime") == F.lit("2017-01-04").cast("date")
+    sinks.append(batch.where(~late), step.table("bronze_weather_batch"))
+    sinks.append(table(spark, lake, "bronze_weather_streaming"), step.table("bronze_weather_streaming"))
+    source = silver.table(spark, step)
+
+    def bring_up():
+        silver.run_new(spark, step)
+        gold.run(spark, step, source)
+        return features.run(spark, step, source)
+
+    first = bring_up()
+    assert "2017-01-04" not in first and len(first) > 10
+    assert bring_up() == []
+    sinks.append(batch.where(late), step.table("bronze_weather_batch"))
+    again = bring_up()
+    assert "2017-01-04" in again and len(again) < len(first)
+    for name, keys in (("hourly_weather", ["city", "recorded_at"]), ("training_data", ["city", "recorded_at"]),
+                       ("daily_weather", ["city", "recorded_date"])):
+        rounded = lambda at: sorted(
+            map(repr, (df := table(spark, at, name)).select(
+                *keys, *[F.round(c, 9).alias(c) for c, t in sorted(df.dtypes) if t == "double"]).collect())
+        )
+        assert rounded(step) == rounded(lake), name
+    # Other settings mean another table: everything is built again.
+    other = LakeConfig(str(tmp_path), horizon=12)
+    assert features.run(spark, other, source) == sorted({*first, "2017-01-04"})

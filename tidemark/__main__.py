@@ -8,6 +8,7 @@ from dataclasses import replace
 from tidemark.config import TABLE_NAMES, LakeConfig, build_session, size_shuffles
 from tidemark.operators import sinks
 from tidemark.operators.aggregates import layer_counts
+from tidemark.operators.upsert import VersionedTable
 from tidemark.plans import bronze, features, gold, silver, training, validation
 from tidemark.sources.messages import read_folder, read_topic
 from tidemark.sources.tables import read_if_present, read_table
@@ -15,6 +16,14 @@ from tidemark.sources.tables import read_if_present, read_table
 STEPS = ("bronze", "stream", "silver", "gold", "features", "train", "validate", "register", "counts")
 
 
+def _versioned(spark, lake: LakeConfig) -> dict[str, VersionedTable]:
+    """The tables that are replaced partition by partition."""
+    feature_sets = ("hourly_weather", "daily_weather", "training_data")
+    return {"silver_weather_clean": silver.table(spark, lake)} | {
+        name: features.table(spark, lake, name) for name in feature_sets
+    }
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark")
     parser.add_argument("step", choices=STEPS)
@@ -55,7 +64,9 @@ def main(argv: list[str] | None = None) -> None:
         gold.run(spark, lake, silver.table(spark, lake))
         gold.cube_table(spark, lake).expire()
     elif args.step == "features":
-        features.run(spark, lake, silver.table(spark, lake).read())
+        print("days written", len(features.run(spark, lake, silver.table(spark, lake))))
+        for table in _versioned(spark, lake).values():
+            table.expire()
     elif args.step == "train":
         print(training.run(spark, lake))
     elif args.step == "validate":
@@ -69,14 +80,13 @@ def main(argv: list[str] | None = None) -> None:
             daily = read_table(spark, lake.table("fact_weather_daily_stats"))
             validation.gold(daily, current)
     elif args.step == "register":
-        plain = {n: lake.table(n) for n in TABLE_NAMES if n != "silver_weather_clean"}
-        done = sinks.register(spark, plain)
-        done["silver_weather_clean"] = silver.table(spark, lake).register("silver_weather_clean")
-        print(done)
+        versioned = _versioned(spark, lake)
+        done = sinks.register(spark, {n: lake.table(n) for n in TABLE_NAMES if n not in versioned})
+        print(done | {name: table.register(name) for name, table in versioned.items()})
     elif args.step == "counts":
-        plain = [n for n in TABLE_NAMES if n != "silver_weather_clean"]
-        layers = {n: read_if_present(spark, lake.table(n)) for n in plain}
-        layers["silver_weather_clean"] = silver.table(spark, lake).read()
+        versioned = _versioned(spark, lake)
+        layers = {n: read_if_present(spark, lake.table(n)) for n in TABLE_NAMES if n not in versioned}
+        layers |= {name: table.read() for name, table in versioned.items()}
         if any(df is not None for df in layers.values()):
             layer_counts(layers).show(truncate=False)
 

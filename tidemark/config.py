@@ -88,6 +88,10 @@ class LakeConfig:
     def manifest(self) -> str:
         return f"{self.root}/manifest"
 
+    @property
+    def claims(self) -> str:
+        return f"{self.root}/claims"
+
     @property
     def bronze_checkpoint(self) -> str:
         return f"{self.root}/checkpoints/bronze"

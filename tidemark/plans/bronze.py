@@ -32,34 +32,40 @@ def run_batch(spark: SparkSession, lake: LakeConfig) -> int:
     """Ingest landing files the manifest does not know yet; returns rows written.
 
     Only those files are read, by their names; a file that holds no attribute is noted and
-    passed over. A run that dies between the rows and the manifest is repeated as a whole:
-    silver keeps one row of a key.
+    passed over. The files of a run are claimed first, their rows are one partition of
+    bronze named after them, and the manifest comes last: a run that dies anywhere in
+    between is repeated with the same files into the same partition.
     """
-    fresh = files.new_files(spark, lake.landing, lake.manifest).persist()
-    try:
-        # Names of files, one for each attribute and delivery.
-        paths = sorted(r["path"] for r in fresh.select("path").collect())
-        if not paths:
-            return 0
-        frames: dict[str, DataFrame] = {}
-        for attribute, dtype in ATTRIBUTES.items():
-            for path in paths:
-                if path.rsplit("/", 1)[-1] != f"{attribute}.csv":
-                    continue
-                frame = files.read_attribute(spark, path, attribute, dtype)
-                if frame is not None:
-                    known = frames.get(attribute)
-                    frames[attribute] = frame if known is None else known.unionByName(frame)
-        if not frames:
-            files.record_files(fresh, lake.manifest)
-            return 0
-        cities = tables.read_cities(spark, f"{lake.landing}/city_attributes.csv")
-        bronze, rows = _observed(batch_bronze(frames, cities))
-        sinks.append(bronze, lake.table("bronze_weather_batch"))
-        files.record_files(fresh, lake.manifest)
-        return rows.get["rows"]
-    finally:
-        fresh.unpersist()
+    claimed = files.next_batch(spark, lake.landing, lake.manifest, lake.claims)
+    if claimed is None:
+        return 0
+    rows = ingest(spark, lake, claimed)
+    files.record_files(claimed, lake.manifest)
+    return rows
+
+
+def ingest(spark: SparkSession, lake: LakeConfig, claimed: DataFrame) -> int:
+    """Write the rows of one batch of files in place of what the batch wrote before."""
+    # Names of files, one for each attribute and delivery.
+    named = sorted((r["path"], r["batch"]) for r in claimed.collect())
+    frames: dict[str, DataFrame] = {}
+    for attribute, dtype in ATTRIBUTES.items():
+        for path, _ in named:
+            # A file, or a part of a folder that is named like one.
+            if f"{attribute}.csv" not in path.rsplit("/", 2)[-2:]:
+                continue
+            frame = files.read_attribute(spark, path, attribute, dtype)
+            if frame is not None:
+                known = frames.get(attribute)
+                frames[attribute] = frame if known is None else known.unionByName(frame)
+    if not frames:
+        return 0
+    cities = tables.read_cities(spark, f"{lake.landing}/city_attributes.csv")
+    bronze, rows = _observed(batch_bronze(frames, cities))
+    sinks.overwrite_partitions(
+        bronze.withColumn("batch", F.lit(named[0][1])), lake.table("bronze_weather_batch"), ["batch"], replace_all=False
+    )
+    return rows.get["rows"]
 
 
 def _observed(df: DataFrame):

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.config import LakeConfig, materialise, scratch
 from tidemark.functions import fixed_point
-from tidemark.operators import sinks
 from tidemark.operators.aggregates import hourly_bucket
 from tidemark.operators.filters import only
+from tidemark.operators.joins import attach
 from tidemark.operators.series import ROWS_PER_TASK, Hot, hot_entities, over_series
+from tidemark.operators.upsert import VersionedTable
 from tidemark.schemas import BATCH_SOURCE, STREAM_SOURCE
 
 MEASURES = ("temperature", "humidity", "pressure", "wind_speed")
@@ -204,15 +206,134 @@ def training_frame(
     )
 
 
-def run(spark: SparkSession, lake: LakeConfig, silver: DataFrame) -> None:
-    """Write the three feature sets."""
+def spans(counts: DataFrame, back: int, ahead: int, entity: str = "city", day: str = "recorded_date") -> DataFrame:
+    """Which days of a series to compute again, and which rows that takes.
+
+    ``counts`` has one row per entity and day: ``n`` rows, and whether they ``changed``. A row
+    depends on ``back`` rows before it and ``ahead`` rows after it. Returns the days that are
+    ``affected``, and all that are ``needed`` because an affected row may reach them. The
+    days of an entity are bounded by the calendar.
+    """
+    in_order = Window.partitionBy(entity).orderBy(day)
+    until = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    onward = in_order.rowsBetween(0, Window.unboundedFollowing)
+
+    def near(hit: str, before: int, after: int) -> Column:
+        """Fewer rows than ``before`` lie between a hit and this day, or ``after`` on to the next."""
+        earlier = F.col("first") - F.max(F.when(F.col(hit), F.col("end"))).over(until)
+        later = F.min(F.when(F.col(hit), F.col("first"))).over(onward) - F.col("end")
+        return F.coalesce(earlier < before, F.lit(False)) | F.coalesce(later < after, F.lit(False))
+
+    placed = counts.withColumn("end", F.sum("n").over(until)).withColumn("first", F.col("end") - F.col("n"))
+    return (
+        placed.withColumn("affected", near("changed", back, ahead))
+        # A running sum starts one row before its frame.
+        .withColumn("needed", near("affected", ahead, back + 1))
+        .where("needed")
+        .select(entity, day, "affected")
+    )
+
+
+@dataclass(frozen=True)
+class Derived:
+    """A feature table kept up to date with the day partitions of another table.
+
+    ``build`` makes its rows from series rows, each from at most ``back`` rows before and
+    ``ahead`` rows after it in the series of its city.
+    """
+
+    table: VersionedTable
+    build: Callable[[DataFrame], DataFrame]
+    back: int
+    ahead: int = 0
+
+
+def refresh(
+    source: VersionedTable,
+    series: Callable[[DataFrame], DataFrame],
+    derived: Sequence[Derived],
+    counted: VersionedTable,
+    settings: Mapping[str, int] | None = None,
+) -> list[str]:
+    """Bring feature tables to the newest version of ``source``; returns the days written.
+
+    Only days that changed since the version a table was made from are computed again, with
+    the days whose rows reach them; from ``source`` only the partitions of rows that those
+    depend on are read. ``counted`` is the table among ``derived`` that has every row of the
+    series, so that unchanged days need not be counted at their source. A run that dies
+    between two tables is caught up by the next. Other ``settings`` than those stored mean
+    that everything is built again.
+    """
+    version = source.version()
+    notes = [d.table.notes() for d in derived]
+    stored = dict(settings or {})
+    full = any({k: v for k, v in n.items() if k != "made_from"} != stored for n in notes)
+    seen = 0 if full else min(n.get("made_from", 0) for n in notes)
+    changed = source.changed_since(seen)
+    if not changed:
+        return []
+    keys = ["city", "recorded_date"]
+    known = counted.read()
+    if seen == 0 or known is None:
+        rows, span = materialise(series(source.read()), "series"), None
+        days = rewritten = _days(rows)
+    else:
+        fresh = series(source.read(changed)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        fresh = materialise(fresh.withColumn("changed", F.lit(True)), "fresh")
+        old = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("changed", F.lit(False))
+        old = old.join(fresh.select("recorded_date").distinct(), "recorded_date", "left_anti")
+        back, ahead = max(d.back for d in derived), max(d.ahead for d in derived)
+        span = materialise(spans(old.unionByName(fresh), back, ahead), "spans")
+        days, rewritten = _days(span), _days(span.where("affected"))
+        rows = series(source.read(_partitions(source, days)))
+        rows = materialise(rows.join(span.select(*keys), keys, "left_semi"), "series")
+    for d in derived:
+        made = d.build(rows)
+        if span is not None:
+            again = span.where("affected").select(*keys)
+            made = made.join(again, keys, "left_semi")
+            kept = d.table.read(rewritten)
+            if kept is not None:
+                made = made.unionByName(kept.join(again, keys, "left_anti"))
+        d.table.replace(made, rewritten, made_from=version, **stored)
+    return rewritten
+
+
+def _days(rows: DataFrame) -> list[str]:
+    """Calendar days, as the partitions of a table are called."""
+    return sorted(str(r[0]) for r in rows.select("recorded_date").distinct().collect())
+
+
+def _partitions(source: VersionedTable, days: Sequence[str]) -> list[str]:
+    if source.partition == "recorded_month":
+        return sorted({day[:7] for day in days})
+    return list(days)
+
+
+def table(spark: SparkSession, lake: LakeConfig, name: str) -> VersionedTable:
+    """A feature set of the lake; days are its partitions."""
+    instant = "recorded_date" if name == "daily_weather" else "recorded_at"
+    return VersionedTable(spark, lake.table(name), ["city", instant], "recorded_date")
+
+
+def run(spark: SparkSession, lake: LakeConfig, silver: VersionedTable) -> list[str]:
+    """Bring the three feature sets up to date; returns the days whose hours were written."""
     with scratch(spark):
         digits = lake.feature_digits
-        hot = hot_entities(only(silver, "city", lake.entity), ["city"])
-        hourly = materialise(hourly_series(silver, lake.entity, digits), "hourly")
-        daily = spark.read.parquet(lake.table("fact_weather_daily_stats"))
-        sinks.overwrite(hourly_features(hourly, digits, hot=hot), lake.table("hourly_weather"))
-        sinks.overwrite(daily_features(daily, lake.entity), lake.table("daily_weather"))
-        sinks.overwrite(
-            training_frame(hourly, lake.horizon, digits, hot=hot), lake.table("training_data")
+        hourly, training, daily = (
+            table(spark, lake, n) for n in ("hourly_weather", "training_data", "daily_weather")
         )
+        derived = [
+            Derived(hourly, lambda rows: hourly_features(rows, digits), WEEK_FRAME),
+            Derived(training, lambda rows: training_frame(rows, lake.horizon, digits), WEEK_FRAME,
+                    max(lake.horizon, *LABEL_HOURS)),
+        ]
+        settings = {"horizon": lake.horizon, "digits": -1 if digits is None else digits}
+        days = refresh(silver, lambda rows: hourly_series(rows, lake.entity, digits), derived, hourly, settings)
+        facts = spark.read.parquet(lake.table("fact_weather_daily_stats"))
+
+        def of_days(rows: DataFrame) -> DataFrame:
+            return attach(rows.select("city", "recorded_date").distinct(), facts, ["city", "recorded_date"])
+
+        refresh(silver, of_days, [Derived(daily, lambda rows: daily_features(rows, lake.entity), 30)], daily)
+        return days

@@ -16,7 +16,13 @@ from tidemark.config import LakeConfig, scratch
 from tidemark.functions import fixed_point
 from tidemark.functions.scalar import mentions, month_key
 from tidemark.operators import sinks
-from tidemark.operators.aggregates import mean_of, merge_stats, partial_stats
+from tidemark.operators.aggregates import (
+    distinct_sketches,
+    mean_of,
+    merge_sketches,
+    merge_stats,
+    partial_stats,
+)
 from tidemark.operators.joins import attach
 from tidemark.operators.ranking import dense_key, dense_key_small, most_frequent
 from tidemark.operators.shape import calendar, stamp
@@ -50,6 +56,19 @@ def day_cube(silver: DataFrame, digits: Digits = None) -> DataFrame:
     )
 
 
+def day_reach(silver: DataFrame) -> DataFrame:
+    """Which cities reported, per day and condition, as mergeable sketches."""
+    return distinct_sketches(silver, ["recorded_date", "weather_condition"], "city")
+
+
+def monthly_reach(days: DataFrame) -> DataFrame:
+    """Approximate number of cities that reported per month and condition, from the days alone."""
+    by_month = days.withColumn("year_month", month_key("recorded_date"))
+    return merge_sketches(by_month, ["year_month", "weather_condition"]).select(
+        "year_month", "weather_condition", F.col("n").alias("measurements"), F.col("estimate").alias("cities")
+    )
+
+
 def place(cube: DataFrame, attributes: DataFrame) -> DataFrame:
     """Add country and position per city after grouping.
 

@@ -7,15 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.config import LakeConfig, materialise, scratch
 from tidemark.ml import prepare, training
 from tidemark.ml.registry import ModelRegistry
+from tidemark.plans import features
 from tidemark.plans.features import ORDER
-from tidemark.sources.tables import read_if_present
 
 KEYS = ["city", "recorded_at"]
 
 
 def run(spark: SparkSession, lake: LakeConfig, algorithms=None) -> training.Trained | None:
     """None when there is no training data."""
-    frame = read_if_present(spark, lake.table("training_data"))
+    frame = features.table(spark, lake, "training_data").read()
     if frame is None:
         return None
     encoder = prepare.fit_encoder(prepare.usable(frame))
@@ -26,8 +26,8 @@ def run(spark: SparkSession, lake: LakeConfig, algorithms=None) -> training.Trai
     registry = ModelRegistry(spark, lake.registry)
     number = registry.versions().count() + 1
     path = f"{lake.models}/{number}"
-    encoder.write().overwrite().save(f"{path}/encoder")
-    training.save(winner.model, f"{path}/forecaster")
+    # One pipeline: a request's category is encoded as the training rows' was.
+    training.save(training.with_category(encoder, winner.model), f"{path}/forecaster")
     version = registry.register(
         winner.algorithm, {"mae": winner.mae, "rmse": winner.rmse, "r2": winner.r2}, path
     )
@@ -43,12 +43,19 @@ def production_model(spark: SparkSession, lake: LakeConfig):
     return training.load(f"{row['path']}/forecaster"), str(row["version"])
 
 
-def forecast(spark: SparkSession, lake: LakeConfig, requests: DataFrame) -> DataFrame:
-    """Score a request table with the production model, or with the fallback rule."""
+def forecast(
+    spark: SparkSession, lake: LakeConfig, requests: DataFrame, latest: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Forecasts by the production model, or by the fallback rule, and the rejected requests.
+
+    ``latest`` has the newest feature row of each city, by default from the stored hours.
+    """
     from tidemark.ml import scoring
     from tidemark.plans.online import latest_features
 
-    hourly = read_if_present(spark, lake.table("hourly_weather"))
+    accepted, rejected = scoring.split_requests(requests)
     model, version = production_model(spark, lake)
-    latest = None if hourly is None else latest_features(hourly)
-    return scoring.score(requests, latest, model, version)
+    if latest is None:
+        hourly = features.table(spark, lake, "hourly_weather").read()
+        latest = None if hourly is None else latest_features(hourly)
+    return scoring.score(accepted, latest, model, version), rejected

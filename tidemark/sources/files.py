@@ -75,6 +75,40 @@ def new_files(spark: SparkSession, landing: str, manifest: str) -> DataFrame:
     return found.join(known, ["path", "modified_at"], "left_anti")
 
 
+CLAIM_SCHEMA = T.StructType(
+    [
+        T.StructField("batch", T.StringType(), False),
+        T.StructField("path", T.StringType(), False),
+        T.StructField("modified_at", T.TimestampType()),
+    ]
+)
+
+
+def next_batch(spark: SparkSession, landing: str, manifest: str, claims: str) -> DataFrame | None:
+    """The files to ingest now, ``(batch, path, modified_at)``, or None when all are ingested.
+
+    New files are claimed before anything is read: one small file that is there or not. A
+    batch is named after the paths and times of its files. If a run died after its claim,
+    the same files come again under the same name, whatever has landed since, so that its
+    rows replace what the dead run wrote.
+    """
+    if exists(spark, claims):
+        claimed = spark.read.schema(CLAIM_SCHEMA).parquet(claims)
+        done = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest) if exists(spark, manifest) else None
+        unfinished = claimed if done is None else claimed.join(done, ["path", "modified_at"], "left_anti")
+        if (open_row := unfinished.select("batch").first()) is not None:
+            return claimed.where(F.col("batch") == open_row["batch"])
+    fresh = new_files(spark, landing, manifest)
+    names = F.sort_array(F.collect_list(F.concat_ws("|", "path", F.unix_micros("modified_at").cast("string"))))
+    name = fresh.agg(F.md5(F.array_join(names, "\n")).alias("batch"), F.count(F.lit(1)).alias("n")).first()
+    if name["n"] == 0:
+        return None
+    fresh.select(F.lit(name["batch"]).alias("batch"), "path", "modified_at").coalesce(1).write.mode("append").parquet(
+        claims
+    )
+    return spark.read.schema(CLAIM_SCHEMA).parquet(claims).where(F.col("batch") == name["batch"])
+
+
 def record_files(files: DataFrame, manifest: str) -> None:
     """Mark files as ingested. Run after the data they hold is committed."""
     files.select("path", "modified_at", F.current_timestamp().alias("ingested_at")).write.mode(
