@@ -138,6 +138,11 @@ _PARTS = """CAST(hour(recorded_at) AS INTEGER) AS hour,
 _STD = "CASE WHEN n > 1 THEN sqrt(CAST(n * q - s * s AS DOUBLE) / (n * (n - 1))) / 100 END"
 
 
+def _units(name: str) -> str:
+    """A mean in whole ten-thousandths, whose text is the same everywhere."""
+    return f"CAST(round({name} * 10000) AS BIGINT)"
+
+
 def _features(scale: int = 1) -> str:
     def lag(column: str, hours: int) -> str:
         return f"coalesce(lag({column}, {hours * scale}) OVER w, {column})"
@@ -366,6 +371,10 @@ ORACLE: dict[str, str] = {
                                    ORDER BY ingested_at DESC NULLS LAST, source NULLS LAST) = 1""",
     "upsert_twice": _UPSERTED,
     "upsert_versioned": _UPSERTED,
+    "upsert_out_of_order": f"""WITH {_CORRECTIONS}
+        SELECT * FROM (SELECT * FROM base UNION ALL SELECT * FROM batch)
+        QUALIFY row_number() OVER (PARTITION BY city, recorded_dt ORDER BY ingested_at DESC NULLS LAST,
+                                   source NULLS LAST, temperature NULLS LAST, weather_condition NULLS LAST) = 1""",
     "daily_stats": f"""WITH {_DAILY} SELECT * EXCLUDE (recorded_date),
         CAST(recorded_date AS VARCHAR) AS recorded_date FROM daily""",
     "daily_dominant": f"""WITH {_DAILY} SELECT city, CAST(recorded_date AS VARCHAR) AS recorded_date,
@@ -512,7 +521,9 @@ ORACLE: dict[str, str] = {
                  'hour': hour, 'day_of_week': day_of_week, 'month': month, 'week_of_year': week_of_year,
                  'temp_lag_1h': temp_lag_1h, 'temp_lag_3h': temp_lag_3h, 'temp_lag_6h': temp_lag_6h,
                  'temp_lag_12h': temp_lag_12h, 'temp_lag_24h': temp_lag_24h,
-                 'humid_lag_1h': humid_lag_1h, 'pres_lag_1h': pres_lag_1h}})::VARCHAR AS features,
+                 'humid_lag_1h': humid_lag_1h, 'pres_lag_1h': pres_lag_1h,
+                 'temp_24h_ma': {_units('temp_24h_ma')}, 'temp_168h_ma': {_units('temp_168h_ma')},
+                 'humid_24h_ma': {_units('humid_24h_ma')}, 'temp_24h_std': {_units('temp_24h_std')}}})::VARCHAR AS features,
                rtrim(rtrim(strftime(recorded_at, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') AS updated_at, city
         FROM features
         QUALIFY row_number() OVER (PARTITION BY city ORDER BY recorded_at DESC, temp NULLS LAST,
@@ -536,10 +547,9 @@ ORACLE: dict[str, str] = {
                round(my - mx * cxy * n / (vx * n + 1), 6) AS intercept FROM sums""",
     "request_defaults": f"""WITH {_features()},{_REQUESTS},
         latest AS (
-          SELECT * FROM (SELECT * FROM features
-            QUALIFY row_number() OVER (PARTITION BY city ORDER BY recorded_at DESC, temp NULLS LAST,
-                                       humid NULLS LAST) = 1)
-          WHERE condition = 'mist'
+          SELECT * FROM features
+          QUALIFY row_number() OVER (PARTITION BY city ORDER BY recorded_at DESC, temp NULLS LAST,
+                                     humid NULLS LAST) = 1
         )
         SELECT r.* EXCLUDE (temp_lag_1h),
                coalesce(r.temp_lag_1h, l.temp_lag_1h, r.temperature, 20.0) AS temp_lag_1h,
@@ -581,3 +591,61 @@ ORACLE: dict[str, str] = {
         make_timestamp(max(recorded_dt) * 1000000) AS latest_record,
         make_timestamp(max(recorded_dt) * 1000000) AS last_ingested FROM obs""",
 }
+
+ORACLE["features_after_late_day"] = ORACLE["hourly_features"]
+ORACLE["training_after_late_day"] = ORACLE["training_frame"]
+ORACLE["hash_split_counts"] = f"""WITH {_OBS}
+    SELECT weather_condition, CAST('0x' || substr(md5('42|' || event_id), 1, 8) AS BIGINT) % 1000 < 800 AS training,
+           count(*) AS n
+    FROM obs GROUP BY ALL"""
+ORACLE["tree_scores"] = f"""WITH {_TRAINING},
+    cents AS (SELECT hour, CAST(round(label_24h * 100) AS BIGINT) AS y, label_24h FROM training),
+    byhour AS (SELECT hour, count(*) AS n, sum(y) AS s FROM cents GROUP BY hour),
+    sides AS (SELECT hour AS cut, CAST(sum(n) OVER w AS BIGINT) AS nl, CAST(sum(s) OVER w AS DOUBLE) AS sl,
+                     CAST(sum(n) OVER () - sum(n) OVER w AS BIGINT) AS nr,
+                     CAST(sum(s) OVER () - sum(s) OVER w AS DOUBLE) AS sr
+              FROM byhour WINDOW w AS (ORDER BY hour)),
+    best AS (SELECT cut, nl AS rows_left, nr AS rows_right, sl / nl / 100 AS mean_left, sr / nr / 100 AS mean_right
+             FROM sides WHERE nr > 0 ORDER BY sl * sl / nl + sr * sr / nr DESC, cut LIMIT 1),
+    mae AS (SELECT avg(abs(CASE WHEN hour <= cut THEN mean_left ELSE mean_right END - label_24h)) AS mae
+            FROM cents, best)
+    SELECT algorithm, cut, rows_left, rows_right, round(mean_left, 6) AS mean_left,
+           round(mean_right, 6) AS mean_right, round(mae, 6) AS mae
+    FROM best, mae, (VALUES ('RandomForest'), ('GradientBoosting'), ('exact')) AS t(algorithm)"""
+ORACLE["model_versions"] = f"""WITH {_SCORED}
+    SELECT 'weather-forecast-model' AS name, CAST(version AS INTEGER) AS version, stage, status, algorithm,
+           mae, rmse, r2, 'models/' || algorithm AS path, stage <> 'Archived' AS newest_in_stage
+    FROM metrics JOIN (VALUES (1, 'rule', 'Archived', 'production'), (2, 'persistence', 'Production', 'production'),
+                              (3, 'rule', 'Staging', '')) AS t(version, algorithm, stage, status) USING (algorithm)"""
+ORACLE["forecast_requests"] = f"""WITH {_features()},{_TRAINING.removeprefix(_HOURLY).lstrip(",")},{_REQUESTS},
+    sums AS (SELECT count(*) AS n, covar_pop(temperature, label_24h) AS cxy, var_pop(temperature) AS vx,
+                    avg(temperature) AS mx, avg(label_24h) AS my FROM training),
+    line AS (SELECT cxy * n / (vx * n + 1) AS slope, my - mx * cxy * n / (vx * n + 1) AS base FROM sums),
+    codes AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS code
+              FROM (SELECT DISTINCT coalesce(weather_condition, 'Unknown') AS c FROM training)),
+    latest AS (SELECT city, condition FROM features
+               QUALIFY row_number() OVER (PARTITION BY city ORDER BY recorded_at DESC, temp NULLS LAST,
+                                          humid NULLS LAST) = 1),
+    asked AS (SELECT r.event_id, r.temperature, p.source = 'stream' AND r.hour > 21 AS refused,
+                     CAST(CASE WHEN p.weather_condition = 'mist' THEN 9 WHEN l.condition IS NULL THEN 0
+                          ELSE coalesce(code, (SELECT count(*) FROM codes)) END AS INTEGER) AS code
+              FROM requests r JOIN plain p USING (event_id) LEFT JOIN latest l ON l.city = r.city
+              LEFT JOIN codes ON c = l.condition),
+    scored AS (SELECT *, slope * temperature + base AS p FROM asked, line)
+    SELECT event_id, CASE WHEN NOT refused THEN round(p, 2) END AS predicted_temperature_24h,
+           CASE WHEN NOT refused THEN round(p - 1.96::DOUBLE * abs(p - temperature) * 0.15::DOUBLE, 2) END AS confidence_lower,
+           CASE WHEN NOT refused THEN round(p + 1.96::DOUBLE * abs(p - temperature) * 0.15::DOUBLE, 2) END AS confidence_upper,
+           CASE WHEN NOT refused THEN code END AS condition_encoded,
+           CASE WHEN NOT refused THEN '1' END AS model_version,
+           CASE WHEN refused THEN 'hour out of range' END AS rejected_by FROM scored"""
+ORACLE["distinct_estimates"] = f"""WITH {_PLAIN}
+    SELECT strftime(recorded_at, '%Y-%m') AS year_month, weather_condition, count(*) AS measurements,
+           count(DISTINCT city) AS exact_cities, true AS within_5_percent
+    FROM plain GROUP BY ALL"""
+# The late readings of the second landing are missing; those sent again in the third are there twice.
+ORACLE["stream_dedup"] = f"""WITH {_OBS}
+    SELECT event_id, recorded_at AS sent_at, temperature FROM obs
+    UNION ALL
+    SELECT event_id, recorded_at + INTERVAL 14 DAY, temperature FROM obs
+    WHERE recorded_at >= '2024-01-11' AND recorded_at <= '2024-01-12 23:59:59'"""
+ORACLE["bronze_incremental"] = ORACLE["bronze_files"]

@@ -5,15 +5,17 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.checks import observations as obs
-from tidemark.config import materialise, scratch_path
-from tidemark.functions.scalar import violates_range
-from tidemark.ml import prepare, scoring, training
+from tidemark.config import LakeConfig, materialise, scratch_path
+from tidemark.functions.scalar import month_key, violates_range
+from tidemark.ml import prepare, scoring, splits, training
+from tidemark.ml.registry import ModelRegistry
 from tidemark.operators import aggregates, quality, sinks
 from tidemark.operators.joins import align_outer, align_outer_by_join, attach
 from tidemark.operators.ranking import dense_key, keep_first
@@ -21,11 +23,15 @@ from tidemark.operators.series import forward_fill, over_series
 from tidemark.operators.shape import conform, expand, tag, union_sources, unpivot
 from tidemark.operators.upsert import VersionedTable, merge_rows
 from tidemark.plans import bronze, features, gold, online, reports, silver, validation
+from tidemark.plans import training as plans_training
 from tidemark.schemas import HUMIDITY_RANGE, TEMPERATURE_RANGE
 from tidemark.sources import files
 from tidemark.sources.messages import read_folder
 from tidemark.streaming import ingest
 
+# A day that arrives late, and that splits deliveries.
+LATE_DAY = "2024-01-15"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -49,9 +55,14 @@ def silver_clean(spark, d):
 
 @query
 def drop_accounting(spark, d):
-    from tidemark.operators.filters import within
-
-    return quality.accounting(obs.observations(spark, d), within(silver.CLEAN_RANGES))
+    """Counted while the cleaned rows are written, checked and published."""
+    cleaned, seen = silver.clean_counted(obs.observations(spark, d))
+    table = VersionedTable(
+        spark, scratch_path(spark, "audited"), silver.KEYS, "recorded_date", silver.newest_wins(cleaned.columns)
+    )
+    table.merge(cleaned, silver.rules())
+    counts = quality.filter_counts(seen)
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
 
 
 @query
@@ -145,18 +156,35 @@ def upsert_twice(spark, d):
     return merge_rows(once, batch, silver.KEYS)
 
 
-@query
-def upsert_versioned(spark, d):
+def _merged(spark, d, label: str, frames: Callable) -> DataFrame:
+    """Frames made of a table and its corrections, merged one after another."""
     rows, batch = (
         f.withColumn("recorded_date", F.to_date(F.timestamp_seconds("recorded_dt")))
         for f in _corrections(spark, d)
     )
-    table = VersionedTable(spark, scratch_path(spark, "upsert"), silver.KEYS, "recorded_date")
-    for frame in (rows, batch, batch):
+    order = silver.newest_wins(rows.drop("recorded_date").columns)
+    table = VersionedTable(spark, scratch_path(spark, label), silver.KEYS, "recorded_date", order)
+    for frame in frames(rows, batch):
         table.merge(frame)
     return table.read().drop("recorded_date")
 
 
+@query
+def upsert_versioned(spark, d):
+    return _merged(spark, d, "upsert", lambda rows, batch: (rows, batch, batch))
+
+
+@query
+def upsert_out_of_order(spark, d):
+    """Corrections arrive first, then the rows they correct, with keys repeated, then one feed again."""
+    return _merged(
+        spark,
+        d,
+        "unordered",
+        lambda rows, batch: (batch, rows.unionAll(batch), rows.where(F.col("source") == obs.STREAM)),
+    )
+
+
 # --- gold -------------------------------------------------------------------
 
 
@@ -209,6 +237,19 @@ def dense_order_key(spark, d):
     return dense_key(orders, "o_orderkey", "order_id")
 
 
+@query
+def distinct_estimates(spark, d):
+    """Cities per month and condition: day sketches rolled up, next to the exact count."""
+    rows = obs.silver_plain(spark, d)
+    days = materialise(gold.day_reach(rows), "reach")
+    exact = rows.groupBy(month_key("recorded_date").alias("year_month"), "weather_condition").agg(
+        F.count_distinct("city").alias("exact_cities")
+    )
+    both = attach(exact, gold.monthly_reach(days), ["year_month", "weather_condition"])
+    near = F.abs(F.col("cities") - F.col("exact_cities")) <= F.col("exact_cities") * 0.05
+    return both.select("year_month", "weather_condition", "measurements", "exact_cities", near.alias("within_5_percent"))
+
+
 @query
 def clustered_rewrite(spark, d):
     path = scratch_path(spark, "clustered")
@@ -224,26 +265,59 @@ def partitioned_overwrite(spark, d):
     return spark.read.parquet(path)
 
 
+ATTRIBUTE_FILES = ("temperature", "humidity", "pressure")
+
+
+def _wide(rows: DataFrame, attribute: str) -> DataFrame:
+    """Readings as a wide file: one row a day, one column a condition."""
+    days = rows.withColumn("datetime", F.date_trunc("day", "recorded_at").cast("string"))
+    return (
+        days.groupBy("datetime")
+        .pivot("weather_condition", list(obs.CONDITIONS.values()))
+        .agg(F.max(attribute))
+    )
+
+
+def _from_bronze(rows: DataFrame) -> DataFrame:
+    return silver.map_batch(rows).select(
+        "city", "temperature", "humidity", "pressure", "recorded_at", "recorded_dt"
+    )
+
+
 @query
 def bronze_files(spark, d):
     """Wide files written from the events, read back, aligned and mapped to the silver schema."""
-    rows = obs.observations(spark, d).withColumn(
-        "datetime", F.date_trunc("day", "recorded_at").cast("string")
-    )
-    root = scratch_path(spark, "landing")
-    frames = {}
-    for attribute in ("temperature", "humidity", "pressure"):
-        wide = (
-            rows.groupBy("datetime")
-            .pivot("weather_condition", list(obs.CONDITIONS.values()))
-            .agg(F.max(attribute))
-        )
-        wide.write.option("header", True).csv(f"{root}/{attribute}.csv")
+    rows, root, frames = obs.observations(spark, d), scratch_path(spark, "landing"), {}
+    for attribute in ATTRIBUTE_FILES:
+        _wide(rows, attribute).write.option("header", True).csv(f"{root}/{attribute}.csv")
         frames[attribute] = files.read_attribute(
             spark, f"{root}/{attribute}.csv", attribute, T.DoubleType()
         )
-    mapped = silver.map_batch(bronze.batch_bronze(frames, None))
-    return mapped.select("city", "temperature", "humidity", "pressure", "recorded_at", "recorded_dt")
+    return _from_bronze(bronze.batch_bronze(frames, None))
+
+
+@query
+def bronze_incremental(spark, d):
+    """The same files in two deliveries with a stray one. Every run is repeated, and the second
+    delivery is first taken in by a run that dies before it reaches the manifest."""
+    rows, lake = obs.observations(spark, d), LakeConfig(scratch_path(spark, "deliveries"))
+    early = F.col("recorded_at") < F.lit(LATE_DAY).cast("timestamp")
+
+    def land(part: DataFrame, delivery: str) -> None:
+        for attribute in ATTRIBUTE_FILES:
+            wide = _wide(part, attribute).coalesce(1).write.option("header", True)
+            wide.csv(f"{lake.landing}/{delivery}/{attribute}.csv")
+
+    land(rows.where(early), "first")
+    bronze.run_batch(spark, lake)
+    bronze.run_batch(spark, lake)
+    land(rows.where(~early), "second")
+    rows.limit(1).select("event_id").write.option("header", True).csv(f"{lake.landing}/second/notes.csv")
+    claimed = files.next_batch(spark, lake.landing, lake.manifest, lake.claims)
+    bronze.ingest(spark, lake, claimed)
+    bronze.run_batch(spark, lake)
+    bronze.run_batch(spark, lake)
+    return _from_bronze(spark.read.parquet(lake.table("bronze_weather_batch")))
 
 
 # --- features ---------------------------------------------------------------
@@ -317,6 +391,41 @@ def training_frame(spark, d):
     return obs.training(spark, d)
 
 
+def _after_late_day(spark, d) -> dict[str, VersionedTable]:
+    """Features of all days but one, then brought up to date when that day arrives."""
+    rows = obs.silver_plain(spark, d)
+    late = F.col("recorded_date") == F.lit(LATE_DAY).cast("date")
+    source = VersionedTable(spark, scratch_path(spark, "source"), silver.KEYS, "recorded_date")
+    hourly, training = (
+        VersionedTable(spark, scratch_path(spark, name), ["city", "recorded_at"], "recorded_date")
+        for name in ("hourly", "training")
+    )
+    hot, week = obs.hot(spark, d), features.WEEK_FRAME
+    build = {"digits": obs.SERIES_DIGITS, "hot": hot}
+    derived = [
+        features.Derived(hourly, lambda r: features.hourly_features(r, **build), week),
+        features.Derived(training, lambda r: features.training_frame(r, **build), week, 24),
+    ]
+
+    def series(part: DataFrame) -> DataFrame:
+        return features.hourly_series(part, digits=obs.SERIES_DIGITS, batch=obs.BATCH, stream=obs.STREAM)
+
+    for frame in (rows.where(~late), rows.where(late)):
+        source.merge(frame)
+        features.refresh(source, series, derived, hourly)
+    return {"hourly": hourly, "training": training}
+
+
+@query
+def features_after_late_day(spark, d):
+    return _after_late_day(spark, d)["hourly"].read()
+
+
+@query
+def training_after_late_day(spark, d):
+    return _after_late_day(spark, d)["training"].read()
+
+
 def _gaps(spark, d) -> DataFrame:
     rows = obs.observations(spark, d)
     valid = F.when(F.col("temperature").between(*TEMPERATURE_RANGE), F.col("temperature"))
@@ -466,14 +575,19 @@ def dimension_dump(spark, d):
     return reports.dump(gold.dim_date(obs.cube(spark, d)), "date_id")
 
 
+def _latest_features(spark, d) -> DataFrame:
+    """The newest feature row of every entity, from as much history as its frames reach."""
+    history = online.recent(obs.hourly(spark, d))
+    hourly = features.hourly_features(history, digits=obs.SERIES_DIGITS, hot=None)
+    return online.latest_features(hourly)
+
+
 @query
 def latest_online_row(spark, d):
-    hourly = features.hourly_features(
-        obs.hourly(spark, d), digits=obs.SERIES_DIGITS, hot=obs.hot(spark, d)
-    )
-    # Means are left out: their text form differs between engines.
+    # Means as whole units: the text of a fraction differs between engines.
     means = ["temp_24h_ma", "temp_168h_ma", "humid_24h_ma", "temp_24h_std"]
-    return online.latest_rows(hourly.drop(*means))
+    latest = _latest_features(spark, d).withColumns({m: F.round(F.col(m) * 10_000).cast("long") for m in means})
+    return online.online_rows_of(latest)
 
 
 # --- models -----------------------------------------------------------------
@@ -541,6 +655,40 @@ def ridge_fit(spark, d):
 
 @query
 def tree_scores(spark, d):
+    """Forest and boosting as trees of depth one, next to the exact best split."""
+    frame = materialise(obs.training(spark, d).select("hour", "label_24h"), "stumps")
+    vectors = VectorAssembler(inputCols=["hour"], outputCol="features").transform(frame)
+    models = {
+        "RandomForest": training.forest(vectors, numTrees=1, maxDepth=1, bootstrap=False),
+        "GradientBoosting": training.boosting(vectors, maxIter=1, maxDepth=1),
+    }
+    error = F.abs(F.col("prediction") - F.col("label_24h"))
+    found = []
+    for name, model in models.items():
+        sides = model.transform(vectors).groupBy("prediction").agg(
+            F.max("hour").alias("upto"), F.count(F.lit(1)).alias("rows"), F.sum(error).alias("error")
+        )
+        first, last = F.min("upto"), F.max("upto")
+        found.append(
+            sides.agg(
+                first.alias("cut"),
+                F.min_by("rows", "upto").alias("rows_left"),
+                F.max_by("rows", "upto").alias("rows_right"),
+                F.min_by("prediction", "upto").alias("mean_left"),
+                F.max_by("prediction", "upto").alias("mean_right"),
+                (F.sum("error") / F.sum("rows")).alias("mae"),
+            ).withColumn("algorithm", F.lit(name))
+        )
+    exact = splits.best_split(frame, "hour", "label_24h")
+    side = F.when(F.col("hour") <= F.col("cut"), F.col("mean_left")).otherwise(F.col("mean_right"))
+    mae = frame.join(F.broadcast(exact)).agg(F.avg(F.abs(side - F.col("label_24h"))).alias("mae"))
+    found.append(exact.join(F.broadcast(mae)).withColumn("algorithm", F.lit("exact")))
+    rounded = ("mean_left", "mean_right", "mae")
+    return union_sources(found).withColumns({c: F.round(c, 6) for c in rounded})
+
+
+@query
+def regressor_scores(spark, d):
     """All three regressors on the training frame, compared on held-out rows."""
     frame = materialise(obs.training(spark, d), "training")
     encoder = prepare.fit_encoder(prepare.usable(frame))
@@ -555,6 +703,59 @@ def tree_scores(spark, d):
     return training.metrics(union_sources(scored), "label_24h", by=["algorithm"])
 
 
+@query
+def model_versions(spark, d):
+    """Three versions registered with their measured errors; the first is promoted, then the best."""
+    compared = training.metrics(_two_forecasts(spark, d), "label_24h", digits=2, by=["algorithm"])
+    measured = {r["algorithm"]: r for r in compared.collect()}  # one row per algorithm
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    numbers = {}
+    for name in ("rule", "persistence", "rule"):
+        row = measured[name]
+        numbers[name] = registry.register(name, {m: row[m] for m in ("mae", "rmse", "r2")}, f"models/{name}")
+    registry.promote(1)
+    registry.transition(numbers["rule"], "Staging")
+    registry.promote(numbers["persistence"])
+    newest = registry.latest().select("version", F.lit(True).alias("newest_in_stage"))
+    return attach(registry.versions().drop("created_at"), newest, "version").fillna(False, ["newest_in_stage"])
+
+
+@query
+def forecast_requests(spark, d):
+    """A one-feature ridge saved with its encoder, promoted, loaded and applied to requests."""
+    lake = LakeConfig(scratch_path(spark, "models"))
+    frame = materialise(obs.training(spark, d).select("temperature", "weather_condition", "label_24h"), "ridge")
+    vector = VectorAssembler(inputCols=["temperature"], outputCol="features")
+    fitted = PipelineModel([vector, training.ridge(vector.transform(frame))])
+    path = f"{lake.models}/1"
+    training.save(training.with_category(prepare.fit_encoder(frame), fitted), f"{path}/forecaster")
+    registry = ModelRegistry(spark, lake.registry)
+    registry.promote(registry.register("Ridge", {"mae": 0.0, "rmse": 0.0, "r2": 0.0}, path))
+
+    # Requests of one feed name an hour that does not exist; misty ones bring their own code.
+    rows = attach(
+        _requests(spark, d), obs.silver_plain(spark, d).select("event_id", "source", "weather_condition"), "event_id"
+    )
+    rows = rows.withColumns(
+        {
+            "hour": F.when((F.col("source") == obs.STREAM) & (F.col("hour") > 21), F.lit(24)).otherwise(F.col("hour")),
+            "condition_encoded": F.when(F.col("weather_condition") == "mist", F.lit(9)),
+        }
+    ).drop("source", "weather_condition")
+    forecasts, rejected = plans_training.forecast(spark, lake, rows, _latest_features(spark, d))
+    made = forecasts.select(
+        "event_id",
+        "predicted_temperature_24h",
+        "confidence_lower",
+        "confidence_upper",
+        F.col("condition_encoded").cast("int").alias("condition_encoded"),
+        "model_version",
+        F.lit(None).cast("string").alias("rejected_by"),
+    )
+    refused = rejected.select("event_id", F.array_join("rejected_by", "; ").alias("rejected_by"))
+    return made.unionByName(refused, allowMissingColumns=True)
+
+
 def _requests(spark, d) -> DataFrame:
     """Every clean reading as a request; only misty ones know their last hour."""
     rows = obs.silver_plain(spark, d)
@@ -575,11 +776,7 @@ def _requests(spark, d) -> DataFrame:
 
 @query
 def request_defaults(spark, d):
-    hourly = features.hourly_features(
-        obs.hourly(spark, d), digits=obs.SERIES_DIGITS, hot=obs.hot(spark, d)
-    )
-    latest = online.latest_features(hourly).filter(F.col("condition") == "mist")
-    return scoring.with_defaults(_requests(spark, d), latest)
+    return scoring.with_defaults(_requests(spark, d), _latest_features(spark, d))
 
 
 @query
@@ -693,3 +890,44 @@ def stream_profile(spark, d):
     )
     parsed = ingest.parse_messages(messages).filter(F.col("name").isNotNull())
     return reports.stream_profile(parsed.withColumn("ingested_at", F.timestamp_seconds("dt")))
+
+
+# Landings of the deduplicated stream, and how long a repeat is recognised.
+LANDINGS = ("2024-01-11", "2024-01-21")
+DEDUP_DELAY = "3 days"
+
+
+def _landings(spark, d) -> list[DataFrame]:
+    """Three landings of readings: each in time order, with repeats of two kinds.
+
+    The second also has readings of the first two days, sent again under new ids, when the
+    watermark has passed them. The third repeats ids of the second landing's first two
+    days, sent again now that their state has expired.
+    """
+    rows = obs.observations(spark, d).select("event_id", F.col("recorded_at").alias("sent_at"), "temperature")
+    first, second = (F.col("sent_at") < F.lit(day).cast("timestamp") for day in LANDINGS)
+    one, two, three = rows.where(first), rows.where(~first & second), rows.where(~second)
+    day = lambda a, b: F.col("sent_at").between(F.lit(a).cast("timestamp"), F.lit(b).cast("timestamp"))
+    repeats = one.where(day("2024-01-09 12:00:00", "2024-01-10 23:59:59"))
+    late = one.where(day("2024-01-01", "2024-01-02 23:59:59")).withColumn("event_id", -F.col("event_id") - 1)
+    expired = two.where(day("2024-01-11", "2024-01-12 23:59:59")).withColumn(
+        "sent_at", F.col("sent_at") + F.expr("INTERVAL 14 DAYS")
+    )
+    return [one.unionAll(one), two.unionAll(repeats).unionAll(late), three.unionAll(expired)]
+
+
+@query
+def stream_dedup(spark, d):
+    """Repeats are dropped while the watermark keeps their key; the state stays bounded.
+
+    Repeats within a landing and of its predecessor's last days go; a reading older than
+    the watermark is lost, new or not; an id that comes back after its state expired counts
+    as new.
+    """
+    folder, target, checkpoint = (scratch_path(spark, f"dedup-{x}") for x in ("in", "out", "ck"))
+    for landing in _landings(spark, d):
+        landing.write.mode("append").parquet(folder)
+        rows = spark.readStream.schema(landing.schema).parquet(folder)
+        unique = ingest.drop_repeats(rows, ["event_id"], "sent_at", DEDUP_DELAY)
+        ingest.append_stream(unique, target, checkpoint, available_now=True).awaitTermination()
+    return spark.read.parquet(target)

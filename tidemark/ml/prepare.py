@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import Transformer
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +50,22 @@ def encode(
     return encoder.transform(with_category).drop("_category")
 
 
+def category_stages(encoder: StringIndexerModel) -> list[Transformer]:
+    """The encoding as stages of a saved model, for rows with ``weather_condition`` (null is
+    'Unknown') and ``condition_given``, a code that goes before it if there is one."""
+    indexer = StringIndexerModel.from_labels(
+        list(encoder.labels), inputCol="_category", outputCol="_code", handleInvalid="keep"
+    )
+    return [
+        SQLTransformer(statement="SELECT *, coalesce(weather_condition, 'Unknown') AS _category FROM __THIS__"),
+        indexer,
+        SQLTransformer(
+            statement="SELECT * EXCEPT (condition_encoded, _category, _code),"
+            " coalesce(condition_given, _code) AS condition_encoded FROM __THIS__"
+        ),
+    ]
+
+
 def engineer(
     frame: DataFrame, encoder: StringIndexerModel, order: Sequence[str], hot: Hot = "count"
 ) -> DataFrame:
@@ -65,10 +82,12 @@ def input_columns(frame: DataFrame, target: str = LABEL) -> list[str]:
 def in_training(keys: Sequence[str], share: float = 0.8, seed: int = 42) -> Column:
     """True for about ``share`` of the keys.
 
-    The side depends on the key alone, so it is the same under any partitioning
-    and after any retry, which a random split is not.
+    The side depends on the text of the key alone: the same under any partitioning, after any
+    retry and in any engine that knows MD5, which a random split is not.
     """
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1000)) < int(share * 1000)
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 1000 < int(share * 1000)
 
 
 @dataclass(frozen=True)

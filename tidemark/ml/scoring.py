@@ -53,11 +53,46 @@ def request_rules() -> list[Rule]:
     ]
 
 
-def with_defaults(requests: DataFrame, latest: DataFrame | None, entity: str = "city") -> DataFrame:
-    """Fill each optional feature: request, latest stored feature, current reading, constant."""
+def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Accepted requests, and rejected ones with the names of the rules they break."""
+    broken = F.filter(
+        F.array(*[F.when(rule.violation, F.lit(rule.name)) for rule in request_rules()]), lambda name: name.isNotNull()
+    )
+    judged = requests.withColumn("rejected_by", broken)
+    accepted = judged.filter(F.size("rejected_by") == 0).drop("rejected_by")
+    return accepted, judged.filter(F.size("rejected_by") > 0)
+
+
+def with_category(requests: DataFrame, latest: DataFrame | None, entity: str = "city") -> DataFrame:
+    """``with_defaults`` for a model that encodes the category itself.
+
+    ``weather_condition`` is the request's or the latest stored one; ``condition_given`` is
+    the request's code, or the constant where neither code nor category is known.
+    """
+    has = set(requests.columns)
+    code = F.col("condition_encoded").cast("double") if "condition_encoded" in has else F.lit(None).cast("double")
+    filled = with_defaults(requests.withColumn("condition_given", code), latest, entity, carry=("condition",))
+    named = [F.col(c) for c in ("weather_condition",) if c in has]
+    named += [F.col("_stored_condition")] if "_stored_condition" in filled.columns else []
+    category = F.coalesce(*named) if named else F.lit(None).cast("string")
+    unknown = F.when(F.col("weather_condition").isNull(), F.lit(float(DEFAULTS["condition_encoded"])))
+    return (
+        filled.withColumn("weather_condition", category)
+        .withColumn("condition_given", F.coalesce("condition_given", unknown))
+        .drop("_stored_condition")
+    )
+
+
+def with_defaults(
+    requests: DataFrame, latest: DataFrame | None, entity: str = "city", carry: Sequence[str] = ()
+) -> DataFrame:
+    """Fill each optional feature: request, latest stored feature, current reading, constant.
+
+    Other stored columns to ``carry`` along are named ``_stored_…``.
+    """
     names = list(DEFAULTS)
     present = set(requests.columns)
-    stored = [n for n in names if latest is not None and n in latest.columns]
+    stored = [n for n in [*names, *carry] if latest is not None and n in latest.columns]
     joined = requests
     if stored:
         joined = attach(
@@ -76,7 +111,7 @@ def with_defaults(requests: DataFrame, latest: DataFrame | None, entity: str = "
         return F.coalesce(*options, F.lit(DEFAULTS[name])).cast(kind)
 
     filled = joined.withColumns({n: chain(n) for n in names})
-    return filled.drop(*[f"_stored_{n}" for n in stored])
+    return filled.drop(*[f"_stored_{n}" for n in stored if n not in carry])
 
 
 def with_band(
@@ -131,5 +166,6 @@ def score(
     if model is None:
         out = fallback(requests)
     else:
-        out = with_band(model.transform(with_defaults(requests, latest))).withColumn("model_version", F.lit(version))
+        scored = model.transform(with_category(requests, latest))
+        out = with_band(scored).withColumn("model_version", F.lit(version))
     return out.withColumn("timestamp", F.current_timestamp())

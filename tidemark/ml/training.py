@@ -6,13 +6,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_point
-from tidemark.ml.prepare import LABEL, Scaling, fit_scaling, in_training
+from tidemark.ml.prepare import LABEL, Scaling, category_stages, fit_scaling, in_training
 
 # Model parameters.
 FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "seed": 42}
@@ -20,13 +20,14 @@ BOOSTING = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "seed": 42}
 RIDGE_ALPHA = 1.0
 
 
-def forest(train: DataFrame) -> Model:
-    """All features at every split; the smallest node that may split has about five rows."""
-    return RandomForestRegressor(labelCol=LABEL, featureSubsetStrategy="all", **FOREST).fit(train)
+def forest(train: DataFrame, **other) -> Model:
+    """All features at every split; the smallest node that may split has about five rows.
+    ``other`` parameters replace the fixed ones."""
+    return RandomForestRegressor(labelCol=LABEL, featureSubsetStrategy="all", **FOREST | other).fit(train)
 
 
-def boosting(train: DataFrame) -> Model:
-    return GBTRegressor(labelCol=LABEL, **BOOSTING).fit(train)
+def boosting(train: DataFrame, **other) -> Model:
+    return GBTRegressor(labelCol=LABEL, **BOOSTING | other).fit(train)
 
 
 def ridge(train: DataFrame, label: str = LABEL, alpha: float = RIDGE_ALPHA) -> Model:
@@ -106,6 +107,11 @@ def assemble(columns: Sequence[str], scaling: Scaling) -> PipelineModel:
     return PipelineModel([scaling.transformer(), vector])
 
 
+def with_category(encoder: StringIndexerModel, model: PipelineModel) -> PipelineModel:
+    """A trained model that takes the category instead of its code."""
+    return PipelineModel([*category_stages(encoder), *model.stages])
+
+
 def train_all(
     frame: DataFrame, columns: Sequence[str], keys: Sequence[str], algorithms=None
 ) -> list[Trained]:
