@@ -108,3 +108,15 @@ def test_parameters():
     p = NearDedup()
     assert (1 - 0.8**p.rows) ** p.bands < 1e-7
     assert p.most_different(8) / 512 > p.most_different(32) / 2048 > 0.1
+
+
+@pytest.mark.parametrize("tail", [0, 1])
+def test_one_id_on_two_texts_is_linked_by_either(spark, make_docs, prose, tail):
+    """A row of the id may be linked through any of its texts, whichever comes first."""
+    texts = [prose(80, 1), prose(80, 2)]
+    rows = [(5, texts[0]), (5, texts[1]), (3, texts[tail] + " tail"), (9, texts[1 - tail]), (7, prose(80, 3))]
+    for order in (rows, rows[::-1]):
+        got = near_duplicates(spark, make_docs(order)).collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == [(3, 3), (5, 3), (5, 3), (7, 7), (9, 3)]
+    kept = {tuple(sorted((r.doc_id, r.text) for r in unique(spark, make_docs(o)).collect())) for o in (rows, rows[::-1])}
+    assert len(kept) == 1 and [i for i, _ in kept.pop()] == [3, 7]

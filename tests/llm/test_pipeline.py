@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
@@ -40,7 +40,7 @@ def test_each_stage_does_what_its_operator_says(spark, stages):
     before, after = stages["quality_rules"]
     assert ids(after) == ids(quality.report(spark, before).where("kept"))
     before, after = stages["near_duplicates"]
-    assert ids(after) == ids(near_dedup.near_duplicates(spark, before).where("kept"))
+    assert ids(after) == ids(near_dedup.near_duplicates(spark, before, near_dedup.NearDedup(words=5)).where("kept"))
     before, after = stages["decontamination"]
     leaks = {r.doc_id for r in decontaminate.matches(spark, before, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert ids(after) == [k for k in ids(before) if k not in leaks] and leaks

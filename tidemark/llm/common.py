@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import hadoop_path, scratch_path
@@ -136,6 +136,14 @@ class Tables:
         self.paths.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_counted(self, df: DataFrame, name: str, **sums: Column) -> tuple[DataFrame, dict]:
+        """``keep``, and what the write saw: ``rows`` and the sums given. ``df`` should end in
+        a shuffle, so that only the tasks that write are counted, each once."""
+        seen = Observation()
+        made = [F.coalesce(F.sum(value), F.lit(0)).alias(label) for label, value in sums.items()]
+        kept = self.keep(df.observe(seen, F.count(F.lit(1)).alias("rows"), *made), name)
+        return kept, dict(seen.get)
+
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
         for name in names:

@@ -27,15 +27,12 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
 
     ``edges`` has columns hi and lo, hi above lo. Minima are combined before each
     shuffle and neighbours are joined, never gathered, so that a node with very many
-    links stays cheap. Each round is a stored table.
+    links stays cheap. Each round is a stored table, written and counted by one job.
     """
+    check = {"check": F.xxhash64("hi", "lo").cast("decimal(38,0)")}
+    now, seen = tables.keep_counted(edges.distinct(), "edges", **check)
     before = None
-    now = tables.keep(edges.distinct(), "edges")
-    while True:
-        count, check = now.select(
-            F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))
-        ).first()
-        if (count, check) == before:
-            return now.select(F.col("hi").alias("doc_id"), F.col("lo").alias("component_id"))
-        before = (count, check)
-        now = tables.keep(_small_star(_large_star(now).distinct()).distinct(), "edges")
+    while seen["rows"] and seen != before:
+        before = seen
+        now, seen = tables.keep_counted(_small_star(_large_star(now)).distinct(), "edges", **check)
+    return now.select(F.col("hi").alias("doc_id"), F.col("lo").alias("component_id"))

@@ -4,16 +4,17 @@
    the bands of many universal hash minima.
 2. Documents with equal sets are one class, represented by the smallest id.
 3. Representatives that share a band are candidates. Within a bucket they are compared
-   with *centres*, the smallest ids, eight times as many in each round, never all at once: a
+   with *centres*, the smallest ids, 64 times as many in each round, never all at once: a
    member already in the centre's component needs no comparison. A bucket is done once
    its members that have not been centres are all in one component. So no group is
    gathered or expanded into pairs as long as its members are linked, and no candidate is
-   given up either.
+   given up either. A large bucket is dealt out in parts, to each of which its centres go.
 4. Documents that share a bucket get a longer signature, one bit of each of 2048 minima.
    It is compared as a condition of the join that makes the candidates, so pairs below the
    threshold by more than the signature's error never become rows; nor does a pair in any
    bucket but the least it shares. Full sets decide.
-5. Links become components by alternating large-star and small-star.
+5. Links become components by alternating large-star and small-star. A round links the
+   components of the round before, not documents again.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.common import GRAM, Tables, mix, steps, texts
 from tidemark.llm.components import components
+from tidemark.operators.ranking import keep_first
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,12 @@ class NearDedup:
         return int(bits * differ + self.slack * (bits * differ * (1 - differ)) ** 0.5)
 
 
-SKETCH = "doc_id long, n_shingles long, print binary, bands array<long>"
+# ``tag`` tells apart the texts of rows that share an id.
+SKETCH = "doc_id long, tag long, n_shingles long, print binary, bands array<long>"
+
+# Members of a bucket that meet its centres in one task.
+PART_ROWS = 4096
+GROWTH = 64
 
 
 def shingle_sets(step, n: int) -> Iterator[np.ndarray]:
@@ -99,6 +106,10 @@ def _bands(values: np.ndarray, p: NearDedup, a: np.ndarray, b: np.ndarray) -> np
     return mix((least * GRAM[: p.rows]).sum(axis=1, dtype=np.uint64) + salt)
 
 
+def _tag(print_: bytes) -> int:
+    return int.from_bytes(print_[:8], "little", signed=True)
+
+
 def sketch(docs: DataFrame, p: NearDedup) -> DataFrame:
     """One row of ``SKETCH`` for each document that has a word."""
     a, b = _factors(p.bands * p.rows, 71)
@@ -111,23 +122,18 @@ def sketch(docs: DataFrame, p: NearDedup) -> DataFrame:
                 for doc_id, values in zip(ids[step.first : step.last], shingle_sets(step, p.words)):
                     if not len(values) or doc_id is None:
                         continue
-                    rows.append(
-                        (
-                            doc_id,
-                            len(values),
-                            xxhash.xxh3_128_digest(values.tobytes()),
-                            _bands(values, p, a, b).view(np.int64),
-                        )
-                    )
+                    print_ = xxhash.xxh3_128_digest(values.tobytes())
+                    rows.append((doc_id, _tag(print_), len(values), print_, _bands(values, p, a, b).view(np.int64)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int64()),
                         pa.array([r[1] for r in rows], pa.int64()),
-                        pa.array([r[2] for r in rows], pa.binary()),
-                        pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+                        pa.array([r[2] for r in rows], pa.int64()),
+                        pa.array([r[3] for r in rows], pa.binary()),
+                        pa.array([r[4] for r in rows], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "print", "bands"],
+                    names=["doc_id", "tag", "n_shingles", "print", "bands"],
                 )
 
     return texts(docs, "doc_id").mapInArrow(run, SKETCH)
@@ -139,7 +145,7 @@ def _signature(p: NearDedup) -> list[str]:
 
 
 def _sets(docs: DataFrame, p: NearDedup) -> DataFrame:
-    """(doc_id, shingles, bands, s0, s1 ..., more) of documents; bands have 31 bits here."""
+    """(doc_id, tag, shingles, bands, s0, s1 ..., more) of documents; bands have 31 bits here."""
     a, b = _factors(64 * p.longs, 72)
     of_bands = _factors(p.bands * p.rows, 71)
 
@@ -152,6 +158,7 @@ def _sets(docs: DataFrame, p: NearDedup) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(step.first, len(values)).cast(pa.int64()),
+                        pa.array([_tag(xxhash.xxh3_128_digest(v.tobytes())) for v in values], pa.int64()),
                         pa.array([v.view(np.int64) for v in values], pa.list_(pa.int64())),
                         pa.array(
                             [(_bands(v, p, *of_bands) >> np.uint64(33)).astype(np.int32) for v in values],
@@ -160,25 +167,26 @@ def _sets(docs: DataFrame, p: NearDedup) -> DataFrame:
                         *[pa.array(np.ascontiguousarray(x)) for x in longs.T[: p.quick_longs]],
                         pa.array(list(longs[:, p.quick_longs :]), pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "shingles", "bands", *_signature(p)],
+                    names=["doc_id", "tag", "shingles", "bands", *_signature(p)],
                 )
 
     quick = "".join(f"s{k} long, " for k in range(p.quick_longs))
-    schema = f"doc_id long, shingles array<long>, bands array<int>, {quick}more array<long>"
+    schema = f"doc_id long, tag long, shingles array<long>, bands array<int>, {quick}more array<long>"
     return texts(docs, "doc_id").mapInArrow(run, schema)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold."""
-    lo = sets.select(F.col("doc_id").alias("lo"), F.col("shingles").alias("left"))
-    hi = sets.select(F.col("doc_id").alias("hi"), F.col("shingles").alias("right"))
+    """Components (hi, lo) of the pairs whose full sets reach the threshold."""
+    lo = sets.select(F.col("doc_id").alias("lo"), F.col("tag").alias("lo_tag"), F.col("shingles").alias("left"))
+    hi = sets.select(F.col("doc_id").alias("hi"), F.col("tag").alias("hi_tag"), F.col("shingles").alias("right"))
     return (
-        pairs.join(lo, "lo")
-        .join(hi, "hi")
-        .select("lo", "hi", F.size("left").alias("m"), F.size("right").alias("n"),
+        pairs.join(lo, ["lo", "lo_tag"])
+        .join(hi, ["hi", "hi_tag"])
+        .select("of_lo", "of_hi", F.size("left").alias("m"), F.size("right").alias("n"),
                 F.size(F.array_intersect("left", "right")).alias("both"))
         .where(F.lit(100) * F.col("both") >= F.lit(percent) * (F.col("m") + F.col("n") - F.col("both")))
-        .select("hi", "lo")
+        .select(F.greatest("of_lo", "of_hi").alias("hi"), F.least("of_lo", "of_hi").alias("lo"))
+        .distinct()
     )
 
 
@@ -188,82 +196,87 @@ def _differ(a: Column, b: Column) -> Column:
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component."""
+    """Members of buckets that hold more than one component, dealt out in parts."""
     mixed = (
         members.groupBy("key")
-        .agg(F.min("component_id").alias("least"), F.max("component_id").alias("most"))
+        .agg(F.min("component_id").alias("least"), F.max("component_id").alias("most"), F.count("*").alias("n"))
         .where("least < most")
-        .select("key")
+        .select("key", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts"))
     )
     return members.join(mixed, "key")
 
 
+def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with the component of their doc_id."""
+    return rows.join(found, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+
+
 def link(docs: DataFrame, tables: Tables, p: NearDedup) -> tuple[DataFrame, DataFrame]:
     """Sketches of all documents, and (doc_id, component_id) of those not smallest in theirs."""
     sketches = tables.keep(sketch(docs, p), "sketches")
     classes = sketches.groupBy("print", "n_shingles").agg(F.min("doc_id").alias("least"))
-    copies = (
-        sketches.select("doc_id", "print", "n_shingles")
-        .join(classes, ["print", "n_shingles"])
-        .where("doc_id > least")
-        .select(F.col("doc_id").alias("hi"), F.col("least").alias("lo"))
-        .distinct()
-    )
-    copies = tables.keep(copies, "copies")
-    single = sketches.join(copies.select(F.col("hi").alias("doc_id")), "doc_id", "left_anti")
-    banded = single.select(F.explode("bands").alias("key"), "doc_id", F.col("doc_id").alias("component_id"))
-    live = tables.keep(_open_buckets(banded), "live")
-
-    candidates = live.select("doc_id").distinct()
-    sets = tables.keep(_sets(docs.join(candidates, "doc_id", "left_semi"), p).dropDuplicates(["doc_id"]), "sets")
-    live = tables.keep(live.join(sets.select("doc_id", "bands", *_signature(p)), "doc_id"), "live0")
-    tables.drop("live")
+    placed = sketches.join(classes, ["print", "n_shingles"])
+    copies = placed.where("doc_id > least").select(F.col("doc_id").alias("hi"), F.col("least").alias("lo"))
+    found = tables.keep(components(copies, tables), "found0")
+    heads = placed.where("doc_id = least").dropDuplicates(["doc_id", "tag"])
+    banded = _labelled(heads.select(F.explode("bands").alias("key"), "doc_id", "tag"), found)
+    open_ = tables.keep(_open_buckets(banded), "open")
+
+    candidates = open_.select("doc_id").distinct()
+    sets = _sets(docs.join(candidates, "doc_id", "left_semi"), p).dropDuplicates(["doc_id", "tag"])
+    sets = tables.keep(sets, "sets")
+    signed = open_.join(sets.select("doc_id", "tag", "bands", *_signature(p)), ["doc_id", "tag"])
+    live, seen = tables.keep_counted(signed, "live0")
+    tables.drop("open")
     columns = live.columns
     quick = reduce(Column.__add__, [_differ(F.col(s), F.col(f"c_{s}")) for s in _signature(p)[:-1]])
     whole = F.aggregate(F.zip_with("more", "c_more", _differ), quick, lambda a, x: a + x)
-    found, centres, turn = components(copies, tables), 1, 0
-    while not live.isEmpty():
-        order = Window.partitionBy("key").orderBy("doc_id")
+    part = F.pmod(F.xxhash64("doc_id", "tag"), F.col("parts")).cast("int")
+    centres, turn = 1, 0
+    while seen["rows"]:
+        order = Window.partitionBy("key").orderBy("doc_id", "tag")
         chosen = (
             live.withColumn("rank", F.row_number().over(order))
             .where(F.col("rank") <= centres)
-            .select("key", F.col("doc_id").alias("lo"), F.col("component_id").alias("of"), F.col("bands").alias("c_bands"),
+            .select("key", "parts", F.col("doc_id").alias("lo"), F.col("tag").alias("lo_tag"),
+                    F.col("component_id").alias("of_lo"), F.col("bands").alias("c_bands"),
                     *[F.col(s).alias(f"c_{s}") for s in _signature(p)])
         )
         chosen = tables.keep(chosen, f"centres{turn}")
+        dealt = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         similar = (
-            live.join(
-                chosen.withColumnRenamed("key", "k"),
+            live.withColumn("part", part).drop("parts")
+            .join(
+                dealt.drop("parts").withColumnsRenamed({"key": "k", "part": "c_part"}),
                 (F.col("key") == F.col("k"))
+                & (F.col("part") == F.col("c_part"))
                 & (F.col("doc_id") > F.col("lo"))
-                & (F.col("component_id") != F.col("of"))
+                & (F.col("component_id") != F.col("of_lo"))
                 & (quick <= p.most_different(p.quick_longs))
                 & (whole <= p.most_different(p.longs))
                 & (F.array_min(F.array_intersect("bands", "c_bands")) == F.shiftrightunsigned("key", 33).cast("int")),
             )
-            .select("lo", F.col("doc_id").alias("hi"))
+            .select("lo", "lo_tag", "of_lo", F.col("doc_id").alias("hi"), F.col("tag").alias("hi_tag"),
+                    F.col("component_id").alias("of_hi"))
             .distinct()
         )
-        similar = tables.keep(similar, "similar")
-        links = tables.keep(_linked(similar, sets, p.percent), "links")
-        if not links.isEmpty():
-            known = found.select(F.col("doc_id").alias("hi"), F.col("component_id").alias("lo"))
-            found = components(known.union(links), tables)
-        last = chosen.groupBy("key").agg(F.max("lo").alias("last"))
+        links, linked = tables.keep_counted(_linked(similar, sets, p.percent), f"links{turn}")
+        turn += 1
+        if linked["rows"]:
+            merged = components(links, tables)
+            into = merged.select(F.col("doc_id").alias("component_id"), F.col("component_id").alias("into"))
+            moved = found.join(into, "component_id", "left").select("doc_id", F.coalesce("into", "component_id").alias("component_id"))
+            found = tables.keep(moved.unionByName(merged), f"found{turn}")
+        last = chosen.groupBy("key").agg(F.max(F.struct("lo", "lo_tag")).alias("last"))
         rest = (
-            live.drop("component_id")
-            .join(last, "key")
-            .where("doc_id > last")
-            .drop("last")
-            .join(found, "doc_id", "left")
-            .withColumn("component_id", F.coalesce("component_id", "doc_id"))
+            live.drop("component_id", "parts").join(last, "key")
+            .where(F.struct("doc_id", "tag") > F.col("last")).drop("last")
         )
-        turn += 1
-        live = tables.keep(_open_buckets(rest).select(columns), f"live{turn}")
-        tables.drop(f"live{turn - 1}", f"centres{turn - 1}")
-        centres *= 8
+        live, seen = tables.keep_counted(_open_buckets(_labelled(rest, found)).select(columns), f"live{turn}")
+        tables.drop(f"live{turn - 1}", f"centres{turn - 1}", f"links{turn - 1}")
+        centres *= GROWTH
     found = tables.keep(found, "found")
-    tables.drop(f"live{turn}", "sets", "similar", "links", "edges", "copies")
+    tables.drop(*[name for name in tables.paths if name not in ("sketches", "found")])
     return sketches.select("doc_id", "n_shingles"), found
 
 
@@ -296,8 +309,8 @@ def near_duplicates(
 
 
 def unique(spark: SparkSession, docs: DataFrame, p: NearDedup = NearDedup()) -> DataFrame:
-    """The documents kept, with the columns given. Of rows that share an id one stays;
-    rows with a null id, and documents without words, all stay."""
+    """The documents kept, with the columns given. Of rows that share an id one stays, the
+    same in every run; rows with a null id, and documents without words, all stay."""
     tables = Tables(spark, "near")
     _, found = link(docs, tables, p)
     gone = found.select(F.col("doc_id").alias("gone"))
@@ -305,4 +318,5 @@ def unique(spark: SparkSession, docs: DataFrame, p: NearDedup = NearDedup()) ->
     repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
         return rows
-    return rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionAll(rows.where("doc_id IS NULL"))
+    order = [F.xxhash64(*docs.columns), F.xxhash64(F.lit(1), *docs.columns)]
+    return keep_first(rows.where("doc_id IS NOT NULL"), ["doc_id"], order).unionAll(rows.where("doc_id IS NULL"))
