@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tidemark.llm.quality import RULES, assess, filter_quality, report
+from tidemark.llm.quality import RULES, QualityRules, assess, filter_quality, fit, posterior, report
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -39,12 +39,62 @@ def test_base_counts(spark, make_docs, rows, odd_rows):
     assert got == {(i, plain(t)) for i, t, *_ in rows}
 
 
-def test_one_bad_sign_is_enough(spark, make_docs, rows):
+def test_junk_of_every_kind_goes(spark, make_docs, rows):
     kept = {r.doc_id: r.kept for r in report(spark, make_docs(rows)).collect()}
     assert all(kept[k] for k in range(120))
     assert not any(v for k, v in kept.items() if k >= 200)
 
 
+def test_a_rule_that_is_often_wrong_is_outvoted(spark, make_docs, prose):
+    """Texts in verse repeat their lines and are good; the rule against it learns to weigh little."""
+    good = [(k, "\n".join(prose(25, 10 * k + j) for j in range(6))) for k in range(100)]
+    verse = []
+    for k in range(30):
+        refrain = prose(12, 5000 + k)
+        verse.append((1000 + k, "\n".join(f"{prose(60, 6000 + 10 * k + j)}\n{refrain}\n{refrain}" for j in range(4))))
+    menus = [(2000 + k, " | ".join(prose(80, 7000 + k).split())) for k in range(12)]
+    docs = make_docs(good + verse + menus)
+    judged = {r.doc_id: r for r in assess(spark, docs, carry=["doc_id"]).select("row.doc_id", "n_dup_lines", "n_lines", "posterior", "kept").collect()}
+    assert all(2 * judged[k].n_dup_lines > judged[k].n_lines for k in range(1000, 1030))
+    assert all(judged[k].kept and judged[k].posterior > 0.9 for k in [*range(100), *range(1000, 1030)])
+    assert not any(judged[k].kept for k in range(2000, 2012))
+
+
+def test_posterior_against_plain_estimation(spark):
+    """EM of three rules in plain Python; one bad vote is outvoted, another is not."""
+    q = QualityRules(rules=dict.fromkeys("abc", ""), rounds=12)
+    counts = {(1, 1, 1): 700, (0, 1, 1): 120, (1, None, 1): 60, (1, 0, 0): 70, (0, 0, 1): 9, (1, 0, 1): 25, (None, None, None): 6}
+    prior = q.prior
+    rates = {kind: [list(getattr(q, kind)) for _ in range(3)] for kind in ("good", "junk")}
+
+    def of(pattern):
+        odds = prior / (1 - prior)
+        for k, vote in enumerate(pattern):
+            at = 1 if vote is None else 2 * vote
+            odds *= rates["good"][k][at] / rates["junk"][k][at]
+        return odds / (1 + odds)
+
+    for _ in range(q.rounds):
+        good = {v: n * of(v) for v, n in counts.items()}
+        n, g = sum(counts.values()), sum(good.values())
+        made = {"good": good, "junk": {v: counts[v] - good[v] for v in counts}}
+        new = {}
+        for kind, start in (("good", q.good), ("junk", q.junk)):
+            whole = sum(made[kind].values())
+            new[kind] = [
+                [(sum(x for v, x in made[kind].items() if (1 if v[k] is None else 2 * v[k]) == at) + start[at]) / (whole + 1)
+                 for at in range(3)]
+                for k in range(3)
+            ]
+        prior, rates = (g + q.prior) / (n + 1), new
+    patterns = spark.createDataFrame([(*v, n) for v, n in counts.items()], "a int, b int, c int, n long")
+    fitted = fit(patterns, q)
+    assert fitted.prior == pytest.approx(prior)
+    got = {(r.a, r.b, r.c): r.p for r in patterns.withColumn("p", posterior(fitted)).collect()}
+    assert got == {v: pytest.approx(of(v)) for v in counts}
+    assert got[0, 1, 1] > 0.5 > got[1, 0, 0]
+
+
 def test_filter_keeps_columns_and_rows(spark, make_docs, rows):
     docs = make_docs(rows)
     for name in (*RULES, "row", "t", "w", "n_words", "kept", "base_failed"):

@@ -36,27 +36,38 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.node = d.doc_id
 
 def _quality() -> str:
     q = QualityRules()
-    start = ", ".join(f"{q.accuracy} AS a_{r}" for r in RULES)
+    names = ("bad", "none", "good")
+    start = ", ".join(
+        f"{x} AS {kind}_{r}_{vote}"
+        for r in RULES
+        for kind, rates in (("g", q.good), ("j", q.junk))
+        for vote, x in zip(names, rates)
+    )
     score = "ln(prior / (1 - prior))" + "".join(
-        f" + CASE {r} WHEN 1 THEN ln(a_{r} / (1 - a_{r})) WHEN 0 THEN -ln(a_{r} / (1 - a_{r})) ELSE 0 END" for r in RULES
+        f" + CASE {r} WHEN 1 THEN ln(g_{r}_good / j_{r}_good) WHEN 0 THEN ln(g_{r}_bad / j_{r}_bad)"
+        f" ELSE ln(g_{r}_none / j_{r}_none) END"
+        for r in RULES
     )
     good = f"(1 / (1 + exp(-({score}))))"
     rounds = []
     for k in range(q.rounds):
         sums = ", ".join(
-            f"sum(CASE WHEN {r} IS NOT NULL THEN n ELSE 0 END) AS v_{r},"
-            f" sum(CASE {r} WHEN 1 THEN good WHEN 0 THEN n - good ELSE 0 END) AS r_{r}"
+            f"sum(CASE {r} WHEN {vote} THEN {of} ELSE 0 END) AS s{kind}_{r}_{vote}"
             for r in RULES
+            for kind, of in (("g", "good"), ("j", "n - good"))
+            for vote in (0, 1)
         )
         rates = ", ".join(
-            f"least(greatest((r_{r} + {q.accuracy}) / (v_{r} + 1), {q.least_accuracy}), {q.most_accuracy}) AS a_{r}"
+            f"(s{kind}_{r}_0 + {first[0]}) / ({whole} + 1) AS {kind}_{r}_bad,"
+            f" (greatest({whole} - s{kind}_{r}_0 - s{kind}_{r}_1, 0) + {first[1]}) / ({whole} + 1) AS {kind}_{r}_none,"
+            f" (s{kind}_{r}_1 + {first[2]}) / ({whole} + 1) AS {kind}_{r}_good"
             for r in RULES
+            for kind, whole, first in (("g", "good", q.good), ("j", "(n - good)", q.junk))
         )
         rounds.append(
             f"e{k} AS (SELECT sum(n) AS n, sum(good) AS good, {sums} FROM"
             f" (SELECT patterns.*, n * {good} AS good FROM patterns, p{k})),\n"
-            f"p{k + 1} AS MATERIALIZED (SELECT"
-            f" least(greatest((good + {q.prior}) / (n + 1), {q.least_prior}), {q.most_prior}) AS prior, {rates} FROM e{k})"
+            f"p{k + 1} AS MATERIALIZED (SELECT (good + {q.prior}) / (n + 1) AS prior, {rates} FROM e{k})"
         )
     votes = ", ".join(f"{rule} AS {name}" for name, rule in RULES.items())
     return f"""
@@ -84,7 +95,7 @@ WITH w AS (
     len(list_filter(w, lambda x: right(x, 1) IN ('.', '!', '?'))) AS n_ends
   FROM w LEFT JOIN r USING (id)
 ), v AS MATERIALIZED (SELECT *, {votes} FROM m),
-patterns AS MATERIALIZED (SELECT {", ".join(RULES)}, count(*) AS n FROM v GROUP BY ALL),
+patterns AS MATERIALIZED (SELECT {", ".join(RULES)}, count(*)::DOUBLE AS n FROM v WHERE NOT ({BASE_FAILED}) GROUP BY ALL),
 p0 AS (SELECT {q.prior} AS prior, {start}),
 {",\n".join(rounds)}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

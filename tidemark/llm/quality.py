@@ -4,6 +4,13 @@ All of it is DataFrame expressions. Each document is measured within its row, so
 is shuffled but vote patterns: a rule has three outcomes, so there are at most
 3^rules of them, however large the corpus. Expectation-maximisation runs over their
 counts; each step is one small aggregate.
+
+How often a rule votes good, bad or not at all is estimated for good documents and for junk
+separately, since a rule for one kind of junk votes good of every other kind. Its bad vote
+then weighs as much as it is rare among good documents, and a rule that is often wrong of
+them is outvoted. The estimates have no bounds, only the smoothing of one vote. They are
+fitted on documents that pass the base rule: the others go in any case, and are so many and
+so short that they would be all the junk there is to be found.
 """
 
 from __future__ import annotations
@@ -31,47 +38,46 @@ MEASURES = (
     "n_ends",
 )
 
-# Votes: 1 good, 0 bad, null abstains. The text is valid in Spark SQL and in DuckDB. A
-# rule for one kind of junk has nothing to say of a text without it, so it abstains there:
-# junk of one kind is not outvoted by rules for other kinds.
+# Votes: 1 good, 0 bad, null abstains. The text is valid in Spark SQL and in DuckDB.
 RULES = {
-    "word_length": "CASE WHEN 2 * word_chars < 5 * n_words OR word_chars > 12 * n_words THEN 0 END",
-    "symbols": "CASE WHEN 10 * n_symbols > n_words THEN 0 END",
-    "lines": "CASE WHEN 2 * n_dup_lines > n_lines THEN 0 END",
-    "repeats": "CASE WHEN 100 * n_repeat_words > 35 * n_words THEN 0 END",
-    "capitals": "CASE WHEN 10 * n_upper > 3 * n_letters THEN 0 END",
-    "bare_words": "CASE WHEN 10 * n_bare_words > n_words THEN 0 END",
-    "sentences": "CASE WHEN 2 * n_ends > n_words OR (n_words >= 200 AND n_ends = 0) THEN 0 END",
-    "prose": "CASE WHEN 50 * n_ends >= n_words AND 4 * n_ends <= n_words AND 100 * n_symbols <= n_words"
-    " AND 100 * n_bare_words <= n_words AND 8 * n_upper <= n_letters AND 10 * n_repeat_words <= n_words THEN 1 END",
+    "word_length": "CASE WHEN 2 * word_chars < 5 * n_words OR word_chars > 12 * n_words THEN 0"
+    " WHEN word_chars BETWEEN 3 * n_words AND 9 * n_words THEN 1 END",
+    "symbols": "CASE WHEN 10 * n_symbols > n_words THEN 0 WHEN 100 * n_symbols <= n_words THEN 1 END",
+    "lines": "CASE WHEN 2 * n_dup_lines > n_lines THEN 0 WHEN n_lines >= 2 AND n_dup_lines = 0 THEN 1 END",
+    "repeats": "CASE WHEN 100 * n_repeat_words > 35 * n_words THEN 0 WHEN 10 * n_repeat_words <= n_words THEN 1 END",
+    "capitals": "CASE WHEN 10 * n_upper > 3 * n_letters THEN 0 WHEN n_upper > 0 AND 8 * n_upper <= n_letters THEN 1 END",
+    "bare_words": "CASE WHEN 10 * n_bare_words > n_words THEN 0 WHEN 100 * n_bare_words <= n_words THEN 1 END",
+    "sentences": "CASE WHEN 2 * n_ends > n_words OR (n_words >= 200 AND n_ends = 0) THEN 0"
+    " WHEN 50 * n_ends >= n_words AND 4 * n_ends <= n_words THEN 1 END",
 }
 
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
 
+# Shares of bad votes, abstentions and good votes.
+Rates = tuple[float, float, float]
+
+
 @dataclass(frozen=True)
 class QualityRules:
-    """Start and end of the estimation. ``threshold`` is the least posterior kept;
-    ``least_accuracy`` and ``most_accuracy`` bound what may be estimated of a rule: one
-    that seldom votes is not found worthless, nor certain, by chance."""
+    """Where the estimation starts, and the least posterior kept. The starting rates are also
+    the one vote that smooths an estimate."""
 
     rules: dict[str, str] = field(default_factory=lambda: dict(RULES))
     prior: float = 0.85
-    accuracy: float = 0.95
-    least_accuracy: float = 0.92
-    most_accuracy: float = 0.995
-    least_prior: float = 0.5
-    most_prior: float = 0.9
-    rounds: int = 15
+    good: Rates = (0.01, 0.19, 0.80)
+    junk: Rates = (0.30, 0.40, 0.30)
+    rounds: int = 25
     threshold: float = 0.5
 
 
 @dataclass(frozen=True)
 class Fitted:
-    """The share of good documents, and how often each rule's votes are right."""
+    """The share of good documents, and how a rule votes on them and on junk."""
 
     prior: float
-    accuracy: dict[str, float]
+    good: dict[str, Rates]
+    junk: dict[str, Rates]
 
 
 def measure(docs: DataFrame, carry: list[str]) -> DataFrame:
@@ -122,11 +128,10 @@ def measure(docs: DataFrame, carry: list[str]) -> DataFrame:
 def _score(p: Fitted) -> Column:
     """Log odds that a document is good."""
     score = F.lit(math.log(p.prior / (1 - p.prior)))
-    for name, accuracy in p.accuracy.items():
-        weight = math.log(accuracy / (1 - accuracy))
-        score = score + F.when(F.col(name) == 1, F.lit(weight)).when(F.col(name) == 0, F.lit(-weight)).otherwise(
-            F.lit(0.0)
-        )
+    for name in p.good:
+        bad, none, good = (math.log(g / j) for g, j in zip(p.good[name], p.junk[name]))
+        vote = F.when(F.col(name) == 1, F.lit(good)).when(F.col(name) == 0, F.lit(bad)).otherwise(F.lit(none))
+        score = score + vote
     return score
 
 
@@ -135,29 +140,30 @@ def posterior(p: Fitted) -> Column:
 
 
 def fit(patterns: DataFrame, q: QualityRules) -> Fitted:
-    """EM over vote patterns with columns of ``q.rules`` and their count ``n``.
-
-    The bounds keep the two classes from changing places. Counts are smoothed by one vote.
-    """
-    now = Fitted(q.prior, {name: q.accuracy for name in q.rules})
+    """EM over vote patterns with columns of ``q.rules`` and their count ``n``."""
+    now = Fitted(q.prior, {name: q.good for name in q.rules}, {name: q.junk for name in q.rules})
     for _ in range(q.rounds):
-        weighed = patterns.withColumn("good", F.col("n") * posterior(now))
+        weighed = patterns.withColumn("good", F.col("n") * posterior(now)).withColumn("junk", F.col("n") - F.col("good"))
         sums = [F.sum("n").alias("n"), F.sum("good").alias("good")]
         for name in q.rules:
-            right = F.when(F.col(name) == 1, F.col("good")).when(F.col(name) == 0, F.col("n") - F.col("good"))
-            sums += [
-                F.sum(F.when(F.col(name).isNotNull(), F.col("n")).otherwise(0)).alias(f"{name}_votes"),
-                F.sum(right.otherwise(0.0)).alias(f"{name}_right"),
-            ]
+            for kind in ("good", "junk"):
+                for vote in (0, 1):
+                    sums.append(F.sum(F.when(F.col(name) == vote, F.col(kind)).otherwise(0.0)).alias(f"{kind}_{name}_{vote}"))
         r = weighed.agg(*sums).first()
         if not r["n"]:
             return now
-        accuracy = {
-            name: min(max((r[f"{name}_right"] + q.accuracy) / (r[f"{name}_votes"] + 1), q.least_accuracy), q.most_accuracy)
-            for name in q.rules
-        }
-        prior = min(max((r["good"] + q.prior) / (r["n"] + 1), q.least_prior), q.most_prior)
-        now = Fitted(prior, accuracy)
+
+        def rates(kind: str, name: str, whole: float, start: Rates) -> Rates:
+            bad, good = r[f"{kind}_{name}_0"], r[f"{kind}_{name}_1"]
+            seen = (bad, max(whole - bad - good, 0.0), good)
+            return tuple((x + y) / (whole + 1) for x, y in zip(seen, start))
+
+        whole = {"good": r["good"], "junk": r["n"] - r["good"]}
+        now = Fitted(
+            (r["good"] + q.prior) / (r["n"] + 1),
+            {name: rates("good", name, whole["good"], q.good) for name in q.rules},
+            {name: rates("junk", name, whole["junk"], q.junk) for name in q.rules},
+        )
     return now
 
 
@@ -173,7 +179,7 @@ def assess(
     tables = Tables(spark, "quality")
     measured = tables.keep(measure(docs, carry or docs.columns), "measured")
     voted = measured.withColumns({name: F.expr(rule) for name, rule in q.rules.items()})
-    counts = voted.groupBy(*q.rules).agg(F.count("*").alias("n"))
+    counts = voted.where(f"NOT ({BASE_FAILED})").groupBy(*q.rules).agg(F.count("*").alias("n"))
     # One file, at most 3^rules rows.
     patterns = tables.keep(counts.orderBy(*q.rules).coalesce(1), "patterns")
     fitted = fit(patterns, q)
