@@ -62,3 +62,16 @@ def test_kept_text_extra_columns_and_empty_table(spark, make_docs):
     row = without_repeats(spark, docs, texts_too=True).first()
     assert row.kept_text == "a b c" and row.n_removed == 0
     assert without_repeats(spark, docs.limit(0)).count() == 0
+
+
+def test_one_id_on_two_texts(spark, make_docs, prose):
+    """What is a copy or a repeat in one text of an id leaves the other text alone."""
+    a, b = prose(40, 1), prose(40, 2)
+    for rows in (
+        [(1, a), (2, a), (2, b)],
+        [(1, a), (2, "x y " + a), (2, b)],
+        [(2, a + " " + b), (2, b + " " + a), (2, a), (1, b), (3, a)],
+        [(1, a), (2, a), (2, b), (2, a), (4, "z " + b + " " + a), (4, b)],
+    ):
+        assert result(spark, make_docs(rows)) == plain(rows)
+        assert result(spark, make_docs(rows[::-1])) == plain(rows)

@@ -74,8 +74,22 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def _whole_hash(step: Step, words: np.ndarray, salt: int) -> np.ndarray:
+    """A hash of the sequence of all words of each document of a step."""
+    n = np.diff(step.bounds)
+    place = (np.arange(len(words)) - np.repeat(step.bounds[:-1], n)).astype(np.uint64)
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(mix(words + mix(place + np.uint64(salt))), out=total[1:])
+    return total[step.bounds[1:]] - total[step.bounds[:-1]]
+
+
+def _tags(step: Step, words: np.ndarray) -> np.ndarray:
+    """What tells apart the texts of rows that share an id."""
+    return _whole_hash(step, words, 1).view(np.int64)
+
+
 def _prints(docs: DataFrame, p: SubstringDedup) -> DataFrame:
-    """(doc_id, n_words, a, b): two hashes of the sequence of all words."""
+    """(doc_id, n_words, a, b): two hashes of the sequence of all words; ``a`` is the tag."""
 
     def run(batches):
         for batch in batches:
@@ -83,13 +97,7 @@ def _prints(docs: DataFrame, p: SubstringDedup) -> DataFrame:
                 step.words()
                 words = step.hashes()
                 n = np.diff(step.bounds)
-                doc = np.repeat(np.arange(len(n)), n)
-                place = (np.arange(len(words)) - np.repeat(step.bounds[:-1], n)).astype(np.uint64)
-                sums = []
-                for salt in (np.uint64(1), np.uint64(1 << 40)):
-                    total = np.zeros(len(words) + 1, np.uint64)
-                    np.cumsum(mix(words + mix(place + salt)), out=total[1:])
-                    sums.append(total[step.bounds[1:]] - total[step.bounds[:-1]])
+                sums = [_whole_hash(step, words, salt) for salt in (1, 1 << 40)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(step.first, len(n)).cast(pa.int64()),
@@ -104,14 +112,16 @@ def _prints(docs: DataFrame, p: SubstringDedup) -> DataFrame:
 
 
 def _anchor_rows(docs: DataFrame, p: SubstringDedup) -> DataFrame:
-    """(seed, doc_id): each anchor hash of a document once."""
+    """(seed, doc_id, a): each anchor hash of a row once, with the row's tag."""
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for step in steps(batch.column(1)):
                 step.words()
-                whole, starts, where = anchors(step, step.hashes(), p)
+                words = step.hashes()
+                whole, starts, where = anchors(step, words, p)
+                tags = _tags(step, words)
                 at = np.unique(where)
                 doc = np.searchsorted(step.bounds, at, "right") - 1
                 # A word said over and over gives one seed many times.
@@ -121,15 +131,16 @@ def _anchor_rows(docs: DataFrame, p: SubstringDedup) -> DataFrame:
                 new[1:] = (doc[1:] != doc[:-1]) | (whole[at[1:]] != whole[at[:-1]])
                 at, doc = at[new], doc[new]
                 yield pa.RecordBatch.from_arrays(
-                    [_long(whole[at]), pa.array(ids[step.first + doc].astype(np.int64))], names=["seed", "doc_id"]
+                    [_long(whole[at]), pa.array(ids[step.first + doc].astype(np.int64)), pa.array(tags[doc])],
+                    names=["seed", "doc_id", "a"],
                 )
 
-    return texts(docs, "doc_id").mapInArrow(run, "seed long, doc_id long")
+    return texts(docs, "doc_id").mapInArrow(run, "seed long, doc_id long, a long")
 
 
 def _passage_rows(docs: DataFrame, p: SubstringDedup) -> DataFrame:
-    """(a, b, doc_id, places) of the passages around anchors; ``docs`` has the text and the
-    array ``seeds`` of a document's anchor hashes that others have too."""
+    """(a, b, doc_id, tag, places) of the passages around anchors; ``docs`` has the text and
+    the array ``seeds`` of the anchor hashes of its id that others have too."""
 
     def run(batches):
         for batch in batches:
@@ -138,6 +149,7 @@ def _passage_rows(docs: DataFrame, p: SubstringDedup) -> DataFrame:
                 step.words()
                 words = step.hashes()
                 whole, starts, where = anchors(step, words, p)
+                tags = _tags(step, words)
                 _, doc = passages(step, p)
                 shared = np.zeros(len(words), bool)
                 for k in range(len(step.offsets) - 1):
@@ -166,29 +178,30 @@ def _passage_rows(docs: DataFrame, p: SubstringDedup) -> DataFrame:
                         _long(mix(a[first])),
                         _long(mix(b[first])),
                         pa.array(ids[step.first + doc[first]].astype(np.int64)),
+                        pa.array(tags[doc[first]]),
                         places,
                     ],
-                    names=["a", "b", "doc_id", "places"],
+                    names=["a", "b", "doc_id", "tag", "places"],
                 )
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text"), "seeds").mapInArrow(
-        run, "a long, b long, doc_id long, places array<int>"
+        run, "a long, b long, doc_id long, tag long, places array<int>"
     )
 
 
 def repeats(docs: DataFrame, tables: Tables, p: SubstringDedup) -> tuple[DataFrame, DataFrame]:
-    """Copies (doc_id) removed as a whole, and (doc_id, places): where in a document
-    passages start that a smaller document has."""
+    """Copies (doc_id, a) removed as a whole, and (doc_id, found): for each of its texts, by
+    tag, where passages start that a smaller document has."""
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
     prints = tables.keep(_prints(docs, p), "prints")
     first = prints.where(F.col("n_words") >= p.length).groupBy("a", "b", "n_words").agg(F.min("doc_id").alias("least"))
     copies = (
-        prints.join(first, ["a", "b", "n_words"]).where("doc_id > least").select("doc_id").distinct()
+        prints.join(first, ["a", "b", "n_words"]).where("doc_id > least").select("doc_id", "a").distinct()
     )
     copies = tables.keep(copies, "copies")
 
     # Dealt by hash once: the aggregate and the join after it read the same shuffle.
-    found = _anchor_rows(docs, p).join(copies, "doc_id", "left_anti").repartition("seed")
+    found = _anchor_rows(docs, p).join(copies, ["doc_id", "a"], "left_anti").repartition("seed")
     common = (
         found.groupBy("seed")
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
@@ -207,12 +220,18 @@ def repeats(docs: DataFrame, tables: Tables, p: SubstringDedup) -> tuple[DataFra
         .drop("most")
     )
     later = rows.join(owners, ["a", "b"]).where("doc_id > least")
-    places = later.groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places"))
+    places = later.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("places")).alias("places"))
+    places = places.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "places")).alias("found"))
     return copies, tables.keep(places, "places")
 
 
 def _cut(p: SubstringDedup, texts_too: bool):
-    """Arrow batches of (doc_id, text, places, whole) to the rows of the result."""
+    """Arrow batches of (doc_id, text, found, copies) to the rows of the result."""
+
+    def tag_of(text: pa.Array) -> int:
+        (step,) = steps(text)
+        step.words()
+        return int(_tags(step, step.hashes())[0])
 
     def run(batches):
         for batch in batches:
@@ -220,8 +239,10 @@ def _cut(p: SubstringDedup, texts_too: bool):
             for k in range(batch.num_rows):
                 words = (batch.column(1)[k].as_py() or b"").split()
                 keep = np.ones(len(words) + 1, np.int32)
-                places = batch.column(2)[k].as_py()
-                if batch.column(3)[k].as_py():
+                found, copies = batch.column(2)[k].as_py(), batch.column(3)[k].as_py()
+                tag = tag_of(batch.column(1).slice(k, 1)) if found or copies else None
+                places = [x for f in found or () if f["tag"] == tag for x in f["places"]]
+                if tag in (copies or ()):
                     keep[:] = 0
                 elif places:
                     # Runs of covered words: passages that overlap or touch are one repeat.
@@ -252,15 +273,16 @@ def without_repeats(
     A null or empty text has no words. A null doc_id is compared with nothing and keeps
     all words. Rows that share an id are one document for each other, so nothing is
     removed from one for the sake of another; but a passage that a smaller id has is
-    removed from both. An empty table gives an empty result; other columns are ignored.
+    removed from each that has it. An empty table gives an empty result; other columns are ignored.
     """
     tables = Tables(spark, "substring")
     copies, places = repeats(docs, tables, p)
+    tags = copies.groupBy("doc_id").agg(F.collect_list("a").alias("copies"))
     joined = (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
         .join(places, "doc_id", "left")
-        .join(copies.withColumn("whole", F.lit(True)), "doc_id", "left")
-        .select("doc_id", "text", "places", F.coalesce("whole", F.lit(False)).alias("whole"))
+        .join(tags, "doc_id", "left")
+        .select("doc_id", "text", "found", "copies")
     )
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     return joined.mapInArrow(_cut(p, texts_too), schema + (", kept_text string" if texts_too else ""))
