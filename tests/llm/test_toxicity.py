@@ -3,9 +3,12 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidemark.llm.toxicity import Toxicity, score
+from tidemark.llm.common import Tables
+from tidemark.llm.toxicity import Toxicity, score, train
 
 
 @pytest.fixture(scope="module")
@@ -61,3 +64,54 @@ def test_odd_rows_and_labels(spark, make_docs, odd_rows):
     got = score(spark, make_docs(odd_rows), frame.limit(0)).collect()
     assert all(r.score == 0.5 for r in got)
     assert score(spark, make_docs(odd_rows).limit(0), frame).count() == 0
+
+
+def by_hand(rows, labels, p):
+    """Weights of one learner, slot by slot in plain Python."""
+    from math import exp, sqrt
+
+    from tidemark.llm.common import steps
+    from tidemark.llm.toxicity import slots
+
+    z, n, size = {}, {}, 1 << p.bits
+
+    def weight(s):
+        zs, least = z.get(s, 0.0), 0.0 if s == size else p.l1
+        if abs(zs) <= least:
+            return 0.0
+        rate = (p.beta + sqrt(n.get(s, 0.0))) / p.alpha + p.l2
+        return -(zs - (least if zs > 0 else -least)) / rate
+
+    for _ in range(p.epochs):
+        for text, label in zip(rows, labels):
+            (step,) = steps(pa.array([text.encode()]))
+            own = sorted(set(slots(step, p.bits)[1].tolist())) + [size]
+            w = {s: weight(s) for s in own}
+            g = 1 / (1 + exp(-sum(w.values()))) - label
+            for s in own:
+                before = n.get(s, 0.0)
+                z[s] = z.get(s, 0.0) + g - (sqrt(before + g * g) - sqrt(before)) / p.alpha * w[s]
+                n[s] = before + g * g
+    return {s: weight(s) for s in n if weight(s)}
+
+
+@pytest.mark.parametrize("shards", [1, 2, 3, 4, 8])
+def test_weights_are_the_mean_of_plain_learners(spark, make_docs, corpus, shards):
+    """Every shard is one learner, and the mean is over those that learned."""
+    rows, labels = corpus[0][:160], corpus[1][:160]
+    known = [k for k, _, _ in labels if not held(k)]
+    p = Toxicity(bits=12, shard_rows=-(-len(known) // shards), epochs=2, l1=0.3)
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = train(make_docs(rows), frame, Tables(spark, "test"), p)
+    text, toxic = dict(rows), {k: t for k, _, t in labels}
+    h = {r.id: r.h for r in spark.createDataFrame([(k,) for k in known], "id long").selectExpr("id", "xxhash64(id) AS h").collect()}
+    groups = {}
+    for k in sorted(known, key=h.get):
+        groups.setdefault(h[k] % shards, []).append(k)
+    assert len(groups) == shards
+    expected = np.zeros((1 << p.bits) + 1)
+    for ids in groups.values():
+        for s, w in by_hand([text[k] for k in ids], [toxic[k] for k in ids], p).items():
+            expected[s] += w / len(groups)
+    assert np.count_nonzero(expected) > 50
+    np.testing.assert_allclose(got, expected, atol=1e-5)

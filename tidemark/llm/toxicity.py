@@ -120,16 +120,14 @@ def train(docs: DataFrame, labels: DataFrame, tables: Tables, p: Toxicity) -> np
     rows = tables.keep(_labelled(docs, labels, p), "rows")
     shards = max(1, -(-rows.count() // p.shard_rows))
 
-    def run(batches: Iterator[pa.RecordBatch]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = []
         for batch in batches:
             # Slots stay in arrays: as Python numbers a shard's rows would take ten times the memory.
-            ends = batch.column(2).offsets.to_numpy()
-            slot = batch.column(2).values.to_numpy()
-            for k, (label, h) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            ends = batch.column("slots").offsets.to_numpy()
+            slot = batch.column("slots").values.to_numpy()
+            for k, (label, h) in enumerate(zip(batch.column("label").to_pylist(), batch.column("h").to_pylist())):
                 own.append((h, label, slot[ends[k] : ends[k + 1]].copy()))
-        if not own:
-            return
         own.sort(key=lambda r: r[:2])
         model = Ftrl(p)
         for _ in range(p.epochs):
@@ -140,16 +138,17 @@ def train(docs: DataFrame, labels: DataFrame, tables: Tables, p: Toxicity) -> np
         at, w = at[w != 0], w[w != 0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w)], names=["slot", "weight"])
 
-    found = (
-        rows.repartition(shards, F.pmod("h", F.lit(shards)))
-        .mapInArrow(run, "slot long, weight double")
-        .groupBy("slot")
-        .agg((F.sum("weight") / shards).alias("weight"))
-        .collect()  # one row for each slot of the table at most
+    # A group is a shard, whatever tasks Spark deals them to.
+    learned = (
+        rows.withColumn("shard", F.pmod("h", F.lit(shards)))
+        .groupBy("shard")
+        .applyInArrow(run, "slot long, weight double")
     )
+    learners = rows.select(F.pmod("h", F.lit(shards))).distinct().count()
+    # One row for each slot of the table at most.
+    found = learned.groupBy("slot").agg((F.sum("weight") / max(learners, 1)).alias("weight")).toArrow()
     weights = np.zeros((1 << p.bits) + 1, np.float32)
-    for r in found:
-        weights[r["slot"]] = r["weight"]
+    weights[found["slot"].to_numpy()] = found["weight"].to_numpy()
     tables.drop("rows")
     return weights
 
