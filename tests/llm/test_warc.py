@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import io
 import json
+from html.parser import HTMLParser
 
 from tidemark.llm.warc import WarcFiles, derivative_records, derive, digest, parse, plain_text, records, write
 
@@ -56,3 +57,77 @@ def test_odd_rows_and_empty_table(spark):
     assert len(same) == 2 and len(set(same)) == 1
     assert {r.text for r in got if r.page_id in (1, 2, 5) and r.kind == "conversion"} == {""}
     assert derivative_records(spark, table.limit(0)).count() == 0
+
+
+class Reader(HTMLParser):
+    """Text, title, language and links of a page by a parser instead of patterns."""
+
+    SILENT = {"script", "style", "template", "noscript", "svg"}
+    BLOCKS = set(
+        "br hr p div h1 h2 h3 h4 h5 h6 li ul ol tr td th table article section nav header footer aside main"
+        " title blockquote pre".split()
+    )
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.links, self.title, self.language, self.within = [], [], None, "", []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.SILENT:
+            self.within.append(tag)
+        if self.within:
+            return
+        if tag in self.BLOCKS:
+            self.out.append("\n")
+        if tag == "title" and self.title is None:
+            self.title = ""
+            self.within_title = True
+        if tag == "html" and not self.language:
+            self.language = dict(attrs).get("lang") or ""
+        if tag == "a" and dict(attrs).get("href") is not None:
+            self.links.append(dict(attrs)["href"])
+
+    def handle_endtag(self, tag):
+        if self.within and tag == self.within[-1]:
+            self.within.pop()
+            self.out.append(" ")
+        elif not self.within:
+            if tag in self.BLOCKS:
+                self.out.append("\n")
+            if tag == "title":
+                self.within_title = False
+
+    def handle_comment(self, data):
+        if not self.within:
+            self.out.append(" ")
+
+    within_title = False
+
+    def handle_data(self, data):
+        if not self.within:
+            self.out.append(data)
+            if self.within_title:
+                self.title += data
+
+    def text(self):
+        lines = (" ".join(line.split()) for line in "".join(self.out).split("\n"))
+        return "\n".join(line for line in lines if line)
+
+
+def test_every_page_against_a_parser(spark):
+    """All given pages: text, title, language and links as an HTML parser reads them."""
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = {(r.page_id, r.kind): r for r in derivative_records(spark, table).collect()}
+    given = table.collect()
+    assert len(rows) == 2 * len(given) > 100
+    for page in given:
+        reader = Reader()
+        reader.feed(page.html)
+        reader.close()
+        about = json.loads(rows[page.page_id, "metadata"].text)
+        made = rows[page.page_id, "conversion"]
+        assert made.text == reader.text(), page.page_id
+        assert about["links"] == reader.links and about["language"] == reader.language
+        assert about["title"] == " ".join((reader.title or "").split())
+        assert made.target_uri == page.url and made.payload_digest == digest(page.html.encode())
+        assert made.block_digest == digest(made.text.encode()) and about["payload_length"] == len(page.html.encode())

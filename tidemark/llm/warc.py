@@ -72,16 +72,17 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
-    """The records of a gzipped file, a member at a time."""
+    """The records of a gzipped file, a member at a time. What follows a member is copied
+    once for each, so the file is read in pieces that are not much longer than one."""
     unpacker, parts = zlib.decompressobj(31), []
-    data = stream.read(1 << 20)
+    data = stream.read(1 << 16)
     while data:
         parts.append(unpacker.decompress(data))
         data = unpacker.unused_data
         if unpacker.eof:
             yield parse(b"".join(parts))
             unpacker, parts = zlib.decompressobj(31), []
-        data = data or stream.read(1 << 20)
+        data = data or stream.read(1 << 16)
 
 
 # Elements without readable content, and those that end a line.
@@ -98,15 +99,24 @@ _BLANK = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 
 
+def readable(page: str) -> str:
+    """A page without comments and scripts."""
+    return _SILENT.sub(" ", page)
+
+
 def plain_text(page: str) -> str:
     """The readable text of a page, a line for each block."""
-    text = _TAG.sub("", _LINE.sub("\n", _SILENT.sub(" ", page)))
+    return text_of(readable(page))
+
+
+def text_of(page: str) -> str:
+    """``plain_text`` of a readable page."""
+    text = _TAG.sub("", _LINE.sub("\n", page))
     return _LINES.sub("\n", _BLANK.sub(" ", html.unescape(text))).strip()
 
 
 def page_fields(page: str) -> dict:
-    """Title, language and link targets; comments and scripts are not looked into."""
-    page = _SILENT.sub(" ", page)
+    """Title, language and link targets of a readable page."""
     title, lang = _TITLE.search(page), _LANG.search(page)
     links = [html.unescape(a or b or c) for a, b, c in _LINK.findall(page)]
     name = " ".join(html.unescape(_TAG.sub("", title[1])).split()) if title else ""
@@ -135,7 +145,7 @@ def response(page_id: int | None, url: str | None, page: str | None, p: WarcFile
 def derivatives(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, str], bytes, dict]]:
     """Metadata and conversion record of a response, each with its headers, block and fields."""
     head, _, payload = block.partition(b"\r\n\r\n")
-    page = payload.decode("utf-8", "replace")
+    page = readable(payload.decode("utf-8", "replace"))
     fields = page_fields(page)
     source = headers["WARC-Record-ID"]
     shared = {
@@ -146,7 +156,7 @@ def derivatives(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, s
         "WARC-Refers-To-Date": headers["WARC-Date"],
         "WARC-Payload-Digest": headers["WARC-Payload-Digest"],
     } | {k: v for k, v in headers.items() if k.startswith("X-")}
-    text = plain_text(page)
+    text = text_of(page)
     conversion = text.encode()
     text_id = record_id(b"conversion", source.encode(), conversion)
     about = json.dumps(
@@ -274,4 +284,4 @@ def derivative_records(
     tables = Tables(spark, "warc")
     files = tables.keep(write(pages, folder or scratch_path(spark, "warc-files"), p), "files")
     count = max(1, files.count())
-    return tables.keep(derive(files.repartition(min(count, 1 << 16), "path"), p), "derived")
+    return tables.keep(derive(files.repartition(min(count, 1 << 16)), p), "derived")
