@@ -11,9 +11,10 @@ def test_paths_come_from_the_environment(monkeypatch):
     monkeypatch.setenv("LAKE_ROOT", "s3a://bucket/lake/")
     monkeypatch.setenv("ANALYSIS_CITY", "New York")
     monkeypatch.setenv("FEATURE_DIGITS", "4")
+    monkeypatch.setenv("ROWS_PER_TASK", "500")
     lake = LakeConfig.from_env()
     assert lake.table("dim_city") == "s3a://bucket/lake/tables/dim_city"
-    assert (lake.entity, lake.feature_digits, lake.horizon) == ("New York", 4, 24)
+    assert (lake.entity, lake.feature_digits, lake.horizon, lake.rows_per_task) == ("New York", 4, 24, 500)
     with pytest.raises(KeyError):
         lake.table("elsewhere")
     with pytest.raises(ValueError):

@@ -1,11 +1,14 @@
 import math
+import random
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tidemark.ml import prepare, scoring, training
 from tidemark.ml.registry import ModelRegistry
+from tidemark.ml.splits import best_split
 from tidemark.operators.quality import QualityError, check, enforce
 
 
@@ -178,3 +181,48 @@ def test_request_rules(spark):
     assert report["month is missing"] == 1 and report["month out of range"] == 0
     with pytest.raises(QualityError):
         enforce(check(bad, scoring.request_rules()))
+
+
+def test_best_split_against_all_cuts(spark):
+    rng = random.Random(4)
+    rows = [(rng.randrange(40) / 4, rng.randrange(-500, 900) / 100) for _ in range(400)]
+    rows = [(x, y + (3 if x > 6.25 else 0)) for x, y in rows] + [(None, 1.0), (2.0, None)]
+    found = best_split(spark.createDataFrame(rows, "x double, y double"), "x", "y").first()
+    known = [(x, y) for x, y in rows if x is not None and y is not None]
+
+    def error(cut):
+        sides = [[y for x, y in known if (x <= cut) is side] for side in (True, False)]
+        return sum(sum((y - sum(s) / len(s)) ** 2 for y in s) for s in sides)
+
+    cuts = sorted({x for x, _ in known})[:-1]
+    assert found.cut == min(cuts, key=error)
+    left = [y for x, y in known if x <= found.cut]
+    assert found.rows_left == len(left) and found.rows_right == len(known) - len(left)
+    assert found.mean_left == pytest.approx(sum(left) / len(left))
+    assert best_split(spark.createDataFrame([(1.0, 2.0)], "x double, y double"), "x", "y").first().cut is None
+
+
+def test_rejected_requests_name_their_rules(spark):
+    rows = [("a", 10.0, 40.0, 1000.0, 1.0, h, d, 1, None) for h, d in ((12, 1), (24, 1), (24, 9))]
+    rows.append(("b", None, 40.0, 1000.0, 1.0, 3, 1, 1, None))
+    accepted, rejected = scoring.split_requests(spark.createDataFrame(rows, REQUEST))
+    assert accepted.count() == 1 and "rejected_by" not in accepted.columns
+    assert sorted(map(tuple, (r.rejected_by for r in rejected.collect()))) == [
+        ("hour out of range",), ("hour out of range", "day_of_week out of range"), ("temperature is missing",)
+    ]
+
+
+def test_category_of_a_request(spark):
+    """The request's own code, then its category, then the stored one, then the constant."""
+    frame = spark.createDataFrame([("clear",), ("rain",), (None,)], "weather_condition string")
+    stages = PipelineModel(prepare.category_stages(prepare.fit_encoder(frame)))
+    requests = spark.createDataFrame(
+        [("a", None, None), ("b", None, None), ("a", "clear", None), ("a", "clear", 7), ("a", "hail", None)],
+        "city string, weather_condition string, condition_encoded int",
+    ).withColumns({"temperature": F.lit(1.0), "humidity": F.lit(1.0)})
+    latest = spark.createDataFrame([("a", "rain")], "city string, condition string")
+    coded = stages.transform(scoring.with_category(requests, latest)).collect()
+    got = {(r.city, r.weather_condition, r.condition_given): r.condition_encoded for r in coded}
+    assert got == {
+        ("a", "rain", None): 2.0, ("b", None, 0.0): 0.0, ("a", "clear", None): 1.0, ("a", "clear", 7.0): 7.0, ("a", "hail", None): 3.0
+    }

@@ -75,6 +75,17 @@ def main(argv: list[str] | None = None) -> None:
         for warning in validation.bronze(stream, batch)[1]:
             print("warning:", warning)
         current = silver.table(spark, lake).read()
+        mapped = {
+            "bronze_weather_streaming": None if stream is None else silver.map_stream(stream),
+            "bronze_weather_batch": None if batch is None else silver.map_batch(batch),
+            "silver_weather_clean": current,
+        }
+        if any(df is not None for df in mapped.values()):
+            report = validation.summary(mapped).persist()
+            report.show(truncate=False)
+            for row in validation.stale(report).collect():
+                print("warning:", row["layer"], "has nothing newer than", row["latest_ingested"])
+            report.unpersist()
         if current is not None:
             validation.silver(current)
             daily = read_table(spark, lake.table("fact_weather_daily_stats"))

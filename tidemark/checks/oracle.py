@@ -649,3 +649,26 @@ ORACLE["stream_dedup"] = f"""WITH {_OBS}
     SELECT event_id, recorded_at + INTERVAL 14 DAY, temperature FROM obs
     WHERE recorded_at >= '2024-01-11' AND recorded_at <= '2024-01-12 23:59:59'"""
 ORACLE["bronze_incremental"] = ORACLE["bronze_files"]
+ORACLE["stream_restart"] = f"""WITH {_OBS}
+    SELECT CAST(city AS VARCHAR) AS city, recorded_dt, temperature, true AS stamped FROM obs
+    UNION ALL SELECT NULL, NULL, NULL, true FROM events"""
+ORACLE["city_file"] = """SELECT CAST(c_custkey AS VARCHAR) AS city, n_name AS country,
+    CAST(c_nationkey AS DOUBLE) AS latitude, c_acctbal AS longitude
+    FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey"""
+ORACLE["entity_rows"] = f"""WITH {_CLEAN} SELECT 'one' AS asked, city, event_id FROM clean WHERE city = 7
+    UNION ALL SELECT 'some', city, event_id FROM clean WHERE city IN (11, 42, 101)"""
+ORACLE["stored_tables"] = f"""WITH {_OBS}
+    SELECT 'checked_batch' AS name, true AS present, true AS usable, true AS listed, count(*) AS records
+    FROM obs WHERE source = 'batch'
+    UNION ALL SELECT 'checked_stream', true, true, true, count(*) FROM obs WHERE source = 'stream'
+    UNION ALL SELECT 'checked_empty', true, false, true, 0
+    UNION ALL SELECT 'checked_absent', false, false, false, NULL"""
+ORACLE["layer_summary"] = f"""WITH {_PLAIN},
+    layers AS (SELECT 'bronze_batch' AS layer, '' AS missing_columns, city, recorded_dt, ingested_at FROM obs WHERE source = 'batch'
+               UNION ALL SELECT 'bronze_streaming', 'pressure', city, recorded_dt, ingested_at FROM obs WHERE source = 'stream'
+               UNION ALL SELECT 'silver', '', city, recorded_dt, ingested_at FROM plain)
+    SELECT layer, missing_columns, count(*) AS records, count(*) FILTER (city IS NULL) AS null_entity,
+           count(*) FILTER (recorded_dt IS NULL) AS null_instant, count(DISTINCT city) AS cities,
+           max(recorded_dt) AS newest_record, max(ingested_at) AS latest_ingested
+    FROM layers GROUP BY ALL
+    UNION ALL SELECT 'gold', NULL, NULL, NULL, NULL, NULL, NULL, NULL"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from tidemark.operators.upsert import VersionedTable, merge_rows
 from tidemark.plans import bronze, features, gold, online, reports, silver, validation
 from tidemark.plans import training as plans_training
 from tidemark.schemas import HUMIDITY_RANGE, TEMPERATURE_RANGE
-from tidemark.sources import files
+from tidemark.sources import files, tables
 from tidemark.sources.messages import read_folder
 from tidemark.streaming import ingest
 
@@ -122,6 +122,46 @@ def outer_align_joined(spark, d):
     return align_outer_by_join(_hourly_maxima(spark, d), ["city", "hour"])
 
 
+@query
+def city_file(spark, d):
+    """Attributes of the entities written as the metadata file and read back."""
+    path = scratch_path(spark, "cities")
+    names = {"city": "City", "country": "Country", "latitude": "Latitude", "longitude": "Longitude"}
+    obs.attributes(spark, d).withColumnsRenamed(names).write.option("header", True).csv(path)
+    return tables.read_cities(spark, path)
+
+
+@query
+def entity_rows(spark, d):
+    """Cleaned rows of one entity and of several."""
+    rows = obs.observations(spark, d)
+    one, some = silver.clean(rows, 7), silver.clean(rows, [11, 42, 101])
+    return tag(one, "one", "asked").unionByName(tag(some, "some", "asked")).select("asked", "city", "event_id")
+
+
+@query
+def stored_tables(spark, d):
+    """What the guards, the overwriting sink and the catalog say of present, empty and absent tables."""
+    rows, root = obs.observations(spark, d), scratch_path(spark, "stored")
+    feeds = {"checked_batch": obs.BATCH, "checked_stream": obs.STREAM}
+    for name, feed in feeds.items():
+        sinks.overwrite(rows, f"{root}/{name}")
+        sinks.overwrite(rows.where(F.col("source") == feed), f"{root}/{name}")
+    sinks.overwrite(rows.where(F.lit(False)), f"{root}/checked_empty")
+    names = [*feeds, "checked_empty", "checked_absent"]
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    done = sinks.register(spark, {name: f"{root}/{name}" for name in names})
+    listed = {r["name"] for r in reports.table_list(spark).collect()}
+    found = []
+    for name in names:
+        path = f"{root}/{name}"
+        records = spark.sql(f"SELECT count(*) FROM {name}").first()[0] if done[name] else None
+        found.append((name, tables.exists(spark, path), tables.read_if_present(spark, path) is not None, name in listed, records))
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(found, "name string, present boolean, usable boolean, listed boolean, records long")
+
+
 @query
 def entity_attributes(spark, d):
     rows = obs.observations(spark, d).select("event_id", "city")
@@ -472,6 +512,19 @@ def quality_bronze(spark, d):
     return validation.bronze_report(obs.observations(spark, d), "city", "recorded_dt")
 
 
+@query
+def layer_summary(spark, d):
+    """Rows, null keys, cities, freshness and missing columns per layer; one layer is absent."""
+    rows = obs.observations(spark, d)
+    layers = {
+        "bronze_batch": rows.where(F.col("source") == obs.BATCH),
+        "bronze_streaming": rows.where(F.col("source") == obs.STREAM).drop("pressure"),
+        "silver": obs.silver_plain(spark, d),
+        "gold": None,
+    }
+    return validation.summary(layers, required=["city", "recorded_at", "pressure", "temperature"])
+
+
 @query
 def quality_silver(spark, d):
     return validation.silver_report(obs.silver_plain(spark, d))
@@ -680,9 +733,10 @@ def tree_scores(spark, d):
             ).withColumn("algorithm", F.lit(name))
         )
     exact = splits.best_split(frame, "hour", "label_24h")
-    side = F.when(F.col("hour") <= F.col("cut"), F.col("mean_left")).otherwise(F.col("mean_right"))
-    mae = frame.join(F.broadcast(exact)).agg(F.avg(F.abs(side - F.col("label_24h"))).alias("mae"))
-    found.append(exact.join(F.broadcast(mae)).withColumn("algorithm", F.lit("exact")))
+    row = exact.first()
+    side = F.when(F.col("hour") <= row["cut"], F.lit(row["mean_left"])).otherwise(F.lit(row["mean_right"]))
+    mae = frame.agg(F.avg(F.abs(side - F.col("label_24h")))).first()[0]
+    found.append(exact.withColumns({"mae": F.lit(mae), "algorithm": F.lit("exact")}))
     rounded = ("mean_left", "mean_right", "mae")
     return union_sources(found).withColumns({c: F.round(c, 6) for c in rounded})
 
@@ -805,9 +859,11 @@ def row_standardise(spark, d):
 # --- streams ----------------------------------------------------------------
 
 
-def _message_folder(spark, d) -> str:
+def _message_folder(spark, d, folder: str | None = None, part: Column | None = None) -> str:
     """The events as JSON messages, with a malformed one next to each of them."""
     rows = obs.observations(spark, d)
+    if part is not None:
+        rows = rows.where(part)
     none = F.lit(None)
     message = F.struct(
         F.struct(none.cast("double").alias("lon"), none.cast("double").alias("lat")).alias("coord"),
@@ -822,8 +878,8 @@ def _message_folder(spark, d) -> str:
     )
     text = F.to_json(message)
     cut = F.substring(text, 1, 20)
-    folder = scratch_path(spark, "messages")
-    rows.select(F.explode(F.array(text, cut)).alias("value")).write.text(folder)
+    folder = folder or scratch_path(spark, "messages")
+    rows.select(F.explode(F.array(text, cut)).alias("value")).write.mode("append").text(folder)
     return folder
 
 
@@ -838,6 +894,23 @@ def stream_parse(spark, d):
     )
 
 
+@query
+def stream_restart(spark, d):
+    """Two landings, and a run after each and once more: the checkpoint loses and repeats nothing."""
+    folder, target, checkpoint = (scratch_path(spark, f"restart-{x}") for x in ("in", "out", "ck"))
+    early = F.col("recorded_at") < F.lit(LATE_DAY).cast("timestamp")
+    for part in (early, ~early, F.lit(False)):
+        _message_folder(spark, d, folder, part)
+        parsed = ingest.parse_messages(read_folder(spark, folder))
+        ingest.append_stream(parsed, target, checkpoint, available_now=True).awaitTermination()
+    stored = spark.read.parquet(target)
+    # Source time and ingest time of every message, in this order.
+    stamped = (F.col("kafka_timestamp") <= F.col("ingested_at")).alias("stamped")
+    return stored.select(
+        F.col("name").alias("city"), F.col("dt").alias("recorded_dt"), F.col("main.temp").alias("temperature"), stamped
+    )
+
+
 def _stream_silver(batch: DataFrame) -> DataFrame:
     return silver.unique(silver.clean(silver.map_stream(batch)))
 

@@ -32,6 +32,9 @@ RUNTIME_CONF = {
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
+# Rows of one series that a window task should sort; longer series are cut into blocks.
+ROWS_PER_TASK = 2_000_000
+
 # The table names users query by.
 TABLE_NAMES = (
     "bronze_weather_streaming",
@@ -55,6 +58,7 @@ class LakeConfig:
     ``silver_partition`` is the unit an upsert rewrites: ``recorded_date`` for large
     tables, ``recorded_month`` where a day would make tiny files. ``feature_digits``
     computes trailing statistics in fixed point (see ``functions.fixed_point``).
+    ``rows_per_task`` is how long a series may be before it is cut into blocks.
     """
 
     root: str
@@ -62,6 +66,7 @@ class LakeConfig:
     horizon: int = 24
     silver_partition: str = "recorded_date"
     feature_digits: int | None = 4
+    rows_per_task: int = ROWS_PER_TASK
 
     def __post_init__(self) -> None:
         if self.silver_partition not in ("recorded_date", "recorded_month"):
@@ -69,8 +74,8 @@ class LakeConfig:
 
     @classmethod
     def from_env(cls, default_root: str = "lake") -> "LakeConfig":
-        """Read LAKE_ROOT, ANALYSIS_CITY, FORECAST_HORIZON_HOURS, SILVER_PARTITION
-        and FEATURE_DIGITS."""
+        """Read LAKE_ROOT, ANALYSIS_CITY, FORECAST_HORIZON_HOURS, SILVER_PARTITION,
+        FEATURE_DIGITS and ROWS_PER_TASK."""
         digits = os.environ.get("FEATURE_DIGITS", "4")
         return cls(
             root=os.environ.get("LAKE_ROOT", default_root).rstrip("/"),
@@ -78,6 +83,7 @@ class LakeConfig:
             horizon=int(os.environ.get("FORECAST_HORIZON_HOURS", "24")),
             silver_partition=os.environ.get("SILVER_PARTITION", "recorded_date"),
             feature_digits=int(digits) if digits else None,
+            rows_per_task=int(os.environ.get("ROWS_PER_TASK", ROWS_PER_TASK)),
         )
 
     @property

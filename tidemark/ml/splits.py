@@ -23,12 +23,12 @@ def best_split(frame: DataFrame, feature: str, label: str, digits: int = 2) -> D
     unit = fixed_point.units(label, digits)
     values = known.groupBy(feature).agg(F.count(F.lit(1)).alias("n"), F.sum(unit).alias("s"))
     sums = running_totals(values, [feature], ["n", "s"])
-    whole = values.agg(F.sum("n").alias("rows"), F.sum("s").alias("total"))
+    rows, total = values.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0))).first()
     left = F.col("s_until").cast("double")
-    right = (F.col("total") - F.col("s_until")).cast("double")
-    n_left, n_right = F.col("n_until"), F.col("rows") - F.col("n_until")
+    right = (F.lit(total) - F.col("s_until")).cast("double")
+    n_left, n_right = F.col("n_until"), F.lit(rows) - F.col("n_until")
     gain = left * left / n_left + right * right / n_right
-    sides = sums.join(F.broadcast(whole)).filter(n_right > 0)  # one row of totals
+    sides = sums.filter(n_right > 0)
     scale = F.lit(float(10**digits))
     return (
         sides.select(

@@ -15,10 +15,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.config import materialise
-
-# Rows one window task should sort; entities above it are cut into blocks.
-ROWS_PER_TASK = 2_000_000
+from tidemark.config import ROWS_PER_TASK, materialise
 
 # monotonically_increasing_id() holds the partition above this bit and the row
 # index within the partition below it.

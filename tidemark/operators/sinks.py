@@ -42,13 +42,6 @@ def overwrite_partitions(
     )
 
 
-def save_features(features: DataFrame, root: str, name: str) -> str:
-    """Replace a named feature set and return its path."""
-    path = f"{root}/{name}"
-    overwrite(features, path)
-    return path
-
-
 # Ranges of a column that the curve tells apart: two to this power.
 CURVE_BITS = 8
 

@@ -8,12 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.config import LakeConfig, materialise, scratch
+from tidemark.config import ROWS_PER_TASK, LakeConfig, materialise, scratch
 from tidemark.functions import fixed_point
 from tidemark.operators.aggregates import hourly_bucket
 from tidemark.operators.filters import only
 from tidemark.operators.joins import attach
-from tidemark.operators.series import ROWS_PER_TASK, Hot, hot_entities, over_series
+from tidemark.operators.series import Hot, hot_entities, over_series
 from tidemark.operators.upsert import VersionedTable
 from tidemark.schemas import BATCH_SOURCE, STREAM_SOURCE
 
@@ -319,13 +319,13 @@ def table(spark: SparkSession, lake: LakeConfig, name: str) -> VersionedTable:
 def run(spark: SparkSession, lake: LakeConfig, silver: VersionedTable) -> list[str]:
     """Bring the three feature sets up to date; returns the days whose hours were written."""
     with scratch(spark):
-        digits = lake.feature_digits
+        digits, long = lake.feature_digits, lake.rows_per_task
         hourly, training, daily = (
             table(spark, lake, n) for n in ("hourly_weather", "training_data", "daily_weather")
         )
         derived = [
-            Derived(hourly, lambda rows: hourly_features(rows, digits), WEEK_FRAME),
-            Derived(training, lambda rows: training_frame(rows, lake.horizon, digits), WEEK_FRAME,
+            Derived(hourly, lambda rows: hourly_features(rows, digits, rows_per_task=long), WEEK_FRAME),
+            Derived(training, lambda rows: training_frame(rows, lake.horizon, digits, long), WEEK_FRAME,
                     max(lake.horizon, *LABEL_HOURS)),
         ]
         settings = {"horizon": lake.horizon, "digits": -1 if digits is None else digits}

@@ -6,7 +6,7 @@ ties by key so that the same table always gives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import fixed_point
@@ -37,8 +37,9 @@ def newest_months(monthly: DataFrame, n: int = 12) -> DataFrame:
     )
 
 
-def summary(city_summary: DataFrame) -> DataFrame:
-    return city_summary
+def summary(city_summary: DataFrame, n: int = 100) -> DataFrame:
+    """Cities in the order of their names, at most ``n``."""
+    return newest(city_summary, [F.asc("city"), F.asc("country")], n, city_summary.columns)
 
 
 def trend(daily: DataFrame, first_day: str | None = None, partitioned: bool = False) -> DataFrame:
@@ -131,6 +132,11 @@ def row_count(table: DataFrame) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("records"))
 
 
+def table_list(spark: SparkSession) -> DataFrame:
+    """Names of the registered tables."""
+    return spark.sql("SHOW TABLES").filter(~F.col("isTemporary")).select(F.col("tableName").alias("name"))
+
+
 def dump(table: DataFrame, order: str, n: int = 10) -> DataFrame:
     """First rows of a small table."""
     return table.orderBy(order).limit(n)

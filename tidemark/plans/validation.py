@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import violates_range
@@ -15,13 +18,14 @@ from tidemark.schemas import (
 )
 
 
-def bronze_report(bronze: DataFrame, entity: str, instant: str) -> DataFrame:
-    """Rows, null keys and freshness of a bronze table, in one pass."""
+def bronze_report(bronze: DataFrame, entity: str, instant: str, *more: Column) -> DataFrame:
+    """Rows, null keys and freshness of a bronze table, in one pass, and ``more`` aggregates."""
     return bronze.agg(
         F.count(F.lit(1)).alias("records"),
         F.count_if(F.col(entity).isNull()).alias("null_entity"),
         F.count_if(F.col(instant).isNull()).alias("null_instant"),
         F.max("ingested_at").alias("latest_ingested"),
+        *more,
     )
 
 
@@ -46,6 +50,37 @@ def bronze(stream: DataFrame | None, batch: DataFrame | None) -> tuple[int, list
     return total, warnings
 
 
+def summary(
+    layers: Mapping[str, DataFrame | None],
+    entity: str = "city",
+    instant: str = "recorded_dt",
+    required: Sequence[str] = (),
+) -> DataFrame:
+    """One row per layer: rows, null keys, distinct cities, freshness, columns it lacks.
+
+    An absent layer has a null count. Each layer is one scan of its key columns.
+    """
+    spark = next(df for df in layers.values() if df is not None).sparkSession
+    rows = []
+    for name, df in layers.items():
+        if df is None:
+            empty = "CAST(NULL AS BIGINT) AS records, CAST(NULL AS STRING) AS missing_columns"
+            rows.append(spark.range(1).selectExpr(f"'{name}' AS layer", empty))
+            continue
+        counted = bronze_report(
+            df, entity, instant, F.count_distinct(entity).alias("cities"), F.max(instant).alias("newest_record")
+        )
+        lacks = ", ".join(quality.missing_columns(df, required))
+        rows.append(counted.withColumns({"layer": F.lit(name), "missing_columns": F.lit(lacks)}))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+
+
+def stale(report: DataFrame, hours: int = 24) -> DataFrame:
+    """Layers of a summary whose latest row came in more than ``hours`` ago."""
+    age = F.current_timestamp() - F.make_dt_interval(hours=F.lit(hours))
+    return report.filter(F.col("latest_ingested") < age).select("layer", "latest_ingested")
+
+
 def silver_report(silver: DataFrame) -> DataFrame:
     rules = [
         quality.Rule("temperature out of range", violates_range("temperature", *TEMPERATURE_RANGE)),
