@@ -64,8 +64,7 @@ def summary(
     rows = []
     for name, df in layers.items():
         if df is None:
-            empty = "CAST(NULL AS BIGINT) AS records, CAST(NULL AS STRING) AS missing_columns"
-            rows.append(spark.range(1).selectExpr(f"'{name}' AS layer", empty))
+            rows.append(spark.range(1).select(F.lit(name).alias("layer"), F.lit(None).cast("long").alias("records")))
             continue
         counted = bronze_report(
             df, entity, instant, F.count_distinct(entity).alias("cities"), F.max(instant).alias("newest_record")
