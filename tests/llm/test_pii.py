@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm.pii import KINDS, base_spans, detect, luhn, reliabilities, PersonalData
+from tidemark.llm.pii import KINDS, base_spans, candidates, detect, luhn, reliabilities, PersonalData
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -90,3 +91,28 @@ def test_reliabilities_keep_the_classes_apart():
     agree, against = int("22222", 3), int("11111", 3)
     posterior = reliabilities({(0, agree): 50, (0, against): 50, (1, against): 3}, PersonalData())
     assert posterior[0, agree] > 0.9 and posterior[0, against] < 0.1 and posterior[1, against] < 0.5
+
+
+def test_very_many_spans_of_one_text():
+    """A directory: every candidate is held against the spans taken, in n log n steps."""
+    text = "\n".join(f"Tel. 415-555-{k % 10000:04d} box{k}@mail.example or (0{k % 90 + 10}) 555-{k % 10000:04d}" for k in range(30_000))
+    began = time.perf_counter()
+    base = base_spans(text)
+    found = list(candidates(text, base))
+    assert time.perf_counter() - began < 20
+    assert len(found) == 90_000 and sum(x[3] for x in found) == 30_000
+    spans = sorted((a, b) for _, a, b, _ in found)
+    assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_taken_spans_against_all_pairs(odd_rows):
+    texts = [t or "" for _, t, *_ in odd_rows] + [
+        "card 4111 1111 1111 1111 tel +49 (30) 1234567890 ip 10.0.0.1:80 a@b.co 2001:db8:0:0:0:0:0:1 +1 415 555 2671 415-555-2671"
+    ]
+    for text in texts:
+        base = base_spans(text)
+        taken = [s for spans in base.values() for s in spans]
+        for _, start, end, is_base in candidates(text, base):
+            if not is_base:
+                assert not any(start < b and a < end for a, b in taken)
+                taken.append((start, end))

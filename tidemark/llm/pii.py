@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -136,20 +137,35 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> Iterator[tuple[str, int, int, bool]]:
     """(kind, start, end, is base) of base spans, and of others that touch none of them."""
-    taken = [span for spans in base.values() for span in spans]
+    taken = _apart(span for spans in base.values() for span in spans)
     for kind in KINDS:
         for start, end in base[kind]:
             yield kind, start, end, True
     for kind in KINDS:
         for pattern in _MORE[kind]:
+            starts, found = [a for a, _ in taken], []
             for m in pattern.finditer(text):
                 start, end = m.span()
-                if any(start < b and a < end for a, b in taken):
+                # The last taken span that begins before this one ends.
+                k = bisect_left(starts, end) - 1
+                if k >= 0 and taken[k][1] > start:
                     continue
                 if kind == "card" and not luhn(_digits(m.group())):
                     continue
-                taken.append((start, end))
+                found.append((start, end))
                 yield kind, start, end, False
+            taken = _apart((*taken, *found))
+
+
+def _apart(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
 
 
 def votes(kind: str, text: str, start: int, end: int) -> list[int]:
