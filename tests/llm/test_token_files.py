@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm.token_files import Shard, TokenFiles, WordEncoder, encoded, write
+from tidemark.llm.token_files import Shard, TokenFiles, WordEncoder, by_words, encoded, write
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 P = TokenFiles(PATH)
@@ -62,3 +62,18 @@ def test_words_encode_as_the_whole_text(texts):
     got = WordEncoder(PATH).encode([t.encode("utf-8", "replace") for t in texts])
     texts = [t.encode("utf-8", "replace").decode() for t in texts]
     assert [list(x) for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_other_vocabularies_encode_whole_texts(spark, make_docs, odd_rows):
+    """A file whose steps join over white space or keep capitals is not taken word by word."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert by_words(PATH) and not by_words(path)
+    other = Tokenizer.from_file(path)
+    rows = [(k, (t or "")[:5000]) for k, (_, t, *_) in enumerate(odd_rows)] + [(90, "Two  Words\n\n MiXed, it's"), (91, " lead")]
+    texts = [t for _, t in rows]
+    assert [x.tolist() for x in WordEncoder(path).encode([t.encode() for t in texts])] == [
+        other.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+    got = encoded(spark, make_docs(rows), TokenFiles(path)).collect()
+    want = {k: zlib.crc32(struct.pack(f"<{len(i) + 1}I", *i, 1)) for k, t in rows for i in [other.encode(t, add_special_tokens=False).ids]}
+    assert {r.doc_id: r.ids_crc32 for r in got} == want

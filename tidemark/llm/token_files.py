@@ -16,6 +16,7 @@ shards is an ordinary table, so files of lost or repeated attempts are never rea
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -71,10 +72,43 @@ _MARKS = b".,!?;:*%$&#"
 _SIMPLE = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+")
 
 
+# What a tokenizer file says when its texts can be encoded word by word.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_SPLIT = {
+    "type": "Split",
+    "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+    "behavior": "Removed",
+    "invert": True,
+}
+
+
+def by_words(path: str) -> bool:
+    """Whether a tokenizer file is of the kind that ``WordEncoder`` takes apart."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    before = spec.get("pre_tokenizer") or {}
+    parts = before.get("pretokenizers") or [{}]
+    last = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    return (
+        spec.get("normalizer") == _NORMALIZER
+        and parts[0] == _SPLIT
+        and [{k: p.get(k) for k in last} for p in parts[1:]] == [last]
+        and all(t["content"].startswith("<|") and not t["normalized"] for t in spec.get("added_tokens", ()))
+    )
+
+
 class WordEncoder:
-    """Ids of texts, word by word.
+    """Ids of texts, word by word where the vocabulary allows it (see ``by_words``), and of
+    whole texts where it does not.
 
-    The vocabulary's normalizer makes all letters small, and its pre-tokenizer drops white
+    Such a normalizer makes all letters small, and its pre-tokenizer drops white
     space and never joins letters across it. So a text's ids are those of its words in
     turn, A-Z may be made small first, and marks after a word stand for themselves. A word
     of small letters only, with or without accents, is left alone by both steps and goes
@@ -86,7 +120,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.by_words = Tokenizer.from_file(path), by_words(path)
         self.model = self.tokenizer.model
         # Letters as the model writes their bytes.
         written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -124,6 +158,9 @@ class WordEncoder:
 
     def encode(self, documents: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
+        if not self.by_words:
+            whole = [d.decode("utf-8", "replace") for d in documents]
+            return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in whole]
         out: list[np.ndarray] = []
         low = 0
         while low < len(documents):
