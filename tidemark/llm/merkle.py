@@ -208,12 +208,9 @@ def proofs(spark: SparkSession, docs: DataFrame, other: Column | None = None, p:
         F.lit(0).cast("long").alias("tree"), F.lit(n).cast("long").alias("n"), (F.col("place") - 1).alias("lo"),
         F.col("place").alias("hi"), F.col("subroot").alias("digest"),
     )
-    upper_bands, top = _grow(tables, upper, n, "upper", p)
+    upper_bands, top = _grow(tables, tables.keep(upper, "tops"), n, "upper", p)
     root = top.first()
-    start = spark.range(1).select(
-        F.lit(0).cast("long").alias("tree"), F.lit(0).cast("long").alias("lo"), F.array().cast(_NO_STEPS).alias("path")
-    )
-    beyond = _attach(tables, upper_bands, start, "beyond", p)
+    beyond = _attach(tables, upper_bands, top.select("tree", "lo", F.array().cast(_NO_STEPS).alias("path")), "beyond", p)
     above = (
         roots.withColumn("lo", F.col("place") - 1)
         .join(beyond.select("lo", "path"), "lo")
