@@ -201,7 +201,8 @@ def repeats(docs: DataFrame, tables: Tables, p: SubstringDedup) -> tuple[DataFra
     copies = tables.keep(copies, "copies")
 
     # Dealt by hash once: the aggregate and the join after it read the same shuffle.
-    found = _anchor_rows(docs, p).join(copies, ["doc_id", "a"], "left_anti").repartition("seed")
+    # Tags have done their part before the shuffle.
+    found = _anchor_rows(docs, p).join(copies, ["doc_id", "a"], "left_anti").drop("a").repartition("seed")
     common = (
         found.groupBy("seed")
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
