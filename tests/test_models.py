@@ -226,3 +226,20 @@ def test_category_of_a_request(spark):
     assert got == {
         ("a", "rain", None): 2.0, ("b", None, 0.0): 0.0, ("a", "clear", None): 1.0, ("a", "clear", 7.0): 7.0, ("a", "hail", None): 3.0
     }
+
+
+def test_a_forest_does_not_depend_on_the_files(spark, frame):
+    """What it draws follows from the rows, however the frame is stored."""
+    coded = prepare.encode(frame, prepare.fit_encoder(frame))
+    columns, keys = prepare.input_columns(coded), ["city", "recorded_at"]
+    rows = [
+        training.train_all(coded.repartition(n), columns, keys, {"Forest": small_forest})[0].mae for n in (1, 3)
+    ]
+    assert rows[0] == pytest.approx(rows[1], rel=1e-9)
+
+
+def test_rows_to_fit_lie_in_even_ordered_parts(spark, frame):
+    train = frame.coalesce(1)
+    found = training.dealt(train, ["temperature"], ["city", "recorded_at"]).select("temperature").rdd.glom().collect()
+    assert len(found) == spark.sparkContext.defaultParallelism and sum(map(len, found)) == train.count()
+    assert all(part == sorted(part) for part in found) and max(map(len, found)) < 100

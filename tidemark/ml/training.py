@@ -19,11 +19,16 @@ FOREST = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "seed": 42}
 BOOSTING = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "seed": 42}
 RIDGE_ALPHA = 1.0
 
+# Rows of a task that fits; its part of the cached rows stays far below the 2 GB of a block.
+ROWS_PER_FIT = 500_000
+
 
 def forest(train: DataFrame, **other) -> Model:
     """All features at every split; the smallest node that may split has about five rows.
-    ``other`` parameters replace the fixed ones."""
-    return RandomForestRegressor(labelCol=LABEL, featureSubsetStrategy="all", **FOREST | other).fit(train)
+    ``other`` parameters replace the fixed ones. Each row's nodes are kept from level to
+    level, so no level walks all trees from their roots again."""
+    fixed = {"featureSubsetStrategy": "all", "cacheNodeIds": True}
+    return RandomForestRegressor(labelCol=LABEL, **fixed | FOREST | other).fit(train)
 
 
 def boosting(train: DataFrame, **other) -> Model:
@@ -112,6 +117,18 @@ def with_category(encoder: StringIndexerModel, model: PipelineModel) -> Pipeline
     return PipelineModel([*category_stages(encoder), *model.stages])
 
 
+def dealt(train: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Rows in even parts, a whole number for each core, and in order within a part.
+
+    Trees pass over the rows hundreds of times. Rows next to each other then mostly fall into
+    the same nodes, which takes half the time; and what a forest draws depends on the rows
+    and the number of parts, not on the files they come from.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    waves = max(1, -(-train.count() // (cores * ROWS_PER_FIT)))
+    return train.repartition(cores * waves, *keys).sortWithinPartitions(*columns, *keys, LABEL)
+
+
 def train_all(
     frame: DataFrame, columns: Sequence[str], keys: Sequence[str], algorithms=None
 ) -> list[Trained]:
@@ -119,7 +136,7 @@ def train_all(
     side = in_training(keys)
     train, test = frame.filter(side), frame.filter(~side)
     inputs = assemble(columns, fit_scaling(train, columns))
-    vectors = inputs.transform(train).select("features", LABEL).persist()
+    vectors = inputs.transform(dealt(train, columns, keys)).select("features", LABEL).persist()
     try:
         out = []
         for name, fit in (algorithms or ALGORITHMS).items():
