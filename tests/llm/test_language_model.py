@@ -124,3 +124,19 @@ def test_every_word_pair_and_triple_is_in_a_shard(spark, make_docs, rows):
     many = {r.doc_id: r.score for r in score(spark, make_docs(rows), small).collect()}
     assert one.keys() == many.keys()
     assert all(many[k] == pytest.approx(one[k], rel=0.02) for k in one)
+
+
+def test_what_shards_send_is_small(spark, make_docs, rows):
+    """Rows spread over many shards: few bytes a window come back."""
+    from tidemark.llm.common import Tables
+    from tidemark.llm.language_model import train
+
+    tables = Tables(spark, "test")
+    small = LanguageModel(words=400, pairs=900, triples=700)
+    _, shards, sums = train(spark, make_docs(rows), tables, small)
+    assert shards.ranges > 5
+    windows = sum(len(tokens(t)) for _, t in rows)
+    sent = spark.read.parquet(tables.paths["scored"][0]).selectExpr("sum(length(body))").first()[0]
+    assert sent < 2.5 * windows
+    found = sums.collect()
+    assert sum(r.n_tokens for r in found) == windows and all(r.n_known <= r.n_tokens for r in found)

@@ -10,10 +10,12 @@ in the model; how many shards it has follows from the counts.
    they lie is shuffled.
 3. A shard sees all windows around its words, so it counts its words, the pairs that end
    with them and the triples around them by itself. Pairs are needed where they begin,
-   too; they are sent there with the count of their second word.
+   too; they are sent there with the count of their second word, packed by shard.
 4. A task builds the trie of its shard, stores it, maps it and scores the shard's windows.
-   The sums of a row's windows are the row's score. They go back by the task's step that
-   dealt them.
+   What a row's windows gain goes back by the task's step that dealt them, in units of
+   ``1 / _UNIT``. Counts of common words are known where windows are dealt; of all others
+   the shard sends them back. So a window costs at most one small entry, however many
+   shards its row is spread over.
 5. A level is one Elias-Fano sequence: number of the context times a stride plus the
    successor, with monotone pointers to where each context's successors start. A triple's
    last word is stored relative to its shorter context: as its rank among the successors
@@ -50,6 +52,8 @@ START, NONE = np.int64(0x0F1E2D3C4B5A6978), np.int64(0x1032547698BADCFE)
 _DEALT = 1 << 20
 # Keys looked up at a time, so that what numpy makes of them stays in the cache.
 _LOOKED_UP = 1 << 14
+# What a row gains in a shard is rounded to this part of a unit; a probability has one byte.
+_UNIT = 4096
 # Distinct keys a task gathers before it passes them on.
 _HELD = 1 << 21
 
@@ -302,6 +306,10 @@ class Shards:
         Trie.words(*(common.column(k).to_numpy() for k in (0, 1)), tokens, distinct).save(f"{windows}/common")
         return cls(uri, windows, ranges, keys[order], n[order], tokens, distinct)
 
+    def base(self, counts: np.ndarray) -> np.ndarray:
+        """Smoothed log probability of words with these counts."""
+        return np.log10((counts + 1) / (self.tokens + self.distinct + 1))
+
     @property
     def total(self) -> int:
         return self.ranges + int(self.parts.sum())
@@ -369,6 +377,17 @@ def _common(shards: Shards) -> tuple[Trie, np.ndarray]:
     return common, np.argsort(-common.counts, kind="stable")
 
 
+def _coded(words: np.ndarray, common: Trie, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of words, and the words that the codes from ``len(order)`` on stand for."""
+    code = np.empty(len(order), np.int64)
+    code[order] = np.arange(len(order))
+    number = common.numbers(words)
+    codes = np.where(number >= 0, code[number] if len(code) else 0, -1)
+    used, at = np.unique(words[codes < 0], return_inverse=True)
+    codes[codes < 0] = len(code) + at
+    return codes.astype(np.uint32), used
+
+
 INDEX = "part long, shard long, file string, first long, size long, body binary"
 
 
@@ -385,6 +404,12 @@ def _windows(shards: Shards):
         before[ends - sizes], behind[ends - 1] = start, none
         number = common.numbers(words)
         codes = np.where(number >= 0, code[number] if len(code) else 0, -1)
+        # What common words add to their rows.
+        place = number[inverse]
+        own = place >= 0
+        known = np.bincount(row[own], minlength=len(sizes))
+        base = np.bincount(row[own], common.base(common.counts[place[own]]), len(sizes))
+        yield -1, (sizes.astype(np.uint32), known.astype(np.uint32), base.astype(np.float64))
         shard = shards.of(words[before], words[inverse])
         order = np.argsort(shard, kind="stable")
         for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
@@ -404,9 +429,10 @@ def _windows(shards: Shards):
         with system.open_output_stream(f"{base}/{name}") as file:
 
             def dealt(held):
-                ids = _packed(*[np.concatenate([x[k] for x in held]) for k in (2, 3, 4)])
+                pieces = deal(held, common, code)
+                ids = _packed(*[np.concatenate([x[k] for x in held]) for k in (2, 3, 4)], *next(pieces)[1])
                 found = [(part, -1, None, None, None, ids)]
-                for shard, body in deal(held, common, code):
+                for shard, body in pieces:
                     found.append((part, shard, name, file.tell(), len(body), None))
                     file.write(body)
                 return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*found), _INDEX)], names=_names(INDEX))
@@ -436,11 +462,11 @@ def _names(schema: str) -> list[str]:
 
 
 def _joined(shards: Shards, index: pa.Table):
-    """The words before, in and after all windows of a shard, whether they are learned, their
-    rows' numbers within their parts, and how many windows each part has."""
+    """The words before, in and after all windows of a shard, whether they are learned, whether
+    the word in them has no code of its own, and of each part its windows' rows."""
     common, order = _common(shards)
     system, base = _system(shards.windows)
-    names, three, rows, learned = common.hashes[order], [], [], []
+    names, three, rows, learned, rare = common.hashes[order], [], [], [], []
     # In the order of parts, whatever order they came in.
     for found in sorted(index.select(["part", "file", "first", "size"]).to_pylist(), key=lambda x: x["part"]):
         with system.open_input_file(f"{base}/{found['file']}") as file:
@@ -448,8 +474,9 @@ def _joined(shards: Shards, index: pa.Table):
         three.append(np.concatenate((names, used))[np.stack(abc)])
         rows.append(row.astype(np.int64))
         learned.append(~out)
+        rare.append(abc[1] >= len(names))
     a, b, c = np.concatenate(three, axis=1)
-    return a, b, c, np.concatenate(learned), rows
+    return a, b, c, np.concatenate(learned), np.concatenate(rare), rows
 
 
 def _counted(one: np.ndarray, two: np.ndarray, least: int):
@@ -472,24 +499,59 @@ def _own(shards: Shards, b: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _ending_pairs(shards: Shards, p: LanguageModel):
-    """(shard, b, c, n, total): pairs that end in a shard, for all shards of their first
-    word, with the count of the second."""
+    """(shard, body): pairs that end in a shard, for all shards of their first word, with the
+    count of the second."""
 
     def run(table):
-        a, b, _, learned, _ = _joined(shards, table)
+        a, b, _, learned, *_ = _joined(shards, table)
         words, counts = _own(shards, b[learned], b[:0])
         inner = learned & (a != START)
         one, two, n = _counted(a[inner], b[inner], p.least)
-        place, shard = shards.all_of(one)
         total = counts[np.searchsorted(words, two)]
-        return pa.table({"shard": shard, "b": one[place], "c": two[place], "n": n[place], "total": total[place]})
+        place, shard = shards.all_of(one)
+        order = np.argsort(shard, kind="stable")
+        place, shard = place[order], shard[order]
+        common, by_count = _common(shards)
+        codes, used = _coded(np.concatenate((one, two)), common, by_count)
+        first, second = codes[: len(one)], codes[len(one) :]
+        to, bodies = [], []
+        for own in np.split(np.arange(len(place)), np.flatnonzero(np.diff(shard)) + 1):
+            if len(own):
+                at = place[own]
+                to.append(int(shard[own[0]]))
+                bodies.append(_packed(*_pairs_of(first[at], second[at], used, len(by_count)), n[at], total[at][second[at] >= len(by_count)]))
+        return pa.table({"shard": pa.array(to, pa.int64()), "body": pa.array(bodies, pa.binary())})
 
     return run
 
 
-def _shard_trie(shards: Shards, p: LanguageModel, a, b, c, learned, pairs: pa.Table):
+def _pairs_of(first: np.ndarray, second: np.ndarray, used: np.ndarray, known: int):
+    """The words without a code that these pairs have, and the pairs with codes for them alone."""
+    both = np.concatenate((first, second))
+    rare = both >= known
+    own, at = np.unique(both[rare], return_inverse=True)
+    both[rare] = known + at
+    return used[own - known], both[: len(first)], both[len(first) :]
+
+
+def _sent_pairs(shards: Shards, bodies) -> tuple[np.ndarray, ...]:
+    """First and second words of the pairs sent to a shard, their counts and the second's."""
+    common, order = _common(shards)
+    names, own = common.hashes[order], common.counts[order]
+    parts = [[np.empty(0, np.int64)] * 4]
+    for body in bodies:
+        used, first, second, n, rare = _unpacked(body.as_py())
+        words = lambda codes: np.where(codes < len(names), names[np.minimum(codes, len(names) - 1)] if len(names) else 0, used[np.maximum(codes.astype(np.int64) - len(names), 0)] if len(used) else 0)
+        total = np.empty(len(n), np.int64)
+        is_rare = second >= len(names)
+        total[is_rare], total[~is_rare] = rare, own[second[~is_rare]]
+        parts.append([words(first), words(second), n, total])
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _shard_trie(shards: Shards, p: LanguageModel, a, b, c, learned, pairs):
     """The trie of a shard, which of its words are the shard's own, and the windows' numbers."""
-    first, second, n, total = (pairs.column(k).to_numpy() for k in ("b", "c", "n", "total"))
+    first, second, n, total = pairs
     hot, _ = shards.is_hot(b)
     own, own_n = _own(shards, b[learned], np.union1d(first, b[hot]))
     inner = learned & (a != START)
@@ -525,8 +587,9 @@ def _build_and_score(shards: Shards, p: LanguageModel):
     def run(key, index, pairs):
         if not index.num_rows:
             return pa.table({"part": pa.array([], pa.int64()), "body": pa.array([], pa.binary())})
-        a, b, c, learned, rows = _joined(shards, index)
-        trie, is_own, (before, middle, behind) = _shard_trie(shards, p, a, b, c, learned, pairs)
+        a, b, c, learned, rare, rows = _joined(shards, index)
+        sent = _sent_pairs(shards, pairs.column("body"))
+        trie, is_own, (before, middle, behind) = _shard_trie(shards, p, a, b, c, learned, sent)
         folder = shards.folder(key[0].as_py())
         trie.save(folder)
         trie = Trie.load(folder)
@@ -534,15 +597,16 @@ def _build_and_score(shards: Shards, p: LanguageModel):
         known[middle >= 0] = is_own[middle[middle >= 0]]
         counts = np.zeros(len(b), np.int64)
         counts[known] = trie.counts[middle[known]]
-        base, gain = trie.base(counts), trie.after(before, middle, behind)
+        gain = trie.after(before, middle, behind)
         bodies, first = [], 0
         for row in rows:
             here = slice(first, first + len(row))
             first += len(row)
-            own, at, n = np.unique(row, return_inverse=True, return_counts=True)
-            total = lambda x: np.bincount(at, x[here], len(own))
-            sums = n, total(known).astype(np.int64), total(base), total(gain)
-            bodies.append(_packed(own.astype(np.uint32), *[x.astype(np.uint32) for x in sums[:2]], *sums[2:]))
+            own, at = np.unique(row, return_inverse=True)
+            units = np.rint(np.bincount(at, gain[here], len(own)) * _UNIT).astype(np.int64)
+            few = rare[here]
+            # The sign in the lowest bit, so that small numbers have small bytes.
+            bodies.append(_packed(own.astype(np.uint32), units << 1 ^ units >> 63, row[few].astype(np.uint32), counts[here][few]))
         return pa.table({"part": sorted(index.column("part").to_pylist()), "body": pa.array(bodies, pa.binary())})
 
     return run
@@ -551,14 +615,20 @@ def _build_and_score(shards: Shards, p: LanguageModel):
 SUMS = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double"
 
 
-def _summed(found, scored):
+def _summed(shards: Shards):
     """The rows of a part, with their sums over all shards."""
-    doc_id, null, out = _unpacked(found.column("body")[0].as_py())
-    sums = [np.zeros(len(out), kind) for kind in (np.int64, np.int64, float, float)]
+    return lambda found, scored: _sums(shards, found, scored)
+
+
+def _sums(shards: Shards, found, scored):
+    doc_id, null, out, n, known, base = _unpacked(found.column("body")[0].as_py())
+    known, base, gain = known.astype(np.int64), base.copy(), np.zeros(len(out))
     for body in scored.column("body"):
-        at, *own = _unpacked(body.as_py())
-        for x, y in zip(sums, own):
-            x[at] += y
+        at, units, row, counts = _unpacked(body.as_py())
+        gain[at] += (units >> 1 ^ -(units & 1)) / _UNIT
+        known += np.bincount(row, counts > 0, len(out)).astype(np.int64)
+        base += np.bincount(row, shards.base(counts), len(out))
+    sums = n.astype(np.int64), known, base, gain
     return pa.table([pa.array(doc_id, mask=null), pa.array(out), *map(pa.array, sums)], _names(SUMS))
 
 
@@ -578,7 +648,7 @@ def train(spark: SparkSession, docs: DataFrame, tables: Tables, p: LanguageModel
     # By number: rows that say where windows lie are small, the work behind them is not.
     of_shard = index.where("shard >= 0").drop("body").repartition(shards.total, "shard")
     pairs = of_shard.groupBy("shard").applyInArrow(
-        _ending_pairs(shards, p), "shard long, b long, c long, n long, total long"
+        _ending_pairs(shards, p), "shard long, body binary"
     )
     pairs = pairs.repartition(shards.total, "shard")
     scored = of_shard.groupBy("shard").cogroup(pairs.groupBy("shard"))
@@ -586,7 +656,7 @@ def train(spark: SparkSession, docs: DataFrame, tables: Tables, p: LanguageModel
     path, fs = hadoop_path(spark, shards.windows)
     fs.delete(path, True)
     rows = index.where("shard < 0").select("part", "body")
-    return shards.uri, shards, rows.groupBy("part").cogroup(scored.groupBy("part")).applyInArrow(_summed, SUMS)
+    return shards.uri, shards, rows.groupBy("part").cogroup(scored.groupBy("part")).applyInArrow(_summed(shards), SUMS)
 
 
 def score(spark: SparkSession, docs: DataFrame, p: LanguageModel = LanguageModel()) -> DataFrame:
