@@ -77,3 +77,22 @@ def test_other_vocabularies_encode_whole_texts(spark, make_docs, odd_rows):
     got = encoded(spark, make_docs(rows), TokenFiles(path)).collect()
     want = {k: zlib.crc32(struct.pack(f"<{len(i) + 1}I", *i, 1)) for k, t in rows for i in [other.encode(t, add_special_tokens=False).ids]}
     assert {r.doc_id: r.ids_crc32 for r in got} == want
+
+
+def test_new_words_go_to_the_merges_together(tokenizer):
+    """Letters, digits and marks, with and without accents, do not cost one call a word."""
+    words = [w for k in range(300) for w in (f"n\u00e9{k}x.,", f"\u00dcb{k}--\u00e4!", f"w<{k}|>", "\u00df" * (k % 5 + 1))]
+    odd = ["it's", "'s", "<|endoftext|>", "a<|b", "\u00aa", "\u00d7y", "e\u0301", "\u4e2d\u6587", "\ufffd", "A\x1cB", "x\u00a0y", "1\u00bd"]
+    text = " ".join(w for k, word in enumerate(words) for w in (word, *odd[: k == 600 and len(odd)]))
+    encoder = WordEncoder(PATH)
+    calls = []
+
+    class Counting:
+        def encode(self, word, **given):
+            calls.append(word)
+            return tokenizer.encode(word, **given)
+
+    encoder.tokenizer = Counting()
+    found = encoder.encode([text.encode(), text.upper().encode(), b""])
+    assert [x.tolist() for x in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in (text, text.upper(), "")]
+    assert len(calls) < 4 * len(odd)
