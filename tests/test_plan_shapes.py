@@ -140,3 +140,11 @@ def test_training_windows_share_one_shuffle_and_sort(spark):
     )
     text = plan(features.training_frame(rows, digits=2, hot=None))
     assert text.count("Exchange") == 1 and text.count("Sort ") == 1
+
+
+def test_a_late_day_is_cut_out_at_the_scan(spark):
+    late = F.col("recorded_date") == F.lit("2024-01-15").cast("date")
+    text = plan(obs.silver_plain(spark, SF, late))
+    assert re.search(r"ts#\d+ >= 2024-01-15", text).start() > text.rindex("Exchange")
+    got = obs.silver_plain(spark, SF, late).union(obs.silver_plain(spark, SF, ~late))
+    assert got.exceptAll(obs.silver_plain(spark, SF)).isEmpty() and got.count() == obs.silver_plain(spark, SF).count()

@@ -6,7 +6,7 @@ its attributes. Event types stand for weather conditions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import configure, materialise
@@ -69,9 +69,11 @@ def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean, unique rows without the attribute lookup."""
-    return silver.unique(silver.clean(observations(spark, sf_dir)))
+def silver_plain(spark: SparkSession, sf_dir: str, days: Column | None = None) -> DataFrame:
+    """Clean, unique rows without the attribute lookup. ``days`` is a condition on the date,
+    which rows of one key share, so the others are left out at the scan."""
+    rows = silver.clean(observations(spark, sf_dir))
+    return silver.unique(rows if days is None else rows.where(days))
 
 
 def cube(spark: SparkSession, sf_dir: str) -> DataFrame:

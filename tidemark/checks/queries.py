@@ -433,7 +433,6 @@ def training_frame(spark, d):
 
 def _after_late_day(spark, d) -> dict[str, VersionedTable]:
     """Features of all days but one, then brought up to date when that day arrives."""
-    rows = obs.silver_plain(spark, d)
     late = F.col("recorded_date") == F.lit(LATE_DAY).cast("date")
     source = VersionedTable(spark, scratch_path(spark, "source"), silver.KEYS, "recorded_date")
     hourly, training = (
@@ -450,8 +449,8 @@ def _after_late_day(spark, d) -> dict[str, VersionedTable]:
     def series(part: DataFrame) -> DataFrame:
         return features.hourly_series(part, digits=obs.SERIES_DIGITS, batch=obs.BATCH, stream=obs.STREAM)
 
-    for frame in (rows.where(~late), rows.where(late)):
-        source.merge(frame)
+    for days in (~late, late):
+        source.merge(obs.silver_plain(spark, d, days))
         features.refresh(source, series, derived, hourly)
     return {"hourly": hourly, "training": training}
 
