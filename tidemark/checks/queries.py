@@ -431,20 +431,20 @@ def training_frame(spark, d):
     return obs.training(spark, d)
 
 
-def _after_late_day(spark, d) -> dict[str, VersionedTable]:
-    """Features of all days but one, then brought up to date when that day arrives."""
+def _after_late_day(spark, d, name: str) -> DataFrame:
+    """Features of all days but one, then brought up to date when that day arrives. The
+    training rows need the hourly ones beside them, which count the series; not the reverse."""
     late = F.col("recorded_date") == F.lit(LATE_DAY).cast("date")
     source = VersionedTable(spark, scratch_path(spark, "source"), silver.KEYS, "recorded_date")
     hourly, training = (
-        VersionedTable(spark, scratch_path(spark, name), ["city", "recorded_at"], "recorded_date")
-        for name in ("hourly", "training")
+        VersionedTable(spark, scratch_path(spark, label), ["city", "recorded_at"], "recorded_date")
+        for label in ("hourly", "training")
     )
     hot, week = obs.hot(spark, d), features.WEEK_FRAME
     build = {"digits": obs.SERIES_DIGITS, "hot": hot}
-    derived = [
-        features.Derived(hourly, lambda r: features.hourly_features(r, **build), week),
-        features.Derived(training, lambda r: features.training_frame(r, **build), week, 24),
-    ]
+    derived = [features.Derived(hourly, lambda r: features.hourly_features(r, **build), week)]
+    if name == "training":
+        derived.append(features.Derived(training, lambda r: features.training_frame(r, **build), week, 24))
 
     def series(part: DataFrame) -> DataFrame:
         return features.hourly_series(part, digits=obs.SERIES_DIGITS, batch=obs.BATCH, stream=obs.STREAM)
@@ -452,17 +452,17 @@ def _after_late_day(spark, d) -> dict[str, VersionedTable]:
     for days in (~late, late):
         source.merge(obs.silver_plain(spark, d, days))
         features.refresh(source, series, derived, hourly)
-    return {"hourly": hourly, "training": training}
+    return derived[-1].table.read()
 
 
 @query
 def features_after_late_day(spark, d):
-    return _after_late_day(spark, d)["hourly"].read()
+    return _after_late_day(spark, d, "hourly")
 
 
 @query
 def training_after_late_day(spark, d):
-    return _after_late_day(spark, d)["training"].read()
+    return _after_late_day(spark, d, "training")
 
 
 def _gaps(spark, d) -> DataFrame:
