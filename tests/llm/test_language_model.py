@@ -140,3 +140,45 @@ def test_what_shards_send_is_small(spark, make_docs, rows):
     assert sent < 2.5 * windows
     found = sums.collect()
     assert sum(r.n_tokens for r in found) == windows and all(r.n_known <= r.n_tokens for r in found)
+
+
+def test_shards_fill_evenly(spark):
+    """Words of a large part of a shard each, wherever their hashes lie."""
+    from tidemark.llm.language_model import Shards
+
+    keys = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 4000)
+    counts = [900_000 // (k + 10) for k in range(len(keys))]
+    words = spark.createDataFrame(list(zip(keys.tolist(), counts)), "key long, n long")
+    share = 20_000
+    shards = Shards.plan(spark, words, LanguageModel(words=1 << 20, pairs=share, triples=share))
+    assert shards.ranges > 100 and (np.array(counts) > share).sum() > 20
+    place, shard = shards.all_of(keys)
+    size = np.bincount(shard, (np.array(counts) / np.bincount(place))[place], shards.total)
+    assert size.sum() == pytest.approx(sum(counts)) and size.max() < 1.25 * share
+
+
+def test_a_window_takes_few_bytes_in_its_shard(spark, monkeypatch, prose):
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from tidemark.llm import language_model as lm
+
+    p, text = LanguageModel(), prose(300_000, 4, 5000).encode()
+    step = Step(0, 1, np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    keys, n = np.unique(hashes(step)[0], return_counts=True)
+    words = spark.createDataFrame(list(zip(keys.tolist(), n.tolist())), "key long, n long")
+    shards = lm.Shards.plan(spark, words, p)
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    docs = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([False]), pa.array([text])], ["doc_id", "held_out", "text"])
+    index = pa.Table.from_batches(list(lm._windows(shards)([docs])))
+    index = index.filter(pa.compute.equal(index["shard"], 0))
+    tracemalloc.start()
+    try:
+        pairs = lm._ending_pairs(shards, p)(index)
+        scored = lm._build_and_score(shards, p)((pa.scalar(0),), index, pairs)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert scored.num_rows == 1 and most < 135 * 300_000

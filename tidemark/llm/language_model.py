@@ -5,8 +5,8 @@ in the model; how many shards it has follows from the counts.
 
 1. All words of the training rows are counted.
 2. Each word of a row goes with its neighbours, as a window, to the shard of its context:
-   the range the word's hash lies in. A word that alone would fill a shard has several,
-   by the word before it. Windows lie in files of the shared folder, one a task; only where
+   the range the word's hash lies in. Frequent words are placed so that shards fill evenly;
+   one that alone would fill a shard has several, by the word before it. Windows lie in files of the shared folder, one a task; only where
    they lie is shuffled.
 3. A shard sees all windows around its words, so it counts its words, the pairs that end
    with them and the triples around them by itself. Pairs are needed where they begin,
@@ -28,6 +28,7 @@ they sum to one over the known words and one unknown.
 
 from __future__ import annotations
 
+import heapq
 import os
 import pickle
 import uuid
@@ -152,15 +153,17 @@ class Trie:
         """Place of each pair in level 2, -1 where there is none."""
         known = np.flatnonzero((one >= 0) & (two >= 0))
         out = np.full(len(one), -1, np.int64)
-        out[known] = _find(self.levels[0], one[known] * self.stride + two[known])
+        out[known] = _find(self.levels[0], one[known] * np.int64(self.stride) + two[known])
         return out
 
     def triple_keys(self, ab: np.ndarray, b: np.ndarray, bc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which triples have both pairs, by their places ``ab`` and ``bc``, in the trie, and
         their keys in level 3."""
         at = np.flatnonzero((ab >= 0) & (bc >= 0))
-        rank = bc[at] - EliasFano.load(self.arrays, "pointers").access(b[at]).astype(np.int64)
-        return at, ab[at] * self.stride + rank
+        pointers = EliasFano.load(self.arrays, "pointers")
+        # Of many, each word's pointer is read once.
+        starts = pointers.access(np.arange(self.stride))[b[at]] if len(at) > self.stride else pointers.access(b[at])
+        return at, ab[at] * self.stride + (bc[at] - starts.astype(np.int64))
 
     def with_pairs(self, keys: np.ndarray, n: np.ndarray, p: LanguageModel, own: np.ndarray) -> "Trie":
         """Add level 2 from ascending keys and their counts. Pairs that do not begin with one
@@ -204,18 +207,20 @@ class Trie:
 
     def after(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
         """What the log probability of words ``c`` gains over ``base`` after ``a`` and ``b``."""
-        out = np.zeros(len(c))
         if not self.levels or not self.levels[0].n:
-            return out
-        bc = self.places(b, c)
+            return np.zeros(len(c))
+        ab, bc = self.places(a, b), self.places(b, c)
+        return self.gained(b, c, ab, bc, *self.triple_keys(ab, b, bc))
+
+    def gained(self, b, c, ab, bc, at, keys) -> np.ndarray:
+        """``after``, from the places of both pairs and what ``triple_keys`` makes of them."""
+        out = np.zeros(len(c))
         # Back off: the rest a known context leaves, times the shorter context's.
         known = np.flatnonzero((bc < 0) & (b >= 0) & (c > -2))
         out[known] = self.value("rest1", b[known])
         found = np.flatnonzero(bc >= 0)
         out[found] = self.value("prob2", bc[found]) - self.base(self.counts[c[found]])
         if len(self.levels) > 1 and self.levels[1].n:
-            ab = self.places(a, b)
-            at, keys = self.triple_keys(ab, b, bc)
             place = _find(self.levels[1], keys)
             at, place = at[place >= 0], place[place >= 0]
             backed = (ab >= 0) & (c > -2)
@@ -281,14 +286,16 @@ def held_out(p: LanguageModel) -> Column:
 
 @dataclass(frozen=True)
 class Shards:
-    """Where windows go. ``hot`` words ascend; each has ``parts`` shards of its own, from
-    ``first`` on, and ``n`` occurrences."""
+    """Where windows go. ``hot`` words ascend; each has ``n`` occurrences and ``parts`` shards
+    from ``first`` on, of its own or, if one, perhaps a range's."""
 
     uri: str
     windows: str
     ranges: int
     hot: np.ndarray
     n: np.ndarray
+    first: np.ndarray
+    parts: np.ndarray
     tokens: int
     distinct: int
 
@@ -296,15 +303,12 @@ class Shards:
     def plan(cls, spark: SparkSession, words: DataFrame, p: LanguageModel) -> "Shards":
         tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
         ranges = max(1, -(-tokens // min(p.pairs, p.triples)), -(-distinct // p.words))
-        # Fewer than there are ranges, as each has more than a range's share.
-        hot = words.where(F.col("n") > max(1, tokens // ranges)).toArrow() if ranges > 1 else None
-        keys, n = (hot.column(k).to_numpy() for k in (0, 1)) if hot else (np.empty(0, np.int64),) * 2
-        order = np.argsort(keys)
         uri, windows = scratch_path(spark, "trie"), scratch_path(spark, "windows")
         # Words with a millionth of all occurrences have short codes in the windows.
         common = words.where(F.col("n") >= max(p.least, tokens >> 20)).toArrow()
-        Trie.words(*(common.column(k).to_numpy() for k in (0, 1)), tokens, distinct).save(f"{windows}/common")
-        return cls(uri, windows, ranges, keys[order], n[order], tokens, distinct)
+        keys, n = (common.column(k).to_numpy() for k in (0, 1))
+        Trie.words(keys, n, tokens, distinct).save(f"{windows}/common")
+        return cls(uri, windows, ranges, *_placed(keys, n, ranges, max(1, tokens // ranges)), tokens, distinct)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         """Smoothed log probability of words with these counts."""
@@ -312,15 +316,7 @@ class Shards:
 
     @property
     def total(self) -> int:
-        return self.ranges + int(self.parts.sum())
-
-    @property
-    def parts(self) -> np.ndarray:
-        return -(-self.n // max(1, self.tokens // self.ranges))
-
-    @property
-    def first(self) -> np.ndarray:
-        return self.ranges + np.cumsum(self.parts) - self.parts
+        return self.ranges + int(self.parts[self.first >= self.ranges].sum())
 
     def is_hot(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which words are hot, and their places among the hot ones."""
@@ -355,6 +351,26 @@ def _range(x: np.ndarray, ranges: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(32)) * ranges >> np.uint64(32)).astype(np.int64)
 
 
+def _placed(words: np.ndarray, n: np.ndarray, ranges: int, share: int) -> tuple[np.ndarray, ...]:
+    """Words so frequent that chance would fill shards unevenly, ascending, their counts, first
+    shards and numbers of shards. Over half a ``share`` has shards of its own; the others go, most
+    frequent first, to the range that has least so far. Fewer than 16 for each range."""
+    hot = n > max(1, share // 16) if ranges > 1 else np.zeros(len(n), bool)
+    filled = np.bincount(_range(words[~hot].view(np.uint64), np.uint64(ranges)), n[~hot], ranges)
+    words, n = words[hot], n[hot]
+    order = np.argsort(words)
+    words, n = words[order], n[order]
+    own = n > share // 2
+    parts, first = np.where(own, -(-n // share), 1), np.zeros(len(n), np.int64)
+    first[own] = ranges + np.cumsum(parts[own]) - parts[own]
+    least = [(x, k) for k, x in enumerate(filled.tolist())]
+    heapq.heapify(least)
+    for k in np.flatnonzero(~own)[np.argsort(-n[~own], kind="stable")].tolist():
+        size, first[k] = least[0]
+        heapq.heapreplace(least, (size + int(n[k]), int(first[k])))
+    return words, n, first, parts
+
+
 def _packed(*arrays: np.ndarray) -> bytes:
     """Bytes of the same weight side by side, which compresses better."""
     planes = [(x.dtype.str, np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()) for x in arrays]
@@ -462,40 +478,47 @@ def _names(schema: str) -> list[str]:
 
 
 def _joined(shards: Shards, index: pa.Table):
-    """The words before, in and after all windows of a shard, whether they are learned, whether
-    the word in them has no code of its own, and of each part its windows' rows."""
+    """The words of a shard's windows, ascending, and by their numbers those before, in and after
+    each; whether it is learned, whether the word in it has no code of its own, and of each
+    part its windows' rows."""
     common, order = _common(shards)
     system, base = _system(shards.windows)
-    names, three, rows, learned, rare = common.hashes[order], [], [], [], []
+    codes, names, rows, learned, size = [], [common.hashes[order]], [], [], len(order)
     # In the order of parts, whatever order they came in.
     for found in sorted(index.select(["part", "file", "first", "size"]).to_pylist(), key=lambda x: x["part"]):
         with system.open_input_file(f"{base}/{found['file']}") as file:
             used, *abc, row, out = _unpacked(file.read_at(found["size"], found["first"]))
-        three.append(np.concatenate((names, used))[np.stack(abc)])
-        rows.append(row.astype(np.int64))
+        abc = np.stack(abc)
+        abc[abc >= len(order)] += np.uint32(size - len(order))
+        size += len(used)
+        codes.append(abc)
+        names.append(used)
+        rows.append(row)
         learned.append(~out)
-        rare.append(abc[1] >= len(names))
-    a, b, c = np.concatenate(three, axis=1)
-    return a, b, c, np.concatenate(learned), np.concatenate(rare), rows
+    codes = np.concatenate(codes, axis=1)
+    rare = codes[1] >= len(order)
+    words, number = np.unique(np.concatenate(names), return_inverse=True)
+    a, b, c = number.astype(np.int32)[codes]
+    return words, a, b, c, np.concatenate(learned), rare, rows
 
 
-def _counted(one: np.ndarray, two: np.ndarray, least: int):
-    """Distinct pairs seen ``least`` times, and how often."""
-    words, inverse = np.unique(np.concatenate((one, two)), return_inverse=True)
-    keys, n = np.unique(inverse[: len(one)] * max(len(words), 1) + inverse[len(one) :], return_counts=True)
+def _counted(words: np.ndarray, one: np.ndarray, two: np.ndarray, least: int):
+    """Distinct pairs of ``words`` by number seen ``least`` times, and how often."""
+    keys, n = np.unique(one * np.int64(len(words)) + two, return_counts=True)
     keys, n = keys[n >= least], n[n >= least]
-    return words[keys // max(len(words), 1)], words[keys % max(len(words), 1)], n
+    return words[keys // len(words)], words[keys % len(words)], n
 
 
-def _own(shards: Shards, b: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The shard's words that were learned, ascending, and their counts."""
-    own, n = np.unique(b, return_counts=True)
-    words = np.union1d(own, more)
-    counts = np.zeros(len(words), np.int64)
-    counts[np.searchsorted(words, own)] = n
-    hot, at = shards.is_hot(words)
+def _own(shards: Shards, words: np.ndarray, learned: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shard's words that were learned, ascending, and their counts; ``learned`` has the
+    numbers of those in windows."""
+    seen = np.bincount(learned, minlength=len(words))
+    found = np.union1d(words[seen > 0], more)
+    counts = np.zeros(len(found), np.int64)
+    counts[np.searchsorted(found, words[seen > 0])] = seen[seen > 0]
+    hot, at = shards.is_hot(found)
     counts[hot] = shards.n[at[hot]]
-    return words, counts
+    return found, counts
 
 
 def _ending_pairs(shards: Shards, p: LanguageModel):
@@ -503,10 +526,10 @@ def _ending_pairs(shards: Shards, p: LanguageModel):
     count of the second."""
 
     def run(table):
-        a, b, _, learned, *_ = _joined(shards, table)
-        words, counts = _own(shards, b[learned], b[:0])
-        inner = learned & (a != START)
-        one, two, n = _counted(a[inner], b[inner], p.least)
+        names, a, b, _, learned, *_ = _joined(shards, table)
+        words, counts = _own(shards, names, b[learned], names[:0])
+        inner = learned & (names != START)[a]
+        one, two, n = _counted(names, a[inner], b[inner], p.least)
         total = counts[np.searchsorted(words, two)]
         place, shard = shards.all_of(one)
         order = np.argsort(shard, kind="stable")
@@ -549,13 +572,14 @@ def _sent_pairs(shards: Shards, bodies) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def _shard_trie(shards: Shards, p: LanguageModel, a, b, c, learned, pairs):
-    """The trie of a shard, which of its words are the shard's own, and the windows' numbers."""
+def _shard_trie(shards: Shards, p: LanguageModel, names, a, b, c, learned, pairs):
+    """The trie of a shard, which of its words are the shard's own, the numbers of the words in
+    and after all windows, and the places of what they hold in the trie."""
     first, second, n, total = pairs
-    hot, _ = shards.is_hot(b)
-    own, own_n = _own(shards, b[learned], np.union1d(first, b[hot]))
-    inner = learned & (a != START)
-    one, two, m = _counted(a[inner], b[inner], p.least)
+    hot = shards.is_hot(names)[0] & (np.bincount(b, minlength=len(names)) > 0)
+    own, own_n = _own(shards, names, b[learned], np.union1d(first, names[hot]))
+    inner = learned & (names != START)[a]
+    one, two, m = _counted(names, a[inner], b[inner], p.least)
     words = np.unique(np.concatenate((own, second, one)))
     number = lambda x: np.searchsorted(words, x)
     counts = np.zeros(len(words), np.int64)
@@ -568,17 +592,14 @@ def _shard_trie(shards: Shards, p: LanguageModel, a, b, c, learned, pairs):
     keys = np.concatenate((number(first) * trie.stride + number(second), number(one) * trie.stride + number(two)))
     keys, at = np.unique(keys, return_index=True)
     trie = trie.with_pairs(keys, np.concatenate((n, m))[at], p, is_own)
-    numbers = [trie.numbers(x) for x in (a, b, c)]
-    numbers[2][c == NONE] = -2
-    x, y, z = (k[learned & np.logical_and.reduce([k >= 0 for k in numbers])] for k in numbers)
-    xy, at = np.unique(x * trie.stride + y, return_inverse=True)
-    xyz, n = np.unique(at * trie.stride + z, return_counts=True)
-    xyz, n = xyz[n >= p.least], n[n >= p.least]
+    of = trie.numbers(names).astype(np.int32)
+    of[names == NONE] = -2
+    before, middle, behind = of[a], of[b], of[c]
+    ab, bc = trie.places(before, middle), trie.places(middle, behind)
     # A triple seen ``least`` times has pairs that are, too.
-    (x, y), z = np.divmod(xy[xyz // trie.stride], trie.stride), xyz % trie.stride
-    _, keys = trie.triple_keys(trie.places(x, y), y, trie.places(y, z))
-    order = np.argsort(keys)
-    return trie.with_triples(keys[order], n[order], p), is_own, numbers
+    at, triples = trie.triple_keys(ab, middle, bc)
+    keys, n = np.unique(triples[learned[at]], return_counts=True)
+    return trie.with_triples(keys[n >= p.least], n[n >= p.least], p), is_own, middle, behind, (ab, bc, at, triples)
 
 
 def _build_and_score(shards: Shards, p: LanguageModel):
@@ -587,17 +608,18 @@ def _build_and_score(shards: Shards, p: LanguageModel):
     def run(key, index, pairs):
         if not index.num_rows:
             return pa.table({"part": pa.array([], pa.int64()), "body": pa.array([], pa.binary())})
-        a, b, c, learned, rare, rows = _joined(shards, index)
+        *windows, rare, rows = _joined(shards, index)
         sent = _sent_pairs(shards, pairs.column("body"))
-        trie, is_own, (before, middle, behind) = _shard_trie(shards, p, a, b, c, learned, sent)
+        trie, is_own, middle, behind, places = _shard_trie(shards, p, *windows, sent)
+        del windows, sent
         folder = shards.folder(key[0].as_py())
         trie.save(folder)
         trie = Trie.load(folder)
-        known = np.zeros(len(b), bool)
+        known = np.zeros(len(rare), bool)
         known[middle >= 0] = is_own[middle[middle >= 0]]
-        counts = np.zeros(len(b), np.int64)
+        counts = np.zeros(len(rare), np.int64)
         counts[known] = trie.counts[middle[known]]
-        gain = trie.after(before, middle, behind)
+        gain = trie.gained(middle, behind, *places)
         bodies, first = [], 0
         for row in rows:
             here = slice(first, first + len(row))
@@ -606,7 +628,7 @@ def _build_and_score(shards: Shards, p: LanguageModel):
             units = np.rint(np.bincount(at, gain[here], len(own)) * _UNIT).astype(np.int64)
             few = rare[here]
             # The sign in the lowest bit, so that small numbers have small bytes.
-            bodies.append(_packed(own.astype(np.uint32), units << 1 ^ units >> 63, row[few].astype(np.uint32), counts[here][few]))
+            bodies.append(_packed(own, units << 1 ^ units >> 63, row[few], counts[here][few]))
         return pa.table({"part": sorted(index.column("part").to_pylist()), "body": pa.array(bodies, pa.binary())})
 
     return run
