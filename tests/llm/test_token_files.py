@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import json
+import random
 import struct
+import time
 import zlib
 
 import public_tokenizers
@@ -96,3 +99,29 @@ def test_new_words_go_to_the_merges_together(tokenizer):
     found = encoder.encode([text.encode(), text.upper().encode(), b""])
     assert [x.tolist() for x in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in (text, text.upper(), "")]
     assert len(calls) < 4 * len(odd)
+
+
+def test_new_words_take_a_part_of_the_tokenizers_time(tokenizer):
+    """Pieces are merged as one run of characters, with the ids of each alone."""
+    rng, parts = random.Random(7), ["the", "ou", "é", "st", "Ü", "ion", "Q", "ß", "x", "an"]
+    words = [w for _ in range(20_000) for w in ("".join(rng.choices(parts, k=6)) + rng.choice(["", ",", "!?", "7", "-on."]),)]
+    texts = [" ".join(words[k : k + 4000]) for k in range(0, len(words), 4000)]
+    encoder, took = WordEncoder(PATH), []
+    for _ in range(3):
+        encoder._clear()
+        began = time.process_time()
+        found = encoder.encode([t.encode() for t in texts])
+        middle = time.process_time()
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        took.append((middle - began) / (time.process_time() - middle))
+        assert [x.tolist() for x in found] == want
+    assert min(took) < 0.65
+
+
+@pytest.mark.parametrize("changed", [{"ignore_merges": True}, {"dropout": 0.1}, {"end_of_word_suffix": None}, {"byte_fallback": True}])
+def test_other_merges_are_not_taken_apart(tmp_path, changed):
+    with open(PATH, encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["model"] |= changed
+    (tmp_path / "other.json").write_text(json.dumps(spec), encoding="utf-8")
+    assert not by_words(str(tmp_path / "other.json"))

@@ -23,6 +23,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -98,10 +99,45 @@ _SPLIT = {
 }
 
 
+_MERGES = {
+    "type": "BPE",
+    "dropout": None,
+    "unk_token": None,
+    "continuing_subword_prefix": None,
+    "end_of_word_suffix": "</w>",
+    "byte_fallback": False,
+    "ignore_merges": False,
+}
+#: Added to a character, it stands for that character at the end of a piece.
+_LAST = 0xE000
+
+
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+def _final(token: str) -> str:
+    """A token with its last character as ``_LAST`` has it, instead of a suffix."""
+    suffix = _MERGES["end_of_word_suffix"]
+    if not token.endswith(suffix) or token == suffix:
+        return token
+    token = token[: -len(suffix)]
+    return token[:-1] + chr(ord(token[-1]) + _LAST)
+
+
 def by_words(path: str) -> bool:
     """Whether a tokenizer file is of the kind that ``WordEncoder`` takes apart."""
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
+    from tokenizers import pre_tokenizers
+
+    spec = _spec(path)
+    model = spec["model"]
+    if {k: model.get(k) for k in _MERGES} != _MERGES:
+        return False
+    # Each byte has a token, at the end of a piece and before it, and no two tokens become one.
+    tokens, letters = set(map(_final, model["vocab"])), pre_tokenizers.ByteLevel.alphabet()
+    if len(tokens) < len(model["vocab"]) or not tokens.issuperset(y for x in letters for y in (x, chr(ord(x) + _LAST))):
+        return False
     before = spec.get("pre_tokenizer") or {}
     parts = before.get("pretokenizers") or [{}]
     last = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
@@ -121,18 +157,25 @@ class WordEncoder:
     space and never joins letters across it. So a text's ids are those of its words in
     turn, and A-Z may be made small first. Words of letters with or without accents, digits
     and ASCII marks are cut where the pre-tokenizer would, many at a time, and their pieces
-    go to the merges in one call. A cache maps words to their ids; all words of a batch are
-    then put together by array operations.
+    go to the merges in one call, as one run of characters: the last of each piece is a
+    character of its own, after which nothing merges, instead of one with a suffix. A cache
+    maps words to their ids; all words of a batch are then put together by array operations.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer, self.by_words = Tokenizer.from_file(path), by_words(path)
-        # The merges alone, for pieces with a space between them.
-        self.merges = Tokenizer(self.tokenizer.model)
-        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        if not self.by_words:
+            return
+        # The merges alone, with the same ids, and which ids end a piece.
+        model = _spec(path)["model"]
+        pairs = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+        vocabulary = {_final(token): k for token, k in model["vocab"].items()}
+        self.merges = Tokenizer(models.BPE(vocabulary, [(_final(x), _final(y)) for x, y in pairs]))
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if ord(token[-1]) >= _LAST]] = True
         # Small letters as the model writes their bytes: those with accents have two, of
         # which the first is the same for all.
         written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -177,14 +220,21 @@ class WordEncoder:
         cut = (before > _BETWEEN) & (after > _BETWEEN) & ((before != after) | (after == _DIGIT))
         at = np.flatnonzero(cut) + 1
         pieces = (np.bincount(word[at], minlength=len(words)) + 1)[~other]
-        accents = np.flatnonzero(codes >= 0xC0)
-        large = (codes >= 0x41) & (codes < 0x5B) | (codes >= 0xC0) & (codes < 0xDF)
+        accented = codes >= 0xC0
+        large = (codes >= 0x41) & (codes < 0x5B) | accented & (codes < 0xDF)
         codes = self.last_byte[codes + 32 * large]
-        added = np.repeat(np.array([0x20, self.first_byte], np.uint32), [len(at), len(accents)])
-        pieced = np.insert(codes, np.concatenate((at, accents)), added).astype("<u4").tobytes().decode("utf-32-le")
-        made = self.merges.encode(pieced, add_special_tokens=False)
-        n = np.bincount(np.array(made.word_ids, np.int64), minlength=pieces.sum())
-        return other, np.array(made.ids, np.uint32), np.add.reduceat(n, np.cumsum(pieces) - pieces)
+        last = np.ones(len(kind), bool)
+        last[:-1] = cut | (after == _BETWEEN)
+        codes[last] += _LAST
+        # A letter with an accent has two bytes; what is between words has none.
+        times = np.add(kind > _BETWEEN, accented, dtype=np.int64)
+        first = np.cumsum(times) - times
+        codes = np.repeat(codes, times)
+        codes[first[accented]] = self.first_byte
+        made = self.merges.encode_batch_fast([codes.astype("<u4").tobytes().decode("utf-32-le")], add_special_tokens=False)
+        ids = np.array(made[0].ids, np.uint32)
+        n = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        return other, ids, np.add.reduceat(n, np.cumsum(pieces) - pieces)
 
     def encode(self, documents: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -210,10 +260,12 @@ class WordEncoder:
             return [np.empty(0, np.uint32)] * len(documents)
         if len(self.known) > _CACHE_WORDS:
             self._clear()
-        new = set(words).difference(self.known)
-        if new:
-            self._learn(list(new))
-        which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        which = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(which < 0)
+        if len(new):
+            found = [words[k] for k in new.tolist()]
+            self._learn(list(dict.fromkeys(found)))
+            which[new] = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
         first, counts = self.first[which], self.first[which + 1] - self.first[which]
         total = np.concatenate(([0], np.cumsum(counts)))
         ids = self.ids[np.arange(total[-1]) + np.repeat(first - total[:-1], counts)]
